@@ -4,14 +4,16 @@ Containment is native. The sequence ratio is Python's
 ``difflib.SequenceMatcher`` run inside an Arrow-batched pandas UDF, only
 on candidate pairs that survived the native length bound; a character
 multiset bound (ratio <= 2 * overlap / total) rejects most pairs before
-the quadratic matcher runs. The matcher is not symmetric, so both
-argument orders are returned.
+the quadratic matcher runs, and a bit-parallel LCS bound (the matcher's
+matched characters form a common subsequence) rejects most of the rest.
+The matcher is not symmetric, so both argument orders are returned.
 """
 
 from __future__ import annotations
 
 import difflib
 from collections import Counter
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column
@@ -39,13 +41,46 @@ def ratio_above(a: str, b: str, threshold: float) -> bool:
     return difflib.SequenceMatcher(None, a, b).ratio() > threshold
 
 
+@lru_cache(maxsize=65536)
+def _counts(s: str) -> Counter:
+    return Counter(s)
+
+
+@lru_cache(maxsize=65536)
+def _positions(s: str) -> dict:
+    """Bit mask of the positions of each character of ``s``."""
+    masks: dict = {}
+    for i, ch in enumerate(s):
+        masks[ch] = masks.get(ch, 0) | (1 << i)
+    return masks
+
+
+def lcs_length(a: str, b: str) -> int:
+    """Length of the longest common subsequence, bit-parallel over ``a``
+    (Allison-Dix / Hyyro): one big-integer step per character of ``b``."""
+    if not a or not b:
+        return 0
+    masks = _positions(a)
+    full = (1 << len(a)) - 1
+    v = full
+    for ch in b:
+        u = v & masks.get(ch, 0)
+        v = ((v + u) | (v - u)) & full
+    return len(a) - bin(v).count("1")
+
+
 def _pair_verdicts(a: str, b: str, threshold: float) -> tuple[bool, bool]:
     total = len(a) + len(b)
     if total == 0:
         return False, False
-    ca, cb = Counter(a), Counter(b)
+    ca, cb = _counts(a), _counts(b)
+    if len(ca) > len(cb):
+        ca, cb = cb, ca
     overlap = sum(min(n, cb[ch]) for ch, n in ca.items())
-    if 2.0 * overlap / total <= threshold:
+    if 2.0 * overlap <= threshold * total:
+        return False, False
+    # matched characters of any matcher run never exceed the LCS length
+    if 2.0 * lcs_length(a, b) <= threshold * total:
         return False, False
     return ratio_above(a, b, threshold), ratio_above(b, a, threshold)
 
@@ -59,4 +94,7 @@ def ratio_verdicts(a, b, threshold: float) -> Column:
         res = [_pair_verdicts(x, y, threshold) for x, y in zip(xa, xb)]
         return pd.DataFrame(res, columns=["a_then_b", "b_then_a"], dtype=bool)
 
-    return _udf(col_(a), col_(b))
+    # Non-deterministic for the optimizer only: it keeps a filter on the
+    # verdict from being pushed below the repartition (which would run the
+    # matcher twice, once before the work is spread out).
+    return _udf.asNondeterministic()(col_(a), col_(b))

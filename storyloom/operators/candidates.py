@@ -9,10 +9,9 @@ keys come from two lossless blocking joins:
   all of its own 5-grams, in particular its globally rarest one; the
   probe side uses that single gram, the index side all grams.
 * ratio (C5): the ratio is at most 2*O/(|a|+|b|) with O the overlap of
-  the character multisets, so ratio > t needs O > t/(2-t) * |x| for
-  both keys. Tokens are (character, occurrence number) ordered by global
-  rarity; pairs above that overlap must share a token of each key's
-  prefix of length |x| - floor(t/(2-t) * |x|) (prefix filtering).
+  the character multisets. Tokens are (character, occurrence number)
+  ordered by global rarity; a similar pair must share a token of the
+  two keys' prefixes (prefix filtering, see :func:`ratio_candidates`).
 
 Every pair is then verified: the length bound natively, the multiset
 bound and the sequence ratio in the Arrow UDF.
@@ -71,31 +70,52 @@ def _tokens(keys: DataFrame) -> DataFrame:
         .select("digest_key", "key", "klen", "t.ch", "t.occ")
 
 
-def prefix_tokens(keys: DataFrame, threshold: float) -> DataFrame:
-    """Each key's rarest tokens, as many as prefix filtering requires."""
-    alpha = threshold / (2.0 - threshold)
+def ranked_tokens(keys: DataFrame) -> DataFrame:
+    """Each key's tokens sorted by global rarity (then character, occurrence)."""
     toks = _tokens(keys)
     freq = toks.groupBy("digest_key", "ch", "occ").agg(F.count("*").alias("tfreq"))
     t = toks.join(freq, ["digest_key", "ch", "occ"])
-    # smallest integer overlap strictly above alpha*|x|, rounded down for safety
-    need = F.floor(F.col("klen") * F.lit(alpha) - F.lit(1e-9)) + 1
-    plen = F.greatest(F.lit(1), F.col("klen") - need + 1)
-    per_key = t.groupBy("digest_key", "key", "klen").agg(
+    return t.groupBy("digest_key", "key", "klen").agg(
         F.array_sort(F.collect_list(F.struct("tfreq", "ch", "occ"))).alias("toks"))
-    return per_key.select("digest_key", "key", "klen",
-                          F.explode(F.slice("toks", 1, plen.cast("int"))).alias("t")) \
-        .select("digest_key", "key", "klen", "t.ch", "t.occ")
+
+
+def _prefix(ranked: DataFrame, share: float, role: str) -> DataFrame:
+    """Prefix holding every token but the ``floor(share*|x|)`` most common
+    ones (and at least one), exploded with 1-based positions."""
+    need = F.floor(F.col("klen") * F.lit(share) - F.lit(1e-9)) + 1
+    plen = F.greatest(F.lit(1), F.col("klen") - need + 1).cast("int")
+    return ranked.select("digest_key", F.col("key").alias(role), F.col("klen").alias(role + "len"),
+                         F.posexplode(F.slice("toks", 1, plen)).alias("pos0", "t")) \
+        .select("digest_key", "t.ch", "t.occ", role, role + "len",
+                (F.col("pos0") + 1).alias(role + "pos"))
 
 
 def ratio_candidates(keys: DataFrame, threshold: float) -> DataFrame:
-    """Unordered key pairs (a < b) that share a prefix token and pass the
-    length bound 2*min/(|a|+|b|) > t."""
-    pt = materialize(prefix_tokens(keys, threshold), "prefix-tokens")
-    a = pt.select("digest_key", "ch", "occ", F.col("key").alias("a"), F.col("klen").alias("alen"))
-    b = pt.select("digest_key", "ch", "occ", F.col("key").alias("b"), F.col("klen").alias("blen"))
-    j = a.join(b, ["digest_key", "ch", "occ"]).filter(F.col("a") < F.col("b"))
-    j = j.filter(2.0 * F.least("alen", "blen") > F.lit(threshold) * (F.col("alen") + F.col("blen")))
-    return j.select("digest_key", "a", "b").distinct()
+    """Unordered key pairs (a < b) that may have ratio > t.
+
+    ratio <= 2*O/(|a|+|b|) with O the multiset overlap, so a pair needs
+    O > t*(|a|+|b|)/2. For the shorter key s (ties: the smaller key) that is
+    O > t*|s|; for the longer key l, given the length bound, O > t/(2-t)*|l|.
+    Prefix filtering (AllPairs / PPJoin): the pair then shares a token of
+    s's prefix of |s| - floor(t*|s|) tokens and of l's prefix of
+    |l| - floor(t/(2-t)*|l|) tokens, under one global rarity order. Rows
+    of the join are also dropped by the length bound and the positional
+    bound: a shared token at positions (i, j) that is the first shared
+    one leaves at most 1 + min(|s|-i, |l|-j) overlap; if even that is too
+    small the pair is caught (or not) by its earlier, first shared token.
+    """
+    ranked = materialize(ranked_tokens(keys), "ranked-tokens")
+    short = _prefix(ranked, threshold, "s")
+    long_ = _prefix(ranked, threshold / (2.0 - threshold), "l")
+    j = short.join(long_, ["digest_key", "ch", "occ"])
+    total = F.col("slen") + F.col("llen")
+    j = j.filter(((F.col("slen") < F.col("llen"))
+                  | ((F.col("slen") == F.col("llen")) & (F.col("s") < F.col("l"))))
+                 & (2.0 * F.col("slen") > F.lit(threshold) * total)
+                 & (1 + F.least(F.col("slen") - F.col("spos"), F.col("llen") - F.col("lpos"))
+                    > F.lit(threshold / 2.0) * total))
+    return j.select("digest_key", F.least("s", "l").alias("a"),
+                    F.greatest("s", "l").alias("b")).distinct()
 
 
 def similar_key_pairs(keys: DataFrame, threshold: float, use_ratio: bool = True) -> DataFrame:
@@ -111,6 +131,10 @@ def similar_key_pairs(keys: DataFrame, threshold: float, use_ratio: bool = True)
         return cont
     cand = materialize(ratio_candidates(keys, threshold).join(
         cont.select("digest_key", "a", "b"), ["digest_key", "a", "b"], "left_anti"), "ratio-candidates")
+    # the sequence matcher is CPU-bound: spread the pairs over every task slot
+    slots = max(keys.sparkSession.sparkContext.defaultParallelism,
+                int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    cand = cand.repartition(slots)
     v = cand.withColumn("v", ratio_verdicts("a", "b", threshold))
     rat = v.select("digest_key", "a", "b", F.col("v.a_then_b").alias("a_later"),
                    F.col("v.b_then_a").alias("b_later")) \
@@ -118,8 +142,7 @@ def similar_key_pairs(keys: DataFrame, threshold: float, use_ratio: bool = True)
     return cont.unionByName(rat)
 
 
-def prefix_length(klen: int, threshold: float) -> int:
-    """Python mirror of the prefix length used above (for tests)."""
-    alpha = threshold / (2.0 - threshold)
-    need = math.floor(klen * alpha - 1e-9) + 1
+def prefix_length(klen: int, share: float) -> int:
+    """Python mirror of the prefix length of :func:`_prefix` (for tests)."""
+    need = math.floor(klen * share - 1e-9) + 1
     return max(1, klen - need + 1)

@@ -33,16 +33,24 @@ def with_summary(df: DataFrame, params: DigestParams, text_col: str = "content")
     return df.withColumn("summary", short_summary(text_col, params.summary_max_length))
 
 
-def no_abstract_marker(feed_url="feed_url", site="site", source_kind="source_kind") -> Column:
-    """F6 predicate: feed URLs of the marked host or the marked site name."""
-    return (col_(source_kind) == SOURCE_KIND_FEED) & (
-        F.contains(F.coalesce(col_(feed_url), F.lit("")), F.lit(NO_ABSTRACT_URL_PART))
-        | (col_(site) == F.lit(NO_ABSTRACT_SITE)))
-
-
-def apply_marker(df: DataFrame) -> DataFrame:
+def no_abstract_marker(url_parts=(NO_ABSTRACT_URL_PART,), sites=(NO_ABSTRACT_SITE,),
+                       feed_url="feed_url", site="site", source_kind="source_kind") -> Column:
+    """F6 predicate: a feed whose URL holds a marked part or whose name is a
+    marked site (defaults: the fixed host and site name)."""
+    url = F.coalesce(col_(feed_url), F.lit(""))
+    hit = F.lit(False)
+    for part in url_parts:
+        hit = hit | F.contains(url, F.lit(part))
+    for name in sites:
+        hit = hit | (col_(site) == F.lit(name))
+    return (col_(source_kind) == SOURCE_KIND_FEED) & hit
+
+
+def apply_marker(df: DataFrame, params: DigestParams | None = None) -> DataFrame:
     """replace the summary by the fixed marker text (after truncation)."""
-    return df.withColumn("summary", F.when(no_abstract_marker(), F.lit(NO_ABSTRACT_MARKER))
+    p = params or DigestParams()
+    return df.withColumn("summary", F.when(no_abstract_marker(p.marker_url_parts, p.marker_sites),
+                                           F.lit(NO_ABSTRACT_MARKER))
                          .otherwise(F.col("summary")))
 
 
@@ -77,7 +85,7 @@ def prepare_candidates(raw: DataFrame, params: DigestParams,
     if history is not None:
         df = unseen(df, history)
     df = with_summary(df, params)
-    df = apply_marker(df)
+    df = apply_marker(df, params)
     df = exclude(df, params)
     df = score(df, params)
     return df.select(*CANDIDATE_COLUMNS)

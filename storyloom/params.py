@@ -83,6 +83,9 @@ class DigestParams:
     model_prompt: str = MODEL_DEFAULT_PROMPT
     model_temperature: float = MODEL_TEMPERATURE
     model_max_tokens: int = MODEL_MAX_TOKENS
+    # Feeds whose summary is replaced by the no-abstract marker.
+    marker_sites: tuple[str, ...] = (NO_ABSTRACT_SITE,)
+    marker_url_parts: tuple[str, ...] = (NO_ABSTRACT_URL_PART,)
     # Edge kinds used by story grouping; ratio edges are the only costly ones.
     use_ratio_edges: bool = True
     # Rows per bucket of the bounded as-of scans (see operators.asof).

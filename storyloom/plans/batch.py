@@ -30,3 +30,24 @@ def select_top_stories(candidates: DataFrame, params: DigestParams, exact: bool
     """Group, rank, keep the top ``max_news_count`` per digest key."""
     members = group_stories(candidates, params, exact, digest_key, use_ratio)
     return top_groups(rank_groups(members), params.max_news_count)
+
+
+def digest_documents(candidates: DataFrame, top: DataFrame, display_time: str,
+                     digest_key: str | None = None) -> DataFrame:
+    """R1-R4 (+ S13): ``(digest_key, document)``; a key without items gets the
+    fixed empty text."""
+    from storyloom.operators.digest import assemble, digest_lines
+    from storyloom.operators.stats import candidate_stats
+    stats = candidate_stats(candidates, digest_key)
+    return assemble(digest_lines(top, stats, display_time))
+
+
+def run_digest(candidates: DataFrame, params: DigestParams, display_time: str,
+               exact: bool = True, digest_key: str | None = None) -> DataFrame:
+    """The whole selection: S13 empty branch, else C8 -> R4."""
+    from storyloom.operators.digest import empty_digest
+    from storyloom.operators.stats import candidate_stats
+    if candidates.isEmpty():
+        return empty_digest(candidate_stats(candidates, digest_key))
+    top = select_top_stories(candidates, params, exact=exact, digest_key=digest_key)
+    return digest_documents(candidates, top, display_time, digest_key)

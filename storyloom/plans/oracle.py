@@ -333,7 +333,8 @@ answers AS (SELECT item_id, regexp_replace(text, '^\\s+|\\s+$', '', 'g') AS new_
 SELECT c.item_id, CASE WHEN a.new_summary IS NOT NULL AND length(a.new_summary) > 0
                        THEN a.new_summary || {lit(MODEL_SUMMARY_SUFFIX)} ELSE c.summary END AS summary
 FROM candidates c LEFT JOIN answers a ON a.item_id = c.item_id"""
-    q["digest_lines"] = g + "," + digest_lines_sql(False) + "\nSELECT line_no, value FROM lines"
+    q["digest_lines"] = g + "," + digest_lines_sql(False) + \
+        "\nSELECT CAST(line_no AS BIGINT) AS line_no, value FROM lines"
     gl = "WITH RECURSIVE " + ",".join([ARTICLES, CANDIDATES, groups_sql("lang")])
     q["digest_by_language"] = gl + "," + digest_lines_sql(True) + f"""
 SELECT digest_key AS lang,
@@ -353,3 +354,21 @@ def sql() -> dict[str, str]:  # noqa: F811 - extends the first block
     q = _base_sql()
     q.update(more_sql())
     return q
+
+
+def stream_sql() -> dict[str, str]:
+    return {
+        "stream_dedupe": "SELECT DISTINCT user_id FROM events",
+        "site_trend": with_(ARTICLES) + """
+SELECT date_trunc('day', pub_time) AS window_start, site, count(*) AS n
+FROM articles GROUP BY ALL""",
+    }
+
+
+_sql_with_more = sql
+
+
+def sql() -> dict[str, str]:  # noqa: F811 - adds the stream checks
+    q = _sql_with_more()
+    q.update(stream_sql())
+    return q

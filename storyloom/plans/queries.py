@@ -51,7 +51,7 @@ def q_recent_articles(spark, sf_dir):
 def q_short_summary(spark, sf_dir):
     s = short_summary("content", 300)
     return articles(spark, sf_dir).select("item_id", s.alias("summary"),
-                                          F.length(s).alias("summary_len"))
+                                          F.length(s).cast("bigint").alias("summary_len"))
 
 
 @register("exclude_keywords")
@@ -460,3 +460,103 @@ def q_digest_empty(spark, sf_dir):
     from storyloom.plans.batch import run_digest
     c = filters.prepare_candidates(articles(spark, sf_dir), p)
     return run_digest(c, p, display_time_text(p.as_of), exact=False).select("document")
+
+
+# ---------------------------------------------------------------- sources
+def _scratch(spark, name: str) -> str:
+    import uuid
+    from storyloom.session import scratch_path
+    return scratch_path(spark, f"landing/{name}-{uuid.uuid4().hex[:10]}")
+
+
+def _feed_table(a: DataFrame) -> DataFrame:
+    """S12 derived from the data: one feed per site, in name order. The
+    distinct-site table is bounded by the number of feeds."""
+    from pyspark.sql import Window
+    sites = a.select("site").distinct()
+    return sites.select("site", F.concat(F.lit("https://"), "site", F.lit(".example/feed")).alias("url"),
+                        F.dense_rank().over(Window.orderBy("site")).cast("int").alias("source_order"))
+
+
+@register("feed_items")
+def q_feed_items(spark, sf_dir):
+    """The articles landed as RSS payloads, read back as candidates."""
+    from storyloom.sources import feeds as FD
+    p = fixture_params(spark, sf_dir)
+    a = articles(spark, sf_dir)
+    path = _scratch(spark, "rss")
+    FD.write_rss(a, path)
+    raw = FD.feed_items(FD.read_rss(spark, path), _feed_table(a), p.as_of)
+    c = filters.prepare_candidates(raw, p)
+    return c.select("site", "title", "link", "summary", ntz("pub_time").alias("pub_time"),
+                    "comments", "kw_score")
+
+
+@register("search_items")
+def q_search_items(spark, sf_dir):
+    """The articles landed as search responses of at most ten
+    results each (one response per site and id block), read back."""
+    from storyloom.sources.search import read_responses, search_items
+    p = fixture_params(spark, sf_dir)
+    a = articles(spark, sf_dir)
+    block = F.floor(F.col("item_id") / 10)
+    resp = a.groupBy("site", block.alias("blk")).agg(F.sort_array(F.collect_list(F.struct(
+        F.col("item_id").alias("k"), F.col("title"), F.col("link").alias("url"),
+        F.col("content"),
+        F.date_format("pub_time", "yyyy-MM-dd'T'HH:mm:ssXXX").alias("published_date")))).alias("r"))
+    resp = resp.select(F.concat("site", F.lit("/"), F.col("blk").cast("string")).alias("query"),
+                       F.col("blk").cast("int").alias("query_order"),
+                       F.transform("r", lambda x: x.dropFields("k")).alias("results"))
+    path = _scratch(spark, "search")
+    resp.write.mode("overwrite").json(path)
+    raw = search_items(read_responses(spark, path), p.as_of)
+    c = filters.prepare_candidates(raw, p)
+    return c.select("site", "title", "link", "summary", ntz("pub_time").alias("pub_time"),
+                    "pub_date", "kw_score")
+
+
+# ---------------------------------------------------------------- streaming
+@register("stream_dedupe")
+def q_stream_dedupe(spark, sf_dir):
+    """ST3: events streamed in time order, repeats of a user dropped within a
+    watermark longer than the data's span; the surviving keys."""
+    from storyloom.sources.tables import table
+    from storyloom.streaming import stream as S
+    base = _scratch(spark, "events")
+    ev = table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    S.land_parquet(ev, base + "/in", 4, "ts")
+    src = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(base + "/in")
+    out = S.dedupe_seen(src.withWatermark("ts", "60 days"), ["user_id"]).select("user_id", "event_id")
+    S.run_available(out, base + "/out", base + "/ckpt")
+    return spark.read.parquet(base + "/out").select("user_id")
+
+
+@register("site_trend")
+def q_site_trend(spark, sf_dir):
+    """ST5: daily counts per site over the streamed articles (complete mode)."""
+    from storyloom.streaming import stream as S
+    base = _scratch(spark, "trend")
+    S.land_json(articles(spark, sf_dir), base + "/in", 4, "pub_time")
+    src = S.read_articles_stream(spark, base + "/in")
+    S.run_available(S.site_trend(src), base + "/out", base + "/ckpt", output_mode="complete")
+    return spark.read.parquet(base + "/out").select(
+        ntz("window_start").alias("window_start"), "site", "n")
+
+
+@register("stream_digest")
+def q_stream_digest(spark, sf_dir):
+    """ST1/ST2/ST4: the articles streamed in time order; each micro-batch
+    runs the selection against the history of earlier batches."""
+    from storyloom.operators.digest import display_time_text
+    from storyloom.streaming import stream as S
+    p = fixture_params(spark, sf_dir)
+    base = _scratch(spark, "digest")
+    S.land_json(articles(spark, sf_dir), base + "/in", 3, "pub_time")
+    src = S.dedupe_seen(S.with_late_bound(S.read_articles_stream(spark, base + "/in"),
+                                          p.days_limit), ["link"])
+    fn = S.digest_per_batch(p, base + "/out", base + "/history", display_time_text(p.as_of),
+                            exact=False)
+    q = (src.writeStream.foreachBatch(fn).option("checkpointLocation", base + "/ckpt")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(base + "/out").select("batch_id", "digest_key", "document")

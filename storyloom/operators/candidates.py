@@ -66,16 +66,17 @@ def _tokens(keys: DataFrame) -> DataFrame:
     tok = F.transform(chars, lambda c, i: F.struct(
         c.alias("ch"),
         F.size(F.filter(F.slice(chars, 1, i + 1), lambda d: d == c)).alias("occ")))
-    return keys.select("digest_key", "key", "klen", F.explode(tok).alias("t")) \
-        .select("digest_key", "key", "klen", "t.ch", "t.occ")
+    return keys.select("digest_key", "kid", "klen", F.explode(tok).alias("t")) \
+        .select("digest_key", "kid", "klen", "t.ch", "t.occ")
 
 
 def ranked_tokens(keys: DataFrame) -> DataFrame:
-    """Each key's tokens sorted by global rarity (then character, occurrence)."""
+    """Each key's tokens sorted by global rarity (then character, occurrence);
+    ``keys`` carries a numeric id ``kid``."""
     toks = _tokens(keys)
     freq = toks.groupBy("digest_key", "ch", "occ").agg(F.count("*").alias("tfreq"))
     t = toks.join(freq, ["digest_key", "ch", "occ"])
-    return t.groupBy("digest_key", "key", "klen").agg(
+    return t.groupBy("digest_key", "kid", "klen").agg(
         F.array_sort(F.collect_list(F.struct("tfreq", "ch", "occ"))).alias("toks"))
 
 
@@ -84,17 +85,22 @@ def _prefix(ranked: DataFrame, share: float, role: str) -> DataFrame:
     ones (and at least one), exploded with 1-based positions."""
     need = F.floor(F.col("klen") * F.lit(share) - F.lit(1e-9)) + 1
     plen = F.greatest(F.lit(1), F.col("klen") - need + 1).cast("int")
-    return ranked.select("digest_key", F.col("key").alias(role), F.col("klen").alias(role + "len"),
+    return ranked.select("digest_key", F.col("kid").alias(role), F.col("klen").alias(role + "len"),
                          F.posexplode(F.slice("toks", 1, plen)).alias("pos0", "t")) \
         .select("digest_key", "t.ch", "t.occ", role, role + "len",
                 (F.col("pos0") + 1).alias(role + "pos"))
 
 
+def with_key_ids(keys: DataFrame) -> DataFrame:
+    """Distinct keys with a unique numeric id, written out so the ids are fixed."""
+    return materialize(keys.withColumn("kid", F.monotonically_increasing_id()), "key-ids")
+
+
 def ratio_candidates(keys: DataFrame, threshold: float) -> DataFrame:
     """Unordered key pairs (a < b) that may have ratio > t.
 
     ratio <= 2*O/(|a|+|b|) with O the multiset overlap, so a pair needs
-    O > t*(|a|+|b|)/2. For the shorter key s (ties: the smaller key) that is
+    O > t*(|a|+|b|)/2. For the shorter key s (ties: the smaller id) that is
     O > t*|s|; for the longer key l, given the length bound, O > t/(2-t)*|l|.
     Prefix filtering (AllPairs / PPJoin): the pair then shares a token of
     s's prefix of |s| - floor(t*|s|) tokens and of l's prefix of
@@ -103,8 +109,11 @@ def ratio_candidates(keys: DataFrame, threshold: float) -> DataFrame:
     bound: a shared token at positions (i, j) that is the first shared
     one leaves at most 1 + min(|s|-i, |l|-j) overlap; if even that is too
     small the pair is caught (or not) by its earlier, first shared token.
+    The join and the de-duplication move only numeric ids; key texts are
+    attached to the surviving pairs afterwards.
     """
-    ranked = materialize(ranked_tokens(keys), "ranked-tokens")
+    ids = keys if "kid" in keys.columns else with_key_ids(keys)
+    ranked = materialize(ranked_tokens(ids), "ranked-tokens")
     short = _prefix(ranked, threshold, "s")
     long_ = _prefix(ranked, threshold / (2.0 - threshold), "l")
     j = short.join(long_, ["digest_key", "ch", "occ"])
@@ -114,8 +123,11 @@ def ratio_candidates(keys: DataFrame, threshold: float) -> DataFrame:
                  & (2.0 * F.col("slen") > F.lit(threshold) * total)
                  & (1 + F.least(F.col("slen") - F.col("spos"), F.col("llen") - F.col("lpos"))
                     > F.lit(threshold / 2.0) * total))
-    return j.select("digest_key", F.least("s", "l").alias("a"),
-                    F.greatest("s", "l").alias("b")).distinct()
+    pairs = j.select("digest_key", "s", "l").distinct()
+    ks = ids.select("digest_key", F.col("kid").alias("s"), F.col("key").alias("ks"))
+    kl = ids.select("digest_key", F.col("kid").alias("l"), F.col("key").alias("kl"))
+    named = pairs.join(ks, ["digest_key", "s"]).join(kl, ["digest_key", "l"])
+    return named.select("digest_key", F.least("ks", "kl").alias("a"), F.greatest("ks", "kl").alias("b"))
 
 
 def similar_key_pairs(keys: DataFrame, threshold: float, use_ratio: bool = True) -> DataFrame:

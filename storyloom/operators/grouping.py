@@ -58,42 +58,54 @@ def grouping_items(df: DataFrame, digest_key=None) -> DataFrame:
 def story_edges(items: DataFrame, threshold: float = 0.65, use_ratio: bool = True,
                 bucket_bits: int = DEFAULT_BUCKET_BITS) -> DataFrame:
     """Directed edges (src, dst), src later than dst; ``items`` from
-    :func:`grouping_items`."""
+    :func:`grouping_items`.
+
+    The three edge kinds are one as-of lookup over a tagged group key
+    (``L``+link, ``K``+title key, ``P``+key pair), so a single
+    window/aggregate/join pipeline serves all of them.
+    """
     base = items.select("digest_key", "key", "link", "ord")
-    link_chain = latest_before(base, base, ["digest_key", "link"], bucket_bits)
+    sep = F.lit("\u0000")
+    link_g = base.select("digest_key", F.concat(F.lit("L"), "link").alias("g"), "ord")
     keyed = base.filter(F.col("key") != "")
     if not use_ratio:  # equal keys below 5 characters match only by ratio
         keyed = keyed.filter(F.length("key") >= CONTAINMENT_MIN_LEN)
-    key_chain = latest_before(keyed, keyed, ["digest_key", "key"], bucket_bits)
+    key_g = keyed.select("digest_key", F.concat(F.lit("K"), "key").alias("g"), "ord")
 
     keys = materialize(distinct_keys(items), "keys")
     pairs = materialize(similar_key_pairs(keys, threshold, use_ratio), "key-pairs")
     directed = pairs.filter("a_later").select("digest_key", F.col("a").alias("x"), F.col("b").alias("y")) \
         .unionByName(pairs.filter("b_later").select("digest_key", F.col("b").alias("x"),
                                                       F.col("a").alias("y")))
-    kx = base.select("digest_key", F.col("key").alias("x"), "ord")
-    ky = base.select("digest_key", F.col("key").alias("y"), "ord")
-    probes = directed.join(kx, ["digest_key", "x"])
-    builds = directed.join(ky, ["digest_key", "y"])
-    pair_edges = latest_before(probes, builds, ["digest_key", "x", "y"], bucket_bits)
+    pair_g = F.concat(F.lit("P"), F.col("x"), sep, F.col("y")).alias("g")
+    probes = directed.join(base.select("digest_key", F.col("key").alias("x"), "ord"),
+                           ["digest_key", "x"]).select("digest_key", pair_g, "ord")
+    builds = directed.join(base.select("digest_key", F.col("key").alias("y"), "ord"),
+                           ["digest_key", "y"]).select("digest_key", pair_g, "ord")
 
-    edges = None
-    for e in (link_chain, key_chain, pair_edges):
-        e = e.filter(F.col("prev").isNotNull()).select(F.col("ord").alias("src"),
-                                                       F.col("prev").alias("dst"))
-        edges = e if edges is None else edges.unionByName(e)
-    return materialize(edges.distinct(), "edges")
+    all_probes = link_g.unionByName(key_g).unionByName(probes)
+    all_builds = link_g.unionByName(key_g).unionByName(builds)
+    e = latest_before(all_probes, all_builds, ["digest_key", "g"], bucket_bits)
+    e = e.filter(F.col("prev").isNotNull()).select(F.col("ord").alias("src"),
+                                                   F.col("prev").alias("dst"))
+    return materialize(e.distinct(), "edges")
 
 
 def propagate_min(nodes: DataFrame, edges: DataFrame, directed: bool = True,
-                  max_rounds: int = 64) -> DataFrame:
+                  max_rounds: int = 64, checkpoint_every: int = 3) -> DataFrame:
     """Fixed point of ``L(i) = min(L(i), L(j) for edges i->j, L(L(i)))``,
-    starting from ``L(i) = i``. Returns (ord, label)."""
+    starting from ``L(i) = i``. Returns (ord, label).
+
+    Rounds are cached; every ``checkpoint_every`` rounds (and at the end)
+    the labels are written to the checkpoint folder, so lineage never
+    spans more than a few rounds and a lost executor costs at most those.
+    """
     if not directed:
-        edges = edges.unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
-        edges = materialize(edges, "edges-both")
+        edges = materialize(edges.unionByName(
+            edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))), "edges-both")
     labels = nodes.select("ord", F.col("ord").alias("label"))
-    for _ in range(max_rounds):
+    cached = []
+    for r in range(1, max_rounds + 1):
         via_edge = edges.join(labels.select(F.col("ord").alias("dst"), F.col("label").alias("l")),
                               "dst").select(F.col("src").alias("ord"), F.col("l").alias("label"))
         jump = labels.alias("a").join(labels.alias("b"), F.col("a.label") == F.col("b.ord")) \
@@ -101,11 +113,21 @@ def propagate_min(nodes: DataFrame, edges: DataFrame, directed: bool = True,
         cand = labels.select("ord", "label", F.col("label").alias("old")).unionByName(
             via_edge.unionByName(jump).withColumn("old", F.lit(None).cast("long")))
         new = cand.groupBy("ord").agg(F.min("label").alias("label"), F.max("old").alias("old"))
-        new = materialize(new, "labels")
-        changed = new.filter(F.col("label") < F.col("old")).limit(1).count()
+        if r % checkpoint_every == 0:
+            new = materialize(new, "labels")
+            for c in cached:
+                c.unpersist()
+            cached = []
+        else:
+            new = new.cache()
+            cached.append(new)
+        changed = new.filter(F.col("label") < F.col("old")).count()  # fills the cache
         labels = new.select("ord", "label")
         if changed == 0:
-            return labels
+            out = materialize(labels, "labels-final")
+            for c in cached:
+                c.unpersist()
+            return out
     raise NotConverged(f"labels still changing after {max_rounds} rounds")
 
 

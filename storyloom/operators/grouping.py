@@ -34,6 +34,8 @@ Components (C7) are the same loop over the undirected edges.
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,6 +46,9 @@ from storyloom.operators.materialize import materialize
 from storyloom.params import CONTAINMENT_MIN_LEN
 
 
+_DEBUG = bool(os.environ.get("STORYLOOM_DEBUG"))
+
+
 class NotConverged(RuntimeError):
     pass
 
@@ -94,7 +99,9 @@ def story_edges(items: DataFrame, threshold: float = 0.65, use_ratio: bool = Tru
 def propagate_min(nodes: DataFrame, edges: DataFrame, directed: bool = True,
                   max_rounds: int = 64, checkpoint_every: int = 3) -> DataFrame:
     """Fixed point of ``L(i) = min(L(i), L(j) for edges i->j, L(L(i)))``,
-    starting from ``L(i) = i``. Returns (ord, label).
+    starting from ``L(i) = i``. Returns (ord, label). Undirected runs add
+    the hooking step, which keeps the round count logarithmic on paths
+    whose order zig-zags.
 
     Rounds are cached; every ``checkpoint_every`` rounds (and at the end)
     the labels are written to the checkpoint folder, so lineage never
@@ -110,8 +117,18 @@ def propagate_min(nodes: DataFrame, edges: DataFrame, directed: bool = True,
                               "dst").select(F.col("src").alias("ord"), F.col("l").alias("label"))
         jump = labels.alias("a").join(labels.alias("b"), F.col("a.label") == F.col("b.ord")) \
             .select(F.col("a.ord").alias("ord"), F.col("b.label").alias("label"))
+        proposals = via_edge.unionByName(jump)
+        if not directed:
+            # hook (Shiloach-Vishkin): a node's current label also takes the
+            # smallest label its members see; valid for components only, as
+            # first-fit reachability is one-way
+            seen = labels.select("ord", "label").unionByName(via_edge) \
+                .groupBy("ord").agg(F.min("label").alias("seen"))
+            hook = seen.join(labels, "ord").select(F.col("label").alias("ord"),
+                                                   F.col("seen").alias("label"))
+            proposals = proposals.unionByName(hook)
         cand = labels.select("ord", "label", F.col("label").alias("old")).unionByName(
-            via_edge.unionByName(jump).withColumn("old", F.lit(None).cast("long")))
+            proposals.withColumn("old", F.lit(None).cast("long")))
         new = cand.groupBy("ord").agg(F.min("label").alias("label"), F.max("old").alias("old"))
         if r % checkpoint_every == 0:
             new = materialize(new, "labels")
@@ -122,6 +139,8 @@ def propagate_min(nodes: DataFrame, edges: DataFrame, directed: bool = True,
             new = new.cache()
             cached.append(new)
         changed = new.filter(F.col("label") < F.col("old")).count()  # fills the cache
+        if _DEBUG:
+            print(f"[propagate] round {r}: {changed} labels lowered", flush=True)
         labels = new.select("ord", "label")
         if changed == 0:
             out = materialize(labels, "labels-final")

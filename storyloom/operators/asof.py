@@ -24,9 +24,10 @@ DEFAULT_BUCKET_BITS = 20
 
 
 def latest_before(probes: DataFrame, builds: DataFrame, keys: list[str],
-                  bucket_bits: int = DEFAULT_BUCKET_BITS) -> DataFrame:
+                  bucket_bits: int = DEFAULT_BUCKET_BITS, with_first: bool = False) -> DataFrame:
     """Return ``keys + [ord, prev]`` for every probe row; ``prev`` is NULL
-    when no build row of the key comes earlier."""
+    when no build row of the key comes earlier. With ``with_first`` also
+    ``first``: the key's smallest build ord (NULL-free when any build exists)."""
     p = probes.select(*keys, F.col("ord").alias("__o"), F.lit(1).alias("__p"))
     b = builds.select(*keys, F.col("ord").alias("__o"), F.lit(0).alias("__p"))
     u = p.unionByName(b).withColumn("__b", F.shiftright(F.col("__o"), bucket_bits))
@@ -36,11 +37,18 @@ def latest_before(probes: DataFrame, builds: DataFrame, keys: list[str],
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     inside = u.withColumn("__in", F.max(build_ord).over(w_in)).filter(F.col("__p") == 1)
 
-    per_bucket = u.groupBy(*keys, "__b").agg(F.max(build_ord).alias("__bm"))
+    per_bucket = u.groupBy(*keys, "__b").agg(F.max(build_ord).alias("__bm"),
+                                             F.min(build_ord).alias("__bmin"))
     w_carry = (Window.partitionBy(*keys).orderBy("__b")
                .rowsBetween(Window.unboundedPreceding, -1))
-    carry = per_bucket.withColumn("__carry", F.max("__bm").over(w_carry)).drop("__bm")
+    carry = per_bucket.withColumn("__carry", F.max("__bm").over(w_carry))
+    if with_first:
+        w_all = Window.partitionBy(*keys)
+        carry = carry.withColumn("__first", F.min("__bmin").over(w_all))
+    carry = carry.drop("__bm", "__bmin")
 
     out = inside.join(carry, [*keys, "__b"], "left")
-    return out.select(*keys, F.col("__o").alias("ord"),
-                      F.coalesce("__in", "__carry").alias("prev"))
+    cols = [*keys, F.col("__o").alias("ord"), F.coalesce("__in", "__carry").alias("prev")]
+    if with_first:
+        cols.append(F.col("__first").alias("first"))
+    return out.select(*cols)

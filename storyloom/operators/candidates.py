@@ -21,7 +21,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from storyloom.functions.similarity import ratio_verdicts
@@ -62,12 +62,13 @@ def containment_pairs(keys: DataFrame) -> DataFrame:
 
 
 def _tokens(keys: DataFrame) -> DataFrame:
-    chars = F.split("key", "")
-    tok = F.transform(chars, lambda c, i: F.struct(
-        c.alias("ch"),
-        F.size(F.filter(F.slice(chars, 1, i + 1), lambda d: d == c)).alias("occ")))
-    return keys.select("digest_key", "kid", "klen", F.explode(tok).alias("t")) \
-        .select("digest_key", "kid", "klen", "t.ch", "t.occ")
+    """(character, occurrence number) tokens of every key. The occurrence
+    number is a row number over (key, character): a window partition never
+    holds more rows than one key has characters."""
+    chars = keys.select("digest_key", "kid", "klen",
+                        F.posexplode(F.split("key", "")).alias("pos", "ch"))
+    w = Window.partitionBy("digest_key", "kid", "ch").orderBy("pos")
+    return chars.withColumn("occ", F.row_number().over(w)).drop("pos")
 
 
 def ranked_tokens(keys: DataFrame) -> DataFrame:

@@ -71,6 +71,7 @@ def lcs_length(a: str, b: str) -> int:
 
 
 _WORD = 64
+_CHUNK = 4096  # pairs per vectorised step (bounds the comparison tensor)
 
 
 def _code_points(strings, width: int, pad: int) -> np.ndarray:
@@ -84,30 +85,41 @@ def _code_points(strings, width: int, pad: int) -> np.ndarray:
     return out
 
 
-def lcs_lengths(shorts: list[str], longs: list[str]) -> np.ndarray:
-    """Bit-parallel LCS lengths for many pairs at once (numpy, one 64-bit
-    word per pair: every ``shorts[i]`` has at most 64 characters)."""
+def lcs_lengths(shorts: list[str], longs: list[str], words: int = 1) -> np.ndarray:
+    """Bit-parallel LCS lengths for many pairs at once (numpy). The bit
+    vector over ``shorts[i]`` spans ``words`` 64-bit words (every short
+    string has at most ``64 * words`` characters); additions carry across
+    words, subtractions never borrow (U is a subset of V)."""
     n = len(shorts)
     if n == 0:
         return np.zeros(0, dtype=np.int64)
+    width = _WORD * words
     ls = np.fromiter((len(x) for x in shorts), dtype=np.int64, count=n)
     lb = max(len(x) for x in longs) or 1
-    a = _code_points(shorts, _WORD, 0xFFFFFFFF)
+    a = _code_points(shorts, width, 0xFFFFFFFF)
     b = _code_points(longs, lb, 0xFFFFFFFE)
     if max(int(a[a != 0xFFFFFFFF].max(initial=0)), int(b[b != 0xFFFFFFFE].max(initial=0))) < 0xFFFE:
         # all in the basic plane: compare 16-bit values (half the memory traffic)
         a = np.where(a == 0xFFFFFFFF, 0xFFFF, a).astype(np.uint16)
         b = np.where(b == 0xFFFFFFFE, 0xFFFE, b).astype(np.uint16)
-    # masks[i, k]: bit j set when shorts[i][j] == longs[i][k]
+    # masks[i, k, w]: bit j of word w set when shorts[i][64w + j] == longs[i][k]
     masks = np.packbits(a[:, None, :] == b[:, :, None], axis=2, bitorder="little") \
-        .view("<u8")[:, :, 0]
-    full = np.where(ls >= _WORD, np.uint64(0xFFFFFFFFFFFFFFFF),
-                    (np.uint64(1) << ls.astype(np.uint64)) - np.uint64(1))
+        .view("<u8").reshape(n, lb, words)
+    bits = np.clip(ls[:, None] - _WORD * np.arange(words)[None, :], 0, _WORD).astype(np.uint64)
+    all_ones = np.uint64(0xFFFFFFFFFFFFFFFF)
+    full = np.where(bits >= _WORD, all_ones,
+                    (np.uint64(1) << np.minimum(bits, np.uint64(63))) - np.uint64(1))
     v = full.copy()
     for k in range(lb):
-        u = v & masks[:, k]
-        v = ((v + u) | (v - u)) & full
-    return ls - np.bitwise_count(v).astype(np.int64)
+        u = v & masks[:, k, :]
+        s_ = v + u
+        if words > 1:
+            carry = (s_ < v).astype(np.uint64)
+            for w in range(1, words):
+                s_[:, w] += carry[:, w - 1]
+                carry[:, w] |= (s_[:, w] < carry[:, w - 1]).astype(np.uint64)
+        v = (s_ | (v & ~u)) & full
+    return ls - np.bitwise_count(v).astype(np.int64).sum(axis=1)
 
 
 def batch_verdicts(xa: list[str], xb: list[str], threshold: float):
@@ -121,12 +133,14 @@ def batch_verdicts(xa: list[str], xb: list[str], threshold: float):
     short_first = [len(x) <= len(y) for x, y in zip(xa, xb)]
     sh = [x if f else y for x, y, f in zip(xa, xb, short_first)]
     lo = [y if f else x for x, y, f in zip(xa, xb, short_first)]
-    fits = np.fromiter((len(x) <= _WORD for x in sh), dtype=bool, count=n)
+    words = np.fromiter(((len(x) + _WORD - 1) // _WORD for x in sh), dtype=np.int64, count=n)
     lcs = np.zeros(n, dtype=np.int64)
-    idx = np.nonzero(fits)[0]
-    if len(idx):
-        lcs[idx] = lcs_lengths([sh[i] for i in idx], [lo[i] for i in idx])
-    for i in np.nonzero(~fits)[0]:
+    for w in (1, 2):
+        idx = np.nonzero(np.maximum(words, 1) == w)[0]
+        for lo_i in range(0, len(idx), _CHUNK):
+            part = idx[lo_i:lo_i + _CHUNK]
+            lcs[part] = lcs_lengths([sh[i] for i in part], [lo[i] for i in part], words=w)
+    for i in np.nonzero(words > 2)[0]:
         lcs[i] = lcs_length(sh[i], lo[i])
     for i in np.nonzero(2.0 * lcs > threshold * total)[0]:
         ab[i] = ratio_above(xa[i], xb[i], threshold)

@@ -147,7 +147,8 @@ def similar_key_pairs(keys: DataFrame, threshold: float, use_ratio: bool = True)
     # the sequence matcher is CPU-bound: spread the pairs over every task slot
     slots = max(keys.sparkSession.sparkContext.defaultParallelism,
                 int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    cand = cand.repartition(slots)
+    if cand.rdd.getNumPartitions() < slots:
+        cand = cand.repartition(slots)
     v = cand.withColumn("v", ratio_verdicts("a", "b", threshold))
     rat = v.select("digest_key", "a", "b", F.col("v.a_then_b").alias("a_later"),
                    F.col("v.b_then_a").alias("b_later")) \

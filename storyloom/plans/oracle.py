@@ -372,3 +372,21 @@ def sql() -> dict[str, str]:  # noqa: F811 - adds the stream checks
     q = _sql_with_more()
     q.update(stream_sql())
     return q
+
+
+def push_sql() -> dict[str, str]:
+    from storyloom.params import PUSH_TITLE_PREFIX
+    g = "WITH RECURSIVE " + ",".join([ARTICLES, CANDIDATES, groups_sql(None)])
+    return {"push_message": g + "," + digest_lines_sql(False) + f"""
+SELECT '# ' || {lit(PUSH_TITLE_PREFIX)} || strftime((SELECT as_of FROM params), '%Y年%m月%d日')
+       || chr(10) || chr(10) || string_agg(value, chr(10) ORDER BY line_no) AS message
+FROM lines"""}
+
+
+_sql_with_stream = sql
+
+
+def sql() -> dict[str, str]:  # noqa: F811 - adds the push message
+    q = _sql_with_stream()
+    q.update(push_sql())
+    return q

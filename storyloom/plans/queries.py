@@ -560,3 +560,14 @@ def q_stream_digest(spark, sf_dir):
          .trigger(availableNow=True).start())
     q.awaitTermination()
     return spark.read.parquet(base + "/out").select("batch_id", "digest_key", "document")
+
+
+@register("push_message")
+def q_push_message(spark, sf_dir):
+    """The digest as a pushed message titled with the run date."""
+    from storyloom.operators.digest import display_time_text, push_message, push_title
+    from storyloom.plans.batch import digest_documents
+    p = fixture_params(spark, sf_dir)
+    c, top = top_components(spark, sf_dir)
+    docs = digest_documents(c, top, display_time_text(p.as_of))
+    return push_message(docs, push_title(p.as_of), empty_run=c.isEmpty()).select("message")

@@ -78,7 +78,8 @@ from storyloom.params import (DIGEST_BADGE_MARK, DIGEST_EMPTY, DIGEST_ITEM_RULE,
                               DIGEST_STATS_SITES, DIGEST_STATS_TOTAL, DIGEST_TIME_LABEL,
                               DIGEST_TITLE, MODEL_DEFAULT_PROMPT, MODEL_FALLBACK_CONTENT,
                               MODEL_FALLBACK_TITLE, MODEL_SUMMARY_SUFFIX, NO_ABSTRACT_MARKER,
-                              NO_ABSTRACT_PROBE, SEARCH_SITE_PREFIX, SEARCH_SITE_SUFFIX)
+                              NO_ABSTRACT_PROBE, SEARCH_SITE_BARE, SEARCH_SITE_PREFIX,
+                              SEARCH_SITE_SUFFIX)
 
 
 def lit(s: str) -> str:
@@ -259,9 +260,13 @@ SELECT event_id, CASE event_type
     WHEN 'error' THEN date_trunc('second', ts) + INTERVAL 1 HOUR
     ELSE (SELECT as_of FROM params) END AS pub_time
 FROM events"""
+    n = netloc("url")
     q["site_label"] = f"""
-SELECT page_id, {netloc('url')} AS netloc,
-       {lit(SEARCH_SITE_PREFIX)} || {netloc('url')} || {lit(SEARCH_SITE_SUFFIX)} AS site
+SELECT page_id, {n} AS netloc,
+       CASE WHEN (contains({n}, '[') AND NOT contains({n}, ']'))
+              OR (contains({n}, ']') AND NOT contains({n}, '['))
+            THEN {lit(SEARCH_SITE_BARE)}
+            ELSE {lit(SEARCH_SITE_PREFIX)} || {n} || {lit(SEARCH_SITE_SUFFIX)} END AS site
 FROM pages"""
     h = host("url")
     q["domain_filter"] = f"""

@@ -13,7 +13,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storyloom.functions.scoring import is_excluded, keyword_score
 from storyloom.functions.text import short_summary
 from storyloom.operators import filters
 from storyloom.plans.fixture import fixture_params

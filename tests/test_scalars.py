@@ -96,6 +96,8 @@ def test_netloc_and_label(spark):
     assert got == [urlparse(u).netloc for u in urls]
     lab = df.select(search_site_label("u")).first()[0]
     assert lab.endswith("(user@a.b.com:8080)")
+    bad = spark.createDataFrame([("http://[::1/x",)], "u string").select(search_site_label("u")).first()[0]
+    assert bad == "Tavily"  # the parser raises on unbalanced brackets: bare label
 
 
 def _raw(spark, rows):

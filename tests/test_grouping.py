@@ -139,3 +139,35 @@ def test_ratio_boundary_e16():
     a, b = "abcdefghijklm", "abcdefghijxyz"
     r = difflib.SequenceMatcher(None, a, b).ratio()
     assert RM.similar(a, b, threshold=r) is False  # strictly greater
+
+
+def test_hot_keys_first_fit_and_components(spark):
+    """A third of the items share the empty link, a sixth share one title:
+    chains and as-of edges (tiny buckets: many carries) still reproduce
+    brute-force first-fit and components exactly."""
+    rnd = random.Random(11)
+    words = ["market", "rally", "storm", "vote", "chip", "robot", "league", "flood"]
+    rows = []
+    for i in range(240):
+        r = rnd.random()
+        if r < 1 / 3:
+            link = ""
+        else:
+            link = f"https://s{rnd.randrange(40)}/{i}"
+        if rnd.random() < 1 / 6:
+            title = "Breaking: markets rally"
+        else:
+            title = " ".join(rnd.choice(words) for _ in range(rnd.randint(1, 4)))
+        rows.append((title, link, f"site{rnd.randrange(5)}"))
+    df = with_arrival_order(_raw_rows(spark, rows))
+    order = [r.item_id for r in df.orderBy("ord").collect()]
+    items = [dict(title=rows[i][0], link=rows[i][1]) for i in order]
+    pos = {iid: k for k, iid in enumerate(order)}
+    for exact in (True, False):
+        g = assign_groups(grouping_items(df), exact=exact, bucket_bits=2)
+        by = {}
+        for r in g.collect():
+            by.setdefault(r.leader_ord, []).append(pos[r.item_id])
+        got = sorted(sorted(v) for v in by.values())
+        want = sorted(RM.first_fit(items)) if exact else RM.components(items)
+        assert got == want, exact

@@ -145,8 +145,7 @@ def similar_key_pairs(keys: DataFrame, threshold: float, use_ratio: bool = True)
     cand = materialize(ratio_candidates(keys, threshold).join(
         cont.select("digest_key", "a", "b"), ["digest_key", "a", "b"], "left_anti"), "ratio-candidates")
     # the sequence matcher is CPU-bound: spread the pairs over every task slot
-    slots = max(keys.sparkSession.sparkContext.defaultParallelism,
-                int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    slots = keys.sparkSession.sparkContext.defaultParallelism
     if cand.rdd.getNumPartitions() < slots:
         cand = cand.repartition(slots)
     v = cand.withColumn("v", ratio_verdicts("a", "b", threshold))

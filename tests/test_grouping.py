@@ -171,3 +171,15 @@ def test_hot_keys_first_fit_and_components(spark):
         got = sorted(sorted(v) for v in by.values())
         want = sorted(RM.first_fit(items)) if exact else RM.components(items)
         assert got == want, exact
+
+
+def test_ranking_invariant_under_repartitioning(spark):
+    from storyloom.plans.batch import select_top_stories
+    p = fixture_params(spark, SF)
+    c = candidates(spark, SF)
+    cols = ["rank", "item_id", "leader_item_id", "multi_source_bonus", "source_count"]
+    base = [tuple(r) for r in select_top_stories(c, p, exact=False).select(*cols).orderBy("rank").collect()]
+    for n in (1, 7):
+        again = [tuple(r) for r in select_top_stories(c.repartition(n), p, exact=False)
+                 .select(*cols).orderBy("rank").collect()]
+        assert again == base

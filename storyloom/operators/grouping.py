@@ -102,7 +102,8 @@ def story_edges(items: DataFrame, threshold: float = 0.65, use_ratio: bool = Tru
 
 
 def propagate_min(nodes: DataFrame, edges: DataFrame, directed: bool = True,
-                  max_rounds: int = 64, checkpoint_every: int = 3) -> DataFrame:
+                  max_rounds: int = 64, checkpoint_every: int = 3,
+                  hook: bool = True) -> DataFrame:
     """Fixed point of ``L(i) = min(L(i), L(j) for edges i->j, L(L(i)))``,
     starting from ``L(i) = i``. Returns (ord, label). Undirected runs add
     the hooking step, which keeps the round count logarithmic on paths
@@ -123,7 +124,7 @@ def propagate_min(nodes: DataFrame, edges: DataFrame, directed: bool = True,
         jump = labels.alias("a").join(labels.alias("b"), F.col("a.label") == F.col("b.ord")) \
             .select(F.col("a.ord").alias("ord"), F.col("b.label").alias("label"))
         proposals = via_edge.unionByName(jump)
-        if not directed:
+        if not directed and hook:
             # hook (Shiloach-Vishkin): a node's current label also takes the
             # smallest label its members see; valid for components only, as
             # first-fit reachability is one-way

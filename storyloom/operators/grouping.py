@@ -35,6 +35,7 @@ Components (C7) are the same loop over the undirected edges.
 from __future__ import annotations
 
 import os
+import time
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -130,9 +131,9 @@ def propagate_min(nodes: DataFrame, edges: DataFrame, directed: bool = True,
             # first-fit reachability is one-way
             seen = labels.select("ord", "label").unionByName(via_edge) \
                 .groupBy("ord").agg(F.min("label").alias("seen"))
-            hook = seen.join(labels, "ord").select(F.col("label").alias("ord"),
-                                                   F.col("seen").alias("label"))
-            proposals = proposals.unionByName(hook)
+            hooked = seen.join(labels, "ord").select(F.col("label").alias("ord"),
+                                                     F.col("seen").alias("label"))
+            proposals = proposals.unionByName(hooked)
         cand = labels.select("ord", "label", F.col("label").alias("old")).unionByName(
             proposals.withColumn("old", F.lit(None).cast("long")))
         new = cand.groupBy("ord").agg(F.min("label").alias("label"), F.max("old").alias("old"))
@@ -146,7 +147,6 @@ def propagate_min(nodes: DataFrame, edges: DataFrame, directed: bool = True,
             cached.append(new)
         changed = new.filter(F.col("label") < F.col("old")).count()  # fills the cache
         if _DEBUG:
-            import time
             print(f"[propagate] round {r}: {changed} labels lowered at {time.time():.2f}", flush=True)
         labels = new.select("ord", "label")
         if changed == 0:

@@ -118,9 +118,13 @@ def propagate_min(nodes: DataFrame, edges: DataFrame, directed: bool = True,
         edges = materialize(edges.unionByName(
             edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))), "edges-both")
     labels = nodes.select("ord", F.col("ord").alias("label"))
+    delta = labels  # labels that changed in the previous round (all, at first)
     cached = []
     for r in range(1, max_rounds + 1):
-        via_edge = edges.join(labels.select(F.col("ord").alias("dst"), F.col("label").alias("l")),
+        # semi-naive: an edge can only lower its source if its target's label
+        # just changed; every edge still sees each target's final label in the
+        # round after that label last changed, so the fixed point is unchanged
+        via_edge = edges.join(delta.select(F.col("ord").alias("dst"), F.col("label").alias("l")),
                               "dst").select(F.col("src").alias("ord"), F.col("l").alias("label"))
         jump = labels.alias("a").join(labels.alias("b"), F.col("a.label") == F.col("b.ord")) \
             .select(F.col("a.ord").alias("ord"), F.col("b.label").alias("label"))
@@ -145,7 +149,8 @@ def propagate_min(nodes: DataFrame, edges: DataFrame, directed: bool = True,
         else:
             new = new.cache()
             cached.append(new)
-        changed = new.filter(F.col("label") < F.col("old")).count()  # fills the cache
+        delta = new.filter(F.col("label") < F.col("old")).select("ord", "label")
+        changed = delta.count()  # also fills the cache
         if _DEBUG:
             print(f"[propagate] round {r}: {changed} labels lowered at {time.time():.2f}", flush=True)
         labels = new.select("ord", "label")

@@ -2,8 +2,9 @@
 
 The engine never invents its own storage locations on a cluster: the
 shared checkpoint folder comes from ``spark.checkpoint.dir``. Only when
-that setting is absent (a laptop, a unit test) do we pick a scratch
-folder ourselves.
+that setting is absent *and* the master is local (a laptop, a unit test)
+do we pick a scratch folder ourselves; any other master without the
+setting is refused.
 """
 
 from __future__ import annotations
@@ -49,6 +50,12 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def is_local_master(master: str) -> bool:
+    """True for ``local``, ``local[N]`` and ``local[N,F]``: driver and executors are one
+    process, so a machine-local folder is shared. ``local-cluster`` is not."""
+    return master == "local" or master.startswith("local[")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting a scratch one only if unset."""
     sc = spark.sparkContext
@@ -58,6 +65,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or \
         sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not is_local_master(sc.master):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set: on a cluster it must name a folder that the "
+                f"driver and all executors share (master: {sc.master})")
         configured = tempfile.mkdtemp(prefix="storyloom-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

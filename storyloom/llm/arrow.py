@@ -18,8 +18,10 @@ def column(batch: pa.RecordBatch, name: str) -> pa.Array:
 
 
 def text_column(batch: pa.RecordBatch, name: str) -> pa.Array:
-    """A text column with null read as empty."""
-    return pc.fill_null(column(batch, name).cast(pa.large_string()), "")
+    """A text column with null read as empty, copied out of the batch: some string kernels
+    misread the offsets of a sliced array."""
+    own = column(batch, name).take(pa.array(np.arange(batch.num_rows)))
+    return pc.fill_null(own.cast(pa.large_string()), "")
 
 
 def slices(batch: pa.RecordBatch, name: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:

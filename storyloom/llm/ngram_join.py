@@ -12,9 +12,10 @@ share. It is never formed as a whole:
 3. *First block of columns.* Two sets of sizes m and n with Jaccard >= t share at least
    t/(1+t)·(m+n) n-grams, so they share one of the first ``n - ceil(t·n) + 1`` n-grams of each.
    Only these entries are shuffled, by n-gram.
-4. *Star pass.* In each column, members are paired with the column's smallest class only; the
-   exact overlap of these pairs is computed and links are contracted to components. A group of
-   many near copies collapses here with a number of pairs in proportion to its members.
+4. *Star passes.* In each column whose members lie in different components, the members are paired
+   with one hub only; the exact overlap of these pairs is computed and links are contracted to
+   components. A group of many near copies collapses here with pairs in proportion to its members.
+   Passes go on while they find links and the product is more than twice the entries.
 5. *Product.* What remains are pairs of different components. The partial overlaps of the
    first block are accumulated per pair and a pair is discarded when sizes differ by more than
    t or when the partial overlap plus the most that later columns can add stays below the
@@ -41,6 +42,7 @@ from pyspark.sql import functions as F
 
 from storyloom.llm.arrow import column, mixed, slices, text_column, word_hashes, words
 from storyloom.llm.components import components
+from storyloom.llm.storage import free_shuffles
 from storyloom.operators.materialize import materialize
 
 #: Counters of the frequency table (a fixed size: 4 MB whatever the input).
@@ -196,6 +198,39 @@ def _sizes_fit(x: str, y: str, num: int, den: int):
     return F.least(x, y) * den >= F.greatest(x, y) * num
 
 
+def _undecided(shared: DataFrame, label: DataFrame | None) -> DataFrame:
+    """``(token, cls, n, label)`` of the columns whose members lie in different components."""
+    placed = shared.withColumn("label", F.col("cls")) if label is None else \
+        shared.join(label.withColumnRenamed("node", "cls"), "cls", "left") \
+        .select("token", "cls", "n", F.coalesce("label", "cls").alias("label"))
+    open_columns = placed.groupBy("token").agg(F.min("label").alias("l0"), F.max("label").alias("l1")) \
+        .where("l0 < l1").select("token")
+    return materialize(placed.join(open_columns, "token"), "undecided")
+
+
+def _star(placed: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs ``(a, b)`` of each column's hub with the members of other components. The hub is the
+    class that meets most others over all its columns: of a group of near copies, one close to the
+    text that they were made from."""
+    met = placed.join(placed.groupBy("token").agg(F.count("*").alias("c")), "token") \
+        .groupBy("cls").agg(F.sum("c").alias("met"))
+    hub = placed.join(met, "cls").groupBy("token").agg(F.max(F.struct("met", "cls", "n", "label")).alias("hub"))
+    return (placed.join(hub, "token").where("label <> hub.label").where(_sizes_fit("n", "hub.n", num, den))
+            .select(F.col("hub.cls").alias("a"), F.col("cls").alias("b")).distinct())
+
+
+def _product(placed: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs ``(a, b)`` of different components whose overlap in the first block, with the most that
+    later columns can add, reaches the bound."""
+    x = placed.select("token", F.col("cls").alias("a"), F.col("n").alias("na"), F.col("label").alias("la"))
+    y = placed.select("token", F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("label").alias("lb"))
+    later = F.greatest(*[F.expr(f"(({n} * {num} + {den - 1}) div {den}) - 1") for n in ("na", "nb")])
+    return (x.join(y, "token").where("a < b and la <> lb").where(_sizes_fit("na", "nb", num, den))
+            .groupBy("a", "b", "na", "nb").agg(F.count("*").alias("overlap"))
+            .where((F.col("overlap") + later) * (den + num) >= (F.col("na") + F.col("nb")) * num)
+            .select("a", "b"))
+
+
 def ngram_components(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100,
                      id_column: str = "doc_id", text_column_name: str = "text") -> DataFrame:
     """``(doc_id, n_shingles, component_id)`` per row: documents link when the Jaccard
@@ -214,43 +249,38 @@ def ngram_components(docs: DataFrame, width: int = 5, num: int = 80, den: int =
     block = materialize(rows.mapInArrow(_entries(width, num, den, table),
                                         "token long, cls long, n long"), "block")
     shared = block.groupBy("token").agg(F.min("cls").alias("low"), F.max("cls").alias("high")) \
-        .where("low < high").select("token", "low")
-    shared = materialize(block.join(shared, "token").groupBy("token", "cls")
-                         .agg(F.first("n").alias("n"), F.first("low").alias("low")), "shared")
+        .where("low < high").select("token")
+    shared = materialize(block.join(shared, "token").groupBy("token", "cls").agg(F.first("n").alias("n")), "shared")
 
     wanted = shared.select("cls").distinct().join(classes, "cls").select("cls", F.col("first_id").alias("doc_id"))
     texts = materialize(rows.where("doc_id is not null and text is not null").join(wanted, "doc_id")
                         .select("cls", "text").mapInArrow(_texts(width), "cls long, text string")
                         .dropDuplicates(["cls"]), "texts")
-
-    # star pass: every member against the smallest class of each of its columns
-    size = shared.select("cls", "n").distinct()
-    star = shared.where("cls <> low").select(F.col("low").alias("a"), F.col("cls").alias("b"),
-                                             F.col("n").alias("nb")).distinct()
-    star = star.join(size.select(F.col("cls").alias("a"), F.col("n").alias("na")), "a") \
-        .where(_sizes_fit("na", "nb", num, den)).select("a", "b")
-    star = materialize(star, "star")
-    links = materialize(_links(star, texts, width, num, den), "star-links")
-    label = components(links)
-
-    # product over what is not yet connected
-    placed = shared.join(label.withColumnRenamed("node", "cls"), "cls", "left") \
-        .select("token", "cls", "n", F.coalesce("label", "cls").alias("label"))
-    mixed_columns = placed.groupBy("token").agg(F.min("label").alias("l0"), F.max("label").alias("l1")) \
-        .where("l0 < l1").select("token")
-    placed = materialize(placed.join(mixed_columns, "token"), "placed")
-    x = placed.select("token", F.col("cls").alias("a"), F.col("n").alias("na"), F.col("label").alias("la"))
-    y = placed.select("token", F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("label").alias("lb"))
-    rest_a = F.expr(f"na - (na - (na * {num} + {den - 1}) div {den} + 1)")
-    rest_b = F.expr(f"nb - (nb - (nb * {num} + {den - 1}) div {den} + 1)")
-    counted = (x.join(y, "token").where("a < b and la <> lb").where(_sizes_fit("na", "nb", num, den))
-               .groupBy("a", "b", "na", "nb").agg(F.count("*").alias("overlap")))
-    left = counted.where((F.col("overlap") + F.greatest(rest_a, rest_b)) * (den + num)
-                         >= (F.col("na") + F.col("nb")) * num) \
-        .select("a", "b").join(star, ["a", "b"], "left_anti")
-    more = materialize(_links(materialize(left, "pairs"), texts, width, num, den), "links")
-    label = components(links.unionByName(more))
-
+    free_shuffles(spark)
+
+    links, tried = spark.createDataFrame([], "a long, b long"), spark.createDataFrame([], "lo long, hi long")
+    found, label = True, None
+    while True:
+        placed = _undecided(shared, label)
+        entries, product = placed.groupBy("token").agg(F.count("*").alias("c")) \
+            .agg(F.coalesce(F.sum("c"), F.lit(0)), F.coalesce(F.sum(F.expr("c * (c - 1) / 2")), F.lit(0.0))).first()
+        if not entries:
+            break
+        last = not found or product <= 2 * entries
+        pairs = _product(placed, num, den) if last else _star(placed, num, den)
+        pairs = materialize(pairs.select("a", "b", F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi"))
+                            .join(tried, ["lo", "hi"], "left_anti"), "pairs")
+        new = materialize(_links(pairs, texts, width, num, den), "links")
+        tried = tried.unionByName(pairs.select("lo", "hi"))
+        links, found = links.unionByName(new), not new.isEmpty()
+        if found:
+            label = components(links)
+        free_shuffles(spark)
+        if last:
+            break
+
+    if label is None:
+        label = spark.createDataFrame([], "node long, label long")
     named = per_doc.join(label.withColumnRenamed("node", "cls"), "cls", "left") \
         .select("doc_id", "n_shingles", F.coalesce("label", "cls").alias("label"))
     low = named.where("label is not null").groupBy("label").agg(F.min("doc_id").alias("low"))

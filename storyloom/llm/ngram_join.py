@@ -11,15 +11,17 @@ share. It is never formed as a whole:
    n-gram is last in every row. Collisions change the order's quality, never the result.
 3. *First block of columns.* Two sets of sizes m and n with Jaccard >= t share at least
    t/(1+t)·(m+n) n-grams, so they share one of the first ``n - ceil(t·n) + 1`` n-grams of each.
-   Only these entries are shuffled, by n-gram.
-4. *Star passes.* In each column whose members lie in different components, the members are paired
+   Only these entries are shuffled, by n-gram; columns with a single class end here. The others are
+   split by size, as linked sets have sizes within t.
+4. *Bounds.* A pair is discarded as it is made when sizes differ by more than t, or when the sizes
+   inside 32 blocks of columns leave no room: the overlap is at most the sum of the blocks' smaller sizes.
+5. *Star passes.* In each column whose members lie in different components, the members are paired
    with one hub only; the exact overlap of these pairs is computed and links are contracted to
    components. A group of many near copies collapses here with pairs in proportion to its members.
    Passes go on while they find links and the product is more than twice the entries.
-5. *Product.* What remains are pairs of different components. The partial overlaps of the
-   first block are accumulated per pair and a pair is discarded when sizes differ by more than
-   t or when the partial overlap plus the most that later columns can add stays below the
-   bound. Survivors get their exact overlap from the whole texts.
+6. *Product.* What remains are pairs of different components. The partial overlaps of the
+   first block are accumulated per pair and a pair is discarded when that and the most that later
+   columns can add stay below the bound. Survivors get their exact overlap from the whole texts.
 
 Nothing is sampled or capped: a pair of linked documents is either verified itself or already
 inside one component by verified links.
@@ -32,6 +34,7 @@ else null. Other columns of the input are ignored, whatever their names.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -49,6 +52,10 @@ from storyloom.operators.materialize import materialize
 COUNTERS_LOG2 = 20
 #: Rows that a task's counters are sent in.
 COUNTER_SLICES = 64
+#: Blocks of columns (by the hash's first bits) in which a set's sizes are kept for bounds.
+BLOCKS_LOG2 = 5
+#: Ids that may be broadcast to pick texts from the documents; more are joined by a shuffle.
+BROADCAST_IDS = 200_000
 
 
 def shingle_sets(texts: pa.Array, width: int) -> Iterator[np.ndarray]:
@@ -80,11 +87,13 @@ def _profile(width: int):
         counts, seen = np.zeros(1 << COUNTERS_LOG2, np.int64), False
         for batch in batches:
             for part in slices(batch, "text"):
-                sizes, keys, every = [], [], []
+                sizes, keys, every, inside = [], [], [], []
                 for own in shingle_sets(text_column(part, "text"), width):
                     sizes.append(len(own))
                     keys.append(class_key(own) if len(own) else None)
                     every.append(own)
+                    inside.append(np.bincount((own >> np.uint64(64 - BLOCKS_LOG2)).astype(np.int64),
+                                              minlength=1 << BLOCKS_LOG2))
                 if every:
                     seen = True
                     bucket = np.concatenate(every) >> np.uint64(64 - COUNTERS_LOG2)
@@ -92,15 +101,16 @@ def _profile(width: int):
                 n = part.num_rows
                 yield pa.RecordBatch.from_arrays(
                     [column(part, "doc_id").cast(pa.int64()), pa.array(sizes, pa.int64()),
-                     pa.array(keys, pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())],
-                    ["doc_id", "n_shingles", "cls", "slice", "counts"])
+                     pa.array(keys, pa.int64()), pa.array(inside, pa.list_(pa.int32())),
+                     pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())],
+                    ["doc_id", "n_shingles", "cls", "inside", "slice", "counts"])
         if seen:
             rows = np.split(np.minimum(counts, 0xFFFFFFFF).astype("<u4"), COUNTER_SLICES)
             yield pa.RecordBatch.from_arrays(
                 [pa.nulls(len(rows), pa.int64()), pa.nulls(len(rows), pa.int64()),
-                 pa.nulls(len(rows), pa.int64()), pa.array(range(len(rows)), pa.int32()),
-                 pa.array([r.tobytes() for r in rows], pa.binary())],
-                ["doc_id", "n_shingles", "cls", "slice", "counts"])
+                 pa.nulls(len(rows), pa.int64()), pa.nulls(len(rows), pa.list_(pa.int32())),
+                 pa.array(range(len(rows)), pa.int32()), pa.array([r.tobytes() for r in rows], pa.binary())],
+                ["doc_id", "n_shingles", "cls", "inside", "slice", "counts"])
     return run
 
 
@@ -198,39 +208,75 @@ def _sizes_fit(x: str, y: str, num: int, den: int):
     return F.least(x, y) * den >= F.greatest(x, y) * num
 
 
-def _undecided(shared: DataFrame, label: DataFrame | None) -> DataFrame:
-    """``(token, cls, n, label)`` of the columns whose members lie in different components."""
-    placed = shared.withColumn("label", F.col("cls")) if label is None else \
-        shared.join(label.withColumnRenamed("node", "cls"), "cls", "left") \
-        .select("token", "cls", "n", F.coalesce("label", "cls").alias("label"))
-    open_columns = placed.groupBy("token").agg(F.min("label").alias("l0"), F.max("label").alias("l1")) \
-        .where("l0 < l1").select("token")
-    return materialize(placed.join(open_columns, "token"), "undecided")
+def _may_link(na: str, nb: str, xa: str, xb: str, num: int, den: int):
+    """Sizes within the ratio, and enough room for the overlap in every block of columns."""
+    room = F.expr(f"aggregate(zip_with({xa}, {xb}, (p, q) -> cast(least(p, q) AS bigint)), 0L, (s, v) -> s + v)")
+    return _sizes_fit(na, nb, num, den) & (room * (den + num) >= (F.col(na) + F.col(nb)) * num)
+
+
+def _banded(shared: DataFrame, num: int, den: int) -> DataFrame:
+    """Columns split by size: sets within the ratio lie in one band or in neighbouring ones, so each
+    entry is in its own band's column and the next one's. ``(token, col, band, cls, n)``."""
+    width = -math.log(num / den) * 1.001 if num < den else 1e-9
+    band = F.floor(F.log(F.col("n").cast("double")) / width) if num < den else F.col("n")
+    return shared.select("token", "cls", "n", band.cast("long").alias("band")) \
+        .withColumn("col", F.explode(F.array(F.col("band"), F.col("band") + 1)))
+
+
+def _undecided(shared: DataFrame, classes: DataFrame, label: DataFrame | None, num: int, den: int) -> DataFrame:
+    """``(token, col, band, cls, n, label, inside)`` of the columns whose members lie in different
+    components."""
+    placed = _banded(shared, num, den)
+    placed = placed.withColumn("label", F.col("cls")) if label is None else \
+        placed.join(label.withColumnRenamed("node", "cls"), "cls", "left").withColumn("label", F.coalesce("label", "cls"))
+    mixed_columns = placed.groupBy("token", "col").agg(F.min("label").alias("l0"), F.max("label").alias("l1")) \
+        .where("l0 < l1").select("token", "col")
+    return materialize(placed.join(mixed_columns, ["token", "col"]).join(classes.select("cls", "inside"), "cls")
+                       .select("token", "col", "band", "cls", "n", "label", "inside"), "undecided")
 
 
 def _star(placed: DataFrame, num: int, den: int) -> DataFrame:
     """Pairs ``(a, b)`` of each column's hub with the members of other components. The hub is the
     class that meets most others over all its columns: of a group of near copies, one close to the
     text that they were made from."""
-    met = placed.join(placed.groupBy("token").agg(F.count("*").alias("c")), "token") \
+    met = placed.join(placed.groupBy("token", "col").agg(F.count("*").alias("c")), ["token", "col"]) \
         .groupBy("cls").agg(F.sum("c").alias("met"))
-    hub = placed.join(met, "cls").groupBy("token").agg(F.max(F.struct("met", "cls", "n", "label")).alias("hub"))
-    return (placed.join(hub, "token").where("label <> hub.label").where(_sizes_fit("n", "hub.n", num, den))
-            .select(F.col("hub.cls").alias("a"), F.col("cls").alias("b")).distinct())
+    hub = placed.join(met, "cls").groupBy("token", "col") \
+        .agg(F.max(F.struct("met", "cls", "n", "label", "inside")).alias("hub")) \
+        .select("token", "col", F.col("hub.cls").alias("a"), F.col("hub.n").alias("na"),
+                F.col("hub.label").alias("la"), F.col("hub.inside").alias("xa"))
+    return (placed.join(hub, (placed["token"] == hub["token"]) & (placed["col"] == hub["col"])
+                        & (placed["label"] != hub["la"]) & _may_link("n", "na", "inside", "xa", num, den))
+            .select("a", F.col("cls").alias("b")).distinct())
 
 
 def _product(placed: DataFrame, num: int, den: int) -> DataFrame:
     """Pairs ``(a, b)`` of different components whose overlap in the first block, with the most that
     later columns can add, reaches the bound."""
-    x = placed.select("token", F.col("cls").alias("a"), F.col("n").alias("na"), F.col("label").alias("la"))
-    y = placed.select("token", F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("label").alias("lb"))
+    def side(s):
+        return placed.select("token", "col", F.col("band").alias(f"band{s}"), F.col("cls").alias(s),
+                             F.col("n").alias(f"n{s}"), F.col("label").alias(f"l{s}"), F.col("inside").alias(f"x{s}"))
+    x, y = side("a"), side("b").withColumnsRenamed({"token": "token_b", "col": "col_b"})
     later = F.greatest(*[F.expr(f"(({n} * {num} + {den - 1}) div {den}) - 1") for n in ("na", "nb")])
-    return (x.join(y, "token").where("a < b and la <> lb").where(_sizes_fit("na", "nb", num, den))
+    once = F.col("col") == F.greatest("banda", "bandb")  # the one column that counts the pair
+    return (x.join(y, (F.col("token") == F.col("token_b")) & (F.col("col") == F.col("col_b"))
+                   & (F.col("a") < F.col("b")) & (F.col("la") != F.col("lb")) & once
+                   & _may_link("na", "nb", "xa", "xb", num, den))
             .groupBy("a", "b", "na", "nb").agg(F.count("*").alias("overlap"))
             .where((F.col("overlap") + later) * (den + num) >= (F.col("na") + F.col("nb")) * num)
             .select("a", "b"))
 
 
+def _fetch(rows: DataFrame, classes: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
+    """``(cls, text)`` of the wanted classes, by their first document."""
+    ids = materialize(wanted.join(classes, "cls").where("first_id is not null")
+                      .select("cls", F.col("first_id").alias("doc_id")), "wanted")
+    if ids.count() <= BROADCAST_IDS:
+        ids = F.broadcast(ids)
+    return materialize(rows.where("doc_id is not null and text is not null").join(ids, "doc_id")
+                       .select("cls", "text").mapInArrow(_texts(width), "cls long, text string"), "texts")
+
+
 def ngram_components(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100,
                      id_column: str = "doc_id", text_column_name: str = "text") -> DataFrame:
     """``(doc_id, n_shingles, component_id)`` per row: documents link when the Jaccard
@@ -240,11 +286,11 @@ def ngram_components(docs: DataFrame, width: int = 5, num: int = 80, den: int =
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"),
                        F.col(text_column_name).alias("text"))
     profile = materialize(rows.mapInArrow(
-        _profile(width), "doc_id long, n_shingles long, cls long, slice int, counts binary"), "profile")
+        _profile(width), "doc_id long, n_shingles long, cls long, inside array<int>, slice int, counts binary"), "profile")
     table = spark.sparkContext.broadcast(frequencies(profile))
     per_doc = profile.where("slice is null").select("doc_id", "n_shingles", "cls")
-    classes = per_doc.where("cls is not null").groupBy("cls").agg(
-        F.min("doc_id").alias("first_id"), F.max("n_shingles").alias("n"))
+    classes = materialize(profile.where("cls is not null").groupBy("cls").agg(
+        F.min("doc_id").alias("first_id"), F.max("n_shingles").alias("n"), F.first("inside").alias("inside")), "classes")
 
     block = materialize(rows.mapInArrow(_entries(width, num, den, table),
                                         "token long, cls long, n long"), "block")
@@ -252,17 +298,14 @@ def ngram_components(docs: DataFrame, width: int = 5, num: int = 80, den: int =
         .where("low < high").select("token")
     shared = materialize(block.join(shared, "token").groupBy("token", "cls").agg(F.first("n").alias("n")), "shared")
 
-    wanted = shared.select("cls").distinct().join(classes, "cls").select("cls", F.col("first_id").alias("doc_id"))
-    texts = materialize(rows.where("doc_id is not null and text is not null").join(wanted, "doc_id")
-                        .select("cls", "text").mapInArrow(_texts(width), "cls long, text string")
-                        .dropDuplicates(["cls"]), "texts")
     free_shuffles(spark)
 
     links, tried = spark.createDataFrame([], "a long, b long"), spark.createDataFrame([], "lo long, hi long")
+    texts = spark.createDataFrame([], "cls long, text string")
     found, label = True, None
     while True:
-        placed = _undecided(shared, label)
-        entries, product = placed.groupBy("token").agg(F.count("*").alias("c")) \
+        placed = _undecided(shared, classes, label, num, den)
+        entries, product = placed.groupBy("token", "col").agg(F.count("*").alias("c")) \
             .agg(F.coalesce(F.sum("c"), F.lit(0)), F.coalesce(F.sum(F.expr("c * (c - 1) / 2")), F.lit(0.0))).first()
         if not entries:
             break
@@ -270,6 +313,8 @@ def ngram_components(docs: DataFrame, width: int = 5, num: int = 80, den: int =
         pairs = _product(placed, num, den) if last else _star(placed, num, den)
         pairs = materialize(pairs.select("a", "b", F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi"))
                             .join(tried, ["lo", "hi"], "left_anti"), "pairs")
+        ends = pairs.select(F.col("a").alias("cls")).unionByName(pairs.select(F.col("b").alias("cls"))).distinct()
+        texts = texts.unionByName(_fetch(rows, classes, ends.join(texts.select("cls"), "cls", "left_anti"), width))
         new = materialize(_links(pairs, texts, width, num, den), "links")
         tried = tried.unionByName(pairs.select("lo", "hi"))
         links, found = links.unionByName(new), not new.isEmpty()

@@ -11,17 +11,19 @@ share. It is never formed as a whole:
    n-gram is last in every row. Collisions change the order's quality, never the result.
 3. *First block of columns.* Two sets of sizes m and n with Jaccard >= t share at least
    t/(1+t)·(m+n) n-grams, so they share one of the first ``n - ceil(t·n) + 1`` n-grams of each.
-   Only these entries are shuffled, by n-gram; columns with a single class end here. The others are
-   split by size, as linked sets have sizes within t.
-4. *Bounds.* A pair is discarded as it is made when sizes differ by more than t, or when the sizes
-   inside 32 blocks of columns leave no room: the overlap is at most the sum of the blocks' smaller sizes.
-5. *Star passes.* In each column whose members lie in different components, the members are paired
-   with one hub only; the exact overlap of these pairs is computed and links are contracted to
-   components. A group of many near copies collapses here with pairs in proportion to its members.
-   Passes go on while they find links and the product is more than twice the entries.
-6. *Product.* What remains are pairs of different components. The partial overlaps of the
-   first block are accumulated per pair and a pair is discarded when that and the most that later
-   columns can add stay below the bound. Survivors get their exact overlap from the whole texts.
+   Only these entries are shuffled, by n-gram; columns with a single class end here.
+4. *Light columns* (``LIGHT`` members or fewer) are dealt into buckets of bounded size, and each is
+   multiplied as a block of the matrix. A pair is discarded when sizes differ by more than t, or when
+   the sizes inside 32 blocks of all columns leave no room: the overlap is at most the sum of the blocks'
+   smaller sizes. The partial overlaps of the buckets are added up, and a pair is discarded when that and
+   the most that its other columns can add stay below the bound. Survivors get their exact overlap
+   from the whole texts, and links are contracted to components.
+5. *Heavy columns*, star passes. In each column whose members lie in different components, the members
+   are paired with one hub only, under the same bounds. A group of many near copies collapses here with
+   pairs in proportion to its members. Passes go on while they find links and the product is more than
+   twice the entries.
+6. *Heavy columns*, product. What remains are pairs of different components, accumulated and bounded as
+   above.
 
 Nothing is sampled or capped: a pair of linked documents is either verified itself or already
 inside one component by verified links.
@@ -34,7 +36,6 @@ else null. Other columns of the input are ignored, whatever their names.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -54,6 +55,9 @@ COUNTERS_LOG2 = 20
 COUNTER_SLICES = 64
 #: Blocks of columns (by the hash's first bits) in which a set's sizes are kept for bounds.
 BLOCKS_LOG2 = 5
+#: Members up to which a column is light, and entries that one task multiplies.
+LIGHT = 8
+BUCKET_ENTRIES = 100_000
 #: Ids that may be broadcast to pick texts from the documents; more are joined by a shuffle.
 BROADCAST_IDS = 200_000
 
@@ -175,23 +179,21 @@ def _texts(width: int):
 
 
 def _verify(width: int, num: int, den: int):
-    """Exact overlap of each pair; the larger of a run of equal partners is read once."""
+    """Exact overlap of each pair; a partner that many rows in a row share is read once."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last_key, last = None, None
         for batch in batches:
-            out_a, out_b = [], []
-            ka, kb = column(batch, "a").to_pylist(), column(batch, "b").to_pylist()
-            ta, tb = text_column(batch, "ta"), text_column(batch, "tb")
-            for i, (a, b) in enumerate(zip(ka, kb)):
-                if a != last_key:
-                    last_key, last = a, next(shingle_sets(ta.slice(i, 1), width))
-                other = next(shingle_sets(tb.slice(i, 1), width))
-                both = len(np.intersect1d(last, other, assume_unique=True))
-                if den * both >= num * (len(last) + len(other) - both):
-                    out_a.append(a)
-                    out_b.append(b)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64())], ["a", "b"])
+            for part in slices(batch, "tb"):
+                ka = np.asarray(column(part, "a"))
+                new = np.flatnonzero(np.concatenate(([last_key != ka[0]], ka[1:] != ka[:-1])))
+                left = shingle_sets(text_column(part, "ta").take(pa.array(new)), width)
+                starts, keep = set(new.tolist()), []
+                for i, other in enumerate(shingle_sets(text_column(part, "tb"), width)):
+                    if i in starts:
+                        last_key, last = ka[i], next(left)
+                    both = len(np.intersect1d(last, other, assume_unique=True))
+                    keep.append(den * both >= num * (len(last) + len(other) - both))
+                yield part.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
     return run
 
 
@@ -208,63 +210,90 @@ def _sizes_fit(x: str, y: str, num: int, den: int):
     return F.least(x, y) * den >= F.greatest(x, y) * num
 
 
+def _light_product(num: int, den: int):
+    """The product over a bucket of columns with few members: pairs (a, b, na, nb, overlap)."""
+    def run(rows: pa.Table) -> pa.Table:
+        token, cls, n = (np.asarray(rows.column(c)) for c in ("token", "cls", "n"))
+        inside = np.asarray(rows.column("inside").combine_chunks().flatten()).reshape(len(n), -1)
+        order = np.lexsort((cls, token))
+        token, cls, n = token[order], cls[order], n[order]
+        found = []
+        for k in range(1, LIGHT):
+            i = np.flatnonzero(token[k:] == token[:-k])
+            i = i[den * np.minimum(n[i], n[i + k]) >= num * np.maximum(n[i], n[i + k])]
+            for part in np.array_split(i, len(i) // 100_000 + 1):
+                room = np.minimum(inside[order[part]], inside[order[part + k]]).sum(axis=1, dtype=np.int64)
+                part = part[room * (den + num) >= (n[part] + n[part + k]) * num]
+                found.append(np.stack((cls[part], cls[part + k], n[part], n[part + k]), 1))
+        pairs, overlap = np.unique(np.concatenate(found), axis=0, return_counts=True)
+        names = ("a", "b", "na", "nb")
+        return pa.table({**{c: pa.array(pairs[:, i]) for i, c in enumerate(names)}, "overlap": pa.array(overlap)})
+    return run
+
+
+def _reaches(overlap, num: int, den: int):
+    """Can a pair reach the bound: its overlap so far with the most that later columns can add?"""
+    later = F.greatest(*[F.expr(f"(({n} * {num} + {den - 1}) div {den}) - 1") for n in ("na", "nb")])
+    return (overlap + later) * (den + num) >= (F.col("na") + F.col("nb")) * num
+
+
+def _light_pairs(light: DataFrame, heavy: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
+    """Candidate pairs ``(a, b)`` that meet in a light column. Heavy columns count with all that they
+    could add: the smaller number of heavy columns of the two."""
+    buckets = max(1, light.count() // BUCKET_ENTRIES)
+    part = light.join(classes.select("cls", "inside"), "cls") \
+        .withColumn("bucket", F.pmod(F.xxhash64("token"), F.lit(buckets)))
+    pairs = part.groupBy("bucket").applyInArrow(
+        _light_product(num, den), "a long, b long, na long, nb long, overlap long") \
+        .groupBy("a", "b", "na", "nb").agg(F.sum("overlap").alias("overlap"))
+    many = heavy.groupBy("cls").agg(F.count("*").alias("h"))
+    ha, hb = (many.select(F.col("cls").alias(s), F.col("h").alias("h" + s)) for s in "ab")
+    most = F.col("overlap") + F.least(F.coalesce("ha", F.lit(0)), F.coalesce("hb", F.lit(0)))
+    return pairs.join(ha, "a", "left").join(hb, "b", "left").where(_reaches(most, num, den)).select("a", "b")
+
+
 def _may_link(na: str, nb: str, xa: str, xb: str, num: int, den: int):
     """Sizes within the ratio, and enough room for the overlap in every block of columns."""
     room = F.expr(f"aggregate(zip_with({xa}, {xb}, (p, q) -> cast(least(p, q) AS bigint)), 0L, (s, v) -> s + v)")
     return _sizes_fit(na, nb, num, den) & (room * (den + num) >= (F.col(na) + F.col(nb)) * num)
 
 
-def _banded(shared: DataFrame, num: int, den: int) -> DataFrame:
-    """Columns split by size: sets within the ratio lie in one band or in neighbouring ones, so each
-    entry is in its own band's column and the next one's. ``(token, col, band, cls, n)``."""
-    width = -math.log(num / den) * 1.001 if num < den else 1e-9
-    band = F.floor(F.log(F.col("n").cast("double")) / width) if num < den else F.col("n")
-    return shared.select("token", "cls", "n", band.cast("long").alias("band")) \
-        .withColumn("col", F.explode(F.array(F.col("band"), F.col("band") + 1)))
-
-
-def _undecided(shared: DataFrame, classes: DataFrame, label: DataFrame | None, num: int, den: int) -> DataFrame:
-    """``(token, col, band, cls, n, label, inside)`` of the columns whose members lie in different
-    components."""
-    placed = _banded(shared, num, den)
-    placed = placed.withColumn("label", F.col("cls")) if label is None else \
-        placed.join(label.withColumnRenamed("node", "cls"), "cls", "left").withColumn("label", F.coalesce("label", "cls"))
-    mixed_columns = placed.groupBy("token", "col").agg(F.min("label").alias("l0"), F.max("label").alias("l1")) \
-        .where("l0 < l1").select("token", "col")
-    return materialize(placed.join(mixed_columns, ["token", "col"]).join(classes.select("cls", "inside"), "cls")
-                       .select("token", "col", "band", "cls", "n", "label", "inside"), "undecided")
+def _undecided(heavy: DataFrame, label: DataFrame | None) -> DataFrame:
+    """``(token, cls, n, inside, label)`` of the heavy columns whose members lie in different components."""
+    placed = heavy.withColumn("label", F.col("cls")) if label is None else \
+        heavy.join(label.withColumnRenamed("node", "cls"), "cls", "left").withColumn("label", F.coalesce("label", "cls"))
+    placed = materialize(placed.select("token", "cls", "n", "inside", "label"), "placed")
+    mixed_columns = placed.groupBy("token").agg(F.min("label").alias("l0"), F.max("label").alias("l1")) \
+        .where("l0 < l1").select("token")
+    return materialize(placed.join(mixed_columns, "token"), "undecided")
 
 
 def _star(placed: DataFrame, num: int, den: int) -> DataFrame:
     """Pairs ``(a, b)`` of each column's hub with the members of other components. The hub is the
     class that meets most others over all its columns: of a group of near copies, one close to the
     text that they were made from."""
-    met = placed.join(placed.groupBy("token", "col").agg(F.count("*").alias("c")), ["token", "col"]) \
+    met = placed.join(placed.groupBy("token").agg(F.count("*").alias("c")), "token") \
         .groupBy("cls").agg(F.sum("c").alias("met"))
-    hub = placed.join(met, "cls").groupBy("token", "col") \
+    hub = placed.join(met, "cls").groupBy("token") \
         .agg(F.max(F.struct("met", "cls", "n", "label", "inside")).alias("hub")) \
-        .select("token", "col", F.col("hub.cls").alias("a"), F.col("hub.n").alias("na"),
+        .select("token", F.col("hub.cls").alias("a"), F.col("hub.n").alias("na"),
                 F.col("hub.label").alias("la"), F.col("hub.inside").alias("xa"))
-    return (placed.join(hub, (placed["token"] == hub["token"]) & (placed["col"] == hub["col"])
-                        & (placed["label"] != hub["la"]) & _may_link("n", "na", "inside", "xa", num, den))
+    return (placed.join(hub, (placed["token"] == hub["token"]) & (placed["label"] != hub["la"])
+                        & _may_link("n", "na", "inside", "xa", num, den))
             .select("a", F.col("cls").alias("b")).distinct())
 
 
 def _product(placed: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs ``(a, b)`` of different components whose overlap in the first block, with the most that
-    later columns can add, reaches the bound."""
+    """Pairs ``(a, b)`` of different components that meet in a heavy column and whose overlap in the
+    first block, with the most that later columns can add, reaches the bound. (A pair's light columns
+    have paired it already.)"""
     def side(s):
-        return placed.select("token", "col", F.col("band").alias(f"band{s}"), F.col("cls").alias(s),
-                             F.col("n").alias(f"n{s}"), F.col("label").alias(f"l{s}"), F.col("inside").alias(f"x{s}"))
-    x, y = side("a"), side("b").withColumnsRenamed({"token": "token_b", "col": "col_b"})
-    later = F.greatest(*[F.expr(f"(({n} * {num} + {den - 1}) div {den}) - 1") for n in ("na", "nb")])
-    once = F.col("col") == F.greatest("banda", "bandb")  # the one column that counts the pair
-    return (x.join(y, (F.col("token") == F.col("token_b")) & (F.col("col") == F.col("col_b"))
-                   & (F.col("a") < F.col("b")) & (F.col("la") != F.col("lb")) & once
-                   & _may_link("na", "nb", "xa", "xb", num, den))
+        return placed.select(F.col("token").alias(f"token{s}"), F.col("cls").alias(s), F.col("n").alias(f"n{s}"),
+                             F.col("label").alias(f"l{s}"), F.col("inside").alias(f"x{s}"))
+    return (side("a").join(side("b"), (F.col("tokena") == F.col("tokenb")) & (F.col("a") < F.col("b"))
+                           & (F.col("la") != F.col("lb")) & _may_link("na", "nb", "xa", "xb", num, den))
             .groupBy("a", "b", "na", "nb").agg(F.count("*").alias("overlap"))
-            .where((F.col("overlap") + later) * (den + num) >= (F.col("na") + F.col("nb")) * num)
-            .select("a", "b"))
+            .where(_reaches(F.col("overlap"), num, den)).select("a", "b"))
 
 
 def _fetch(rows: DataFrame, classes: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
@@ -297,30 +326,43 @@ def ngram_components(docs: DataFrame, width: int = 5, num: int = 80, den: int =
     shared = block.groupBy("token").agg(F.min("cls").alias("low"), F.max("cls").alias("high")) \
         .where("low < high").select("token")
     shared = materialize(block.join(shared, "token").groupBy("token", "cls").agg(F.first("n").alias("n")), "shared")
-
     free_shuffles(spark)
-
-    links, tried = spark.createDataFrame([], "a long, b long"), spark.createDataFrame([], "lo long, hi long")
-    texts = spark.createDataFrame([], "cls long, text string")
-    found, label = True, None
-    while True:
-        placed = _undecided(shared, classes, label, num, den)
-        entries, product = placed.groupBy("token", "col").agg(F.count("*").alias("c")) \
-            .agg(F.coalesce(F.sum("c"), F.lit(0)), F.coalesce(F.sum(F.expr("c * (c - 1) / 2")), F.lit(0.0))).first()
-        if not entries:
-            break
-        last = not found or product <= 2 * entries
-        pairs = _product(placed, num, den) if last else _star(placed, num, den)
+    many = materialize(shared.groupBy("token").agg(F.count("*").alias("c")).where(F.col("c") > LIGHT).select("token"),
+                       "heavy-columns")
+    heavy = materialize(shared.join(many, "token").join(classes.select("cls", "inside"), "cls"), "heavy")
+    light = shared.join(many, "token", "left_anti")
+
+    none = spark.createDataFrame([], "a long, b long")
+    links, texts, tried = none, spark.createDataFrame([], "cls long, text string"), \
+        none.withColumnsRenamed({"a": "lo", "b": "hi"})
+
+    def check(pairs: DataFrame) -> bool:
+        """Verify pairs that were not tried before; were there links?"""
+        nonlocal links, texts, tried
         pairs = materialize(pairs.select("a", "b", F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi"))
                             .join(tried, ["lo", "hi"], "left_anti"), "pairs")
+        if pairs.isEmpty():
+            return False
         ends = pairs.select(F.col("a").alias("cls")).unionByName(pairs.select(F.col("b").alias("cls"))).distinct()
         texts = texts.unionByName(_fetch(rows, classes, ends.join(texts.select("cls"), "cls", "left_anti"), width))
         new = materialize(_links(pairs, texts, width, num, den), "links")
         tried = tried.unionByName(pairs.select("lo", "hi"))
-        links, found = links.unionByName(new), not new.isEmpty()
+        links = links.unionByName(new)
+        free_shuffles(spark)
+        return not new.isEmpty()
+
+    label = components(links) if check(_light_pairs(light, heavy, classes, num, den)) else None
+    found = True
+    while True:
+        placed = _undecided(heavy, label)
+        entries, product = placed.groupBy("token").agg(F.count("*").alias("c")) \
+            .agg(F.coalesce(F.sum("c"), F.lit(0)), F.coalesce(F.sum(F.expr("c * (c - 1) / 2")), F.lit(0.0))).first()
+        if not entries:
+            break
+        last = not found or product <= 2 * entries
+        found = check(_product(placed, num, den) if last else _star(placed, num, den))
         if found:
             label = components(links)
-        free_shuffles(spark)
         if last:
             break
 

@@ -26,4 +26,98 @@ SELECT m.doc_id, CAST(m.n AS BIGINT) AS n_shingles,
 FROM member m JOIN low USING (c)
 """
 
-SQL = {"op1_ngram_jaccard_join": OP1}
+
+# Lines: equal earlier ones, or (10 words or more) earlier ones within one word replaced, inserted or left out.
+OP3 = r"""
+WITH raw AS (SELECT doc_id, text, string_split(text, chr(10)) AS parts FROM documents),
+each AS (SELECT doc_id, unnest(range(len(parts))) AS no, unnest(parts) AS part FROM raw),
+line AS (SELECT doc_id, no, trim(regexp_replace(part, '[\x20\x09-\x0D]+', ' ', 'g')) AS line FROM each),
+full_line AS (SELECT *, row_number() OVER (PARTITION BY line ORDER BY doc_id, no) AS nth FROM line WHERE line <> ''),
+one AS (SELECT line, doc_id, no, row_number() OVER (ORDER BY doc_id, no) AS place, string_split(line, ' ') AS w
+        FROM full_line WHERE nth = 1),
+long_line AS (SELECT place, w, len(w) AS n FROM one WHERE len(w) >= 10),
+v AS (SELECT place, n, i, md5(array_to_string(list_concat(w[1:i - 1], w[i + 1:]), ' ')) AS h
+      FROM (SELECT place, w, n, unnest(range(1, n + 1)) AS i FROM long_line)),
+replaced AS (SELECT place FROM (SELECT place, min(place) OVER (PARTITION BY n, i, h) AS low FROM v) WHERE place > low),
+whole AS (SELECT place, n, md5(array_to_string(w, ' ')) AS h FROM long_line),
+inserted AS (SELECT greatest(v.place, whole.place) AS place FROM v JOIN whole ON v.h = whole.h AND v.n = whole.n + 1),
+near AS (SELECT place FROM replaced UNION SELECT place FROM inserted),
+verdict AS (SELECT f.doc_id, f.no, f.nth > 1 OR n.place IS NOT NULL AS gone, f.nth = 1 AND n.place IS NOT NULL AS near
+            FROM full_line f JOIN one o USING (line) LEFT JOIN near n ON n.place = o.place),
+kept AS (SELECT e.doc_id, count(*) AS n_lines, count(*) FILTER (v.gone) AS n_dropped, count(*) FILTER (v.near) AS n_near,
+                coalesce(string_agg(e.part, chr(10) ORDER BY e.no) FILTER (v.gone IS NULL OR NOT v.gone), '') AS kept
+         FROM each e LEFT JOIN verdict v ON v.doc_id = e.doc_id AND v.no = e.no GROUP BY e.doc_id)
+SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_dropped, 0) AS n_dropped, coalesce(n_near, 0) AS n_near,
+       CASE WHEN d.text IS NOT NULL THEN length(kept) END AS kept_chars,
+       CASE WHEN d.text IS NOT NULL THEN md5(kept) END AS kept_md5
+FROM documents d LEFT JOIN kept USING (doc_id)
+"""
+
+_STOP = """
+the be to of and that have with a in is it for on was as at by an this are from or
+der die das und ist in zu den von mit sich des auf für nicht ein eine als im dem
+le la les de des du et est en un une que qui dans pour pas sur au il elle avec
+el la los las de del y en que un una es se no por con para su al lo
+""".split()
+_STOP_LIST = ", ".join(f"'{x}'" for w in _STOP for x in (w, w.capitalize(), w.upper()))
+
+OP5 = r"""
+WITH w AS (
+  SELECT doc_id, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines
+  FROM documents),
+win AS (SELECT doc_id, i, array_to_string(ws[i:i + 4], ' ') AS g
+        FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 3)) AS i FROM w WHERE len(ws) >= 5)),
+twice AS (SELECT doc_id, i FROM win QUALIFY count(*) OVER (PARTITION BY doc_id, g) > 1),
+covered AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + 5)) AS p FROM twice) GROUP BY doc_id),
+m AS (
+  SELECT w.doc_id, len(ws) AS n_words, coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0) AS word_chars,
+         length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+         len(lines) AS n_lines, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+         coalesce(covered.n, 0) AS n_repeat_words,
+         len(list_filter(ws, lambda x: x IN (""" + _STOP_LIST + r"""))) AS stops,
+         len(list_filter(ws, lambda x: regexp_matches(x, '\p{L}'))) AS lettered,
+         len(list_filter(lines, lambda l: regexp_matches(l, '^[\x20\t]*[-*•●]'))) AS bullets,
+         len(list_filter(lines, lambda l: regexp_matches(l, '(\.\.\.|…)[\x20\t\r]*$'))) AS dots
+  FROM w LEFT JOIN covered USING (doc_id)),
+b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM m)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars,
+       CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,
+       CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed,
+       NOT base_failed AND word_chars / n_words BETWEEN 2 AND 14 AND n_symbols / n_words <= 0.1
+         AND stops / n_words >= 0.02 AND lettered / n_words >= 0.6 AND n_dup_lines / n_lines <= 0.3
+         AND bullets / n_lines <= 0.9 AND dots / n_lines <= 0.3 AS kept
+FROM b
+"""
+
+# For each capture and each name that may list its host: the last entry up to the fetch decides.
+OP8 = r"""
+WITH host AS (
+  SELECT page_id, nullif(lower(regexp_replace(regexp_extract(url,
+           '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1), '\.+$', '')), '') AS host FROM pages),
+entry AS (
+  SELECT CASE WHEN event_type IN ('error', 'signup') THEN 'host' ELSE 'domain' END AS kind,
+         CASE WHEN event_type IN ('error', 'signup') THEN host
+              ELSE array_to_string(list_slice(string_split(host, '.'), -2, -1), '.') END AS key,
+         epoch_us(ts) AS at, event_type IN ('error', 'purchase') AS listed
+  FROM events JOIN host ON host.page_id = events.user_id WHERE event_type IN ('error', 'signup', 'purchase', 'click')),
+one AS (SELECT kind, key, at, max(listed) AS listed FROM entry WHERE key IS NOT NULL GROUP BY ALL),
+turn AS (SELECT * FROM (SELECT *, coalesce(lag(listed) OVER (PARTITION BY kind, key ORDER BY at), false) AS was FROM one)
+         WHERE listed <> was),
+cap AS (SELECT p.page_id, h.host, epoch_us(e.ts) AS fetched
+        FROM pages p JOIN host h USING (page_id) LEFT JOIN events e ON e.event_id = p.page_id),
+name AS (
+  SELECT page_id, fetched, 'host' AS kind, host AS key FROM cap WHERE host IS NOT NULL
+  UNION ALL
+  SELECT page_id, fetched, 'domain', array_to_string(list_slice(l, i, len(l)), '.')
+  FROM (SELECT page_id, fetched, l, unnest(range(1, greatest(len(l) - 1, 1) + 1)) AS i
+        FROM (SELECT page_id, fetched, string_split(host, '.') AS l FROM cap WHERE host IS NOT NULL))),
+hit AS (SELECT n.page_id, count(*) FILTER (t.listed) AS n_active, min(t.at) FILTER (t.listed) AS since
+        FROM name n ASOF JOIN turn t ON n.kind = t.kind AND n.key = t.key AND n.fetched >= t.at GROUP BY n.page_id)
+SELECT cap.page_id, cap.host, cap.fetched, coalesce(n_active, 0) > 0 AS blocked,
+       coalesce(n_active, 0) AS n_active, since
+FROM cap LEFT JOIN hit USING (page_id)
+"""
+
+SQL = {"op1_ngram_jaccard_join": OP1, "op3_line_dedup": OP3, "op5_quality_rules": OP5, "op8_url_filter": OP8}

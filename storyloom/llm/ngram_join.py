@@ -22,8 +22,9 @@ share. It is never formed as a whole:
    are paired with one hub only, under the same bounds. A group of many near copies collapses here with
    pairs in proportion to its members. Passes go on while they find links and the product is more than
    twice the entries.
-6. *Heavy columns*, product. What remains are pairs of different components, accumulated and bounded as
-   above.
+6. *Heavy columns*, product. What remains are pairs of different components. Classes are dealt into
+   blocks of rows, blocks that share a column are multiplied with a table of counts, and bounds are
+   applied before a pair leaves the task.
 
 Nothing is sampled or capped: a pair of linked documents is either verified itself or already
 inside one component by verified links.
@@ -58,6 +59,8 @@ BLOCKS_LOG2 = 5
 #: Members up to which a column is light, and entries that one task multiplies.
 LIGHT = 8
 BUCKET_ENTRIES = 100_000
+#: Rows of a block of the heavy columns' product.
+BLOCK_ROWS = 1000
 #: Ids that may be broadcast to pick texts from the documents; more are joined by a shuffle.
 BROADCAST_IDS = 200_000
 
@@ -143,7 +146,7 @@ def prefix_size(n, num: int, den: int):
 
 
 def _entries(width: int, num: int, den: int, table):
-    """The first block's entries (token, cls, n) of each document's row."""
+    """The first block's entries (token, cls) of each document's row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         freq = table.value
         for batch in batches:
@@ -155,14 +158,11 @@ def _entries(width: int, num: int, den: int, table):
                         f = freq[own >> np.uint64(64 - COUNTERS_LOG2)]
                         tokens.append(own[np.lexsort((own, f))[:p]])
                         keys.append(class_key(own))
-                        sizes.append((len(own), p))
+                        sizes.append(p)
                 if tokens:
-                    each = [p for _, p in sizes]
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.concatenate(tokens).view(np.int64)),
-                         pa.array(np.repeat(np.array(keys, np.int64), each)),
-                         pa.array(np.repeat(np.array([n for n, _ in sizes], np.int64), each))],
-                        ["token", "cls", "n"])
+                         pa.array(np.repeat(np.array(keys, np.int64), sizes))], ["token", "cls"])
     return run
 
 
@@ -283,17 +283,58 @@ def _star(placed: DataFrame, num: int, den: int) -> DataFrame:
             .select("a", F.col("cls").alias("b")).distinct())
 
 
+def _multiply(num: int, den: int):
+    """The product of two blocks of rows over the heavy columns, accumulated in a table of counts."""
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        def rows(t: pa.Table):
+            token, cls, n, label = (np.asarray(t.column(c)) for c in ("token", "cls", "n", "label"))
+            ids, first, at = np.unique(cls, return_index=True, return_inverse=True)
+            wide = np.asarray(t.column("inside").combine_chunks().flatten()).reshape(len(cls), -1)
+            order = np.argsort(token, kind="stable")
+            columns, begin = np.unique(token[order], return_index=True)
+            return ids, n[first], label[first], wide[first], columns, np.split(at[order], begin[1:])
+        out = [np.empty((0, 2), np.int64)]
+        if left.num_rows and right.num_rows:
+            ia, na, la, xa, ca, ra = rows(left)
+            ib, nb, lb, xb, cb, rb = rows(right)
+            overlap = np.zeros((len(ia), len(ib)), np.int32)
+            _, p, q = np.intersect1d(ca, cb, assume_unique=True, return_indices=True)
+            for i, j in zip(p.tolist(), q.tolist()):
+                overlap[np.ix_(ra[i], rb[j])] += 1
+            same = left.column("block")[0] == right.column("block")[0]
+            for i in range(len(ia)):
+                later = np.maximum((na[i] * num + den - 1) // den, (nb * num + den - 1) // den) - 1
+                ok = (overlap[i] > 0) & (lb != la[i]) & ((overlap[i] + later) * (den + num) >= (na[i] + nb) * num) \
+                    & (den * np.minimum(na[i], nb) >= num * np.maximum(na[i], nb))
+                if same:
+                    ok &= ib > ia[i]
+                j = np.flatnonzero(ok)
+                j = j[np.minimum(xa[i], xb[j]).sum(axis=1, dtype=np.int64) * (den + num) >= (na[i] + nb[j]) * num]
+                out.append(np.stack((np.full(len(j), ia[i]), ib[j]), 1))
+        pairs = np.concatenate(out)
+        return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
+    return run
+
+
 def _product(placed: DataFrame, num: int, den: int) -> DataFrame:
     """Pairs ``(a, b)`` of different components that meet in a heavy column and whose overlap in the
     first block, with the most that later columns can add, reaches the bound. (A pair's light columns
-    have paired it already.)"""
-    def side(s):
-        return placed.select(F.col("token").alias(f"token{s}"), F.col("cls").alias(s), F.col("n").alias(f"n{s}"),
-                             F.col("label").alias(f"l{s}"), F.col("inside").alias(f"x{s}"))
-    return (side("a").join(side("b"), (F.col("tokena") == F.col("tokenb")) & (F.col("a") < F.col("b"))
-                           & (F.col("la") != F.col("lb")) & _may_link("na", "nb", "xa", "xb", num, den))
-            .groupBy("a", "b", "na", "nb").agg(F.count("*").alias("overlap"))
-            .where(_reaches(F.col("overlap"), num, den)).select("a", "b"))
+    have paired it already.) Classes that share their first column are dealt into blocks of rows of
+    bounded size; blocks that share a column are multiplied, and only survivors leave the task."""
+    first = placed.groupBy("cls").agg(F.min("token").alias("t"))
+    buckets = max(1, first.count() // BLOCK_ROWS)
+    first = first.select("cls", F.pmod(F.xxhash64("t"), F.lit(buckets)).alias("bucket"))
+    salts = first.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK_ROWS).alias("salts"))
+    block = first.join(salts, "bucket").select("cls", F.concat_ws(
+        "/", "bucket", F.pmod(F.xxhash64("cls"), F.col("salts"))).alias("block"))
+    placed = materialize(placed.join(block, "cls"), "row-blocks")
+    holds = placed.select("token", "block").distinct()
+    meets = holds.withColumnRenamed("block", "left").join(holds.withColumnRenamed("block", "right"), "token") \
+        .where(F.col("left") <= F.col("right")).select("left", "right").distinct()
+    meets = materialize(meets, "block-pairs")
+    x = placed.withColumn("left", F.col("block")).join(meets, "left").groupBy("left", "right")
+    y = placed.withColumn("right", F.col("block")).join(meets, "right").groupBy("left", "right")
+    return x.cogroup(y).applyInArrow(_multiply(num, den), "a long, b long")
 
 
 def _fetch(rows: DataFrame, classes: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
@@ -322,15 +363,23 @@ def ngram_components(docs: DataFrame, width: int = 5, num: int = 80, den: int =
         F.min("doc_id").alias("first_id"), F.max("n_shingles").alias("n"), F.first("inside").alias("inside")), "classes")
 
     block = materialize(rows.mapInArrow(_entries(width, num, den, table),
-                                        "token long, cls long, n long"), "block")
+                                        "token long, cls long"), "block")
     shared = block.groupBy("token").agg(F.min("cls").alias("low"), F.max("cls").alias("high")) \
         .where("low < high").select("token")
-    shared = materialize(block.join(shared, "token").groupBy("token", "cls").agg(F.first("n").alias("n")), "shared")
+    shared = block.join(shared, "token").distinct().join(classes.select("cls", "n"), "cls").select("token", "cls", "n")
+    shared = materialize(shared, "shared")
+    free_shuffles(spark)
+    # columns of two or three members whose sizes can't go together end here
+    mid = "(n1 - n0 - n2)"
+    alone = F.expr(f"""(c = 2 AND NOT {den} * n0 >= {num} * n2)
+                       OR (c = 3 AND NOT {den} * n0 >= {num} * {mid} AND NOT {den} * {mid} >= {num} * n2)""")
+    columns = shared.groupBy("token").agg(F.count("*").alias("c"), F.min("n").alias("n0"), F.sum("n").alias("n1"),
+                                          F.max("n").alias("n2")).where(~alone).select("token", "c")
+    shared = materialize(shared.join(columns, "token"), "columns")
+    heavy = materialize(shared.where(F.col("c") > LIGHT).join(classes.select("cls", "inside"), "cls")
+                        .select("token", "cls", "n", "inside"), "heavy")
+    light = shared.where(F.col("c") <= LIGHT).select("token", "cls", "n")
     free_shuffles(spark)
-    many = materialize(shared.groupBy("token").agg(F.count("*").alias("c")).where(F.col("c") > LIGHT).select("token"),
-                       "heavy-columns")
-    heavy = materialize(shared.join(many, "token").join(classes.select("cls", "inside"), "cls"), "heavy")
-    light = shared.join(many, "token", "left_anti")
 
     none = spark.createDataFrame([], "a long, b long")
     links, texts, tried = none, spark.createDataFrame([], "cls long, text string"), \

@@ -6,8 +6,8 @@ id) and are a fixed size; every row is indexed: it descends each tree to one lea
 
 *Search.* A query keeps one priority queue for all trees. A branch's priority is the sum of the squared
 distances to the hyperplanes that lie between it and the query; leaves are taken, nearest first, until they
-hold ``visit`` times as many rows as there are vectors (rows of several trees count each time). The sizes of leaves are known
-by then, so the queue ends by rows read, not by a number of leaves.
+hold ``visit`` times as many rows as there are vectors (a row counts in each tree), and enough for k
+answers. The sizes of leaves are known by then, so the queue ends by rows read, not by leaves.
 
 *Reranking.* The leaves' rows are scored exactly (inner products in double precision on the original vectors).
 Queries and rows meet by (tree, leaf, block): a leaf of many rows is dealt into blocks of about ``BLOCK_ROWS``,
@@ -189,7 +189,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, visit: float =
     sizes = np.zeros((trees, 1 << depth), np.int64)
     for at, c in count.items():
         sizes[at] = c
-    probes = materialize(asked.mapInArrow(_probe(shared, dim, sizes, visit * n),
+    probes = materialize(asked.mapInArrow(_probe(shared, dim, sizes, max(visit * n, trees * (k + 1))),
                                           f"tree int, leaf int, query_id long, q {kind}"), "probes")
     n_asked = asked.count()
     sides = max(1, -(-n_asked // BLOCK_ROWS))

@@ -100,10 +100,10 @@ entry AS (
   SELECT CASE WHEN event_type IN ('error', 'signup') THEN 'host' ELSE 'domain' END AS kind,
          CASE WHEN event_type IN ('error', 'signup') THEN host
               ELSE array_to_string(list_slice(string_split(host, '.'), -2, -1), '.') END AS key,
-         epoch_us(ts) AS at, event_type IN ('error', 'purchase') AS listed
+         epoch_us(ts) AS dated, event_type IN ('error', 'purchase') AS listed
   FROM events JOIN host ON host.page_id = events.user_id WHERE event_type IN ('error', 'signup', 'purchase', 'click')),
-one AS (SELECT kind, key, at, max(listed) AS listed FROM entry WHERE key IS NOT NULL GROUP BY ALL),
-turn AS (SELECT * FROM (SELECT *, coalesce(lag(listed) OVER (PARTITION BY kind, key ORDER BY at), false) AS was FROM one)
+one AS (SELECT kind, key, dated, max(listed) AS listed FROM entry WHERE key IS NOT NULL GROUP BY ALL),
+turn AS (SELECT * FROM (SELECT *, coalesce(lag(listed) OVER (PARTITION BY kind, key ORDER BY dated), false) AS was FROM one)
          WHERE listed <> was),
 cap AS (SELECT p.page_id, h.host, epoch_us(e.ts) AS fetched
         FROM pages p JOIN host h USING (page_id) LEFT JOIN events e ON e.event_id = p.page_id),
@@ -113,8 +113,8 @@ name AS (
   SELECT page_id, fetched, 'domain', array_to_string(list_slice(l, i, len(l)), '.')
   FROM (SELECT page_id, fetched, l, unnest(range(1, greatest(len(l) - 1, 1) + 1)) AS i
         FROM (SELECT page_id, fetched, string_split(host, '.') AS l FROM cap WHERE host IS NOT NULL))),
-hit AS (SELECT n.page_id, count(*) FILTER (t.listed) AS n_active, min(t.at) FILTER (t.listed) AS since
-        FROM name n ASOF JOIN turn t ON n.kind = t.kind AND n.key = t.key AND n.fetched >= t.at GROUP BY n.page_id)
+hit AS (SELECT n.page_id, count(*) FILTER (t.listed) AS n_active, min(t.dated) FILTER (t.listed) AS since
+        FROM name n ASOF JOIN turn t ON n.kind = t.kind AND n.key = t.key AND n.fetched >= t.dated GROUP BY n.page_id)
 SELECT cap.page_id, cap.host, cap.fetched, coalesce(n_active, 0) > 0 AS blocked,
        coalesce(n_active, 0) AS n_active, since
 FROM cap LEFT JOIN hit USING (page_id)

@@ -23,7 +23,7 @@ def brute(rows, queries, k):
 
 
 def frame(spark, rows):
-    return spark.createDataFrame([(i, v, 0, 0) for i, v in rows], SCHEMA)
+    return spark.createDataFrame([(i, v and [c if c is None else float(c) for c in v], 0, 0) for i, v in rows], SCHEMA)
 
 
 def by_query(df):

@@ -6,17 +6,20 @@ inserted or left out). A line is dropped if an earlier one (by document id, then
 
 1. *Equal lines* share a 128-bit hash; the earliest of each is found by a minimum that combines before the
    shuffle, so a line of a third of all documents is one row a task.
-2. *Block.* One edit leaves the first or the last half of ``MIN_WORDS`` words as it was. Distinct lines
-   that share neither with another distinct line have no near duplicate and emit no variants.
-3. *Neighbourhood.* Every other line emits the hash of each variant with one word left out. Hashes are sums
-   of position-dependent word hashes, so a variant costs one subtraction whatever the line's length:
-   ``(T - h(w_i, i), i)`` for a replaced word, and, with running sums over the words before and the words
-   after (moved up by one), the hash of the shorter line for an inserted one.
+2. *Blocks.* Variants are emitted only where they can meet another line's. One edit leaves the first or the
+   last half of ``MIN_WORDS`` words as it was: distinct lines that share neither with another one end here. Of
+   the rest, each line is cut into ``PARTS`` parts, and the hash of the line without a part must be shared;
+   only the words of such parts are left out one by one. An edit lies in some part, so no pair is lost.
+3. *Neighbourhood.* A line's hash is a sum of hashes of its words, so a variant with one word left out costs
+   one subtraction whatever the line's length. For a replaced word the words' hashes depend on their
+   positions, which stay; for an inserted one they don't, and the longer line's variant is looked up among
+   the hashes of whole lines.
 4. *Join.* Lines equal but for word i meet in one group; each is paired with the group's earliest, never
    with each other. Variants of longer lines meet the line they are equal to.
 5. *Verify.* Pairs are kept if the words' common beginning and end cover all but one word.
 
-Groups are reduced by minima and joined back, so no group is collected and skewed joins can be split.
+Groups are reduced by minima and joined back, so no group is collected and skewed joins can be split. Texts
+are picked by a broadcast of ids only if these are few (``BROADCAST_LINES``), else by a shuffle.
 
 Defined results: blank lines stay. A null text stays null; an empty one stays empty. Rows that repeat an
 id and text share their decisions; lines with the same id and number in different texts are equally
@@ -28,26 +31,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from storyloom.llm.storage import free_shuffles
 from storyloom.operators.materialize import materialize
 
 MIN_WORDS = 10
-#: Running sums are built in blocks of so many words, to stay in proportion to a line's length.
-BLOCK = 512
+#: Parts of a line whose rest must be shared before their words are left out.
+PARTS = 4
+#: Line numbers that may be broadcast to pick lines from the documents; more are joined by a shuffle.
+BROADCAST_LINES = 1_000_000
 MASK = (1 << 62) - 1
 
 
-def _running(x: str, sums: str) -> str:
-    """SQL: for each element of array column ``x`` the sum of those before it, modulo 2**62.
-    ``sums``: array column of the sums of its blocks."""
-    add = f"(a, y) -> (a + y) & {MASK}L"
-    return f"""flatten(transform(sequence(0, size({sums}) - 1), b -> aggregate(slice({x}, b * {BLOCK} + 1, {BLOCK}),
-        named_struct('s', aggregate(slice({sums}, 1, b), 0L, {add}), 'out', cast(array() AS array<bigint>)),
-        (a, y) -> named_struct('s', (a.s + y) & {MASK}L, 'out', concat(a.out, array(a.s))), a -> a.out)))"""
-
-
-def _block_sums(x: str) -> str:
-    return f"""transform(sequence(0, (size({x}) - 1) div {BLOCK}), b ->
-        aggregate(slice({x}, b * {BLOCK} + 1, {BLOCK}), 0L, (a, y) -> (a + y) & {MASK}L))"""
+def _sum(x: str) -> str:
+    """SQL: the sum of an array of longs, modulo 2**62."""
+    return f"aggregate({x}, 0L, (a, y) -> (a + y) & {MASK}L)"
 
 
 def _rows(docs: DataFrame) -> DataFrame:
@@ -56,7 +53,10 @@ def _rows(docs: DataFrame) -> DataFrame:
 
 
 def _normal(line: str) -> str:
-    return f"trim(regexp_replace({line}, '[\\\\x20\\\\x09-\\\\x0D]+', ' '))"
+    """SQL: white space collapsed; most lines need no change, which plain searches tell."""
+    odd = " OR ".join(f"contains({line}, {c})" for c in ("'  '", *(f"chr({k})" for k in (9, 11, 12, 13))))
+    return (f"CASE WHEN {odd} THEN trim(regexp_replace({line}, '[\\\\x20\\\\x09-\\\\x0D]+', ' ')) "
+            f"ELSE trim({line}) END")
 
 
 def _place(no: str):
@@ -70,7 +70,7 @@ def lines(docs: DataFrame) -> DataFrame:
     half = MIN_WORDS // 2
     each = _rows(docs).select("doc", "doc_id", F.posexplode(F.split("text", "\n")).alias("no", "raw")) \
         .select("doc", "no", _place("no").alias("place"), F.expr(_normal("raw")).alias("line")).where("line <> ''")
-    n = F.length("line") - F.length(F.replace("line", F.lit(" "), F.lit(""))) + 1
+    n = F.octet_length("line") - F.octet_length(F.replace("line", F.lit(" "), F.lit(""))) + 1
     return each.select("doc", "no", "place", F.xxhash64("line").alias("h1"),
                        F.xxhash64(F.lit(1), "line").alias("h2"), n.alias("n"),
                        F.xxhash64(F.substring_index("line", " ", half)).alias("head"),
@@ -88,34 +88,55 @@ def _near_candidates(distinct: DataFrame) -> DataFrame:
     return keyed.join(shared, ["side", "key"]).select("place").distinct()
 
 
-def _variants(words: DataFrame) -> DataFrame:
-    """``(place, n, total, v, i, d)`` for each word of a line ``(place, w)``: v with i is the hash of the
-    line without word i, d that of the line with the words after i moved up."""
-    hashed = words.select(
+def _hashed(words: DataFrame) -> DataFrame:
+    """``(place, n, h, u, th, tu)``: the words' hashes with and without their position, and their sums."""
+    return words.select(
         "place", F.size("w").alias("n"),
         F.expr(f"transform(w, (x, k) -> xxhash64(x, k) & {MASK}L)").alias("h"),
-        F.expr(f"transform(w, (x, k) -> xxhash64(x, k - 1) & {MASK}L)").alias("up"))
-    summed = hashed.select("*", F.expr(_block_sums("h")).alias("hb"), F.expr(_block_sums("up")).alias("ub"))
-    run = summed.select(
-        "place", "n", "h", "up",
-        F.expr(f"aggregate(hb, 0L, (a, y) -> (a + y) & {MASK}L)").alias("total"),
-        F.expr(f"aggregate(ub, 0L, (a, y) -> (a + y) & {MASK}L)").alias("up_total"),
-        F.expr(_running("h", "hb")).alias("hs"), F.expr(_running("up", "ub")).alias("us"))
-    return run.select("place", "n", "total", "up_total", F.posexplode(F.arrays_zip("h", "up", "hs", "us")).alias("i", "z")) \
-        .select("place", "n", "i", F.expr(f"(total - z.h) & {MASK}L").alias("v"),
-                F.expr(f"(z.hs + up_total - z.us - z.up) & {MASK}L").alias("d"))
+        F.expr(f"transform(w, x -> xxhash64(x) & {MASK}L)").alias("u")) \
+        .withColumns({"th": F.expr(_sum("h")), "tu": F.expr(_sum("u"))})
+
+
+def _parts(hashed: DataFrame) -> DataFrame:
+    """``(place, kind, m, k, role, v)``: each line without its part k. Kind 0 is for replaced words; kind 1
+    for inserted ones, where a line is the shorter (role 0) and the longer (role 1, a word more in each part)
+    of lines of m and m + 1 words."""
+    rows = []
+    for k in range(PARTS):
+        for kind, m, x, role in ((0, "n", "h", 0), (1, "n", "u", 0), (1, "(n - 1)", "u", 1)):
+            first, end = f"({m} * {k} div {PARTS})", f"({m} * {k + 1} div {PARTS})"
+            part = f"slice({x}, cast({first} + 1 AS int), cast({end} - {first} + {role} AS int))"
+            rows.append(f"named_struct('kind', {kind}, 'm', {m}, 'k', {k}, 'role', {role}, "
+                        f"'v', (t{x} - {_sum(part)}) & {MASK}L)")
+    return hashed.select("place", F.explode(F.expr(f"array({', '.join(rows)})")).alias("x")).select("place", "x.*")
+
+
+def _variants(hashed: DataFrame) -> DataFrame:
+    """``(place, kind, m, i, v)``: the lines without one word, for the words of parts whose rest is shared."""
+    parts = _parts(hashed)
+    shared = parts.groupBy("kind", "m", "k", "v").agg(
+        F.min("place").alias("p0"), F.max("place").alias("p1"), F.min("role").alias("r0"), F.max("role").alias("r1")) \
+        .where("if(kind = 0, p0 < p1, r0 < r1)").select("kind", "m", "k", "v")
+    open_parts = parts.where("kind = 0 or role = 1").join(shared, ["kind", "m", "k", "v"]) \
+        .groupBy("place").agg(F.collect_list(F.struct("kind", "m", "k")).alias("parts"))  # 2 * PARTS at most
+    which = f"sequence(cast(x.m * x.k div {PARTS} AS int), cast(x.m * (x.k + 1) div {PARTS} + x.kind - 1 AS int))"
+    return hashed.join(open_parts, "place") \
+        .select("place", "h", "u", "th", "tu", F.explode("parts").alias("x")) \
+        .select("place", "x.kind", "x.m", "h", "u", "th", "tu", F.explode(F.expr(which)).alias("i")) \
+        .select("place", "kind", "m", "i", F.expr(
+            f"if(kind = 0, th - h[i], tu - u[i]) & {MASK}L").alias("v"))
 
 
 def _near(words: DataFrame) -> DataFrame:
     """Pairs ``(place, earlier)`` of lines ``(place, w)`` within one edit, verified."""
-    v = _variants(words)
-    group = v.groupBy("n", "i", "v").agg(F.min("place").alias("p0"), F.max("place").alias("p1")) \
+    hashed = _hashed(words)
+    v = materialize(_variants(hashed), "variants")
+    one = v.where("kind = 0").select("place", "m", "i", "v")
+    group = one.groupBy("m", "i", "v").agg(F.min("place").alias("p0"), F.max("place").alias("p1")) \
         .where("p0 < p1").drop("p1")
-    replaced = v.join(group, ["n", "i", "v"]).where("place > p0").select("place", F.col("p0").alias("earlier"))
-    whole = words.select(F.col("place").alias("short"), F.size("w").alias("m"),
-                         F.expr(f"aggregate(transform(w, (x, k) -> xxhash64(x, k) & {MASK}L), 0L, "
-                                f"(a, y) -> (a + y) & {MASK}L)").alias("d"))
-    inserted = v.select("place", (F.col("n") - 1).alias("m"), "d").join(whole, ["m", "d"]) \
+    replaced = one.join(group, ["m", "i", "v"]).where("place > p0").select("place", F.col("p0").alias("earlier"))
+    whole = hashed.select(F.col("place").alias("short"), F.col("n").alias("m"), F.col("tu").alias("v"))
+    inserted = v.where("kind = 1").select("place", "m", "v").distinct().join(whole, ["m", "v"]) \
         .select(F.greatest("place", "short").alias("place"), F.least("place", "short").alias("earlier"))
     pairs = replaced.unionByName(inserted).where("earlier < place").distinct()
     same = "coalesce(nullif(array_position(zip_with({0}, {1}, (x, y) -> coalesce(x <> y, true)), true), 0) - 1, greatest(size({0}), size({1})))"
@@ -125,6 +146,12 @@ def _near(words: DataFrame) -> DataFrame:
             .select("place", "earlier"))
 
 
+def _few(table: DataFrame, numbers: str) -> DataFrame:
+    """The table, to be broadcast if its arrays hold few line numbers in all."""
+    held = table.agg(F.coalesce(F.sum(F.size(numbers) + 1), F.lit(0))).first()[0]
+    return F.broadcast(table) if held <= BROADCAST_LINES else table
+
+
 def dropped_lines(docs: DataFrame) -> DataFrame:
     """``(doc, gone, near)``: of each document that loses lines, their numbers, and how many of them
     had no equal earlier line but a near one."""
@@ -134,19 +161,22 @@ def dropped_lines(docs: DataFrame) -> DataFrame:
         F.min("place").alias("place"), F.first("n").alias("n"), F.first("head").alias("head"),
         F.first("tail").alias("tail")), "distinct-lines")
     candidates = distinct.join(_near_candidates(distinct), "place").select("h1", "h2", "place")
-    where = every.select("h1", "h2", "place", "doc", "no").join(candidates, ["h1", "h2", "place"]) \
-        .groupBy("doc").agg(F.collect_list(F.struct("no", "place")).alias("at"))
+    where = materialize(every.select("h1", "h2", "place", "doc", "no").join(candidates, ["h1", "h2", "place"])
+                        .groupBy("doc").agg(F.collect_list(F.struct("no", "place")).alias("at")), "near-candidates")
+    free_shuffles(docs.sparkSession)
     words = materialize(
-        _rows(docs).select("doc", "text").join(where, "doc")
+        _rows(docs).select("doc", "text").join(_few(where, "at"), "doc")
         .select(F.expr("transform(at, x -> named_struct('place', x.place, 'raw', split(text, '\\n')[x.no]))").alias("at"))
         .select(F.explode("at").alias("x"))
         .select("x.place", F.split(F.expr(_normal("x.raw")), " ").alias("w")).dropDuplicates(["place"]), "words")
-    near = _near(words).select("place").distinct().withColumn("near", F.lit(True))
+    near = materialize(_near(words).select("place").distinct(), "near").withColumn("near", F.lit(True))
+    free_shuffles(docs.sparkSession)
     verdict = materialize(distinct.join(near, "place", "left").select(
         "h1", "h2", F.col("place").alias("first"), F.coalesce("near", F.lit(False)).alias("near")), "verdicts")
     gone = every.select("doc", "no", "place", "h1", "h2").join(verdict, ["h1", "h2"]).where("near or place > first")
-    return gone.select("doc", "no", (F.col("near") & (F.col("place") == F.col("first"))).cast("long").alias("near")) \
-        .distinct().groupBy("doc").agg(F.collect_list("no").alias("gone"), F.sum("near").alias("near"))
+    return materialize(
+        gone.select("doc", "no", (F.col("near") & (F.col("place") == F.col("first"))).cast("long").alias("near"))
+        .distinct().groupBy("doc").agg(F.collect_list("no").alias("gone"), F.sum("near").alias("near")), "gone")
 
 
 def _kept_text() -> str:
@@ -161,7 +191,7 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     rest = [c for c in docs.columns if c not in ("doc_id", "text")]
     rows = docs.select(F.xxhash64("doc_id", "text").alias("doc"), "doc_id", "text",
                        F.struct(*[f"`{c}`" for c in rest]).alias("rest") if rest else F.lit(None).alias("rest"))
-    full = rows.join(dropped_lines(docs), "doc", "left") \
+    full = rows.join(_few(dropped_lines(docs), "gone"), "doc", "left") \
         .withColumn("parts", F.split("text", "\n")).withColumn("kept", F.expr(_kept_text()))
     count = {"n_chars": F.length("kept").cast(docs.schema["n_chars"].dataType)} if "n_chars" in rest else {}
     stats = F.struct(F.coalesce(F.size("parts"), F.lit(0)).cast("long").alias("n_lines"),

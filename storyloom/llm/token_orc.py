@@ -12,7 +12,8 @@ the tokens of all earlier ranges: a sum over as many numbers as there are files,
 
 Encoding works by distinct words: the tokenizer (lower case, white space dropped) never joins
 characters across ASCII white space, so a word's ids don't depend on its neighbours. Each distinct
-word of a slice is encoded once, and a worker remembers a bounded number of words.
+word of a slice is encoded once, and a worker remembers a bounded number of words. Plain words are
+encoded many at a time and cut where a run's last id is; all others one by one.
 
 Defined results: a null or empty text is the end id alone. Rows that repeat an id follow one
 another, ordered by text; a null id comes first. Other columns are ignored.
@@ -20,6 +21,7 @@ another, ordered by text; a null id comes first. Other columns are ignored.
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
 
@@ -35,58 +37,105 @@ from storyloom.llm.arrow import column, slices, text_column, words
 END_ID = 2
 ROW_INDEX_STRIDE = 1000
 STRIPE_BYTES = 32 << 20
-#: Words whose ids a Python worker remembers.
+#: Words whose ids a Python worker remembers, in each of two generations.
 CACHE_WORDS = 300_000
+#: Words that are certain to be one run of letters, and one of marks at most, to the tokenizer:
+#: Latin letters whose lower case is one letter again.
+PLAIN = "^[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+[.,;:!?]*$"
+JOINED = 1000
 
-_LOADED: dict = {}
-_CACHE: dict[str, bytes] = {}
 
+class Words:
+    """The ids of single words, as little-endian 32-bit integers."""
 
-def _tokenizer(path: str):
-    if path not in _LOADED:
+    def __init__(self, path: str):
         from tokenizers import Tokenizer
+        self.tok = Tokenizer.from_file(path)
+        self.ends = np.zeros(self.tok.get_vocab_size(), bool)  # ids that close a run of letters or marks
+        for piece, i in self.tok.get_vocab().items():
+            self.ends[i] = piece.endswith("</w>")
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def _joined(self, words: list[str], runs: np.ndarray) -> list[bytes]:
+        """Plain words, encoded as texts of many words and cut at the runs' ends."""
+        out: list[bytes] = []
+        for k in range(0, len(words), JOINED):
+            own = slice(k, k + JOINED)
+            ids = np.array(self.tok.encode(" ".join(words[own]), add_special_tokens=False).ids, "<u4")
+            close = np.flatnonzero(self.ends[ids]) + 1
+            last = np.cumsum(runs[own])
+            if not len(last) or last[-1] != len(close) or close[-1] != len(ids):
+                out += self._single(words[own])
+                continue
+            cut = (close[last - 1] * 4).tolist()
+            raw = ids.tobytes()
+            out += [raw[a:b] for a, b in zip([0, *cut], cut)]
+        return out
+
+    def _single(self, words: list[str]) -> list[bytes]:
+        out = []
+        for k in range(0, len(words), 2000):
+            out += [np.array(e.ids, "<u4").tobytes()
+                    for e in self.tok.encode_batch_fast(words[k:k + 2000], add_special_tokens=False)]
+        return out
+
+    def ids(self, distinct: pa.Array) -> list[bytes]:
+        words = distinct.to_pylist()
+        if len(self.young) > CACHE_WORDS:
+            self.old, self.young = self.young, {}
+        young, old = self.young, self.old
+        out: list = [young.get(w) for w in words]
+        new = []
+        for i, x in enumerate(out):
+            if x is None:
+                x = old.get(words[i])
+                if x is None:
+                    new.append(i)
+                else:
+                    out[i] = young[words[i]] = x
+        if new:
+            part = distinct.take(pa.array(new))
+            plain = np.asarray(pc.match_substring_regex(part, PLAIN))
+            marks = np.asarray(pc.match_substring_regex(part, "[.,;:!?]$"))
+            for which, code in ((plain, lambda i, w: self._joined(w, 1 + marks[i])), (~plain, lambda i, w: self._single(w))):
+                at = np.flatnonzero(which)
+                own = [words[new[i]] for i in at.tolist()]
+                for i, w, x in zip(at.tolist(), own, code(at, own)):
+                    out[new[i]] = young[w] = x
+        return out
+
+
+_LOADED: dict[str, Words] = {}
+
+
+def _words_of(path: str) -> Words:
+    if path not in _LOADED:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a worker per core
         _LOADED.clear()
-        _CACHE.clear()
-        _LOADED[path] = Tokenizer.from_file(path)
+        _LOADED[path] = Words(path)
     return _LOADED[path]
 
 
-def _ids_of(distinct: list[str], path: str) -> list[bytes]:
-    """The ids of each word as little-endian 32-bit integers."""
-    tok = _tokenizer(path)
-    if len(_CACHE) > CACHE_WORDS:
-        _CACHE.clear()
-    new = [w for w in distinct if w not in _CACHE]
-    got = {}
-    for w, e in zip(new, tok.encode_batch_fast(new, add_special_tokens=False)):
-        got[w] = np.array(e.ids, "<u4").tobytes()
-    out = [_CACHE.get(w) if w not in got else got[w] for w in distinct]
-    _CACHE.update(got)
-    return out
-
-
 def encode_texts(texts: pa.Array, path: str, end_id: int) -> tuple[np.ndarray, np.ndarray]:
     """All ids of the texts one after another, each text closed by ``end_id``, and where each
     begins (one more entry than texts)."""
     flat, begin = words(texts, lower=False)
-    count = np.diff(begin)
     n = len(texts)
     if not len(flat):
         return np.full(n, end_id, "<u4"), np.arange(n + 1)
     coded = pc.dictionary_encode(flat)
-    own = _ids_of(coded.dictionary.to_pylist(), path)
+    own = _words_of(path).ids(coded.dictionary)
     own.append(np.array([end_id], "<u4").tobytes())
-    size = np.array([len(x) // 4 for x in own])
+    size = np.fromiter(map(len, own), np.int64, len(own)) // 4
     first = np.cumsum(size) - size
     every = np.frombuffer(b"".join(own), "<u4")
     # the sequence of words, with the end after each text
     seq = np.insert(np.asarray(coded.indices), begin[1:], len(own) - 1)
     length = size[seq]
-    before = np.cumsum(length) - length
-    ids = every[np.repeat(first[seq] - before, length) + np.arange(int(length.sum()))]
-    ends = np.cumsum(count + 1)
     total = np.concatenate(([0], np.cumsum(length)))
-    return ids, np.concatenate(([0], total[ends]))
+    ids = every[np.repeat(first[seq] - total[:-1], length) + np.arange(int(total[-1]))]
+    return ids, np.concatenate(([0], total[begin[1:] + np.arange(1, n + 1)]))
 
 
 STORED = "part int, at long, doc_id long, n_tokens long, ids array<int>"

@@ -66,14 +66,26 @@ def test_same_lines_as_all_pairs(spark):
         assert got == brute(rows)
 
 
-def test_long_lines_use_several_blocks_of_running_sums(spark, monkeypatch):
-    monkeypatch.setattr(line_dedup, "BLOCK", 7)
-    base = [f"v{i}" for i in range(40)]
-    rows = [(1, " ".join(base)), (2, " ".join(base[:20] + base[21:])), (3, " ".join(base[:33] + ["x"] + base[33:])),
-            (4, " ".join(base[1:] + base[:1])), (5, " ".join(["z"] + base[1:]))]
+def test_every_place_of_an_edit_is_found(spark):
+    base = [f"v{i}" for i in range(11)]
+    rows = []
+    for k in range(11):
+        one = [f"r{k}x{w}" for w in base]
+        rows += [(len(rows), " ".join(one)), (len(rows) + 1, " ".join(one[:k] + ["new"] + one[k + 1:])),
+                 (len(rows) + 2, " ".join(one[:k] + ["extra"] + one[k:])), (len(rows) + 3, " ".join(one[:k] + one[k + 1:]))]
+    one = [f"end{w}" for w in base]
+    rows += [(100, " ".join(one)), (101, " ".join(one + ["extra"])), (102, " ".join(one[1:] + one[:1]))]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r["doc_id"]: r["text"] for r in dedup_lines(df).collect()}
-    assert got == brute(rows) == {1: rows[0][1], 2: "", 3: "", 4: rows[3][1], 5: ""}
+    assert got == brute(rows)
+    assert [d for d, t in got.items() if t] == [4 * k for k in range(11)] + [100, 102]
+
+
+def test_many_ids_are_joined_by_a_shuffle(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "BROADCAST_LINES", 0)
+    rows = texts(4)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r["doc_id"]: r["text"] for r in dedup_lines(df).collect()} == brute(rows)
 
 
 def test_other_columns_stay_and_emptied_documents_go(spark):

@@ -5,10 +5,13 @@ features (the word without outer punctuation, in lower case, its first 3 to 6 ch
 3, each with its kind), looked up in a table of fixed size; a 2 x 2 transition matrix and a start
 vector join neighbours. Forward-backward gives every token its marginal probability of being toxic.
 
-*Labels of tokens* come from the documents' labels: a term (word or word beginning) marks toxic
-tokens if it occurs in toxic documents in at least ``MIN_CONTEXTS`` different surroundings (so that
-copies of one document count once) and its share of toxic surroundings, both classes weighted alike,
-is at least ``MIN_SHARE``. Tokens of clean documents are clean.
+*Labels of tokens* come from the documents' labels. For each term (word or word beginning) its different
+neighbours to the left, to the right, and documents, in toxic and in clean documents are counted. The smallest of
+the three counts for it, so that neither copies of a document, edited or not, nor a document that repeats a
+word count more than once; the largest counts against it. A term
+marks toxic tokens if it has ``MIN_CONTEXTS`` toxic occurrences or more, ``RATIO`` times the rate of clean ones,
+and a split that chance would give to ``CHANCE`` of all terms at most. Tokens
+of clean documents are clean.
 
 *Documents*: the largest marginal and the log of the sum of squared marginals go into a logistic
 model, fitted to the documents' labels, which gives the score.
@@ -32,6 +35,7 @@ import math
 import re
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -44,10 +48,12 @@ from pyspark.sql import functions as F
 from storyloom.llm.arrow import column, slices, text_column, words
 
 FEATURES_LOG2 = 18
-SAMPLE_DOCS = 2000
-SAMPLE_CHARS = 20_000
-MIN_CONTEXTS = 6
-MIN_SHARE = 0.95
+SAMPLE_DOCS = 1200
+SAMPLE_CHARS = 8_000
+MIN_CONTEXTS = 4
+RATIO = 10
+#: Terms that chance may mark, by expectation.
+CHANCE = 1
 ROUNDS = 30
 #: Words whose potentials a Python worker remembers.
 CACHE_WORDS = 400_000
@@ -139,42 +145,65 @@ def marginals(m: Crf, e: np.ndarray, fresh: np.ndarray) -> tuple[np.ndarray, np.
     return both[:, 1] / both.sum(1), alpha, beta
 
 
+def _marked_words(names: list[str], word_id: np.ndarray, fresh: np.ndarray, of_doc: np.ndarray) -> np.ndarray:
+    """Which words mark toxic tokens: those with a term seen in enough surroundings of toxic documents
+    and hardly any of clean ones."""
+    before = np.concatenate(([-1], word_id[:-1]))
+    before[fresh] = -1
+    after = np.concatenate((word_id[1:], [-1]))
+    after[np.concatenate((fresh[1:], [True]))] = -1
+    doc = np.cumsum(fresh)
+    wide = max(len(names), int(doc[-1])) + 2
+    number: dict[str, int] = {}
+    of_term = [[number.setdefault(t, len(number)) for t in terms(w) if len(t) > 2] for w in names]
+    many = np.array([len(t) for t in of_term])
+    flat, first = np.array([t for ts in of_term for t in ts], np.int64), np.cumsum(many) - many
+    seen = []
+    for which in (of_doc, ~of_doc):
+        w = word_id[which]
+        each = many[w]
+        term = flat[np.repeat(first[w] - (np.cumsum(each) - each), each) + np.arange(int(each.sum()))]
+        sides = []
+        for beside in (before, after, doc):
+            pairs = np.unique(term * wide + np.repeat(beside[which] + 1, each))
+            sides.append(np.bincount(pairs // wide, minlength=len(number)))
+        seen.append(sides)
+    bad, good = np.min(seen[0], axis=0), np.max(seen[1], axis=0)
+    # by chance, a surrounding is one of a toxic document with the share r of toxic tokens
+    r = min(max(float(of_doc.mean()), 1e-6), 1 - 1e-6)
+    need = math.log(len(number) / CHANCE)
+    ok = np.zeros(len(number), bool)
+    for t in np.flatnonzero(bad >= MIN_CONTEXTS).tolist():
+        b, g = int(bad[t]), int(good[t])
+        if b / r < RATIO * (g + 0.5) / (1 - r):
+            continue
+        surprise = -(math.lgamma(b + g + 1) - math.lgamma(b + 1) - math.lgamma(g + 1)
+                     + b * math.log(r) + g * math.log(1 - r))
+        ok[t] = surprise >= need
+    return np.array([any(ok[t] for t in ts) for ts in of_term])
+
+
 def _train(texts: list[str], toxic: np.ndarray) -> Crf | None:
     """Fit by gradient ascent (AdaGrad) on the conditional log-likelihood of the token labels."""
     if not len(toxic) or not toxic.any():
         return None
-    seen = {0: {}, 1: {}}
-    docs = [WORD.findall(t) for t in texts]
-    for ws, y in zip(docs, toxic.tolist()):
-        ends = ["", *ws, ""]
-        for i, w in enumerate(ws):
-            for term in terms(w):
-                seen[y].setdefault(term, set()).add((ends[i], ends[i + 2]))
-    n1, n0 = sum(len(d) for d, y in zip(docs, toxic) if y), sum(len(d) for d, y in zip(docs, toxic) if not y)
-    marks = set()
-    for term, ctx in seen[1].items():
-        if len(ctx) >= MIN_CONTEXTS and len(term) > 2:
-            r1, r0 = len(ctx) / max(n1, 1), (len(seen[0].get(term, ())) + 0.5) / max(n0, 1)
-            if r1 / (r1 + r0) >= MIN_SHARE * (1 - 0.5 / len(ctx)):
-                marks.add(term)
-    seen.clear()
-    table: dict[str, tuple[int, bool]] = {}
-    features: list[list[int]] = []
-    word_id, label, fresh = [], [], []
-    for ws, y in zip(docs, toxic.tolist()):
-        for i, w in enumerate(ws):
-            if w not in table:
-                table[w] = len(features), any(t in marks for t in terms(w))
-                features.append(word_features(w))
-            k, marked = table[w]
-            word_id.append(k)
-            label.append(bool(y) and marked)
-            fresh.append(i == 0)
-    lengths = np.array([len(d) for d in docs])
-    del docs
-    if not word_id or not any(label):
+    number: dict[str, int] = {}
+    word_id, lengths = array("i"), []
+    for t in texts:
+        ws = WORD.findall(t)
+        lengths.append(len(ws))
+        word_id.extend(number.setdefault(w, len(number)) for w in ws)
+    if not word_id:
+        return None
+    word_id, lengths = np.array(word_id, np.int64), np.array(lengths)
+    of_doc = np.repeat(toxic.astype(bool), lengths)
+    fresh = np.zeros(len(word_id), bool)
+    fresh[(np.cumsum(lengths) - lengths)[lengths > 0]] = True
+    marked = _marked_words(list(number), word_id, fresh, of_doc)
+    y = marked[word_id] & of_doc
+    if not y.any():
         return None
-    word_id, y, fresh = np.array(word_id), np.array(label), np.array(fresh)
+    features = [word_features(w) for w in number]
     of_word = np.repeat(np.arange(len(features)), [len(f) for f in features])
     flat = np.concatenate([np.array(f) for f in features])
     m = Crf(np.zeros(1 << FEATURES_LOG2))

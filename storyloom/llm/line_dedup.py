@@ -113,7 +113,7 @@ def _parts(hashed: DataFrame) -> DataFrame:
 
 def _variants(hashed: DataFrame) -> DataFrame:
     """``(place, kind, m, i, v)``: the lines without one word, for the words of parts whose rest is shared."""
-    parts = _parts(hashed)
+    parts = materialize(_parts(hashed), "parts")
     shared = parts.groupBy("kind", "m", "k", "v").agg(
         F.min("place").alias("p0"), F.max("place").alias("p1"), F.min("role").alias("r0"), F.max("role").alias("r1")) \
         .where("if(kind = 0, p0 < p1, r0 < r1)").select("kind", "m", "k", "v")
@@ -168,7 +168,7 @@ def dropped_lines(docs: DataFrame) -> DataFrame:
         _rows(docs).select("doc", "text").join(_few(where, "at"), "doc")
         .select(F.expr("transform(at, x -> named_struct('place', x.place, 'raw', split(text, '\\n')[x.no]))").alias("at"))
         .select(F.explode("at").alias("x"))
-        .select("x.place", F.split(F.expr(_normal("x.raw")), " ").alias("w")).dropDuplicates(["place"]), "words")
+        .select("x.place", F.split(F.expr(_normal("x.raw")), " ").alias("w")), "words")  # twice if a row repeats
     near = materialize(_near(words).select("place").distinct(), "near").withColumn("near", F.lit(True))
     free_shuffles(docs.sparkSession)
     verdict = materialize(distinct.join(near, "place", "left").select(

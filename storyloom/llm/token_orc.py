@@ -38,11 +38,13 @@ END_ID = 2
 ROW_INDEX_STRIDE = 1000
 STRIPE_BYTES = 32 << 20
 #: Words whose ids a Python worker remembers, in each of two generations.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 450_000
 #: Words that are certain to be one run of letters, and one of marks at most, to the tokenizer:
 #: Latin letters whose lower case is one letter again.
 PLAIN = "^[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+[.,;:!?]*$"
 JOINED = 1000
+#: Text bytes whose words are looked up at once.
+TEXT_BYTES = 8 << 20
 
 
 class Words:
@@ -62,7 +64,8 @@ class Words:
         out: list[bytes] = []
         for k in range(0, len(words), JOINED):
             own = slice(k, k + JOINED)
-            ids = np.array(self.tok.encode(" ".join(words[own]), add_special_tokens=False).ids, "<u4")
+            (e,) = self.tok.encode_batch_fast([" ".join(words[own])], add_special_tokens=False)
+            ids = np.array(e.ids, "<u4")
             close = np.flatnonzero(self.ends[ids]) + 1
             last = np.cumsum(runs[own])
             if not len(last) or last[-1] != len(close) or close[-1] != len(ids):
@@ -85,15 +88,15 @@ class Words:
         if len(self.young) > CACHE_WORDS:
             self.old, self.young = self.young, {}
         young, old = self.young, self.old
-        out: list = [young.get(w) for w in words]
+        out: list = list(map(young.get, words))
         new = []
-        for i, x in enumerate(out):
+        for i in [i for i, x in enumerate(out) if x is None]:
+            w = words[i]
+            x = old.get(w)
             if x is None:
-                x = old.get(words[i])
-                if x is None:
-                    new.append(i)
-                else:
-                    out[i] = young[words[i]] = x
+                new.append(i)
+            else:
+                out[i] = young[w] = x
         if new:
             part = distinct.take(pa.array(new))
             plain = np.asarray(pc.match_substring_regex(part, PLAIN))
@@ -145,7 +148,7 @@ def _encode(path: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part_number, at = TaskContext.get().partitionId(), 0
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", TEXT_BYTES):
                 ids, begin = encode_texts(text_column(part, "text"), path, end_id)
                 n = part.num_rows
                 yield pa.RecordBatch.from_arrays(

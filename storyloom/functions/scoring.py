@@ -2,41 +2,29 @@
 
 Matching is a case-insensitive substring test without word boundaries,
 and an empty keyword matches everything. Keywords are lower-cased once
-on the driver (constant folding) and embedded as literals, so the whole
-score is one codegen'd arithmetic expression per row. Very long lists
-switch to one ``aggregate`` over an array literal.
+on the driver and embedded as one array literal, over which a single
+expression runs whatever the length of the list.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from storyloom.functions.text import col_
 from storyloom.params import SUMMARY_SCORE, TITLE_SCORE
 
-_UNROLL_LIMIT = 256
-
-
 def keyword_score(title, summary, keywords) -> Column:
     """+100 per keyword found in the title, +50 per keyword in the summary."""
     kws = [k.lower() for k in keywords]
     if not kws:
         return F.lit(0)
     t, s = F.lower(col_(title)), F.lower(col_(summary))
-    if len(kws) > _UNROLL_LIMIT:
-        arr = F.array(*[F.lit(k) for k in kws])
-        return F.aggregate(
-            arr, F.lit(0),
-            lambda acc, k: acc + F.when(F.contains(t, k), TITLE_SCORE).otherwise(0)
-            + F.when(F.contains(s, k), SUMMARY_SCORE).otherwise(0))
-    terms = []
-    for k in kws:
-        terms.append(F.when(F.contains(t, F.lit(k)), F.lit(TITLE_SCORE)).otherwise(F.lit(0)))
-        terms.append(F.when(F.contains(s, F.lit(k)), F.lit(SUMMARY_SCORE)).otherwise(F.lit(0)))
-    return reduce(lambda a, b: a + b, terms)
+    arr = F.array(*[F.lit(k) for k in kws])
+    return F.aggregate(
+        arr, F.lit(0),
+        lambda acc, k: acc + F.when(F.contains(t, k), TITLE_SCORE).otherwise(0)
+        + F.when(F.contains(s, k), SUMMARY_SCORE).otherwise(0))
 
 
 def is_excluded(title, summary, keywords) -> Column:
@@ -45,8 +33,6 @@ def is_excluded(title, summary, keywords) -> Column:
     if not kws:
         return F.lit(False)
     t, s = F.lower(col_(title)), F.lower(col_(summary))
-    if len(kws) > _UNROLL_LIMIT:
-        arr = F.array(*[F.lit(k) for k in kws])
-        return F.exists(arr, lambda k: F.contains(t, k) | F.contains(s, k))
-    preds = [F.contains(t, F.lit(k)) | F.contains(s, F.lit(k)) for k in kws]
-    return reduce(lambda a, b: a | b, preds)
+    arr = F.array(*[F.lit(k) for k in kws])
+    return F.exists(arr, lambda k: F.contains(t, k) | F.contains(s, k))
+

@@ -1,40 +1,20 @@
 """Title similarity.
 
 Containment is native. The sequence ratio is Python's
-``difflib.SequenceMatcher`` run inside an Arrow-batched pandas UDF, only
-on candidate pairs that survived the native length bound; a character
-multiset bound (ratio <= 2 * overlap / total) rejects most pairs before
-the quadratic matcher runs, and a bit-parallel LCS bound (the matcher's
-matched characters form a common subsequence) rejects most of the rest.
-The matcher is not symmetric, so both argument orders are returned.
+``difflib.SequenceMatcher``, run inside Arrow tasks on pairs of blocks of
+distinct title keys. Three exact bounds come first, each rejecting most of
+what is left: lengths, character multisets (one array operation for a key
+against a whole block), and the longest common subsequence (the matched
+characters form a common subsequence). All of them work the same way for
+any length. The matcher is not symmetric, so both argument orders are
+returned.
 """
 
 from __future__ import annotations
 
 import difflib
-from collections import Counter
-from functools import lru_cache
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from storyloom.functions.text import col_
-from storyloom.params import CONTAINMENT_MIN_LEN
-
-RATIO_PAIR = T.StructType([
-    T.StructField("a_then_b", T.BooleanType()),
-    T.StructField("b_then_a", T.BooleanType()),
-])
-
-
-def contains_either(a, b) -> Column:
-    """The shorter key has at least 5 characters and lies in the longer."""
-    a, b = col_(a), col_(b)
-    return (F.least(F.length(a), F.length(b)) >= CONTAINMENT_MIN_LEN) & (
-        F.contains(a, b) | F.contains(b, a))
 
 
 def ratio_above(a: str, b: str, threshold: float) -> bool:
@@ -42,138 +22,69 @@ def ratio_above(a: str, b: str, threshold: float) -> bool:
     return difflib.SequenceMatcher(None, a, b).ratio() > threshold
 
 
-@lru_cache(maxsize=65536)
-def _counts(s: str) -> Counter:
-    return Counter(s)
-
-
-@lru_cache(maxsize=65536)
-def _positions(s: str) -> dict:
+def position_masks(s: str) -> dict[str, int]:
     """Bit mask of the positions of each character of ``s``."""
-    masks: dict = {}
+    masks: dict[str, int] = {}
     for i, ch in enumerate(s):
         masks[ch] = masks.get(ch, 0) | (1 << i)
     return masks
 
 
-def lcs_length(a: str, b: str) -> int:
-    """Length of the longest common subsequence, bit-parallel over ``a``
-    (Allison-Dix / Hyyro): one big-integer step per character of ``b``."""
+def lcs_length(a: str, b: str, masks: dict[str, int] | None = None) -> int:
+    """Length of the longest common subsequence, bit-parallel over ``a``:
+    one big-integer step per character of ``b``."""
     if not a or not b:
         return 0
-    masks = _positions(a)
+    masks = position_masks(a) if masks is None else masks
     full = (1 << len(a)) - 1
     v = full
     for ch in b:
-        u = v & masks.get(ch, 0)
-        v = ((v + u) | (v - u)) & full
-    return len(a) - bin(v).count("1")
-
-
-_WORD = 64
-_CHUNK = 4096  # pairs per vectorised step (bounds the comparison tensor)
-
-
-def _code_points(strings, width: int, pad: int) -> np.ndarray:
-    """Padded (len(strings), width) matrix of code points, built in one pass."""
-    lens = np.fromiter((len(x) for x in strings), dtype=np.int64, count=len(strings))
-    flat = np.frombuffer("".join(strings).encode("utf-32-le"), dtype="<u4")
-    out = np.full((len(strings), width), pad, dtype=np.uint32)
-    rows = np.repeat(np.arange(len(strings)), lens)
-    starts = np.repeat(np.cumsum(lens) - lens, lens)
-    out[rows, np.arange(len(flat)) - starts] = flat
+        m = masks.get(ch)
+        if m:
+            u = v & m
+            v = ((v + u) | (v - u)) & full
+    return len(a) - v.bit_count()
+
+
+def character_counts(keys: list[str], column: dict[str, int]) -> np.ndarray:
+    """(keys x characters) counts; ``column`` numbers the characters."""
+    out = np.zeros((len(keys), max(len(column), 1)), np.int32)
+    for i, k in enumerate(keys):
+        for ch in k:
+            out[i, column[ch]] += 1
     return out
 
 
-def lcs_lengths(shorts: list[str], longs: list[str], words: int = 1) -> np.ndarray:
-    """Bit-parallel LCS lengths for many pairs at once (numpy). The bit
-    vector over ``shorts[i]`` spans ``words`` 64-bit words (every short
-    string has at most ``64 * words`` characters); additions carry across
-    words, subtractions never borrow (U is a subset of V)."""
-    n = len(shorts)
-    if n == 0:
-        return np.zeros(0, dtype=np.int64)
-    width = _WORD * words
-    ls = np.fromiter((len(x) for x in shorts), dtype=np.int64, count=n)
-    lb = max(len(x) for x in longs) or 1
-    a = _code_points(shorts, width, 0xFFFFFFFF)
-    b = _code_points(longs, lb, 0xFFFFFFFE)
-    if max(int(a[a != 0xFFFFFFFF].max(initial=0)), int(b[b != 0xFFFFFFFE].max(initial=0))) < 0xFFFE:
-        # all in the basic plane: compare 16-bit values (half the memory traffic)
-        a = np.where(a == 0xFFFFFFFF, 0xFFFF, a).astype(np.uint16)
-        b = np.where(b == 0xFFFFFFFE, 0xFFFE, b).astype(np.uint16)
-    # masks[i, k, w]: bit j of word w set when shorts[i][64w + j] == longs[i][k]
-    masks = np.packbits(a[:, None, :] == b[:, :, None], axis=2, bitorder="little") \
-        .view("<u8").reshape(n, lb, words)
-    bits = np.clip(ls[:, None] - _WORD * np.arange(words)[None, :], 0, _WORD).astype(np.uint64)
-    all_ones = np.uint64(0xFFFFFFFFFFFFFFFF)
-    full = np.where(bits >= _WORD, all_ones,
-                    (np.uint64(1) << np.minimum(bits, np.uint64(63))) - np.uint64(1))
-    v = full.copy()
-    for k in range(lb):
-        u = v & masks[:, k, :]
-        s_ = v + u
-        if words > 1:
-            carry = (s_ < v).astype(np.uint64)
-            for w in range(1, words):
-                s_[:, w] += carry[:, w - 1]
-                carry[:, w] |= (s_[:, w] < carry[:, w - 1]).astype(np.uint64)
-        v = (s_ | (v & ~u)) & full
-    return ls - np.bitwise_count(v).astype(np.int64).sum(axis=1)
-
-
-def batch_verdicts(xa: list[str], xb: list[str], threshold: float):
-    """(a_then_b, b_then_a) for many pairs: a vectorised LCS bound first
-    (the matcher's matched characters form a common subsequence, and LCS
-    is at most the multiset overlap), the sequence matcher only after."""
-    n = len(xa)
-    ab = np.zeros(n, dtype=bool)
-    ba = np.zeros(n, dtype=bool)
-    total = np.fromiter((len(x) + len(y) for x, y in zip(xa, xb)), dtype=np.int64, count=n)
-    short_first = [len(x) <= len(y) for x, y in zip(xa, xb)]
-    sh = [x if f else y for x, y, f in zip(xa, xb, short_first)]
-    lo = [y if f else x for x, y, f in zip(xa, xb, short_first)]
-    words = np.fromiter(((len(x) + _WORD - 1) // _WORD for x in sh), dtype=np.int64, count=n)
-    lcs = np.zeros(n, dtype=np.int64)
-    for w in (1, 2):
-        idx = np.nonzero(np.maximum(words, 1) == w)[0]
-        for lo_i in range(0, len(idx), _CHUNK):
-            part = idx[lo_i:lo_i + _CHUNK]
-            lcs[part] = lcs_lengths([sh[i] for i in part], [lo[i] for i in part], words=w)
-    for i in np.nonzero(words > 2)[0]:
-        lcs[i] = lcs_length(sh[i], lo[i])
-    for i in np.nonzero(2.0 * lcs > threshold * total)[0]:
-        ab[i] = ratio_above(xa[i], xb[i], threshold)
-        ba[i] = ratio_above(xb[i], xa[i], threshold)
-    return ab, ba
-
-
-def _pair_verdicts(a: str, b: str, threshold: float) -> tuple[bool, bool]:
-    total = len(a) + len(b)
-    if total == 0:
-        return False, False
-    ca, cb = _counts(a), _counts(b)
-    if len(ca) > len(cb):
-        ca, cb = cb, ca
-    overlap = sum(min(n, cb[ch]) for ch, n in ca.items())
-    if 2.0 * overlap <= threshold * total:
-        return False, False
-    # matched characters of any matcher run never exceed the LCS length
-    if 2.0 * lcs_length(a, b) <= threshold * total:
-        return False, False
-    return ratio_above(a, b, threshold), ratio_above(b, a, threshold)
-
-
-def ratio_verdicts(a, b, threshold: float) -> Column:
-    """Struct ``(a_then_b, b_then_a)``: the X7 verdict with ``a`` as the later
-    item and with ``b`` as the later item."""
-
-    @F.pandas_udf(RATIO_PAIR)
-    def _udf(xa: pd.Series, xb: pd.Series) -> pd.DataFrame:
-        ab, ba = batch_verdicts(list(xa), list(xb), threshold)
-        return pd.DataFrame({"a_then_b": ab, "b_then_a": ba})
-
-    # Non-deterministic for the optimizer only: it keeps a filter on the
-    # verdict from being pushed below the repartition (which would run the
-    # matcher twice, once before the work is spread out).
-    return _udf.asNondeterministic()(col_(a), col_(b))
+def block_verdicts(left: list[str], right: list[str], threshold: float, same: bool):
+    """``(a, b, a_later, b_later)`` for each pair a < b of a left and a right key that
+    is similar in an order; ``same``: both lists are one block."""
+    column: dict[str, int] = {}
+    for k in left:
+        for ch in k:
+            column.setdefault(ch, len(column))
+    for k in right:
+        for ch in k:
+            column.setdefault(ch, len(column))
+    length = np.array([len(k) for k in right], np.int64)
+    counts = character_counts(right, column)
+    own = character_counts(left, column)
+    for i, x in enumerate(left):
+        seen = np.flatnonzero(own[i])
+        total = length + len(x)
+        may = 2.0 * np.minimum(length, len(x)) > threshold * total
+        if same:
+            may[:i + 1] = False
+        near = np.flatnonzero(may)
+        if not len(near):
+            continue
+        overlap = np.minimum(counts[near][:, seen], own[i, seen]).sum(axis=1)
+        masks = None
+        for j in near[2.0 * overlap > threshold * total[near]].tolist():
+            y = right[j]
+            masks = masks or position_masks(x)
+            if 2.0 * lcs_length(x, y, masks) <= threshold * total[j]:
+                continue
+            a, b = (x, y) if x < y else (y, x)
+            ab, ba = ratio_above(a, b, threshold), ratio_above(b, a, threshold)
+            if ab or ba:
+                yield a, b, ab, ba

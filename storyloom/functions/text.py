@@ -56,9 +56,9 @@ def collapse_ws(text) -> Column:
     return F.regexp_replace(t, "^ | $", "")
 
 
-def first_line(text, max_chars: int) -> Column:
-    """First line of a text (up to the first newline), cut at ``max_chars``."""
-    return F.substring(F.substring_index(col_(text), "\n", 1), 1, max_chars)
+def first_line(text) -> Column:
+    """First line of a text (up to the first newline), whole."""
+    return F.substring_index(col_(text), "\n", 1)
 
 
 def html_to_text_native(html) -> Column:

@@ -37,7 +37,7 @@ def ts_lit(value) -> Column:
     Passing text avoids any dependence on the Python process's zone.
     """
     if value is None:
-        raise ValueError("as_of is required")
+        return F.lit(None).cast("timestamp")
     if isinstance(value, _dt.datetime):
         if value.tzinfo is not None:
             value = value.astimezone(_dt.timezone.utc).replace(tzinfo=None)
@@ -75,4 +75,6 @@ def local_time_text(ts) -> Column:
 
 def recent_since(as_of, days: int) -> Column:
     """Lower bound of F1: ``as_of`` minus ``days`` days."""
+    if as_of is None:
+        raise ValueError("as_of is required")
     return ts_lit(as_of) - F.make_dt_interval(F.lit(days))

@@ -2,29 +2,30 @@
 
 Items are never paired directly: exact copies share a key and are
 linked by a chain (see :mod:`storyloom.operators.grouping`), so a title
-carried by a third of all rows costs one key here. Pairs of distinct
-keys come from two lossless blocking joins:
+carried by a third of all rows costs one key here.
 
 * containment (C4): a key of length >= 5 lying inside another contains
   all of its own 5-grams, in particular its globally rarest one; the
   probe side uses that single gram, the index side all grams.
-* ratio (C5): the ratio is at most 2*O/(|a|+|b|) with O the overlap of
-  the character multisets. Tokens are (character, occurrence number)
-  ordered by global rarity; a similar pair must share a token of the
-  two keys' prefixes (prefix filtering, see :func:`ratio_candidates`).
-
-Every pair is then verified: the length bound natively, the multiset
-bound and the sequence ratio in the Arrow UDF.
+* ratio (C5): 0.65 is too low a threshold for a lossless filter by shared
+  tokens (a constant share of all pairs passes any character bound, and a
+  join on tokens emits each such pair several times). Keys are dealt into
+  bands of similar length and blocks of at most about ``BLOCK_KEYS`` inside
+  a band; blocks whose lengths can reach the ratio meet, and a task compares
+  two blocks by array operations and emits similar pairs only. The work is
+  quadratic in the distinct titles of a digest key, the rows that move are
+  not: a key is sent once to each block that it can match.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from storyloom.functions.similarity import ratio_verdicts
+from storyloom.functions.similarity import block_verdicts
 from storyloom.operators.materialize import materialize
 from storyloom.params import CONTAINMENT_MIN_LEN
 
@@ -47,115 +48,76 @@ def _grams(keys: DataFrame) -> DataFrame:
 
 def containment_pairs(keys: DataFrame) -> DataFrame:
     """Ordered pairs (inner, outer) of distinct keys with ``inner`` in ``outer``."""
-    grams = _grams(keys)
+    grams = materialize(_grams(keys), "grams")
     freq = grams.groupBy("digest_key", "gram").agg(F.count("*").alias("gfreq"))
     g = grams.join(freq, ["digest_key", "gram"])
     probe = g.groupBy("digest_key", "key", "klen").agg(
         F.min_by("gram", F.struct("gfreq", "gram")).alias("gram"))
-    index = grams.select("digest_key", "gram", F.col("key").alias("outer"),
-                         F.col("klen").alias("olen"))
-    j = probe.join(index, ["digest_key", "gram"])
-    return (j.filter((F.col("olen") > F.col("klen"))
-                     | ((F.col("olen") == F.col("klen")) & (F.col("outer") != F.col("key"))))
-            .filter(F.contains("outer", "key"))
-            .select("digest_key", F.col("key").alias("inner"), "outer"))
-
-
-def _tokens(keys: DataFrame) -> DataFrame:
-    """(character, occurrence number) tokens of every key. The occurrence
-    number is a row number over (key, character): a window partition never
-    holds more rows than one key has characters."""
-    chars = keys.select("digest_key", "kid", "klen",
-                        F.posexplode(F.split("key", "")).alias("pos", "ch"))
-    w = Window.partitionBy("digest_key", "kid", "ch").orderBy("pos")
-    return chars.withColumn("occ", F.row_number().over(w)).drop("pos")
-
-
-def ranked_tokens(keys: DataFrame) -> DataFrame:
-    """Each key's tokens sorted by global rarity (then character, occurrence);
-    ``keys`` carries a numeric id ``kid``."""
-    toks = _tokens(keys)
-    freq = toks.groupBy("digest_key", "ch", "occ").agg(F.count("*").alias("tfreq"))
-    t = toks.join(freq, ["digest_key", "ch", "occ"])
-    return t.groupBy("digest_key", "kid", "klen").agg(
-        F.array_sort(F.collect_list(F.struct("tfreq", "ch", "occ"))).alias("toks"))
-
-
-def _prefix(ranked: DataFrame, share: float, role: str) -> DataFrame:
-    """Prefix holding every token but the ``floor(share*|x|)`` most common
-    ones (and at least one), exploded with 1-based positions."""
-    need = F.floor(F.col("klen") * F.lit(share) - F.lit(1e-9)) + 1
-    plen = F.greatest(F.lit(1), F.col("klen") - need + 1).cast("int")
-    return ranked.select("digest_key", F.col("kid").alias(role), F.col("klen").alias(role + "len"),
-                         F.posexplode(F.slice("toks", 1, plen)).alias("pos0", "t")) \
-        .select("digest_key", "t.ch", "t.occ", role, role + "len",
-                (F.col("pos0") + 1).alias(role + "pos"))
-
-
-def with_key_ids(keys: DataFrame) -> DataFrame:
-    """Distinct keys with a unique numeric id, written out so the ids are fixed."""
-    return materialize(keys.withColumn("kid", F.monotonically_increasing_id()), "key-ids")
-
-
-def ratio_candidates(keys: DataFrame, threshold: float) -> DataFrame:
-    """Unordered key pairs (a < b) that may have ratio > t.
-
-    ratio <= 2*O/(|a|+|b|) with O the multiset overlap, so a pair needs
-    O > t*(|a|+|b|)/2. For the shorter key s (ties: the smaller id) that is
-    O > t*|s|; for the longer key l, given the length bound, O > t/(2-t)*|l|.
-    Prefix filtering (AllPairs / PPJoin): the pair then shares a token of
-    s's prefix of |s| - floor(t*|s|) tokens and of l's prefix of
-    |l| - floor(t/(2-t)*|l|) tokens, under one global rarity order. Rows
-    of the join are also dropped by the length bound and the positional
-    bound: a shared token at positions (i, j) that is the first shared
-    one leaves at most 1 + min(|s|-i, |l|-j) overlap; if even that is too
-    small the pair is caught (or not) by its earlier, first shared token.
-    The join and the de-duplication move only numeric ids; key texts are
-    attached to the surviving pairs afterwards.
-    """
-    ids = keys if "kid" in keys.columns else with_key_ids(keys)
-    ranked = materialize(ranked_tokens(ids), "ranked-tokens")
-    short = _prefix(ranked, threshold, "s")
-    long_ = _prefix(ranked, threshold / (2.0 - threshold), "l")
-    j = short.join(long_, ["digest_key", "ch", "occ"])
-    total = F.col("slen") + F.col("llen")
-    j = j.filter(((F.col("slen") < F.col("llen"))
-                  | ((F.col("slen") == F.col("llen")) & (F.col("s") < F.col("l"))))
-                 & (2.0 * F.col("slen") > F.lit(threshold) * total)
-                 & (1 + F.least(F.col("slen") - F.col("spos"), F.col("llen") - F.col("lpos"))
-                    > F.lit(threshold / 2.0) * total))
-    pairs = j.select("digest_key", "s", "l").distinct()
-    ks = ids.select("digest_key", F.col("kid").alias("s"), F.col("key").alias("ks"))
-    kl = ids.select("digest_key", F.col("kid").alias("l"), F.col("key").alias("kl"))
-    named = pairs.join(ks, ["digest_key", "s"]).join(kl, ["digest_key", "l"])
-    return named.select("digest_key", F.least("ks", "kl").alias("a"), F.greatest("ks", "kl").alias("b"))
+    index = grams.select(F.col("digest_key").alias("odk"), F.col("gram").alias("ogram"),
+                         F.col("key").alias("outer"), F.col("klen").alias("olen"))
+    # the test is part of the join, so only pairs that hold are emitted
+    j = probe.join(index, (F.col("digest_key") == F.col("odk")) & (F.col("gram") == F.col("ogram"))
+                   & (F.col("olen") > F.col("klen")) & F.contains("outer", "key"))
+    return j.select("digest_key", F.col("key").alias("inner"), "outer")
+
+
+#: Keys of a block (bounds a task's arrays) and the step between length bands.
+BLOCK_KEYS = 1024
+BAND_STEP = 1.15
+
+PAIRS = "digest_key string, a string, b string, a_later boolean, b_later boolean"
+
+
+def _compare(threshold: float):
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        out: list[tuple] = []
+        if left.num_rows and right.num_rows:
+            first = {c: left.column(c)[0].as_py() for c in ("digest_key", "lband", "lsalt", "rband", "rsalt")}
+            same = (first["lband"], first["lsalt"]) == (first["rband"], first["rsalt"])
+            a, b = left.column("key").to_pylist(), right.column("key").to_pylist()
+            if same:
+                a, b = sorted(a), sorted(b)
+            out = [(first["digest_key"], *x) for x in block_verdicts(a, b, threshold, same)]
+        cols = list(zip(*out)) if out else [()] * 5
+        return pa.table({"digest_key": pa.array(cols[0], pa.string()), "a": pa.array(cols[1], pa.string()),
+                         "b": pa.array(cols[2], pa.string()), "a_later": pa.array(cols[3], pa.bool_()),
+                         "b_later": pa.array(cols[4], pa.bool_())})
+    return run
+
+
+def ratio_pairs(keys: DataFrame, threshold: float) -> DataFrame:
+    """``PAIRS``: unordered pairs a < b of distinct keys with ratio > t in an order."""
+    banded = keys.withColumn("band", F.floor(F.log(F.col("klen").cast("double")) / math.log(BAND_STEP)))
+    sized = banded.groupBy("digest_key", "band").agg(
+        F.ceil(F.count("*") / BLOCK_KEYS).alias("salts"), F.min("klen").alias("low"), F.max("klen").alias("high"))
+    sized = materialize(sized, "bands")
+    blocks = sized.select("digest_key", "band", "low", "high",
+                          F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt"))
+    x = blocks.select("digest_key", *[F.col(c).alias("l" + c) for c in ("band", "salt", "low", "high")])
+    y = blocks.select("digest_key", *[F.col(c).alias("r" + c) for c in ("band", "salt", "low", "high")])
+    # blocks of equal or longer keys whose nearest lengths can still reach the ratio
+    meets = x.join(y, "digest_key").where(
+        "(lband < rband or (lband = rband and lsalt <= rsalt))"
+        f" and 2.0D * least(lhigh, rlow) > {threshold}D * (least(lhigh, rlow) + rlow)") \
+        .select("digest_key", "lband", "lsalt", "rband", "rsalt")
+    meets = materialize(meets, "block-pairs")
+    dealt = banded.join(sized.select("digest_key", "band", "salts"), ["digest_key", "band"]) \
+        .withColumn("salt", F.pmod(F.xxhash64("key"), F.col("salts"))).select("digest_key", "band", "salt", "key")
+    by = ["digest_key", "lband", "lsalt", "rband", "rsalt"]
+    left = dealt.withColumnsRenamed({"band": "lband", "salt": "lsalt"}).join(meets, by[:3])
+    right = dealt.withColumnsRenamed({"band": "rband", "salt": "rsalt"}).join(meets, ["digest_key", "rband", "rsalt"])
+    sides = [d.select(*[F.col(c).alias(c) for c in (*by, "key")]).groupBy(*by) for d in (left, right)]
+    return sides[0].cogroup(sides[1]).applyInArrow(_compare(threshold), PAIRS)
 
 
 def similar_key_pairs(keys: DataFrame, threshold: float, use_ratio: bool = True) -> DataFrame:
-    """Unordered pairs (a < b) of distinct similar keys with the direction
-    verdicts ``a_later`` (item with key a later than item with key b is
-    similar) and ``b_later``. Containment is symmetric."""
-    c = containment_pairs(keys)
-    cont = materialize(c.select("digest_key",
-                    F.least("inner", "outer").alias("a"),
-                    F.greatest("inner", "outer").alias("b")).distinct() \
-        .withColumn("a_later", F.lit(True)).withColumn("b_later", F.lit(True)), "containment")
+    """``PAIRS``: unordered pairs (a < b) of distinct similar keys with the
+    direction verdicts ``a_later`` (item with key a later than item with key b
+    is similar) and ``b_later``. Containment is symmetric."""
+    cont = containment_pairs(keys).select(
+        "digest_key", F.least("inner", "outer").alias("a"), F.greatest("inner", "outer").alias("b"),
+        F.lit(True).alias("a_later"), F.lit(True).alias("b_later"))
     if not use_ratio:
         return cont
-    cand = materialize(ratio_candidates(keys, threshold).join(
-        cont.select("digest_key", "a", "b"), ["digest_key", "a", "b"], "left_anti"), "ratio-candidates")
-    # the sequence matcher is CPU-bound: spread the pairs over every task slot
-    slots = keys.sparkSession.sparkContext.defaultParallelism
-    if cand.rdd.getNumPartitions() < slots:
-        cand = cand.repartition(slots)
-    v = cand.withColumn("v", ratio_verdicts("a", "b", threshold))
-    rat = v.select("digest_key", "a", "b", F.col("v.a_then_b").alias("a_later"),
-                   F.col("v.b_then_a").alias("b_later")) \
-        .filter(F.col("a_later") | F.col("b_later"))
-    return cont.unionByName(rat)
-
-
-def prefix_length(klen: int, share: float) -> int:
-    """Python mirror of the prefix length of :func:`_prefix` (for tests)."""
-    need = math.floor(klen * share - 1e-9) + 1
-    return max(1, klen - need + 1)
+    return cont.unionByName(ratio_pairs(keys, threshold)).groupBy("digest_key", "a", "b") \
+        .agg(F.bool_or("a_later").alias("a_later"), F.bool_or("b_later").alias("b_later"))

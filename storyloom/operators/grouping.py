@@ -8,9 +8,10 @@ Edges are directed from a later item to an earlier one (by ``ord``):
   the same link;
 * same non-empty title key: a chain likewise (equal keys are always
   similar: containment for 5+ characters, ratio 1.0 below);
-* similar distinct keys (C4/C5): each item of key ``x`` points at the
-  latest earlier item of key ``y`` when an ``x``-item after a ``y``-item
-  is similar (the verdict can depend on the order).
+* similar distinct keys (C4/C5), when an ``x``-item after a ``y``-item is
+  similar (the verdict can depend on the order): each item of the rarer key
+  is tied to its nearest item of the other key, the latest ``y`` before an
+  ``x`` or the next ``x`` after a ``y``. The chains carry the rest.
 
 Chains and as-of edges come from :func:`latest_before`, so no group ever
 emits all of its pairs and no hot key lands in one task.
@@ -25,9 +26,10 @@ edges that always step to an earlier item. A chain keeps exactly that
 reachability for a clique (every earlier member stays reachable), and an
 as-of edge plus the target key's chain reach every earlier item of that
 key. So the leader is a fixed point of min-label propagation along the
-directed edges, with pointer jumping (``L(L(i))`` is reachable too) for
-logarithmic rounds on long chains — a distributed join loop with one
-written table per round and nothing per group in memory.
+directed edges, with doubling pointers for long chains — a distributed
+join loop with nothing per group in memory that runs until no label
+changes. Rounds are logarithmic on chains; a graph in which best paths
+alternate often between chains takes a round or more per alternation.
 
 Components (C7) are the same loop over the undirected edges.
 """
@@ -50,10 +52,6 @@ from storyloom.params import CONTAINMENT_MIN_LEN
 _DEBUG = bool(os.environ.get("STORYLOOM_DEBUG"))
 
 
-class NotConverged(RuntimeError):
-    pass
-
-
 def grouping_items(df: DataFrame, digest_key=None) -> DataFrame:
     """Narrow projection used by the grouping plan: ids, ord, keys, link."""
     dk = F.lit("") if digest_key is None else F.coalesce(F.col(digest_key).cast("string"), F.lit(""))
@@ -66,81 +64,112 @@ def story_edges(items: DataFrame, threshold: float = 0.65, use_ratio: bool = Tru
     """Directed edges (src, dst), src later than dst; ``items`` from
     :func:`grouping_items`.
 
-    The three edge kinds are one as-of lookup over a tagged group key
-    (``L``+link, ``K``+title key, ``P``+key pair), so a single
-    window/aggregate/join pipeline serves all of them.
+    Links and equal titles are one as-of lookup over a tagged group key
+    (``L``+link, ``K``+title key); similar titles are looked up from the
+    rarer title's side.
     """
     base = items.select("digest_key", "key", "link", "ord")
-    sep = F.lit("\u0000")
     link_g = base.select("digest_key", F.concat(F.lit("L"), "link").alias("g"), "ord")
     keyed = base.filter(F.col("key") != "")
     if not use_ratio:  # equal keys below 5 characters match only by ratio
         keyed = keyed.filter(F.length("key") >= CONTAINMENT_MIN_LEN)
     key_g = keyed.select("digest_key", F.concat(F.lit("K"), "key").alias("g"), "ord")
+    e = latest_before(link_g.unionByName(key_g), link_g.unionByName(key_g), ["digest_key", "g"],
+                      bucket_bits, with_first=True)
+    # chain edge to the latest earlier item, plus a shortcut to the group's
+    # first item (also earlier and also a match): groups then settle in a
+    # round or two instead of log(size) rounds
+    chain = e.filter(F.col("prev").isNotNull()).select(F.col("ord").alias("src"),
+                                                       F.col("prev").alias("dst"))
+    star = e.filter(F.col("first") < F.col("ord")).select(F.col("ord").alias("src"),
+                                                          F.col("first").alias("dst"))
 
     keys = materialize(distinct_keys(items), "keys")
     pairs = materialize(similar_key_pairs(keys, threshold, use_ratio), "key-pairs")
     directed = pairs.filter("a_later").select("digest_key", F.col("a").alias("x"), F.col("b").alias("y")) \
         .unionByName(pairs.filter("b_later").select("digest_key", F.col("b").alias("x"),
                                                       F.col("a").alias("y")))
-    pair_g = F.concat(F.lit("P"), F.col("x"), sep, F.col("y")).alias("g")
-    probes = directed.join(base.select("digest_key", F.col("key").alias("x"), "ord"),
-                           ["digest_key", "x"]).select("digest_key", pair_g, "ord")
-    builds = directed.join(base.select("digest_key", F.col("key").alias("y"), "ord"),
-                           ["digest_key", "y"]).select("digest_key", pair_g, "ord")
-
-    all_probes = link_g.unionByName(key_g).unionByName(probes)
-    all_builds = link_g.unionByName(key_g).unionByName(builds)
-    e = latest_before(all_probes, all_builds, ["digest_key", "g"], bucket_bits, with_first=True)
-    # chain/as-of edge to the latest earlier item, plus a shortcut to the
-    # group's first item (also earlier and also a match): groups then settle
-    # in a round or two instead of log(size) rounds
-    chain = e.filter(F.col("prev").isNotNull()).select(F.col("ord").alias("src"),
-                                                       F.col("prev").alias("dst"))
-    star = e.filter(F.col("first") < F.col("ord")).select(F.col("ord").alias("src"),
-                                                          F.col("first").alias("dst"))
-    return materialize(chain.unionByName(star).distinct(), "edges")
+    # of a pair (x later than y), the rarer key's items look the other key up
+    # in that key's own list, which all pairs share: at most twice the smaller
+    # group's rows per pair, however common the other title is
+    number = base.groupBy("digest_key", "key").agg(F.count("*").alias("c"))
+    sized = directed.join(number.withColumnsRenamed({"key": "x", "c": "nx"}), ["digest_key", "x"]) \
+        .join(number.withColumnsRenamed({"key": "y", "c": "ny"}), ["digest_key", "y"])
+    sized = materialize(sized, "directed-pairs")
+    listed = base.filter(F.col("key") != "").select("digest_key", F.col("key").alias("g"), "ord")
+    # few x: each looks up the latest y before it
+    of_x = sized.where("nx <= ny").join(base.select("digest_key", F.col("key").alias("x"), "ord"),
+                                        ["digest_key", "x"]).select("digest_key", F.col("y").alias("g"), "ord")
+    back = latest_before(of_x.distinct(), listed, ["digest_key", "g"], bucket_bits) \
+        .where("prev is not null").select(F.col("ord").alias("src"), F.col("prev").alias("dst"))
+    # few y: each looks up the next x after it (the latest one on the reversed
+    # axis); later x reach it by their chain
+    of_y = sized.where("nx > ny").join(base.select("digest_key", F.col("key").alias("y"), "ord"),
+                                       ["digest_key", "y"]).select("digest_key", F.col("x").alias("g"),
+                                                                   (-F.col("ord")).alias("ord"))
+    ahead = latest_before(of_y.distinct(), listed.withColumn("ord", -F.col("ord")), ["digest_key", "g"],
+                          bucket_bits).where("prev is not null") \
+        .select((-F.col("prev")).alias("src"), (-F.col("ord")).alias("dst"))
+    return materialize(chain.unionByName(star).unionByName(back).unionByName(ahead).distinct(), "edges")
 
 
 def propagate_min(nodes: DataFrame, edges: DataFrame, directed: bool = True,
-                  max_rounds: int = 64, checkpoint_every: int = 3,
-                  hook: bool = True) -> DataFrame:
-    """Fixed point of ``L(i) = min(L(i), L(j) for edges i->j, L(L(i)))``,
-    starting from ``L(i) = i``. Returns (ord, label). Undirected runs add
-    the hooking step, which keeps the round count logarithmic on paths
-    whose order zig-zags.
+                  checkpoint_every: int = 3, hook: bool = True) -> DataFrame:
+    """Fixed point of ``L(i) = min(L(i), L(j) for edges i->j)``, starting from
+    ``L(i) = i``. Returns (ord, label). The loop ends when no label changes,
+    after however many rounds that takes.
+
+    A round takes three kinds of proposals, all of them labels of reachable
+    nodes: along the edges whose target just changed; the label's own label;
+    and the label of a jump pointer. Pointers start at each node's latest
+    earlier neighbour and double every round, so the smallest label of a chain
+    of neighbours is known after a logarithm of its length even when every
+    node of the chain also has an older group of its own. When all pointers
+    have run out and labels still change, they start again. Undirected runs
+    add the hooking step, which serves paths whose order zig-zags.
 
     Rounds are cached; every ``checkpoint_every`` rounds (and at the end)
     the labels are written to the checkpoint folder, so lineage never
     spans more than a few rounds and a lost executor costs at most those.
     """
+    base = edges.where("dst < src").groupBy("src").agg(F.max("dst").alias("base"))
     if not directed:
         edges = materialize(edges.unionByName(
             edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))), "edges-both")
-    labels = nodes.select("ord", F.col("ord").alias("label"))
-    delta = labels  # labels that changed in the previous round (all, at first)
+    state = materialize(nodes.select("ord").join(base, F.col("ord") == F.col("src"), "left")
+                        .select("ord", F.col("ord").alias("label"), F.col("base").alias("jump"), "base"), "labels")
+    delta = state.select("ord", "label")  # labels that changed in the previous round (all, at first)
     cached = []
-    for r in range(1, max_rounds + 1):
+    none = F.lit(None).cast("long")
+    r = 0
+    while True:
+        r += 1
+        labels = state.select("ord", "label")
         # semi-naive: an edge can only lower its source if its target's label
         # just changed; every edge still sees each target's final label in the
         # round after that label last changed, so the fixed point is unchanged
         via_edge = edges.join(delta.select(F.col("ord").alias("dst"), F.col("label").alias("l")),
                               "dst").select(F.col("src").alias("ord"), F.col("l").alias("label"))
-        jump = labels.alias("a").join(labels.alias("b"), F.col("a.label") == F.col("b.ord")) \
-            .select(F.col("a.ord").alias("ord"), F.col("b.label").alias("label"))
-        proposals = via_edge.unionByName(jump)
+        own = labels.where("label <> ord").select(F.col("ord").alias("i"), F.col("label").alias("j"))
+        via_label = own.join(labels, own["j"] == labels["ord"]).select(F.col("i").alias("ord"), "label")
+        ptr = state.where("jump is not null").select(F.col("ord").alias("i"), F.col("jump").alias("j"))
+        target = state.select("ord", "label", F.col("jump").alias("next"))
+        via_jump = ptr.join(target, ptr["j"] == target["ord"]).select(F.col("i").alias("ord"), "label", "next")
+        proposals = via_edge.unionByName(via_label)
         if not directed and hook:
             # hook (Shiloach-Vishkin): a node's current label also takes the
             # smallest label its members see; valid for components only, as
             # first-fit reachability is one-way
-            seen = labels.select("ord", "label").unionByName(via_edge) \
-                .groupBy("ord").agg(F.min("label").alias("seen"))
+            seen = labels.unionByName(via_edge).groupBy("ord").agg(F.min("label").alias("seen"))
             hooked = seen.join(labels, "ord").select(F.col("label").alias("ord"),
                                                      F.col("seen").alias("label"))
             proposals = proposals.unionByName(hooked)
-        cand = labels.select("ord", "label", F.col("label").alias("old")).unionByName(
-            proposals.withColumn("old", F.lit(None).cast("long")))
-        new = cand.groupBy("ord").agg(F.min("label").alias("label"), F.max("old").alias("old"))
+        rows = (state.select("ord", "label", F.col("label").alias("old"), none.alias("next"), "base")
+                .unionByName(proposals.select("ord", "label", none.alias("old"), none.alias("next"),
+                                              none.alias("base")))
+                .unionByName(via_jump.select("ord", "label", none.alias("old"), "next", none.alias("base"))))
+        new = rows.groupBy("ord").agg(F.min("label").alias("label"), F.max("old").alias("old"),
+                                      F.max("next").alias("jump"), F.max("base").alias("base"))
         if r % checkpoint_every == 0:
             new = materialize(new, "labels")
             for c in cached:
@@ -150,24 +179,24 @@ def propagate_min(nodes: DataFrame, edges: DataFrame, directed: bool = True,
             new = new.cache()
             cached.append(new)
         delta = new.filter(F.col("label") < F.col("old")).select("ord", "label")
-        changed = delta.count()  # also fills the cache
+        changed, jumping = new.agg(F.count(F.when(F.col("label") < F.col("old"), 1)),
+                                   F.count("jump")).first()  # also fills the cache
         if _DEBUG:
             print(f"[propagate] round {r}: {changed} labels lowered at {time.time():.2f}", flush=True)
-        labels = new.select("ord", "label")
         if changed == 0:
-            out = materialize(labels, "labels-final")
+            out = materialize(new.select("ord", "label"), "labels-final")
             for c in cached:
                 c.unpersist()
             return out
-    raise NotConverged(f"labels still changing after {max_rounds} rounds")
+        state = new.select("ord", "label", "jump" if jumping else F.col("base").alias("jump"), "base")
 
 
 def assign_groups(items: DataFrame, threshold: float = 0.65, use_ratio: bool = True,
-                  exact: bool = True, max_rounds: int = 64,
+                  exact: bool = True,
                   bucket_bits: int = DEFAULT_BUCKET_BITS) -> DataFrame:
     """(item_id, ord, digest_key, leader_ord): first-fit groups when
     ``exact``, connected components otherwise."""
     edges = story_edges(items, threshold, use_ratio, bucket_bits)
-    labels = propagate_min(items.select("ord"), edges, directed=exact, max_rounds=max_rounds)
+    labels = propagate_min(items.select("ord"), edges, directed=exact)
     return items.select("item_id", "ord", "digest_key").join(labels, "ord") \
         .withColumnRenamed("label", "leader_ord")

@@ -8,7 +8,7 @@ answer.
 from __future__ import annotations
 
 import datetime as _dt
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 
 # ---------------------------------------------------------------------------
 # Fixed values. These must stay exactly as written for results (and the
@@ -88,19 +88,6 @@ class DigestParams:
     marker_url_parts: tuple[str, ...] = (NO_ABSTRACT_URL_PART,)
     # Edge kinds used by story grouping; ratio edges are the only costly ones.
     use_ratio_edges: bool = True
-    # Rows per bucket of the bounded as-of scans (see operators.asof).
-    scan_bucket_rows: int = 1 << 20
-    # Safety limit for the label-propagation loops.
-    max_rounds: int = 64
-    extra: dict = field(default_factory=dict)
 
     def with_(self, **kw) -> "DigestParams":
         return replace(self, **kw)
-
-    @property
-    def lowered_excludes(self) -> list[str]:
-        return [k.lower() for k in self.exclude_keywords]
-
-    @property
-    def lowered_keywords(self) -> list[str]:
-        return [k.lower() for k in self.high_weight_keywords]

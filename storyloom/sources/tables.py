@@ -2,7 +2,7 @@
 
 The ``articles`` view turns the driver's ``documents``/``pages``/``events``
 tables into raw article records: one landed source whose items carry a
-site, a title (first line of the text, cut at 80 characters), a link
+site, a title (the whole first line of the text), a link
 (the page URL, else a synthetic one), clean text, a publish time and a
 comment count.
 """
@@ -20,8 +20,6 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
           "conversations")
 
-TITLE_CHARS = 80
-
 # Column order of a raw article record, whatever the source.
 RAW_COLUMNS = ["item_id", "source_kind", "source_order", "source", "item_order", "site",
                "title", "link", "content", "pub_time", "pub_date", "comments",
@@ -56,7 +54,7 @@ def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("source").alias("source"),
         F.col("doc_id").alias("item_order"),
         F.col("source").alias("site"),
-        first_line("text", TITLE_CHARS).alias("title"),
+        first_line("text").alias("title"),
         F.coalesce("page_url", F.concat(F.lit("https://"), F.col("source"),
                                         F.lit(".example/"), F.col("doc_id").cast("string"))).alias("link"),
         F.col("text").alias("content"),

@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 
 from storyloom.operators.arrival import arrival_key, with_arrival_order
 from storyloom.operators.asof import latest_before
-from storyloom.operators.candidates import (containment_pairs, distinct_keys,
-                                            ratio_candidates, similar_key_pairs)
+from storyloom.operators.candidates import containment_pairs, distinct_keys, similar_key_pairs
 from storyloom.operators.grouping import assign_groups, grouping_items
 from storyloom.operators.ranking import rank_groups, top_groups
 from storyloom.plans.batch import group_stories
@@ -74,24 +73,73 @@ def test_ranking_equals_row_model(spark):
     assert [r.multi_source_bonus for r in top] == [e["multi_source_bonus"] for e in expect]
 
 
-def test_candidates_are_lossless(spark):
-    c, items = _items_in_arrival(spark)
-    keys = sorted({RM.norm(it["title"]) for it in items} - {""})
-    kdf = distinct_keys(spark.createDataFrame([("", k) for k in keys], "digest_key string, key string"))
-    cand = {(r.a, r.b) for r in ratio_candidates(kdf, 0.65).collect()}
-    cont = {(r.inner, r.outer) for r in containment_pairs(kdf).collect()}
-    import difflib
+def _pairs_by_definition(keys):
+    want = {}
     for i, a in enumerate(keys):
         for b in keys[i + 1:]:
-            if difflib.SequenceMatcher(None, a, b).ratio() > 0.65 or \
-                    difflib.SequenceMatcher(None, b, a).ratio() > 0.65:
-                assert (a, b) in cand or (min(a, b, key=len) in max(a, b, key=len)), (a, b)
-            short, long_ = (a, b) if len(a) <= len(b) else (b, a)
-            if len(short) >= 5 and short in long_ and short != long_:
-                assert (short, long_) in cont
-    pairs = similar_key_pairs(kdf, 0.65).collect()
-    for r in pairs:
-        assert r.a_later == RM.similar(r.a, r.b) and r.b_later == RM.similar(r.b, r.a)
+            ab, ba = RM.similar(a, b), RM.similar(b, a)
+            if ab or ba:
+                want[a, b] = (ab, ba)
+    return want
+
+
+def test_similar_pairs_are_those_of_the_definition(spark, monkeypatch):
+    from storyloom.operators import candidates as C
+    monkeypatch.setattr(C, "BLOCK_KEYS", 16)  # several blocks a band
+    _, items = _items_in_arrival(spark)
+    keys = sorted({RM.norm(it["title"]) for it in items} - {""})
+    keys += ["x" * 3000 + "y", "x" * 2900 + "z" * 50, "字" * 300, "字" * 290]  # long ones take the same path
+    keys = sorted(set(keys))
+    kdf = distinct_keys(spark.createDataFrame([("", k) for k in keys], "digest_key string, key string"))
+    got = {(r.a, r.b): (r.a_later, r.b_later) for r in similar_key_pairs(kdf, 0.65).collect()}
+    assert got == _pairs_by_definition(keys)
+
+
+def test_hot_title_contained_in_many_makes_few_edges(spark):
+    """A third of the rows carry one title that lies in many others."""
+    from storyloom.operators.grouping import story_edges
+    rows = [("market rally", f"https://h/{i}", "a") for i in range(100)]
+    rows += [(f"{w} market rally {w} {i}" * 2, f"https://o/{w}{i}", "b")
+             for i, w in enumerate(["zebra", "quartz", "jumbo", "vixen"] * 25)]
+    rows += [(f"{i}" * 30, f"https://n/{i}", "c") for i in range(1000, 1100)]
+    random.Random(2).shuffle(rows)
+    df = with_arrival_order(_raw_rows(spark, rows))
+    order = [r.item_id for r in df.orderBy("ord").collect()]
+    items = [dict(title=rows[i][0], link=rows[i][1]) for i in order]
+    edges = story_edges(grouping_items(df))
+    n_pairs = similar_key_pairs(distinct_keys(grouping_items(df)), 0.65).count()
+    assert n_pairs >= 100
+    assert edges.count() <= 2 * len(rows) + 2 * 2 * n_pairs  # chains, and two lookups from the rarer title a pair
+    pos = {iid: k for k, iid in enumerate(order)}
+    for exact in (True, False):
+        by = {}
+        for r in assign_groups(grouping_items(df), exact=exact).collect():
+            by.setdefault(r.leader_ord, []).append(pos[r.item_id])
+        want = sorted(RM.first_fit(items)) if exact else RM.components(items)
+        assert sorted(sorted(v) for v in by.values()) == want
+
+
+def test_ladder_of_200_pairs(spark):
+    """Each item matches its predecessor and an older group of its own."""
+    from storyloom.operators.grouping import propagate_min
+    n = 200
+    edges = [(n + i, i) for i in range(n)] + [(n + i, n + i - 1) for i in range(1, n)]
+    nodes = spark.range(2 * n).withColumnRenamed("id", "ord")
+    got = {r.ord: r.label for r in propagate_min(nodes, spark.createDataFrame(edges, "src long, dst long")).collect()}
+    assert got == {**{i: i for i in range(n)}, **{n + i: 0 for i in range(n)}}
+    # the same with the older groups in falling order: labels differ all along the ladder
+    edges = [(n + i, n - 1 - i) for i in range(n)] + [(n + i, n + i - 1) for i in range(1, n)]
+    got = {r.ord: r.label for r in propagate_min(nodes, spark.createDataFrame(edges, "src long, dst long")).collect()}
+    assert got == {**{i: i for i in range(n)}, **{n + i: n - 1 - i for i in range(n)}}
+
+
+def test_first_fit_on_whole_titles_at_the_larger_scale(spark):
+    sf = "/root/testdata/sf0.01"
+    c = candidates(spark, sf)
+    items = [r.asDict() for r in c.orderBy(*arrival_key()).collect()]
+    assert max(len(it["title"]) for it in items) > 80
+    members = group_stories(c, fixture_params(spark, sf), exact=True)
+    assert _spark_groups(members, items) == sorted(RM.first_fit(items))
 
 
 def _raw_rows(spark, rows):

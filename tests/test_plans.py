@@ -5,7 +5,7 @@ cartesian joins in the grouping plans."""
 import re
 
 from storyloom.operators.asof import latest_before
-from storyloom.operators.candidates import containment_pairs, distinct_keys, ratio_candidates
+from storyloom.operators.candidates import containment_pairs, distinct_keys, ratio_pairs
 from storyloom.plans.queries import REGISTRY, candidates
 
 SF = "/root/testdata/sf0.001"
@@ -33,7 +33,7 @@ def test_grouping_plans_have_no_nested_loop_or_cartesian_joins(spark):
     k = distinct_keys(keys)
     items = spark.createDataFrame([("", "a", 1), ("", "a", 5), ("", "b", 3)],
                                   "digest_key string, g string, ord long")
-    for df in (containment_pairs(k), ratio_candidates(k, 0.65),
+    for df in (containment_pairs(k), ratio_pairs(k, 0.65),
                latest_before(items, items, ["digest_key", "g"], bucket_bits=1)):
         p = plan(df)
         assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
@@ -44,3 +44,13 @@ def test_as_of_windows_are_bounded_by_bucket(spark):
     p = plan(latest_before(items, items, ["digest_key", "g"], bucket_bits=4))
     # the per-row window is partitioned by the key *and* the bucket
     assert re.search(r"Window \[.*\], \[digest_key#\d+, g#\d+, __b#\d+L?\]", p), p
+
+
+def test_ranking_shuffles_carry_no_texts(spark):
+    from storyloom.operators.ranking import rank_keys, top_groups
+    cols = ("item_id long, site string, title string, link string, summary string, pub_time timestamp, "
+            "pub_date date, comments long, kw_score int, ord long, digest_key string, leader_ord long")
+    members = spark.createDataFrame([], cols)
+    members = members.join(spark.range(3).withColumnRenamed("id", "leader_ord"), "leader_ord")
+    p = plan(top_groups(rank_keys(members), 5))
+    assert "Exchange" in p and "summary" not in p.split("Scan")[0] and "title" not in p.split("Scan")[0]

@@ -69,7 +69,7 @@ def score(df: DataFrame, params: DigestParams) -> DataFrame:
 
 def comment_count(text) -> Column:
     """F8: integer when the text is all ASCII digits, else 0."""
-    digits = F.regexp_extract(F.coalesce(col_(text).cast("string"), F.lit("")), r"^[0-9]+$", 0)
+    digits = F.regexp_extract(F.coalesce(col_(text).cast("string"), F.lit("")), r"^[0-9]+\z", 0)
     return F.coalesce(digits.try_cast("bigint"), F.lit(0).cast("bigint"))
 
 

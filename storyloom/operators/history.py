@@ -1,8 +1,9 @@
 """Published history.
 
 The history is a Parquet table ``(url STRING, title STRING, fetch_time
-TIMESTAMP)`` with ``url`` unique. It only ever grows by an
-insert-if-absent append; expiry writes a new version without old rows.
+TIMESTAMP)`` with ``url`` unique, partitioned by fetch date. It only ever
+grows by an insert-if-absent append; expiry drops whole dates and rewrites
+the one date that the cutoff falls into.
 Lookups are a left-anti join on the link: the history is bounded by
 the retention window, and AQE turns the join into a broadcast hash join
 at run time when the table is small, a sort-merge join otherwise.
@@ -10,11 +11,13 @@ at run time when the table is small, a sort-merge join otherwise.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from storyloom.functions.time import ts_lit
+from storyloom.operators.materialize import materialize
 
 HISTORY_SCHEMA = T.StructType([
     T.StructField("url", T.StringType(), False),
@@ -29,15 +32,23 @@ def empty_history(spark: SparkSession) -> DataFrame:
 
 def read_history(spark: SparkSession, path: str) -> DataFrame:
     """The table at ``path``, or an empty one when it does not exist yet."""
+    return read_or_empty(spark, path, HISTORY_SCHEMA).select("url", "title", "fetch_time")
+
+
+def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The Parquet table at ``path``; an empty one if there is no such path. Any
+    other failure is raised: a history that can't be read is not an empty one."""
     try:
-        return spark.read.schema(HISTORY_SCHEMA).parquet(path)
-    except Exception:  # noqa: BLE001 - a missing table reads as empty
-        return empty_history(spark)
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
 
 
 def unseen(df: DataFrame, history: DataFrame, link_col: str = "link") -> DataFrame:
     """Drop items whose link was published before."""
-    h = history.select(F.col("url").alias("__url")).distinct()
+    h = history.select(F.col("url").alias("__url"))
     return df.join(h, df[link_col] == h["__url"], "left_anti")
 
 
@@ -57,10 +68,12 @@ def merged_history(published: DataFrame, history: DataFrame, fetch_time) -> Data
 
 
 def append_history(published: DataFrame, history_path: str, fetch_time) -> None:
-    """S9 as a write: append new rows to the table at ``history_path``."""
+    """S9 as a write: append new rows to the table at ``history_path``, which is
+    partitioned by fetch date."""
     spark = published.sparkSession
     hist = read_history(spark, history_path)
-    new_history_rows(published, hist, fetch_time).write.mode("append").parquet(history_path)
+    (new_history_rows(published, hist, fetch_time).withColumn("fetch_date", F.to_date("fetch_time"))
+     .write.mode("append").partitionBy("fetch_date").parquet(history_path))
 
 
 def expire(history: DataFrame, as_of, days: int) -> DataFrame:
@@ -75,6 +88,25 @@ def expired(history: DataFrame, as_of, days: int) -> DataFrame:
     return history.filter(F.col("fetch_time") < cutoff)
 
 
-def rewrite_expired(spark: SparkSession, src_path: str, dst_path: str, as_of, days: int) -> None:
-    """S10 as a write: the kept rows go to a new version folder ``dst_path``."""
-    expire(read_history(spark, src_path), as_of, days).write.mode("overwrite").parquet(dst_path)
+def expire_stored(spark: SparkSession, path: str, as_of, days: int) -> int:
+    """S10 as a write on the stored table: folders of dates before the cutoff's
+    are deleted, the cutoff's own date is rewritten, later ones are not touched.
+    Returns how many rows went (A9)."""
+    hist = read_history(spark, path)
+    gone = expired(hist, as_of, days).count()
+    if not gone:
+        return 0
+    cutoff = spark.range(1).select(F.date_format(
+        F.to_date(ts_lit(as_of) - F.make_dt_interval(F.lit(days))), "yyyy-MM-dd")).first()[0]
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(conf)
+    edge = jvm.org.apache.hadoop.fs.Path(root, f"fetch_date={cutoff}")
+    if fs.exists(edge):
+        kept = materialize(expire(read_history(spark, edge.toString()), as_of, days), "history-edge")
+        kept.write.mode("overwrite").parquet(edge.toString())
+    for status in fs.listStatus(root):
+        name = status.getPath().getName()
+        if name.startswith("fetch_date=") and name[len("fetch_date="):] < cutoff:
+            fs.delete(status.getPath(), True)
+    return gone

@@ -10,7 +10,7 @@ from __future__ import annotations
 ARTICLES = """
 articles AS (
   SELECT d.doc_id AS item_id, d.source AS site,
-         left(split_part(d.text, chr(10), 1), 80) AS title,
+         split_part(d.text, chr(10), 1) AS title,
          coalesce(p.url, 'https://' || d.source || '.example/' || CAST(d.doc_id AS VARCHAR)) AS link,
          d.text AS content, d.lang,
          CAST(e.ts AS TIMESTAMP) AS pub_time,
@@ -48,7 +48,7 @@ def with_(*parts: str) -> str:
     return "WITH " + ",".join(parts)
 
 
-def sql() -> dict[str, str]:
+def filter_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     q["recent_articles"] = with_(ARTICLES) + """
 SELECT item_id, site, title, link, pub_time
@@ -69,8 +69,6 @@ SELECT item_id, site, title, link, summary, pub_time, pub_date, comments, kw_sco
 # ---------------------------------------------------------------------------
 # Shared SQL pieces. Fixed texts come from storyloom.params.
 # ---------------------------------------------------------------------------
-from storyloom.functions.text import NAMED_ENTITIES, WS_RUN  # noqa: E402
-from storyloom.functions.url import NETLOC_RE  # noqa: E402
 from storyloom.params import (DIGEST_BADGE_MARK, DIGEST_EMPTY, DIGEST_ITEM_RULE,  # noqa: E402
                               DIGEST_ITEM_SCORE, DIGEST_ITEM_SITE, DIGEST_ITEM_SUMMARY,
                               DIGEST_ITEM_TIME, DIGEST_OTHER_SOURCES, DIGEST_READ_MORE,
@@ -82,6 +80,18 @@ from storyloom.params import (DIGEST_BADGE_MARK, DIGEST_EMPTY, DIGEST_ITEM_RULE,
                               SEARCH_SITE_SUFFIX)
 
 
+# White space as Python's str.isspace() has it, and the entities that the
+# native text form decodes; written out here so that the check does not lean on the engine.
+WS_RUN = (r"[\x09-\x0D\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+")
+ENTITIES = ("nbsp \u0020", "lt <", "gt >", "quot \"", "#39 '", "apos '", "copy \u00a9", "middot \u00b7",
+            "mdash \u2014", "ndash \u2013", "hellip \u2026", "amp &")
+NETLOC_RE = "^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*)"
+
+
+def strip(x: str) -> str:
+    return f"regexp_replace({x}, '^{WS_RUN}|{WS_RUN}$', '', 'g')"
+
+
 def lit(s: str) -> str:
     """SQL string literal; newlines become chr(10)."""
     parts = s.split("\n")
@@ -105,8 +115,9 @@ def native_text(x: str) -> str:
     for tag in ("script", "style", "template"):
         h = f"regexp_replace({h}, '(?is)<{tag}\\b[^>]*>.*?</{tag}\\s*>', ' ', 'g')"
     h = f"regexp_replace({h}, '<[^>]*>', ' ', 'g')"
-    for ent, ch in NAMED_ENTITIES:
-        h = f"replace({h}, {lit(ent)}, {lit(ch)})"
+    for entity in ENTITIES:
+        name, ch = entity.split(" ", 1)
+        h = f"replace({h}, {lit('&' + name + ';')}, {lit(ch)})"
     h = f"regexp_replace({h}, '{WS_RUN}', ' ', 'g')"
     return f"regexp_replace({h}, '^ | $', '', 'g')"
 
@@ -119,13 +130,13 @@ READ_MORE = lit("[" + DIGEST_READ_MORE + "](")
 OTHERS = lit(DIGEST_OTHER_SOURCES)
 
 
-def groups_sql(dk: str | None) -> str:
+def groups_sql(dk: str | None, arrival: str = "site, pub_time DESC, item_id") -> str:
     """C7 over link + containment edges, A1-A4, T2/T5 top 15 per digest key."""
     dkcol = dk if dk else "''"
     return f"""
 ordered AS (
   SELECT c.*, {dkcol} AS digest_key,
-         row_number() OVER (ORDER BY site, pub_time DESC, item_id) AS ord, {KEY} AS key
+         row_number() OVER (ORDER BY {arrival}) AS ord, {KEY} AS key
   FROM candidates c
 ),
 und AS (
@@ -334,7 +345,7 @@ SELECT item_id, {lit(MODEL_DEFAULT_PROMPT)} AS system_prompt, model_input AS use
     q["summary_overlay"] = with_(ARTICLES, CANDIDATES) + f"""
 , replies AS (SELECT conv_id AS item_id, arg_min(text, turn) AS text FROM conversations
               WHERE role = 'assistant' GROUP BY conv_id),
-answers AS (SELECT item_id, regexp_replace(text, '^\\s+|\\s+$', '', 'g') AS new_summary FROM replies)
+answers AS (SELECT item_id, {strip('text')} AS new_summary FROM replies)
 SELECT c.item_id, CASE WHEN a.new_summary IS NOT NULL AND length(a.new_summary) > 0
                        THEN a.new_summary || {lit(MODEL_SUMMARY_SUFFIX)} ELSE c.summary END AS summary
 FROM candidates c LEFT JOIN answers a ON a.item_id = c.item_id"""
@@ -352,15 +363,6 @@ FROM articles, params WHERE pub_time >= params.as_of + INTERVAL 365 DAY - INTERV
     return q
 
 
-_base_sql = sql
-
-
-def sql() -> dict[str, str]:  # noqa: F811 - extends the first block
-    q = _base_sql()
-    q.update(more_sql())
-    return q
-
-
 def stream_sql() -> dict[str, str]:
     return {
         "stream_dedupe": "SELECT DISTINCT user_id FROM events",
@@ -370,15 +372,6 @@ FROM articles GROUP BY ALL""",
     }
 
 
-_sql_with_more = sql
-
-
-def sql() -> dict[str, str]:  # noqa: F811 - adds the stream checks
-    q = _sql_with_more()
-    q.update(stream_sql())
-    return q
-
-
 def push_sql() -> dict[str, str]:
     from storyloom.params import PUSH_TITLE_PREFIX
     g = "WITH RECURSIVE " + ",".join([ARTICLES, CANDIDATES, groups_sql(None)])
@@ -388,10 +381,75 @@ SELECT '# ' || {lit(PUSH_TITLE_PREFIX)} || strftime((SELECT as_of FROM params),
 FROM lines"""}
 
 
-_sql_with_stream = sql
+# Articles as they come back from a feed (text nodes collapsed, whole seconds) and from a search
+# (label instead of a site, position in the response, no comments).
+FEED_PART = f"""
+fed AS (
+  SELECT item_id, 0 AS kind, dense_rank() OVER (ORDER BY site) AS sorder, site AS source, site, title, link,
+         {strip(f"regexp_replace(content, '{WS_RUN}', ' ', 'g')")} AS content,
+         date_trunc('second', pub_time) AS pub_time, comments, lang
+  FROM articles
+)"""
+SEARCH_PART = f"""
+sought AS (
+  SELECT item_id, 1 AS kind, item_id // 400 AS sorder, site || '/' || (item_id // 400) AS source,
+         {lit(SEARCH_SITE_PREFIX)} || {netloc('link')} || {lit(SEARCH_SITE_SUFFIX)} AS site, title, link, content,
+         date_trunc('second', pub_time) AS pub_time, 0::BIGINT AS comments, lang,
+         row_number() OVER (PARTITION BY site, item_id // 400 ORDER BY item_id) AS position
+  FROM articles
+)"""
 
 
-def sql() -> dict[str, str]:  # noqa: F811 - adds the push message
-    q = _sql_with_stream()
-    q.update(push_sql())
-    return q
+def items_from(name: str, more: str = "true") -> str:
+    return f"""
+items AS (
+  SELECT item_id, kind, sorder, source, site, title, link, {SUMMARY} AS summary, pub_time,
+         CAST(pub_time AS DATE) AS pub_date, comments, lang FROM {name}, params
+  WHERE pub_time >= params.as_of - INTERVAL 2 DAY AND {more}
+),
+candidates AS (SELECT *, CAST({SCORE} AS INTEGER) AS kw_score FROM items WHERE NOT {EXCLUDED})"""
+
+
+def source_sql() -> dict[str, str]:
+    return {
+        "feed_items": with_(ARTICLES, FEED_PART, items_from("fed")) + """
+SELECT site, title, link, summary, pub_time, comments, kw_score FROM candidates""",
+        "search_items": with_(ARTICLES, SEARCH_PART, items_from("sought", "position <= 10")) + """
+SELECT site, title, link, summary, pub_time, pub_date, kw_score FROM candidates""",
+        "model_replies": with_(ARTICLES, CANDIDATES, NATIVE_BODY) + f"""
+SELECT item_id, nullif({strip("split_part(model_input, '.', 1)")}, '') AS new_summary FROM inputs""",
+    }
+
+
+def run_sql() -> dict[str, str]:
+    """Even items come by feed, odd ones by search; history of one day; the model answers with the first
+    sentence of what it is sent, and no page is landed."""
+    union = """
+kept_history AS (SELECT h.* FROM history h, params WHERE h.fetch_time >= params.as_of - INTERVAL 1 DAY),
+arrived AS (SELECT * FROM fed WHERE item_id % 2 = 0
+            UNION ALL SELECT * EXCLUDE (position) FROM (
+              SELECT * EXCLUDE (position), row_number() OVER (PARTITION BY source ORDER BY item_id) AS position
+              FROM sought WHERE item_id % 2 = 1) WHERE position <= 10)"""
+    unseen = "NOT EXISTS (SELECT 1 FROM kept_history h WHERE h.url = arrived.link)"
+    sent = (f"CASE WHEN length(summary) < 100 OR contains(summary, {lit(NO_ABSTRACT_PROBE)}) "
+            f"THEN {lit(MODEL_FALLBACK_TITLE)} || title || {lit(MODEL_FALLBACK_CONTENT)} || summary ELSE summary END")
+    said = strip(f"split_part({sent}, '.', 1)")
+    groups = groups_sql(None, "kind, sorder, source, pub_time DESC, item_id")
+    at = groups.rindex("top AS (")
+    groups = groups[:at] + "ranked_top AS (" + groups[at + len("top AS ("):] + f""",
+top AS (SELECT * REPLACE (CASE WHEN {said} <> '' THEN {said} || {lit(MODEL_SUMMARY_SUFFIX)} ELSE summary END AS summary)
+        FROM ranked_top)"""
+    return {"full_run": "WITH RECURSIVE " + ",".join([
+        ARTICLES, HISTORY, FEED_PART, SEARCH_PART, union, items_from("arrived", unseen), groups,
+        digest_lines_sql(False)]) + """
+SELECT 'digest' AS kind, '' AS key, string_agg(value, chr(10) ORDER BY line_no) AS value FROM lines
+UNION ALL
+SELECT 'history', url, title || ' @ ' || strftime(fetch_time, '%Y-%m-%d %H:%M:%S.%f') FROM kept_history
+UNION ALL
+SELECT 'history', link, arg_min(title, rank) || ' @ ' || strftime((SELECT as_of FROM params), '%Y-%m-%d %H:%M:%S.%f')
+FROM top WHERE NOT EXISTS (SELECT 1 FROM kept_history h WHERE h.url = top.link) GROUP BY link"""}
+
+
+def sql() -> dict[str, str]:
+    """All statements by query name."""
+    return {**filter_sql(), **more_sql(), **stream_sql(), **push_sql(), **source_sql(), **run_sql()}

@@ -99,10 +99,11 @@ def _ranked(spark, sf_dir, exact=False, use_ratio=False, digest_key=None):
 
 def top_components(spark, sf_dir, digest_key=None):
     """C7 on link + containment edges -> T2 -> T3."""
-    from storyloom.operators.ranking import top_groups
+    from storyloom.operators.materialize import materialize
+    from storyloom.plans.batch import select_top_stories
     p = fixture_params(spark, sf_dir)
-    c, ranked = _ranked(spark, sf_dir, digest_key=digest_key)
-    return c, top_groups(ranked, p.max_news_count)
+    c = materialize(filters.prepare_candidates(articles(spark, sf_dir), p), "candidates")
+    return c, materialize(select_top_stories(c, p, exact=False, digest_key=digest_key, use_ratio=False), "top")
 
 
 # ---------------------------------------------------------------- scalars
@@ -485,35 +486,63 @@ def q_feed_items(spark, sf_dir):
     a = articles(spark, sf_dir)
     path = _scratch(spark, "rss")
     FD.write_rss(a, path)
-    raw = FD.feed_items(FD.read_rss(spark, path), _feed_table(a), p.as_of)
+    raw = FD.feed_items(FD.read_feeds(spark, path), _feed_table(a), p.as_of)
     c = filters.prepare_candidates(raw, p)
     return c.select("site", "title", "link", "summary", ntz("pub_time").alias("pub_time"),
                     "comments", "kw_score")
 
 
-@register("search_items")
-def q_search_items(spark, sf_dir):
-    """The articles landed as search responses of at most ten
-    results each (one response per site and id block), read back."""
-    from storyloom.sources.search import read_responses, search_items
-    p = fixture_params(spark, sf_dir)
-    a = articles(spark, sf_dir)
-    block = F.floor(F.col("item_id") / 10)
+def _land_search(a: DataFrame, path: str) -> None:
+    """Articles as search responses: one response per site and id block, results in id order."""
+    block = F.floor(F.col("item_id") / 400)
     resp = a.groupBy("site", block.alias("blk")).agg(F.sort_array(F.collect_list(F.struct(
         F.col("item_id").alias("k"), F.col("title"), F.col("link").alias("url"),
         F.col("content"),
         F.date_format("pub_time", "yyyy-MM-dd'T'HH:mm:ssXXX").alias("published_date")))).alias("r"))
-    resp = resp.select(F.concat("site", F.lit("/"), F.col("blk").cast("string")).alias("query"),
-                       F.col("blk").cast("int").alias("query_order"),
-                       F.transform("r", lambda x: x.dropFields("k")).alias("results"))
+    resp.select(F.concat("site", F.lit("/"), F.col("blk").cast("string")).alias("query"),
+                F.col("blk").cast("int").alias("query_order"),
+                F.transform("r", lambda x: x.dropFields("k")).alias("results")) \
+        .write.mode("overwrite").json(path)
+
+
+@register("search_items")
+def q_search_items(spark, sf_dir):
+    """The articles landed as search responses and read back; of
+    each response the first ten results count."""
+    from storyloom.sources.search import read_responses, search_items
+    p = fixture_params(spark, sf_dir)
     path = _scratch(spark, "search")
-    resp.write.mode("overwrite").json(path)
-    raw = search_items(read_responses(spark, path), p.as_of)
-    c = filters.prepare_candidates(raw, p)
+    _land_search(articles(spark, sf_dir), path)
+    c = filters.prepare_candidates(search_items(read_responses(spark, path), p.as_of), p)
     return c.select("site", "title", "link", "summary", ntz("pub_time").alias("pub_time"),
                     "pub_date", "kw_score")
 
 
+@register("full_run")
+def q_full_run(spark, sf_dir):
+    """The whole job over feeds (even items) and search (odd items): expiry, history, selection,
+    model summaries of the top N, digest, append. Rows: the digest and the history after the run."""
+    from storyloom.operators.history import read_history
+    from storyloom.plans.batch import run_job
+    from storyloom.sources import feeds as FD
+    from storyloom.sources.search import read_responses, search_items
+    p = fixture_params(spark, sf_dir, history_days=1, use_ratio_edges=False)
+    base = _scratch(spark, "run")
+    a = articles(spark, sf_dir)
+    FD.write_rss(a.where("item_id % 2 = 0"), base + "/rss")
+    _land_search(a.where("item_id % 2 = 1"), base + "/search")
+    fixture_history(spark, sf_dir).withColumn("fetch_date", F.to_date("fetch_time")) \
+        .write.partitionBy("fetch_date").parquet(base + "/history")
+    raw = FD.feed_items(FD.read_feeds(spark, base + "/rss"), _feed_table(a), p.as_of).unionByName(
+        search_items(read_responses(spark, base + "/search"), p.as_of))
+    docs = run_job(raw, p, base + "/history", base + "/digests", "fixture", exact=False, call=echo_model,
+                   pages=spark.createDataFrame([], "url string, html string"))
+    after = read_history(spark, base + "/history")
+    return docs.select(F.lit("digest").alias("kind"), F.col("digest_key").alias("key"), F.col("document").alias("value")) \
+        .unionByName(after.select(F.lit("history").alias("kind"), F.col("url").alias("key"), F.concat(
+            "title", F.lit(" @ "), F.date_format("fetch_time", "yyyy-MM-dd HH:mm:ss.SSSSSS")).alias("value")))
+
+
 # ---------------------------------------------------------------- streaming
 @register("stream_dedupe")
 def q_stream_dedupe(spark, sf_dir):
@@ -544,17 +573,16 @@ def q_site_trend(spark, sf_dir):
 
 @register("stream_digest")
 def q_stream_digest(spark, sf_dir):
-    """ST1/ST2/ST4: the articles streamed in time order; each micro-batch
-    runs the selection against the history of earlier batches."""
-    from storyloom.operators.digest import display_time_text
+    """ST1/ST2/ST4: the articles streamed in time order, repeats of a record dropped; each micro-batch
+    runs the selection at its own time against the history of earlier batches."""
     from storyloom.streaming import stream as S
     p = fixture_params(spark, sf_dir)
     base = _scratch(spark, "digest")
     S.land_json(articles(spark, sf_dir), base + "/in", 3, "pub_time")
+    # a record that arrives twice is one; two sources with one link are two (A2 rewards them)
     src = S.dedupe_seen(S.with_late_bound(S.read_articles_stream(spark, base + "/in"),
-                                          p.days_limit), ["link"])
-    fn = S.digest_per_batch(p, base + "/out", base + "/history", display_time_text(p.as_of),
-                            exact=False)
+                                          p.days_limit), ["site", "item_id"])
+    fn = S.digest_per_batch(p, base + "/out", base + "/history", exact=False)
     q = (src.writeStream.foreachBatch(fn).option("checkpointLocation", base + "/ckpt")
          .trigger(availableNow=True).start())
     q.awaitTermination()

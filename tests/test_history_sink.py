@@ -4,11 +4,12 @@ import datetime as dt
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from storyloom.operators.digest import push_message, push_title, write_digests
-from storyloom.operators.history import (append_history, expire, expired, merged_history,
-                                         read_history, unseen)
+from storyloom.operators.history import (append_history, expire, expire_stored, expired,
+                                         merged_history, read_history, unseen)
 from storyloom.params import DIGEST_EMPTY, PUSH_EMPTY_NOTICE
 
 
@@ -44,13 +45,38 @@ def test_append_is_insert_if_absent_and_expiry(spark):
     assert expire(h, "2026-04-01 00:00:00", 30).count() == 2
 
 
+def test_stored_history_expires_by_date_folders(spark):
+    path = os.path.join(tempfile.mkdtemp(prefix="hist-", dir="/tmp"), "history")
+    times = {"a": "2026-03-20 10:00:00", "b": "2026-03-25 08:00:00", "c": "2026-03-25 12:00:00", "d": "2026-03-31 00:00:00"}
+    for i, (link, t) in enumerate(times.items()):
+        append_history(spark.createDataFrame([(i, link, link, 1)], "item_id long, link string, title string, rank int"), path, t)
+    untouched = sorted(os.listdir(os.path.join(path, "fetch_date=2026-03-31")))
+    assert expire_stored(spark, path, "2026-04-01 09:00:00", 7) == 2
+    assert sorted(r.url for r in read_history(spark, path).collect()) == ["c", "d"]
+    assert not os.path.exists(os.path.join(path, "fetch_date=2026-03-20"))
+    assert sorted(os.listdir(os.path.join(path, "fetch_date=2026-03-31"))) == untouched
+    assert expire_stored(spark, path, "2026-04-01 09:00:00", 7) == 0
+    assert expire_stored(spark, path + "-none", "2026-04-01 09:00:00", 7) == 0
+
+
+def test_unreadable_history_is_an_error(spark):
+    path = tempfile.mkdtemp(prefix="hist-", dir="/tmp")
+    with open(os.path.join(path, "part-0.parquet"), "w") as f:
+        f.write("not parquet")
+    with pytest.raises(Exception):
+        read_history(spark, path).collect()
+
+
 def test_digest_sink_and_push(spark):
     docs = spark.createDataFrame([("en", "doc en"), ("de", "doc de")], "digest_key string, document string")
     out = os.path.join(tempfile.mkdtemp(prefix="digest-", dir="/tmp"), "d")
-    write_digests(docs, out)
-    assert sorted(n for n in os.listdir(out) if n.startswith("digest_key=")) == ["digest_key=de", "digest_key=en"]
-    text = spark.read.text(os.path.join(out, "digest_key=en")).collect()
-    assert [r.value for r in text] == ["doc en"]
+    write_digests(docs, out, "monday")
+    own = write_digests(docs.withColumn("document", F.lit("later")), out, "tuesday")
+    assert sorted(n for n in os.listdir(own) if n.startswith("digest_key=")) == ["digest_key=de", "digest_key=en"]
+    text = spark.read.text(os.path.join(out, "run=monday", "digest_key=en")).collect()
+    assert [r.value for r in text] == ["doc en"]  # an earlier run's digest stays
+    one = write_digests(spark.createDataFrame([("", "x")], docs.schema), out, "all-in-one")
+    assert "digest_key=all" in os.listdir(one)
     title = push_title("2026-03-30 09:00:00")
     assert title.endswith("2026年03月30日")
     msg = push_message(docs.filter("digest_key = 'en'"), title).first().message

@@ -58,3 +58,38 @@ def mixed(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
     h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
     return h ^ (h >> np.uint64(32))
+
+
+def joined_ids(own: list[bytes], seq: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ids (little-endian 32-bit integers) of a sequence of words, given the ids of each distinct word,
+    and where each word's ids begin (one more entry than words)."""
+    size = np.fromiter(map(len, own), np.int64, len(own)) // 4
+    first = np.cumsum(size) - size
+    every = np.frombuffer(b"".join(own), "<u4")
+    length = size[seq]
+    total = np.concatenate(([0], np.cumsum(length)))
+    return every[np.repeat(first[seq] - total[:-1], length) + np.arange(int(total[-1]))], total
+
+
+class Remembered:
+    """Values of words that a worker has seen, in two generations of bounded size: when the young one
+    is full it becomes the old one, and words found in the old one move to the young one."""
+
+    def __init__(self, most: int):
+        self.most = most
+        self.young: dict = {}
+        self.old: dict = {}
+
+    def look_up(self, words: list[str]) -> tuple[list, list[int]]:
+        """The known values, and the positions of the words without one."""
+        if len(self.young) > self.most:
+            self.old, self.young = self.young, {}
+        young, old, new = self.young, self.old, []
+        out: list = list(map(young.get, words))
+        for i in [i for i, x in enumerate(out) if x is None]:
+            x = old.get(words[i])
+            if x is None:
+                new.append(i)
+            else:
+                out[i] = young[words[i]] = x
+        return out, new

@@ -29,14 +29,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from storyloom.llm.arrow import column, slices, text_column
+from storyloom.llm.arrow import Remembered, column, joined_ids, slices, text_column
 
 SPACE = "▁"
-#: Stretches whose ids a Python worker remembers, and the longest that it does.
-CACHE_STRETCHES, CACHE_CHARS = 300_000, 64
+#: Stretches and pairs of pieces that a Python worker remembers (of each, in two generations).
+CACHE_STRETCHES, CACHE_PAIRS = 250_000, 250_000
 
 
 class Pieces:
@@ -58,8 +59,11 @@ class Pieces:
             raise ValueError("a piece has a space mark after another character")
         self.raw = {i: b for b, i in self.byte.items()}
         self.unknown = sp.unk_id()
+        self.ends = {p[k:] for p in self.id for k in range(len(p))}  # what a piece may end with
+        self.whole: dict[str, bool] = {}
         self.stable: dict[tuple[str, str], bool] = {}
-        self.known: dict[str, list[int]] = {}
+        self.known = Remembered(CACHE_STRETCHES)
+        self.odd: set[str] = set()  # stretches that don't decode to themselves (none if bytes are pieces)
 
     # -- pairs -----------------------------------------------------------------
 
@@ -77,22 +81,18 @@ class Pieces:
 
     def _joins(self, a: str, b: str) -> bool:
         """May piece ``b`` follow piece ``a``?"""
-        if self.kind != "bpe" or not a:
+        if self.kind != "bpe":
             return True
         got = self.stable.get((a, b))
-        if got is None:
-            if len(self.stable) > 2_000_000:
-                self.stable.clear()
-            got = self.stable[a, b] = self._merged(a + b) == [a, b]
-        return got
+        return self._follows(a, b) if got is None else got
 
     def _whole(self, b: str) -> bool:
         """Is piece ``b`` what merging makes of its own characters?"""
         if self.kind != "bpe" or len(b) == 1:
             return True
-        got = self.stable.get(("", b))
+        got = self.whole.get(b)
         if got is None:
-            got = self.stable["", b] = self._merged(b) == [b]
+            got = self.whole[b] = self._merged(b) == [b]
         return got
 
     # -- encoding --------------------------------------------------------------
@@ -106,17 +106,20 @@ class Pieces:
             tail += c
             i = len(tail)
             best, best_score = None, 0.0
-            for size in range(min(self.longest, i), 0, -1):
-                piece = tail[i - size:]
+            reach = i - 1  # the longest text before here that a piece may end with
+            while reach > 0 and i - reach < self.longest and tail[reach - 1:] in self.ends:
+                reach -= 1
+            for at in range(reach, i):
+                piece = tail[at:]
                 score = self.score.get(piece)
                 if score is None:
-                    if size > 1:
+                    if at < i - 1:
                         continue
                     score = self.low
-                before = last[i - size]
-                if before is None or not self._whole(piece) or not self._joins(before, piece):
+                before = last[at]
+                if before is None or not self._joins(before, piece):
                     continue
-                score += total[i - size]
+                score += total[at]
                 if best is None or score > best_score:
                     best, best_score = piece, score
                 if self.kind == "bpe":
@@ -159,26 +162,107 @@ class Pieces:
             return [i]
         return [self.byte[b] for b in piece.encode()] if self.byte else [self.unknown]
 
+    def _follows(self, a: str, b: str) -> bool:
+        """May piece ``b`` follow ``a`` (or begin, after the empty piece), remembered."""
+        if len(self.stable) > CACHE_PAIRS:
+            self.stable.clear()
+        got = self.stable[a, b] = self._whole(b) and (not a or self._merged(a + b) == [a, b])
+        return got
+
+    def _merge_pass(self, s: str) -> list[str]:
+        """The pass of ``segments`` for merges, over a stretch that fits the window."""
+        score, ends, stable = self.score, self.ends, self.stable
+        last: list[str | None] = [""]
+        for i in range(1, len(s) + 1):
+            at = i - 1
+            while at and s[at - 1:i] in ends:
+                at -= 1
+            best = None
+            while at < i:
+                piece = s[at:i]
+                if piece in score or at == i - 1:
+                    before = last[at]
+                    if before is not None:
+                        ok = stable.get((before, piece))
+                        if ok or ok is None and self._follows(before, piece):
+                            best = piece
+                            break
+                at += 1
+            last.append(best)
+        return self._back(last, len(s))
+
+    def _stretch(self, s: str) -> bytes:
+        short = self.kind == "bpe" and len(s) <= 2 * self.longest
+        pieces = self._merge_pass(s) if short else self.segments(iter(s))
+        ids = [i for p in pieces for i in self._ids(p)]
+        if self._text(ids) != s.replace(SPACE, " "):
+            self.odd.add(s)
+        return np.array(ids, "<u4").tobytes()
+
     def encode(self, text: str) -> list[int]:
+        """The ids of one text."""
         if not text:
             return []
-        out: list[int] = []
-        for found in STRETCH.finditer(SPACE + text.replace(" ", SPACE)):
-            s = found.group()
-            ids = self.known.get(s)
-            if ids is None:
-                ids = [i for p in self.segments(iter(s)) for i in self._ids(p)]
-                if len(s) <= CACHE_CHARS:
-                    if len(self.known) >= CACHE_STRETCHES:
-                        self.known.clear()
-                    self.known[s] = ids
-            out += ids
+        found = STRETCH.findall(SPACE + text.replace(" ", SPACE))
+        return np.frombuffer(b"".join(self.stretches(found)), "<u4").tolist()
+
+    def stretches(self, found: list[str]) -> list[bytes]:
+        """The ids of stretches, as little-endian 32-bit integers."""
+        out, new = self.known.look_up(found)
+        for i in new:
+            out[i] = self.known.young[found[i]] = self._stretch(found[i])
         return out
 
+    def encode_texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The ids of many texts one after another, where each text begins (one more entry), and whether
+        its stretches decode to themselves. A text's words are coded once per distinct word; runs of
+        spaces, which belong to the next word, are put before it first."""
+        n = len(texts)
+        if pc.any(pc.match_substring(texts, SPACE)).as_py():  # texts with the mark itself: one by one
+            each = [self.encode(t) for t in texts.to_pylist()]
+            ids = np.array([i for e in each for i in e], "<u4")
+            same = np.array([self.decode(e) == t for e, t in zip(each, texts.to_pylist())])
+            return ids, np.concatenate(([0], np.cumsum([len(e) for e in each]))), same
+        parts = pc.split_pattern(texts, " ")
+        flat, offsets = parts.flatten(), np.asarray(parts.offsets, np.int64)
+        empty = np.asarray(pc.equal(pc.binary_length(flat), 0))
+        offsets = offsets - offsets[0]
+        if empty.any():
+            blank = np.asarray(pc.equal(pc.binary_length(texts), 0))
+            words, offsets = self._runs_joined(flat, empty, offsets, blank)
+        else:
+            words = pc.binary_join_element_wise(pa.scalar(SPACE, flat.type), flat, pa.scalar("", flat.type))
+        if not len(words):
+            return np.empty(0, "<u4"), np.zeros(n + 1, np.int64), np.ones(n, bool)
+        coded = pc.dictionary_encode(words)
+        names = coded.dictionary.to_pylist()
+        own = self.stretches(names)
+        seq = np.asarray(coded.indices)
+        ids, total = joined_ids(own, seq)
+        same = np.array([w not in self.odd for w in names])
+        wrong = np.concatenate(([0], np.cumsum(~same[seq])))
+        return ids, total[offsets], np.diff(wrong[offsets]) == 0
+
+    @staticmethod
+    def _runs_joined(flat: pa.Array, empty: np.ndarray, offsets: np.ndarray,
+                     blank: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+        """Words with all the space marks before them; a text's last empty words are a run of marks, and
+        an empty text has no word."""
+        first = np.repeat(offsets[:-1], np.diff(offsets))
+        last = np.zeros(len(flat), bool)
+        last[offsets[1:] - 1] = True
+        keep = (~empty | last) & ~np.repeat(blank, np.diff(offsets))
+        kept = np.flatnonzero(keep)
+        before = np.concatenate(([-1], kept[:-1]))
+        marks = kept - np.maximum(before, first[kept] - 1)  # one, and one for each empty word in between
+        words = pc.binary_join_element_wise(pc.binary_repeat(pa.scalar(SPACE, flat.type), pa.array(marks)),
+                                            flat.take(pa.array(kept)), pa.scalar("", flat.type))
+        count = np.concatenate(([0], np.cumsum(keep)))
+        return words, count[offsets]
+
     # -- decoding --------------------------------------------------------------
 
-    def decode(self, ids: list[int]) -> str:
-        """Text of a list of ids; bytes that are not UTF-8 become U+FFFD."""
+    def _text(self, ids: list[int]) -> str:
         out, raw = [], bytearray()
         for i in ids:
             b = self.raw.get(i)
@@ -190,7 +274,11 @@ class Pieces:
                 raw.clear()
             out.append(self.text[i])
         out.append(raw.decode(errors="replace"))
-        text = "".join(out).replace(SPACE, " ")
+        return "".join(out).replace(SPACE, " ")
+
+    def decode(self, ids: list[int]) -> str:
+        """Text of a list of ids; bytes that are not UTF-8 become U+FFFD."""
+        text = self._text(ids)
         return text[1:] if text.startswith(" ") else text
 
 
@@ -211,9 +299,11 @@ def encode(docs: DataFrame, path: str, kind: str = "bpe") -> DataFrame:
         model = pieces(path, kind)
         for batch in batches:
             for part in slices(batch, "text"):
-                ids = [model.encode(t) for t in text_column(part, "text").to_pylist()]
+                ids, begin, _ = model.encode_texts(text_column(part, "text"))
                 yield pa.RecordBatch.from_arrays(
-                    [column(part, "doc_id").cast(pa.int64()), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
+                    [column(part, "doc_id").cast(pa.int64()),
+                     pa.ListArray.from_arrays(pa.array(begin.astype(np.int32)), pa.array(ids.view(np.int32)))],
+                    ["doc_id", "ids"])
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return rows.mapInArrow(run, "doc_id long, ids array<int>")
 
@@ -230,19 +320,16 @@ def decode(rows: DataFrame, path: str, kind: str = "bpe") -> DataFrame:
 
 def coded_digest(docs: DataFrame, path: str, kind: str = "bpe") -> DataFrame:
     """``(doc_id, n_tokens, ids_crc32, round_trip)``: ids as little-endian unsigned 32-bit integers, and whether
-    decoding gives the text back."""
+    decoding gives the text back, tested on its distinct stretches (no byte run crosses their ends)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = pieces(path, kind)
         for batch in batches:
             for part in slices(batch, "text"):
-                n, crc, same = [], [], []
-                for t in text_column(part, "text").to_pylist():
-                    ids = model.encode(t)
-                    n.append(len(ids))
-                    crc.append(zlib.crc32(np.array(ids, "<u4").tobytes()))
-                    same.append(model.decode(ids) == t)
+                ids, begin, same = model.encode_texts(text_column(part, "text"))
+                raw, at = memoryview(np.ascontiguousarray(ids)).cast("B"), (4 * begin).tolist()
+                crc = [zlib.crc32(raw[a:b]) for a, b in zip(at, at[1:])]
                 yield pa.RecordBatch.from_arrays(
-                    [column(part, "doc_id").cast(pa.int64()), pa.array(n, pa.int64()), pa.array(crc, pa.int64()),
-                     pa.array(same, pa.bool_())], ["doc_id", "n_tokens", "ids_crc32", "round_trip"])
+                    [column(part, "doc_id").cast(pa.int64()), pa.array(np.diff(begin)), pa.array(crc, pa.int64()),
+                     pa.array(same)], ["doc_id", "n_tokens", "ids_crc32", "round_trip"])
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return rows.mapInArrow(run, "doc_id long, n_tokens long, ids_crc32 long, round_trip boolean")

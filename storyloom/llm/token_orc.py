@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storyloom.llm.arrow import column, slices, text_column, words
+from storyloom.llm.arrow import Remembered, column, joined_ids, slices, text_column, words
 
 END_ID = 2
 ROW_INDEX_STRIDE = 1000
@@ -56,8 +56,7 @@ class Words:
         self.ends = np.zeros(self.tok.get_vocab_size(), bool)  # ids that close a run of letters or marks
         for piece, i in self.tok.get_vocab().items():
             self.ends[i] = piece.endswith("</w>")
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.known = Remembered(CACHE_WORDS)
 
     def _joined(self, words: list[str], runs: np.ndarray) -> list[bytes]:
         """Plain words, encoded as texts of many words and cut at the runs' ends."""
@@ -85,18 +84,8 @@ class Words:
 
     def ids(self, distinct: pa.Array) -> list[bytes]:
         words = distinct.to_pylist()
-        if len(self.young) > CACHE_WORDS:
-            self.old, self.young = self.young, {}
-        young, old = self.young, self.old
-        out: list = list(map(young.get, words))
-        new = []
-        for i in [i for i, x in enumerate(out) if x is None]:
-            w = words[i]
-            x = old.get(w)
-            if x is None:
-                new.append(i)
-            else:
-                out[i] = young[w] = x
+        out, new = self.known.look_up(words)
+        young = self.known.young
         if new:
             part = distinct.take(pa.array(new))
             plain = np.asarray(pc.match_substring_regex(part, PLAIN))
@@ -130,14 +119,9 @@ def encode_texts(texts: pa.Array, path: str, end_id: int) -> tuple[np.ndarray, n
     coded = pc.dictionary_encode(flat)
     own = _words_of(path).ids(coded.dictionary)
     own.append(np.array([end_id], "<u4").tobytes())
-    size = np.fromiter(map(len, own), np.int64, len(own)) // 4
-    first = np.cumsum(size) - size
-    every = np.frombuffer(b"".join(own), "<u4")
     # the sequence of words, with the end after each text
     seq = np.insert(np.asarray(coded.indices), begin[1:], len(own) - 1)
-    length = size[seq]
-    total = np.concatenate(([0], np.cumsum(length)))
-    ids = every[np.repeat(first[seq] - total[:-1], length) + np.arange(int(total[-1]))]
+    ids, total = joined_ids(own, seq)
     return ids, np.concatenate(([0], total[begin[1:] + np.arange(1, n + 1)]))
 
 

@@ -166,7 +166,8 @@ def dropped_lines(docs: DataFrame) -> DataFrame:
     free_shuffles(docs.sparkSession)
     words = materialize(
         _rows(docs).select("doc", "text").join(_few(where, "at"), "doc")
-        .select(F.expr("transform(at, x -> named_struct('place', x.place, 'raw', split(text, '\\n')[x.no]))").alias("at"))
+        .select(F.expr("transform(array(split(text, '\\n')), parts -> transform(at, x -> "
+                       "named_struct('place', x.place, 'raw', parts[x.no])))[0]").alias("at"))
         .select(F.explode("at").alias("x"))
         .select("x.place", F.split(F.expr(_normal("x.raw")), " ").alias("w")), "words")  # twice if a row repeats
     near = materialize(_near(words).select("place").distinct(), "near").withColumn("near", F.lit(True))
@@ -181,8 +182,8 @@ def dropped_lines(docs: DataFrame) -> DataFrame:
 
 def _kept_text() -> str:
     """SQL: the lines whose numbers are not in ``gone``, in order."""
-    return """CASE WHEN gone IS NULL THEN text ELSE array_join(transform(
-        array_except(sequence(0, size(parts) - 1), gone), k -> parts[k]), '\\n') END"""
+    return """CASE WHEN gone IS NULL THEN text ELSE transform(array(split(text, '\\n')), parts -> array_join(
+        transform(array_except(sequence(0, size(parts) - 1), gone), k -> parts[k]), '\\n'))[0] END"""
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
@@ -192,9 +193,10 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     rows = docs.select(F.xxhash64("doc_id", "text").alias("doc"), "doc_id", "text",
                        F.struct(*[f"`{c}`" for c in rest]).alias("rest") if rest else F.lit(None).alias("rest"))
     full = rows.join(_few(dropped_lines(docs), "gone"), "doc", "left") \
-        .withColumn("parts", F.split("text", "\n")).withColumn("kept", F.expr(_kept_text()))
+        .withColumn("kept", F.expr(_kept_text()))
     count = {"n_chars": F.length("kept").cast(docs.schema["n_chars"].dataType)} if "n_chars" in rest else {}
-    stats = F.struct(F.coalesce(F.size("parts"), F.lit(0)).cast("long").alias("n_lines"),
+    n_lines = F.octet_length("text") - F.octet_length(F.replace("text", F.lit("\n"), F.lit(""))) + 1
+    stats = F.struct(F.coalesce(n_lines, F.lit(0)).cast("long").alias("n_lines"),
                      F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_dropped"),
                      F.coalesce("near", F.lit(0)).cast("long").alias("n_near"))
     return full.select(*[F.col("kept").alias("text") if c == "text" else F.col(c) if c == "doc_id"

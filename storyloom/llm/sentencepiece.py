@@ -37,7 +37,9 @@ from storyloom.llm.arrow import Remembered, column, joined_ids, slices, text_col
 
 SPACE = "▁"
 #: Stretches and pairs of pieces that a Python worker remembers (of each, in two generations).
-CACHE_STRETCHES, CACHE_PAIRS = 250_000, 250_000
+CACHE_STRETCHES, CACHE_PAIRS = 600_000, 600_000
+#: Text bytes whose words are looked up at once.
+TEXT_BYTES = 8 << 20
 
 
 class Pieces:
@@ -298,7 +300,7 @@ def encode(docs: DataFrame, path: str, kind: str = "bpe") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = pieces(path, kind)
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", TEXT_BYTES):
                 ids, begin, _ = model.encode_texts(text_column(part, "text"))
                 yield pa.RecordBatch.from_arrays(
                     [column(part, "doc_id").cast(pa.int64()),
@@ -324,7 +326,7 @@ def coded_digest(docs: DataFrame, path: str, kind: str = "bpe") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = pieces(path, kind)
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", TEXT_BYTES):
                 ids, begin, same = model.encode_texts(text_column(part, "text"))
                 raw, at = memoryview(np.ascontiguousarray(ids)).cast("B"), (4 * begin).tolist()
                 crc = [zlib.crc32(raw[a:b]) for a, b in zip(at, at[1:])]

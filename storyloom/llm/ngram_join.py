@@ -332,9 +332,10 @@ def _product(placed: DataFrame, num: int, den: int) -> DataFrame:
     meets = holds.withColumnRenamed("block", "left").join(holds.withColumnRenamed("block", "right"), "token") \
         .where(F.col("left") <= F.col("right")).select("left", "right").distinct()
     meets = materialize(meets, "block-pairs")
-    x = placed.withColumn("left", F.col("block")).join(meets, "left").groupBy("left", "right")
-    y = placed.withColumn("right", F.col("block")).join(meets, "right").groupBy("left", "right")
-    return x.cogroup(y).applyInArrow(_multiply(num, den), "a long, b long")
+    def side(name):  # columns of its own, as the two sides are cogrouped
+        dealt = placed.withColumn(name, F.col("block")).join(meets, name)
+        return dealt.select(*[F.col(c).alias(c) for c in dealt.columns]).groupBy("left", "right")
+    return side("left").cogroup(side("right")).applyInArrow(_multiply(num, den), "a long, b long")
 
 
 def _fetch(rows: DataFrame, classes: DataFrame, wanted: DataFrame, width: int) -> DataFrame:

@@ -73,6 +73,17 @@ def test_same_components_as_all_pairs(spark, seed, width, num, den):
     assert run(spark, rows, width, num, den) == brute(rows, width, num, den)
 
 
+@pytest.mark.parametrize("light,rows_a_block,entries", [(1, 5, 50), (3, 1000, 20), (8, 4, 10)])
+def test_small_blocks_and_buckets_give_the_same(spark, monkeypatch, light, rows_a_block, entries):
+    from storyloom.llm import ngram_join
+    monkeypatch.setattr(ngram_join, "LIGHT", light)
+    monkeypatch.setattr(ngram_join, "BLOCK_ROWS", rows_a_block)
+    monkeypatch.setattr(ngram_join, "BUCKET_ENTRIES", entries)
+    monkeypatch.setattr(ngram_join, "BROADCAST_IDS", 0)
+    rows = corpus(11, 90) + EDGE
+    assert run(spark, rows, 3, 85, 100) == brute(rows, 3, 85, 100)
+
+
 def test_large_group_of_near_copies_with_few_pairs(spark):
     r = random.Random(5)
     base = [f"v{r.randrange(500)}" for _ in range(200)]

@@ -18,7 +18,8 @@ FAST = ["recent_articles", "short_summary", "exclude_keywords", "keyword_score",
         "domain_filter", "per_source_cap", "html_text", "link_pairs", "containment_pairs",
         "candidate_stats", "source_counts", "unseen_articles", "history_expire",
         "history_expired", "model_input", "model_requests", "summary_overlay", "digest_empty",
-        "top_stories", "digest_lines", "story_components", "stream_dedupe", "site_trend"]
+        "top_stories", "digest_lines", "story_components", "stream_dedupe", "site_trend",
+        "feed_items", "search_items", "model_replies", "full_run"]
 
 
 @pytest.fixture(scope="module")

@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from storyloom.operators.asof import latest_before
+from storyloom.operators.materialize import materialize
 
 #: Stretches of 2**33 half-microseconds, a little over an hour.
 BUCKET_BITS = 33
@@ -50,11 +51,11 @@ def intervals(entries: DataFrame) -> DataFrame:
     null while listed. ``entries``: (kind, key, at as microseconds, listed)."""
     one = (entries.where("kind is not null and key is not null and at is not null and listed is not null")
            .groupBy("kind", "key", "at").agg(F.max("listed").alias("listed")))
-    marks = one.select("kind", "key", F.col("at").alias("ord"), "listed")
+    marks = materialize(one.select("kind", "key", F.col("at").alias("ord"), "listed"), "marks")
     before = latest_before(marks, marks, ["kind", "key"], BUCKET_BITS - 1)
     was = marks.select("kind", "key", F.col("ord").alias("prev"), F.col("listed").alias("was"))
-    turns = (marks.join(before, ["kind", "key", "ord"]).join(was, ["kind", "key", "prev"], "left")
-             .where("listed <> coalesce(was, false)").select("kind", "key", "ord", "listed"))
+    turns = materialize(marks.join(before, ["kind", "key", "ord"]).join(was, ["kind", "key", "prev"], "left")
+                        .where("listed <> coalesce(was, false)").select("kind", "key", "ord", "listed"), "turns")
     # the next turn is the latest one on the reversed axis
     back = turns.select("kind", "key", (-F.col("ord")).alias("ord"))
     after = latest_before(back, back, ["kind", "key"], BUCKET_BITS - 1) \
@@ -66,7 +67,7 @@ def intervals(entries: DataFrame) -> DataFrame:
 def evaluate(captures: DataFrame, entries: DataFrame) -> DataFrame:
     """``(capture_id, host, fetched, blocked, n_active, since)`` for each row of ``captures(capture_id,
     url, fetched as microseconds)``: how many active entries match, and since when the oldest has held."""
-    listed = intervals(entries)
+    listed = materialize(intervals(entries), "intervals")
     rows = captures.select("capture_id", host_of("url").alias("host"), "fetched")
     wanted = rows.where("host is not null and fetched is not null").select("host", "fetched").distinct() \
         .select("host", "fetched", F.explode(keys_of("host")).alias("x")) \

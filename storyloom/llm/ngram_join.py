@@ -57,7 +57,7 @@ COUNTER_SLICES = 64
 #: Blocks of columns (by the hash's first bits) in which a set's sizes are kept for bounds.
 BLOCKS_LOG2 = 5
 #: Members up to which a column is light, and entries that one task multiplies.
-LIGHT = 8
+LIGHT = 64
 BUCKET_ENTRIES = 100_000
 #: Rows of a block of the heavy columns' product.
 BLOCK_ROWS = 1000

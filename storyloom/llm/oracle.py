@@ -120,4 +120,63 @@ SELECT cap.page_id, cap.host, cap.fetched, coalesce(n_active, 0) > 0 AS blocked,
 FROM cap LEFT JOIN hit USING (page_id)
 """
 
-SQL = {"op1_ngram_jaccard_join": OP1, "op3_line_dedup": OP3, "op5_quality_rules": OP5, "op8_url_filter": OP8}
+
+
+def _spans_of(name: str, k: int, pattern: str, holds: str, source: str = "d") -> str:
+    """Matches of a pattern with code point offsets: a match starts after the gaps and matches before it."""
+    return f"""
+SELECT doc_id, {k} AS k, '{name}' AS name, s, s + length(t) AS e, t,
+       regexp_replace(right(g[i], 80), '^\\S*', '') || ' ' || regexp_replace(left(g[i + 1], 80), '\\S*$', '') AS around
+FROM (SELECT doc_id, m, g, i, m[i] AS t,
+             CAST(list_sum(list_transform(g[1:i], lambda x: length(x)))
+                  + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0) AS BIGINT) AS s
+      FROM (SELECT doc_id, m, g, unnest(range(1, len(m) + 1)) AS i
+            FROM (SELECT doc_id, regexp_extract_all(text, '{pattern}') AS m,
+                         string_split_regex(text, '{pattern}') AS g FROM {source})))
+WHERE {holds}"""
+
+
+_DIGITS = "regexp_replace(t, '[^0-9]', '', 'g')"
+_LUHN = (f"list_sum(list_transform(range(1, length({_DIGITS}) + 1), lambda j: CASE WHEN j % 2 = 1 "
+         f"THEN CAST(reverse({_DIGITS})[j] AS INTEGER) ELSE (2 * CAST(reverse({_DIGITS})[j] AS INTEGER)) // 10 "
+         f"+ (2 * CAST(reverse({_DIGITS})[j] AS INTEGER)) % 10 END)) % 10 = 0")
+_BASE = " UNION ALL ".join((
+    _spans_of("email", 0, r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "true"),
+    _spans_of("ip", 1, r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+              "list_bool_and(list_transform(string_split(t, '.'), lambda x: length(ltrim(x, '0')) <= 3 "
+              "AND coalesce(TRY_CAST(ltrim(x, '0') AS INTEGER), 0) <= 255))"),
+    _spans_of("card", 2, r"[0-9]([\x20-]?[0-9])+", f"length({_DIGITS}) BETWEEN 14 AND 19 AND {_LUHN}"),
+    _spans_of("phone", 3, r"\+[0-9][\x20().0-9-]+[0-9]", f"length({_DIGITS}) BETWEEN 10 AND 15")))
+
+OP10 = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+base AS MATERIALIZED (""" + _BASE + r"""),
+mention AS (SELECT doc_id, lower(around) AS around, k || ':' || CASE k WHEN 0 THEN lower(t) WHEN 1 THEN t
+            ELSE regexp_replace(t, '[^0-9]', '', 'g') END AS entity FROM base),
+near AS (SELECT DISTINCT entity, doc_id, md5(around) AS context,
+                unnest(list_distinct(regexp_extract_all(around, '\p{L}{4,}'))) AS term FROM mention),
+pair AS (SELECT entity, term, count(DISTINCT doc_id) AS together FROM near GROUP BY ALL HAVING count(DISTINCT context) >= 3),
+holder AS (SELECT entity, count(DISTINCT doc_id) AS c_e FROM mention GROUP BY entity),
+spread AS (SELECT term, count(*) AS c_t
+           FROM (SELECT unnest(list_distinct(regexp_extract_all(lower(text), '\p{L}{4,}'))) AS term FROM d) GROUP BY term),
+total AS (SELECT count(*) AS n FROM d),
+revealing AS (SELECT entity, term FROM pair JOIN holder USING (entity) JOIN spread USING (term), total
+              WHERE ln(together * n / (c_t * c_e)) / nullif(ln(n / c_e), 0) >= 0.7),
+flagged AS (SELECT DISTINCT doc_id, term FROM mention JOIN revealing USING (entity)),
+touched AS (SELECT * FROM d WHERE doc_id IN (SELECT doc_id FROM flagged)),
+run AS (""" + _spans_of("term", 4, r"\p{L}+", "true", "touched") + r"""),
+every AS (SELECT doc_id, k, name, s, e FROM base
+          UNION ALL SELECT run.doc_id, k, name, s, e FROM run JOIN flagged f ON f.doc_id = run.doc_id AND f.term = lower(t)),
+said AS (SELECT doc_id, count(*) FILTER (k = 0) AS n_email, count(*) FILTER (k = 1) AS n_ip,
+                count(*) FILTER (k = 2) AS n_card, count(*) FILTER (k = 3) AS n_phone, count(*) FILTER (k = 4) AS n_term,
+                coalesce(string_agg(name || ':' || s || ':' || e, ',' ORDER BY s, k) FILTER (k < 4), '') AS base,
+                string_agg(name || ':' || s || ':' || e, ',' ORDER BY s, k) AS spans
+         FROM every GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip, coalesce(n_card, 0) AS n_card,
+       coalesce(n_phone, 0) AS n_phone, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans,
+       coalesce(n_term, 0) AS n_term
+FROM d LEFT JOIN said USING (doc_id)
+"""
+
+SQL = {"op1_ngram_jaccard_join": OP1, "op3_line_dedup": OP3, "op5_quality_rules": OP5, "op8_url_filter": OP8,
+       "op10_pii": OP10}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,7 +12,7 @@ import pyarrow.compute as pc
 import xxhash
 
 #: Text bytes worked on at once inside a task; bounds the task's arrays, not its input.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 
 def column(batch: pa.RecordBatch, name: str) -> pa.Array:
@@ -34,6 +36,13 @@ def slices(batch: pa.RecordBatch, name: str, most: int = SLICE_BYTES) -> Iterato
             yield batch.slice(a, b - a)
 
 
+def give_back() -> None:
+    """Return freed memory to the system at the end of a task: Spark uses a worker for many stages."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not every C library has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def words(texts: pa.Array, lower: bool) -> tuple[pa.Array, np.ndarray]:
     """Words between runs of ASCII white space (0x20, 0x09-0x0D) of each text, flat, and
     where each text's words begin (one more entry than texts). ``lower`` maps A-Z only."""

@@ -45,7 +45,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from storyloom.llm.arrow import column, mixed, slices, text_column, word_hashes, words
+from storyloom.llm.arrow import column, give_back, mixed, slices, text_column, word_hashes, words
 from storyloom.llm.components import components
 from storyloom.llm.storage import free_shuffles
 from storyloom.operators.materialize import materialize
@@ -118,6 +118,7 @@ def _profile(width: int):
                  pa.nulls(len(rows), pa.int64()), pa.nulls(len(rows), pa.list_(pa.int32())),
                  pa.array(range(len(rows)), pa.int32()), pa.array([r.tobytes() for r in rows], pa.binary())],
                 ["doc_id", "n_shingles", "cls", "inside", "slice", "counts"])
+        give_back()
     return run
 
 
@@ -163,6 +164,7 @@ def _entries(width: int, num: int, den: int, table):
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.concatenate(tokens).view(np.int64)),
                          pa.array(np.repeat(np.array(keys, np.int64), sizes))], ["token", "cls"])
+        give_back()
     return run
 
 
@@ -194,6 +196,7 @@ def _verify(width: int, num: int, den: int):
                     both = len(np.intersect1d(last, other, assume_unique=True))
                     keep.append(den * both >= num * (len(last) + len(other) - both))
                 yield part.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        give_back()
     return run
 
 

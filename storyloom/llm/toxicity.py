@@ -45,7 +45,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from storyloom.llm.arrow import column, slices, text_column, words
+from storyloom.llm.arrow import column, give_back, slices, text_column, words
 
 FEATURES_LOG2 = 18
 SAMPLE_DOCS = 1200
@@ -56,7 +56,7 @@ RATIO = 10
 CHANCE = 1
 ROUNDS = 30
 #: Words whose potentials a Python worker remembers.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 150_000
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 OUTER = ".,;:!?\"'()[]{}<>«»…-*_~`"
@@ -323,7 +323,7 @@ def _score(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for batch in batches:
-            for part in slices(batch, "text", 8 << 20):
+            for part in slices(batch, "text"):
                 texts = text_column(part, "text")
                 flat, begin = words(texts, lower=False)
                 spans: list[list[dict]] = [[] for _ in range(part.num_rows)]
@@ -342,6 +342,7 @@ def _score(shared):
                 yield pa.RecordBatch.from_arrays(
                     [column(part, "doc_id").cast(pa.int64()), pa.array(score), pa.array(spans, _ARROW_SPANS)],
                     ["doc_id", "score", "spans"])
+        give_back()
     return run
 
 
@@ -365,8 +366,9 @@ def keep_clean(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> Da
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            own = pa.RecordBatch.from_arrays([pa.nulls(batch.num_rows, pa.int64()), column(batch, "text")],
-                                             ["doc_id", "text"])
-            got = np.concatenate([np.asarray(column(x, "score")) for x in judge(iter([own]))] or [np.empty(0)])
-            yield batch.filter(pa.array(got < threshold))
+            for part in slices(batch, "text"):
+                own = pa.RecordBatch.from_arrays([pa.nulls(part.num_rows, pa.int64()), column(part, "text")],
+                                                 ["doc_id", "text"])
+                got = np.concatenate([np.asarray(column(x, "score")) for x in judge(iter([own]))])
+                yield part.filter(pa.array(got < threshold))
     return docs.mapInArrow(run, schema)

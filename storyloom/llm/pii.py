@@ -37,6 +37,8 @@ from storyloom.operators.materialize import materialize
 KINDS = ("email", "ip", "card", "phone")
 MARKS = {k: f"[{k.upper()}]" for k in KINDS}
 REMOVED = "[TERM]"
+#: Before a term's pattern: not the word in a mark.
+NO_MARK = r"(?!(?<=\\[)(?-i:%s)\\])" % "|".join(m[1:-1] for m in (*MARKS.values(), REMOVED))
 
 PATTERNS = {
     "email": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
@@ -188,24 +190,49 @@ def sanitise(docs: DataFrame) -> DataFrame:
     """The documents with personal data replaced by marks and revealing terms generalised or
     removed; all columns are kept, and ``n_chars``, if present, is counted again."""
     rest = [c for c in docs.columns if c not in ("doc_id", "text")]
-    found = find(docs.select("doc_id", "text", F.struct(*[f"`{c}`" for c in rest]).alias("rest") if rest
-                             else F.lit(None).alias("rest")))
-    for kind in KINDS:  # marks hold no digit, '@' or '+', so later kinds see clean edges
-        found = _add_matches(found, kind).withColumn("text", F.expr(
-            f"CASE WHEN g IS NULL THEN text ELSE concat(array_join(zip_with(slice(g, 1, size(m)), m, "
-            f"(b, t) -> concat(b, if({_valid(kind, 't')}, '{MARKS[kind]}', t))), ''), g[size(m)]) END")).drop("m", "g")
-    found = found.withColumn("p_removed", F.expr(_term_pattern("x.removed"))) \
-        .withColumn("p_cut", F.expr(_term_pattern("NOT x.removed")))
-    text = F.expr(f"CASE WHEN p_removed IS NULL THEN text ELSE regexp_replace(text, p_removed, '{REMOVED}') END")
-    found = found.withColumn("text", text).withColumn("text", _cut("text", "p_cut"))
+    found = _cuts(find(docs.select("doc_id", "text", F.struct(*[f"`{c}`" for c in rest]).alias("rest") if rest
+                                   else F.lit(None).cast("int").alias("rest"))))
+    done = None
+    while True:  # a cut may set a span free that failed its test with its neighbour; each pass takes characters away
+        found = materialize(_cuts(_base(found.withColumn("text", _without_cuts()).drop("cuts")), NO_MARK), "sanitised")
+        clean = found.where("size(cuts) = 0")
+        done = clean if done is None else done.unionByName(clean)
+        found = found.where("size(cuts) > 0")
+        if found.isEmpty():
+            break
     count = {"n_chars": F.length("text").cast(docs.schema["n_chars"].dataType)} if "n_chars" in rest else {}
-    return found.select(*[F.col(c) if c not in rest else count.get(c, F.col(f"rest.`{c}`")).alias(c)
-                          for c in docs.columns])
-
-
-def _cut(text: str, pattern: str) -> Column:
-    """Matches of the row's pattern cut to their first letter."""
-    return F.expr(f"""CASE WHEN {pattern} IS NULL THEN {text} ELSE
-        array_join(zip_with(split({text}, {pattern}, -1),
-                            concat(transform(regexp_extract_all({text}, {pattern}, 0), t -> concat(left(t, 1), '***')),
-                                   array('')), (b, t) -> concat(b, t)), '') END""")
+    return done.select(*[F.col(c) if c not in rest else count.get(c, F.col(f"rest.`{c}`")).alias(c)
+                         for c in docs.columns])
+
+
+def _cuts(found: DataFrame, guard: str = "") -> DataFrame:
+    """``cuts`` in place of ``spans``: what must go from the text, as disjoint (s, e, k, t) in order. Spans that
+    overlap are one; it has the kind of the longest base span in it. Kinds after KINDS: removed, cut terms."""
+    df = found
+    for i, which in enumerate(("x.removed", "NOT x.removed")):
+        df = df.withColumn("p", F.expr(f"concat('{guard}', {_term_pattern(which)})"))
+        df = _add_matches(df, "term", "p").withColumn(f"at_{i}", _located("email", len(KINDS) + i)).drop("m", "g", "p")
+    one = "struct<s:bigint,e:bigint,k:int,t:string,n:bigint>"
+    merged = F.expr(f"""
+        CASE WHEN size(every) = 0 THEN cast(array() AS array<{one}>) ELSE
+        aggregate(transform(every, x -> named_struct('s', x.s, 'e', x.e, 'k', x.k, 't', x.t,
+                                                     'n', if(x.k < {len(KINDS)}, x.e - x.s, 0L))),
+          named_struct('out', cast(array() AS array<{one}>), 'last', cast(null AS {one})),
+          (a, x) -> CASE WHEN a.last IS NULL THEN named_struct('out', a.out, 'last', x)
+             WHEN x.s >= a.last.e THEN named_struct('out', concat(a.out, array(a.last)), 'last', x)
+             ELSE named_struct('out', a.out, 'last', named_struct(
+                's', a.last.s, 'e', greatest(a.last.e, x.e), 'k', if(x.n > a.last.n, x.k, a.last.k),
+                't', if(x.n > a.last.n, x.t, a.last.t), 'n', greatest(a.last.n, x.n))) END,
+          a -> concat(a.out, array(a.last))) END""")
+    return df.withColumn("every", F.array_sort(F.concat("spans", "at_0", "at_1"))) \
+        .withColumn("cuts", merged).drop("spans", "every", "at_0", "at_1")
+
+
+def _without_cuts() -> Column:
+    """The text with its ``cuts`` replaced, in one pass over the text they were located in."""
+    marks = ", ".join(f"'{m}'" for m in (*MARKS.values(), REMOVED))
+    return F.expr(f"""CASE WHEN size(cuts) = 0 THEN text ELSE concat(array_join(transform(cuts, (x, i) -> concat(
+        substring(text, cast(if(i = 0, 0L, cuts[greatest(i - 1, 0)].e) + 1 AS int),
+                  cast(x.s - if(i = 0, 0L, cuts[greatest(i - 1, 0)].e) AS int)),
+        if(x.k > {len(KINDS)}, concat(left(x.t, 1), '***'), get(array({marks}), x.k)))), ''),
+        substring(text, cast(element_at(cuts, -1).e + 1 AS int))) END""")

@@ -125,6 +125,21 @@ def test_sanitised_texts_hold_no_personal_data_and_clean_ones_are_untouched(spar
                 assert not re.search(rf"(?<![^\W\d_]){term}(?![^\W\d_])", r["text"].lower())
 
 
+def test_spans_that_overlap_are_cut_whole_from_the_original_text(spark):
+    rows = [(1, "call +33.1.42.68.53.00 now"), (2, "é +1 415 555 0100 10.0.0.1 x"), (3, "1.1.1.1@2.2.2.2 +1.2.3.4.5678901"),
+            (4, "a 4111 1111 1111 1111, b@c.de"), (5, None)]
+    got = {r["doc_id"]: r["text"] for r in pii.sanitise(frame(spark, rows)).collect()}
+    # in 2, the phone passes its test only when the address after it has gone
+    assert got == {1: "call [PHONE] now", 2: "é [PHONE] [IP] x", 3: "[EMAIL] [PHONE]", 4: "a [CARD], [EMAIL]", 5: ""}
+
+
+def test_terms_that_are_words_of_marks(spark):
+    words = ["alpha", "beta", "gamma", "delta"]
+    rows = [(d, f"the {w} email term jo@x.de") for d, w in enumerate(words)] + [(d, "other words here") for d in range(10, 60)]
+    got = {r["doc_id"]: r["text"] for r in pii.sanitise(frame(spark, rows)).collect()}
+    assert all(got[d].endswith("[TERM] [TERM] [EMAIL]") for d in range(4))
+
+
 def test_repeats_null_ids_and_no_rows(spark):
     rows = [(None, "x me@a.example y"), (1, "a@b.example"), (1, "a@b.example"), (2, "none")]
     got = sorted((str(r["doc_id"]), r["n_email"]) for r in pii.digest(frame(spark, rows)).collect())

@@ -7,19 +7,19 @@ id) and are a fixed size; every row is indexed: it descends each tree to one lea
 *Search.* A query keeps one priority queue for all trees. A branch's priority is the sum of the squared
 distances to the hyperplanes that lie between it and the query; leaves are taken, nearest first, until they
 hold ``visit`` times as many rows as there are vectors (a row counts in each tree), and enough for k
-answers. The sizes of leaves are known by then, so the queue ends by rows read, not by leaves.
+answers, however the rows repeat ids. The sizes of leaves are known by then, so the queue ends by rows read, not by leaves.
 
 *Reranking.* The leaves' rows are scored exactly (inner products in double precision on the original vectors).
 Queries and rows meet by (tree, leaf, block): a leaf of many rows is dealt into blocks of about ``BLOCK_ROWS``,
 and the queries too, so no task holds more than a block of either, and all copies of one vector in one leaf
-are no special case. A block returns each query's nearest k only; the blocks' answers are merged per query.
+are no special case. A block returns each query's nearest k ids only; the blocks' answers are merged per query.
 
 How much must be visited is a property of the data: the given vectors have 64 dimensions of about equal
 weight, and a recall of 0.9 needs a large part of them (see the README). ``visit`` is a parameter.
 
 Defined results: vectors that are null, zero, hold null or non-finite components, or whose length is not the
 sample's most frequent one take no part, nor do rows with a null id. Rows that repeat an id are one
-candidate (the nearest of them); equal scores go to the smaller id. Other columns are ignored.
+candidate (the nearest of them; rows that repeat an id and vector are one row before they are indexed); equal scores go to the smaller id. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -141,11 +141,15 @@ def _rerank(dim: int, k: int):
         if left.num_rows and right.num_rows:
             q, v = _matrix(left, "q", dim), _matrix(right, "v", dim)
             qid, vid = np.asarray(left.column("query_id")), np.asarray(right.column("vec_id"))
+            order = np.argsort(vid, kind="stable")
+            v, vid = v[order], vid[order]
+            first = np.flatnonzero(np.r_[True, vid[1:] != vid[:-1]])  # of the rows of each candidate
             for a in range(0, len(q), 512):
                 s = q[a:a + 512] @ v.T
                 s[qid[a:a + 512, None] == vid[None]] = -np.inf
-                if s.shape[1] > k:
-                    kth = np.partition(s, s.shape[1] - k, axis=1)[:, s.shape[1] - k]
+                if len(first) > k:
+                    best = np.maximum.reduceat(s, first, axis=1) if len(first) < len(vid) else s
+                    kth = np.partition(best, len(first) - k, axis=1)[:, len(first) - k]
                 else:
                     kth = np.full(len(s), -np.inf)
                 # a little below the k-th, as products of equal vectors may round differently
@@ -154,6 +158,10 @@ def _rerank(dim: int, k: int):
                 exact = (q[a + r] * v[c]).sum(axis=1)
                 order = np.lexsort((vid[c], -exact, r))
                 r, c, exact = r[order], c[order], exact[order]
+                if len(first) < len(vid):  # the nearest row of each candidate
+                    _, one = np.unique(r * len(vid) + np.searchsorted(vid, vid[c]), return_index=True)
+                    one.sort()
+                    r, c, exact = r[one], c[one], exact[one]
                 rank = np.arange(len(r)) - np.searchsorted(r, r)
                 keep = rank < k
                 out_q.append(qid[a + r[keep]])
@@ -169,7 +177,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, visit: float =
     """``(query_id, rank, vec_id, score)``: the nearest found of each query (largest inner product).
     Both inputs have vec_id and embedding; a query is no candidate of its own."""
     spark = vectors.sparkSession
-    rows, asked = valid(vectors), valid(queries)
+    rows, asked = materialize(valid(vectors).distinct(), "vectors"), valid(queries).distinct()
     n = rows.count()
     empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     if not n:
@@ -189,7 +197,8 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, visit: float =
     sizes = np.zeros((trees, 1 << depth), np.int64)
     for at, c in count.items():
         sizes[at] = c
-    probes = materialize(asked.mapInArrow(_probe(shared, dim, sizes, max(visit * n, trees * (k + 1))),
+    repeats = rows.groupBy("vec_id").count().agg(F.max("count")).first()[0] or 1
+    probes = materialize(asked.mapInArrow(_probe(shared, dim, sizes, max(visit * n, trees * repeats * (k + 1))),
                                           f"tree int, leaf int, query_id long, q {kind}"), "probes")
     n_asked = asked.count()
     sides = max(1, -(-n_asked // BLOCK_ROWS))

@@ -49,6 +49,29 @@ def test_all_visited_equals_brute_force_with_ties_blocks_and_odd_rows(spark, mon
         assert [s for _, s in v] == pytest.approx([s for _, s in want[q]], abs=1e-12)
 
 
+def test_an_id_repeated_more_than_k_times_is_one_candidate(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.integers(-3, 4, 6).astype(float).tolist()) for i in range(120)]
+    rows += [(7, [9.0, 9.0, 9.0, 9.0, 9.0, 9.0])] * 60  # equal rows
+    rows += [(8, [9.0, 9.0, 9.0, 9.0, 9.0, float(x)]) for x in range(60)]  # many vectors
+    rows += [(0, rows[0][1])] * 3
+    df = frame(spark, rows)
+    asked = [i for i, _ in rows if i % 10 == 0 or i in (7, 8)]
+    for visit, depth in ((1e9, 6), (0.0, 1)):
+        got = by_query(nearest(df, df.where("vec_id % 10 = 0 or vec_id in (7, 8)"), k=20, visit=visit, depth=depth))
+        assert set(got) == set(asked) and all(len({i for i, _ in v}) == len(v) == 20 for v in got.values())
+        if visit:
+            scores = {}
+            for q in set(asked):
+                for w in [np.array(v) for i, v in rows if i == q]:
+                    for i, v in rows:
+                        if i != q:
+                            scores[q, i] = max(scores.get((q, i), -np.inf), float(w @ np.array(v)))
+            for q, v in got.items():
+                assert v == [(i, s) for s, i in sorted((-s, i) for (p, i), s in scores.items() if p == q)[:20]
+                             for s in [-s]]
+
+
 def test_recall_on_the_given_vectors(spark):
     df = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
     got = by_query(nearest(df, df.where("vec_id % 20 = 0")))

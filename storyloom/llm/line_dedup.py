@@ -21,6 +21,8 @@ inserted or left out). A line is dropped if an earlier one (by document id, then
 Groups are reduced by minima and joined back, so no group is collected and skewed joins can be split. Texts
 are picked by a broadcast of ids only if these are few (``BROADCAST_LINES``), else by a shuffle.
 
+A line is known by its hash; its place, which rows that repeat an id or have none share, only orders it.
+
 Defined results: blank lines stay. A null text stays null; an empty one stays empty. Rows that repeat an
 id and text share their decisions; lines with the same id and number in different texts are equally
 early, and both stay. A null id comes first. Other columns stay as they are, whatever their names.
@@ -78,27 +80,26 @@ def lines(docs: DataFrame) -> DataFrame:
 
 
 def _near_candidates(distinct: DataFrame) -> DataFrame:
-    """The distinct lines that share their first or last words with another one."""
+    """``(h1, h2)`` of the distinct lines that share their first or last words with another one."""
     keyed = distinct.where(F.col("n") >= MIN_WORDS).select(
-        "place", F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("head").alias("key")),
+        "h1", "h2", F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("head").alias("key")),
                                    F.struct(F.lit(1).alias("side"), F.col("tail").alias("key")))).alias("x")) \
-        .select("place", "x.side", "x.key")
-    shared = keyed.groupBy("side", "key").agg(F.min("place").alias("p0"), F.max("place").alias("p1")) \
-        .where("p0 < p1").select("side", "key")
-    return keyed.join(shared, ["side", "key"]).select("place").distinct()
+        .select("h1", "h2", "x.side", "x.key")
+    shared = keyed.groupBy("side", "key").agg(F.count("*").alias("lines")).where("lines > 1").select("side", "key")
+    return keyed.join(shared, ["side", "key"]).select("h1", "h2").distinct()
 
 
 def _hashed(words: DataFrame) -> DataFrame:
-    """``(place, n, h, u, th, tu)``: the words' hashes with and without their position, and their sums."""
+    """``(id, place, n, h, u, th, tu)``: the words' hashes with and without their position, and their sums."""
     return words.select(
-        "place", F.size("w").alias("n"),
+        "id", "place", F.size("w").alias("n"),
         F.expr(f"transform(w, (x, k) -> xxhash64(x, k) & {MASK}L)").alias("h"),
         F.expr(f"transform(w, x -> xxhash64(x) & {MASK}L)").alias("u")) \
         .withColumns({"th": F.expr(_sum("h")), "tu": F.expr(_sum("u"))})
 
 
 def _parts(hashed: DataFrame) -> DataFrame:
-    """``(place, kind, m, k, role, v)``: each line without its part k. Kind 0 is for replaced words; kind 1
+    """``(id, kind, m, k, role, v)``: each line without its part k. Kind 0 is for replaced words; kind 1
     for inserted ones, where a line is the shorter (role 0) and the longer (role 1, a word more in each part)
     of lines of m and m + 1 words."""
     rows = []
@@ -108,42 +109,44 @@ def _parts(hashed: DataFrame) -> DataFrame:
             part = f"slice({x}, cast({first} + 1 AS int), cast({end} - {first} + {role} AS int))"
             rows.append(f"named_struct('kind', {kind}, 'm', {m}, 'k', {k}, 'role', {role}, "
                         f"'v', (t{x} - {_sum(part)}) & {MASK}L)")
-    return hashed.select("place", F.explode(F.expr(f"array({', '.join(rows)})")).alias("x")).select("place", "x.*")
+    return hashed.select("id", F.explode(F.expr(f"array({', '.join(rows)})")).alias("x")).select("id", "x.*")
 
 
 def _variants(hashed: DataFrame) -> DataFrame:
-    """``(place, kind, m, i, v)``: the lines without one word, for the words of parts whose rest is shared."""
+    """``(id, place, kind, m, i, v)``: the lines without one word, for the words of parts whose rest is shared."""
     parts = materialize(_parts(hashed), "parts")
     shared = parts.groupBy("kind", "m", "k", "v").agg(
-        F.min("place").alias("p0"), F.max("place").alias("p1"), F.min("role").alias("r0"), F.max("role").alias("r1")) \
-        .where("if(kind = 0, p0 < p1, r0 < r1)").select("kind", "m", "k", "v")
+        F.min("id").alias("i0"), F.max("id").alias("i1"), F.min("role").alias("r0"), F.max("role").alias("r1")) \
+        .where("if(kind = 0, i0 < i1, r0 < r1)").select("kind", "m", "k", "v")
     open_parts = parts.where("kind = 0 or role = 1").join(shared, ["kind", "m", "k", "v"]) \
-        .groupBy("place").agg(F.collect_list(F.struct("kind", "m", "k")).alias("parts"))  # 2 * PARTS at most
+        .groupBy("id").agg(F.collect_set(F.struct("kind", "m", "k")).alias("parts"))  # 2 * PARTS at most
     which = f"sequence(cast(x.m * x.k div {PARTS} AS int), cast(x.m * (x.k + 1) div {PARTS} + x.kind - 1 AS int))"
-    return hashed.join(open_parts, "place") \
-        .select("place", "h", "u", "th", "tu", F.explode("parts").alias("x")) \
-        .select("place", "x.kind", "x.m", "h", "u", "th", "tu", F.explode(F.expr(which)).alias("i")) \
-        .select("place", "kind", "m", "i", F.expr(
+    return hashed.join(open_parts, "id") \
+        .select("id", "place", "h", "u", "th", "tu", F.explode("parts").alias("x")) \
+        .select("id", "place", "x.kind", "x.m", "h", "u", "th", "tu", F.explode(F.expr(which)).alias("i")) \
+        .select("id", "place", "kind", "m", "i", F.expr(
             f"if(kind = 0, th - h[i], tu - u[i]) & {MASK}L").alias("v"))
 
 
 def _near(words: DataFrame) -> DataFrame:
-    """Pairs ``(place, earlier)`` of lines ``(place, w)`` within one edit, verified."""
+    """Pairs ``(id, earlier)`` of lines ``(id, place, w)`` within one edit, verified. Places only say which is earlier."""
     hashed = _hashed(words)
     v = materialize(_variants(hashed), "variants")
-    one = v.where("kind = 0").select("place", "m", "i", "v")
-    group = one.groupBy("m", "i", "v").agg(F.min("place").alias("p0"), F.max("place").alias("p1")) \
+    one = v.where("kind = 0").select("id", "place", "m", "i", "v")
+    group = one.groupBy("m", "i", "v").agg(F.min("place").alias("p0"), F.max("place").alias("p1"),
+                                           F.min_by("id", "place").alias("earlier")) \
         .where("p0 < p1").drop("p1")
-    replaced = one.join(group, ["m", "i", "v"]).where("place > p0").select("place", F.col("p0").alias("earlier"))
-    whole = hashed.select(F.col("place").alias("short"), F.col("n").alias("m"), F.col("tu").alias("v"))
-    inserted = v.where("kind = 1").select("place", "m", "v").distinct().join(whole, ["m", "v"]) \
-        .select(F.greatest("place", "short").alias("place"), F.least("place", "short").alias("earlier"))
-    pairs = replaced.unionByName(inserted).where("earlier < place").distinct()
+    replaced = one.join(group, ["m", "i", "v"]).where("place > p0").select("id", "earlier")
+    whole = hashed.select(F.col("id").alias("short"), F.col("place").alias("at"), F.col("n").alias("m"), F.col("tu").alias("v"))
+    inserted = v.where("kind = 1").select("id", "place", "m", "v").distinct().join(whole, ["m", "v"]) \
+        .where("place <> at").select(F.expr("if(place > at, id, short)").alias("id"),
+                                     F.expr("if(place > at, short, id)").alias("earlier"))
+    pairs = replaced.unionByName(inserted).distinct()
     same = "coalesce(nullif(array_position(zip_with({0}, {1}, (x, y) -> coalesce(x <> y, true)), true), 0) - 1, greatest(size({0}), size({1})))"
-    return (pairs.join(words, "place")
-            .join(words.select(F.col("place").alias("earlier"), F.col("w").alias("e")), "earlier")
+    return (pairs.join(words.select("id", "w"), "id")
+            .join(words.select(F.col("id").alias("earlier"), F.col("w").alias("e")), "earlier")
             .where(f"{same.format('w', 'e')} + {same.format('reverse(w)', 'reverse(e)')} >= greatest(size(w), size(e)) - 1")
-            .select("place", "earlier"))
+            .select("id", "earlier"))
 
 
 def _few(table: DataFrame, numbers: str) -> DataFrame:
@@ -156,23 +159,26 @@ def dropped_lines(docs: DataFrame) -> DataFrame:
     """``(doc, gone, near)``: of each document that loses lines, their numbers, and how many of them
     had no equal earlier line but a near one."""
     every = materialize(lines(docs), "lines")
-    # one row per distinct line, at its earliest place
+    # one row per distinct line, at its earliest place, in one document that has it there
     distinct = materialize(every.groupBy("h1", "h2").agg(
-        F.min("place").alias("place"), F.first("n").alias("n"), F.first("head").alias("head"),
-        F.first("tail").alias("tail")), "distinct-lines")
-    candidates = distinct.join(_near_candidates(distinct), "place").select("h1", "h2", "place")
-    where = materialize(every.select("h1", "h2", "place", "doc", "no").join(candidates, ["h1", "h2", "place"])
-                        .groupBy("doc").agg(F.collect_list(F.struct("no", "place")).alias("at")), "near-candidates")
+        F.min("place").alias("place"), F.min_by("doc", "place").alias("doc"), F.first("n").alias("n"),
+        F.first("head").alias("head"), F.first("tail").alias("tail")), "distinct-lines")
+    # numbered, as lines of rows that repeat an id, or have none, share places
+    candidates = materialize(distinct.join(_near_candidates(distinct), ["h1", "h2"])
+                             .select("h1", "h2", "place", "doc", F.monotonically_increasing_id().alias("id")), "near-candidates")
+    no = F.pmod("place", F.lit(1 << 32).cast("decimal(11,0)")).cast("int").alias("no")
+    where = materialize(candidates.groupBy("doc").agg(F.collect_list(F.struct(no, "id", "place")).alias("at")), "near-places")
     free_shuffles(docs.sparkSession)
     words = materialize(
         _rows(docs).select("doc", "text").join(_few(where, "at"), "doc")
         .select(F.expr("transform(array(split(text, '\\n')), parts -> transform(at, x -> "
-                       "named_struct('place', x.place, 'raw', parts[x.no])))[0]").alias("at"))
+                       "named_struct('id', x.id, 'place', x.place, 'raw', parts[x.no])))[0]").alias("at"))
         .select(F.explode("at").alias("x"))
-        .select("x.place", F.split(F.expr(_normal("x.raw")), " ").alias("w")), "words")  # twice if a row repeats
-    near = materialize(_near(words).select("place").distinct(), "near").withColumn("near", F.lit(True))
+        .select("x.id", "x.place", F.split(F.expr(_normal("x.raw")), " ").alias("w")), "words")  # twice if a row repeats
+    near = materialize(_near(words).select("id").distinct(), "near")
     free_shuffles(docs.sparkSession)
-    verdict = materialize(distinct.join(near, "place", "left").select(
+    found = candidates.join(near, "id").select("h1", "h2", F.lit(True).alias("near"))
+    verdict = materialize(distinct.join(found, ["h1", "h2"], "left").select(
         "h1", "h2", F.col("place").alias("first"), F.coalesce("near", F.lit(False)).alias("near")), "verdicts")
     gone = every.select("doc", "no", "place", "h1", "h2").join(verdict, ["h1", "h2"]).where("near or place > first")
     return materialize(

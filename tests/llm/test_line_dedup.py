@@ -97,3 +97,38 @@ def test_other_columns_stay_and_emptied_documents_go(spark):
     assert sorted([tuple(r) for r in kept.collect()], key=str) == sorted(
         [rows[0], rows[2], (4, "new", 3, "s"), (4, "new", 3, "s"), rows[4]], key=str)
     assert keep_first_lines(df.limit(0)).collect() == []
+
+
+def brute_rows(rows):
+    """The kept text of each row, where ids repeat or are null: a line goes for one at an earlier (id, number)."""
+    every = [(-1 if d is None else d, k, re.sub(r"[\x20\x09-\x0D]+", " ", part).strip(" "))
+             for d, t in rows for k, part in enumerate(t.split("\n"))]
+    def same(a, b):
+        return a == b or (min(len(a.split(" ")), len(b.split(" "))) >= 10 and one_edit(a.split(" "), b.split(" ")))
+    first = {}
+    for d, k, line in every:
+        first[line] = min(first.get(line, (d, k)), (d, k))
+    near = {a for a in first if any(first[b] < first[a] and same(a, b) for b in first if a and b)}
+    gone = {(d, k, line) for d, k, line in every if line and (line in near or (d, k) > first[line])}
+    out = []
+    for d, t in rows:
+        i = -1 if d is None else d
+        out.append((d, "\n".join(p for k, p in enumerate(t.split("\n"))
+                                 if (i, k, re.sub(r"[\x20\x09-\x0D]+", " ", p).strip(" ")) not in gone)))
+    return out
+
+
+def test_repeated_and_null_ids_with_different_texts(spark):
+    near = " ".join(f"w{i}" for i in range(12))
+    rows = [(None, near + "\nown line"), (None, "short one\n" + near + " more"), (None, "other\nclean line here"),
+            (None, "other\nclean line here"), (3, near + " again"), (3, "unique text"), (3, "x y\nz"),
+            (4, near.replace("w3", "v")), (4, "kept too")]
+    kept = sorted(map(str, brute_rows(rows)))
+    got = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(str((r["doc_id"], r["text"])) for r in dedup_lines(got).collect()) == kept
+    assert str((None, "other\nclean line here")) in kept and str((3, "unique text")) in kept and str((4, "kept too")) in kept
+    for seed in (5, 6):
+        r = random.Random(seed)
+        rows = [(r.choice([None, None, 1, 2, d]), t) for d, t in texts(seed)]
+        got = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+        assert sorted(str((x["doc_id"], x["text"])) for x in dedup_lines(got).collect()) == sorted(map(str, brute_rows(rows)))

@@ -1,12 +1,12 @@
-"""Queries of the ten operators: thin calls over the whole given tables."""
+"""Queries of the operators: thin calls over the whole given tables."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storyloom.llm import (ann_forest, line_dedup, ngram_join, packing, pii, quality, sentencepiece,
-                           token_orc, toxicity, url_filter)
+from storyloom.llm import (ann_forest, line_dedup, metric_join, ngram_join, packing, pii, pivot_codes, quality,
+                           sentencepiece, token_orc, toxicity, url_filter)
 from storyloom.operators.materialize import new_path
 from storyloom.sources.tables import table
 
@@ -86,6 +86,15 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(table(spark, sf_dir, "documents"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivot_codes.compress(table(spark, sf_dir, "embeddings"), parts=8, entries=16, rounds=6)
+
+
+def op13_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metric_join.links_and_components(table(spark, sf_dir, "embeddings"), threshold=0.9)
+
+
 REGISTRY = {f.__name__: f for f in (
     op1_ngram_jaccard_join, op2_best_fit_packing, op3_line_dedup, op4_ann_forest, op5_quality_rules,
-    op6_token_orc, op7_toxicity, op8_url_filter, op9_sentencepiece, op10_pii)}
+    op6_token_orc, op7_toxicity, op8_url_filter, op9_sentencepiece, op10_pii,
+    op11_vector_codes, op13_embedding_near_dedup)}

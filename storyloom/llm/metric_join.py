@@ -162,7 +162,7 @@ def _route(shared):
             for c, rows in _reach(d, own):
                 if len(rows) and own["homes"][c]:
                     yield from _copies(batch.take(pa.array(rows)), c, d[rows, c], home[rows] == c,
-                                       -(-own["homes"][c] // HOME_ROWS), -(-own["guests"][c] // GUEST_ROWS))
+                                       -(-own["homes"][c] // own["home_rows"]), -(-own["guests"][c] // own["guest_rows"]))
         give_back()
     return run
 
@@ -278,7 +278,8 @@ def _work(classes: DataFrame, kind: str, threshold: float) -> DataFrame | None:
     sample = main.orderBy(F.xxhash64("cls"), "cls").limit(SAMPLE).select("v").toArrow().to_batches()
     sample = np.concatenate([_matrix(b, dim) for b in sample])
     pivots = choose_pivots(sample, min(CELLS, -(-number[dim] // HOME_ROWS)))
-    k, own = len(pivots), {"pivots": pivots, "radius": float(np.sqrt(2 - 2 * threshold))}
+    k, own = len(pivots), {"pivots": pivots, "radius": float(np.sqrt(2 - 2 * threshold)),
+                           "home_rows": HOME_ROWS, "guest_rows": GUEST_ROWS}
     sc = spark.sparkContext
     env = (main.mapInArrow(_envelopes(sc.broadcast(own)), "cell long, pivot long, n long, low double, high double")
            .groupBy("cell", "pivot").agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high")))

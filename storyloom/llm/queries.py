@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storyloom.llm import (ann_forest, line_dedup, metric_join, ngram_join, packing, pii, pivot_codes, quality,
-                           sentencepiece, token_orc, toxicity, url_filter)
+                           sentencepiece, token_orc, toxicity, turn_repair, url_filter)
 from storyloom.operators.materialize import new_path
 from storyloom.sources.tables import table
 
@@ -90,6 +90,11 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pivot_codes.compress(table(spark, sf_dir, "embeddings"), parts=8, entries=16, rounds=6)
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    return turn_repair.repair(turn_repair.damage(rows), rows)
+
+
 def op13_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metric_join.links_and_components(table(spark, sf_dir, "embeddings"), threshold=0.9)
 
@@ -97,4 +102,4 @@ def op13_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 REGISTRY = {f.__name__: f for f in (
     op1_ngram_jaccard_join, op2_best_fit_packing, op3_line_dedup, op4_ann_forest, op5_quality_rules,
     op6_token_orc, op7_toxicity, op8_url_filter, op9_sentencepiece, op10_pii,
-    op11_vector_codes, op13_embedding_near_dedup)}
+    op11_vector_codes, op12_conversation_repair, op13_embedding_near_dedup)}

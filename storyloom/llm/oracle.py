@@ -178,5 +178,119 @@ SELECT d.doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip, coa
 FROM d LEFT JOIN said USING (doc_id)
 """
 
+_PARTS, _ENTRIES, _ROUNDS = 8, 16, 6
+
+
+def _vector_codes() -> str:
+    """Integer k-means of the parts, its rounds written out one after another."""
+    steps = [f"""
+kept AS (SELECT row_number() OVER (ORDER BY vec_id, embedding) AS no, vec_id, label, embedding FROM embeddings
+         WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(embedding) % {_PARTS} = 0
+           AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+piece AS (SELECT no, p, list_transform(embedding[p * len(embedding) // {_PARTS} + 1:(p + 1) * len(embedding) // {_PARTS}],
+                                       lambda c: CAST(floor(CAST(c AS DOUBLE) * 4096) AS BIGINT)) AS x
+          FROM kept, range({_PARTS}) AS r(p)),
+book0 AS (SELECT p, no - 1 AS e, x FROM piece WHERE no <= {_ENTRIES})"""]
+    for k in range(_ROUNDS + 1):
+        steps.append(f"""
+near{k} AS (SELECT no, p, x, min({{'d': list_sum(list_transform(list_zip(x, y), lambda z: (z[1] - z[2]) * (z[1] - z[2]))), 'e': e}}) AS m
+            FROM (SELECT piece.no, piece.p, piece.x, book{k}.x AS y, book{k}.e FROM piece JOIN book{k} USING (p)) GROUP BY ALL)""")
+        if k < _ROUNDS:
+            steps.append(f"""
+flat{k} AS (SELECT p, m.e AS e, unnest(x) AS c, unnest(range(len(x))) AS i FROM near{k}),
+mean{k} AS (SELECT p, e, list(c ORDER BY i) AS x FROM (
+            SELECT p, e, i, CAST((sum(c) - (((sum(c) % count(*)) + count(*)) % count(*))) // count(*) AS BIGINT) AS c
+            FROM flat{k} GROUP BY p, e, i) GROUP BY p, e),
+book{k + 1} AS (SELECT b.p, b.e, coalesce(m.x, b.x) AS x FROM book{k} b LEFT JOIN mean{k} m ON b.p = m.p AND b.e = m.e)""")
+    last = _ROUNDS
+    return "WITH" + ",".join(steps) + f""",
+coded AS (SELECT no, string_agg(lower(lpad(to_hex(m.e), 2, '0')), '' ORDER BY p) AS code, CAST(sum(m.d) AS BIGINT) AS error
+          FROM near{last} GROUP BY no),
+label_sum AS (SELECT label, CAST(sum(error) AS BIGINT) AS label_error FROM coded JOIN kept USING (no) GROUP BY label),
+sha AS (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY p, e)) AS h FROM book{last})
+SELECT k.vec_id, c.code, c.error, s.label_error, sha.h AS codebooks_sha256
+FROM coded c JOIN kept k USING (no) JOIN label_sum s ON s.label IS NOT DISTINCT FROM k.label, sha
+"""
+
+
+# A program over each conversation's rows; crc32 by its table.
+OP12 = r"""
+WITH RECURSIVE crc_table AS (
+  SELECT list(list_reduce(list_concat([i], range(8)), lambda c, k: xor(c >> 1, 3988292384 * (c & 1))) ORDER BY i) AS t
+  FROM range(256) AS r(i)),
+hashed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         xor(list_reduce(list_concat([4294967295], list_transform(string_split(
+               coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''), lambda ch: ascii(ch))),
+             lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 20 AS h
+  FROM conversations, crc_table),
+after_damage AS (
+  SELECT conv_id, turn, CASE WHEN h = 4 THEN 'user' ELSE role END AS role,
+         CASE WHEN h = 1 THEN '' WHEN h = 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+         unnest(CASE WHEN h = 0 THEN [] WHEN h = 3 THEN [1, 2] ELSE [1] END) AS copy
+  FROM hashed),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text)) AS pos FROM after_damage),
+faulty AS (
+  SELECT *, trim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS body, left(role, 1) AS initial,
+         row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) AS nth,
+         lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY pos) AS previous FROM placed),
+row_ AS (
+  SELECT conv_id, pos, turn, role, text, initial, previous,
+         CASE WHEN body = '' THEN 'blank' WHEN nth > 1 THEN 'duplicate'
+              WHEN right(body, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault FROM faulty),
+counted AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) AS n,
+         count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+         count(*) FILTER (fault = 'truncated') AS truncated,
+         count(*) FILTER (previous IS NOT NULL AND previous || initial NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM row_ GROUP BY conv_id),
+ins(s, t, cost, edits, lines) AS (VALUES ('e', 'e', 0, '', ''), ('s', 's', 0, '', ''), ('u', 'u', 0, '', ''), ('a', 'a', 0, '', ''),
+  ('e', 'u', 5, 'I', chr(10) || 'user:'), ('s', 'u', 5, 'I', chr(10) || 'user:'), ('a', 'u', 5, 'I', chr(10) || 'user:'),
+  ('u', 'a', 5, 'I', chr(10) || 'assistant:'),
+  ('e', 'a', 10, 'II', chr(10) || 'user:' || chr(10) || 'assistant:'), ('s', 'a', 10, 'II', chr(10) || 'user:' || chr(10) || 'assistant:')),
+op(s, edit, initial, t, cost) AS (VALUES
+  ('e', 'D', NULL, 'e', 2), ('s', 'D', NULL, 's', 2), ('u', 'D', NULL, 'u', 2), ('a', 'D', NULL, 'a', 2),
+  ('e', 'K', 's', 's', 0), ('e', 'K', 'u', 'u', 0), ('s', 'K', 'u', 'u', 0), ('a', 'K', 'u', 'u', 0), ('u', 'K', 'a', 'a', 0),
+  ('e', 'R', NULL, 'u', 1), ('s', 'R', NULL, 'u', 1), ('a', 'R', NULL, 'u', 1), ('u', 'R', NULL, 'a', 1)),
+way(conv_id, pos, s, best) AS (
+  SELECT conv_id, CAST(0 AS BIGINT), 'e', {'cost': 0, 'audit': '', 'lines': ''} FROM counted
+  UNION ALL
+  SELECT w.conv_id, r.pos, op.t, min({
+      'cost': w.best.cost + ins.cost + op.cost + CASE WHEN r.fault = 'truncated' AND op.edit <> 'D' THEN 5 ELSE 0 END,
+      'audit': w.best.audit || ins.edits || op.edit,
+      'lines': w.best.lines || ins.lines || CASE WHEN op.edit = 'D' THEN '' WHEN op.edit = 'K' THEN chr(10) || r.role || ':' || r.text
+               ELSE chr(10) || CASE op.t WHEN 'u' THEN 'user' ELSE 'assistant' END || ':' || r.text END})
+  FROM way w JOIN row_ r ON r.conv_id IS NOT DISTINCT FROM w.conv_id AND r.pos = w.pos + 1
+  JOIN ins ON ins.s = w.s
+  JOIN op ON op.s = ins.t AND (op.initial IS NULL OR op.initial = r.initial) AND (op.edit = 'D' OR r.fault NOT IN ('blank', 'duplicate'))
+  GROUP BY w.conv_id, r.pos, op.t),
+ended AS (
+  SELECT c.conv_id, min({'cost': w.best.cost + ins.cost, 'audit': w.best.audit || ins.edits, 'lines': w.best.lines || ins.lines}) AS best
+  FROM way w JOIN counted c ON c.conv_id IS NOT DISTINCT FROM w.conv_id AND c.n = w.pos
+  JOIN ins ON ins.s = w.s AND ins.t IN ('e', 'a') GROUP BY c.conv_id)
+SELECT o.conv_id, coalesce(c.gaps, 0) AS gaps, coalesce(c.blank, 0) AS blank, coalesce(c.duplicate, 0) AS duplicate,
+       coalesce(c.truncated, 0) AS truncated, coalesce(c.illegal, 0) AS illegal, CAST(coalesce(e.best.cost, 0) AS BIGINT) AS cost,
+       coalesce(e.best.audit, '') AS audit, sha256(coalesce(e.best.lines[2:], '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN ended e ON e.conv_id IS NOT DISTINCT FROM o.conv_id
+"""
+
+OP13 = r"""
+WITH RECURSIVE v AS (
+  SELECT row_number() OVER () AS no, vec_id, CAST(embedding AS DOUBLE[]) AS x,
+         embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+         AND len(list_filter(embedding, lambda c: c <> 0)) > 0 AS ok FROM embeddings),
+link AS (SELECT a.no AS a, b.no AS b FROM v a JOIN v b ON a.no <> b.no AND a.ok AND b.ok AND len(a.x) = len(b.x)
+         WHERE list_cosine_similarity(a.x, b.x) >= 0.9),
+reach(a, b) AS (SELECT no, no FROM v UNION SELECT r.a, l.b FROM reach r JOIN link l ON l.a = r.b),
+component AS (SELECT r.a AS no, min(v.vec_id) AS component_id FROM reach r JOIN v ON v.no = r.b GROUP BY r.a),
+degree AS (SELECT a AS no, count(*) AS n_links FROM link GROUP BY a)
+SELECT v.vec_id, coalesce(d.n_links, 0) AS n_links, c.component_id, coalesce(v.vec_id = c.component_id, false) AS kept
+FROM v JOIN component c USING (no) LEFT JOIN degree d USING (no)
+"""
+
 SQL = {"op1_ngram_jaccard_join": OP1, "op3_line_dedup": OP3, "op5_quality_rules": OP5, "op8_url_filter": OP8,
-       "op10_pii": OP10}
+       "op10_pii": OP10, "op11_vector_codes": _vector_codes(), "op12_conversation_repair": OP12,
+       "op13_embedding_near_dedup": OP13}

@@ -16,8 +16,9 @@ of clean documents are clean.
 *Documents*: the largest marginal and the log of the sum of squared marginals go into a logistic
 model, fitted to the documents' labels, which gives the score.
 
-Fitting uses a bounded, documented sample: at most about ``SAMPLE_DOCS`` documents of each class,
-chosen by a hash of the id, of at most ``SAMPLE_CHARS`` characters. Scoring reads every whole text.
+Fitting uses a bounded, documented sample: about ``SAMPLE_DOCS`` documents of each class or those of about
+``SAMPLE_CHARS`` characters together, whichever is less, chosen by a hash of id and text, so texts of any length take part
+as their share is (one longer than twice the bound of all does not). Scoring reads every whole text.
 
 The chain runs over a slice of many documents at once: the slice is cut into sqrt(n) chunks, each
 chunk's product of 2 x 2 matrices is built in step with the others, the chunks' vectors are carried
@@ -25,7 +26,8 @@ from one to the next, and a second pass fills in the positions. A document's fir
 matrix that forgets what came before, so documents may share or span chunks; results are exact.
 
 Defined results: a null or empty text has no tokens and the score of a text without any sign of
-toxicity. Without labelled toxic rows every score is 0. Repeated label rows of one id count as
+toxicity. Without labelled toxic rows every score is 0. If no term passes the test, all tokens of toxic
+documents count as toxic in the fit; if no toxic document has a token, the score is the share of toxic rows. Repeated label rows of one id count as
 toxic if any of them is. A null id is not held out. Repeated rows give a row each; other columns are ignored.
 """
 
@@ -48,13 +50,19 @@ from pyspark.sql import functions as F
 from storyloom.llm.arrow import column, give_back, slices, text_column, words
 
 FEATURES_LOG2 = 18
-SAMPLE_DOCS = 1200
-SAMPLE_CHARS = 8_000
+#: Labelled rows of a class that a model is fitted to, and their characters: what is expected. Twice the
+#: characters are the bound, and what a single text may have.
+SAMPLE_DOCS = 2000
+SAMPLE_CHARS = 4_000_000
+#: Tokens that a step of the fit holds arrays for.
+FIT_TOKENS = 1 << 16
 MIN_CONTEXTS = 4
 RATIO = 10
 #: Terms that chance may mark, by expectation.
 CHANCE = 1
 ROUNDS = 30
+#: Text bytes scored at once: some 60 times as much in arrays.
+SCORE_BYTES = 1 << 20
 #: Words whose potentials a Python worker remembers.
 CACHE_WORDS = 150_000
 
@@ -183,8 +191,25 @@ def _marked_words(names: list[str], word_id: np.ndarray, fresh: np.ndarray, of_d
     return np.array([any(ok[t] for t in ts) for ts in of_term])
 
 
+def _gradient(m: Crf, e: np.ndarray, fresh: np.ndarray, y: np.ndarray, seen: np.ndarray):
+    """Marginals of a stretch of tokens, and its part of the gradient of the transitions and the start.
+    ``seen``: the labelled transitions of the stretch."""
+    p, alpha, beta = marginals(m, e, fresh)
+    inner = np.flatnonzero(~fresh)
+    hi = np.exp(np.clip(e[inner], -30, 30))
+    # the four expected transitions of each place, one array at a time
+    own = [[alpha[inner - 1, i] * math.exp(m.trans[i, j]) * (beta[inner, j] * hi if j else beta[inner, j])
+            for j in (0, 1)] for i in (0, 1)]
+    total = own[0][0] + own[0][1] + own[1][0] + own[1][1]
+    expected = np.array([[(x / total).sum() for x in row] for row in own])
+    start = np.array([(p[fresh] - y[fresh]).sum(), (y[fresh] - p[fresh]).sum()])
+    return p, seen - expected, start
+
+
 def _train(texts: list[str], toxic: np.ndarray) -> Crf | None:
-    """Fit by gradient ascent (AdaGrad) on the conditional log-likelihood of the token labels."""
+    """Fit by gradient ascent (AdaGrad) on the conditional log-likelihood of the token labels. Tokens are taken
+    ``FIT_TOKENS`` at a time, so that the arrays of a round are small whatever the sample; a document
+    that goes on in the next stretch begins anew there."""
     if not len(toxic) or not toxic.any():
         return None
     number: dict[str, int] = {}
@@ -193,48 +218,61 @@ def _train(texts: list[str], toxic: np.ndarray) -> Crf | None:
         ws = WORD.findall(t)
         lengths.append(len(ws))
         word_id.extend(number.setdefault(w, len(number)) for w in ws)
-    if not word_id:
-        return None
-    word_id, lengths = np.array(word_id, np.int64), np.array(lengths)
-    of_doc = np.repeat(toxic.astype(bool), lengths)
-    fresh = np.zeros(len(word_id), bool)
-    fresh[(np.cumsum(lengths) - lengths)[lengths > 0]] = True
-    marked = _marked_words(list(number), word_id, fresh, of_doc)
-    y = marked[word_id] & of_doc
-    if not y.any():
-        return None
-    features = [word_features(w) for w in number]
-    of_word = np.repeat(np.arange(len(features)), [len(f) for f in features])
-    flat = np.concatenate([np.array(f) for f in features])
+    word_id, lengths = np.frombuffer(word_id, np.int32), np.array(lengths)
     m = Crf(np.zeros(1 << FEATURES_LOG2))
-    inner = np.flatnonzero(~fresh)
-    was, now = y[inner - 1], y[inner]
-    seen_pairs = np.array([[(~was & ~now).sum(), (~was & now).sum()], [(was & ~now).sum(), (was & now).sum()]], float)
-    seen_start = np.array([(~y[fresh]).sum(), y[fresh].sum()], float)
-    right = np.bincount(word_id, weights=y, minlength=len(features))
-    past = {k: 1e-6 for k in ("w", "t", "s", "b")}
+    begin = np.concatenate(([0], np.cumsum(lengths)))
+    if len(word_id):
+        of_doc = np.repeat(toxic.astype(bool), lengths)
+        fresh = np.zeros(len(word_id), bool)
+        fresh[begin[:-1][lengths > 0]] = True
+        y = _marked_words(list(number), word_id.astype(np.int64), fresh, of_doc)[word_id] & of_doc
+        if not y.any():  # no term tells: every token of a toxic document counts
+            y = of_doc
+        p = _ascend(m, list(number), word_id, fresh, y)
+    else:
+        p = np.empty(0, np.float32)
+    _fit_documents(m, signs(p, begin), toxic.astype(float))
+    return m
+
+
+def _ascend(m: Crf, names: list[str], word_id: np.ndarray, fresh: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Fit the chain; returns the tokens' marginals under the fitted model."""
+    features = [word_features(w) for w in names]
+    of_word = np.repeat(np.arange(len(features), dtype=np.int32), [len(f) for f in features])
+    flat = np.concatenate([np.array(f, np.int32) for f in features])
+    del features
+    cuts = [slice(a, min(a + FIT_TOKENS, len(word_id))) for a in range(0, len(word_id), FIT_TOKENS)]
+    for c in cuts:
+        fresh[c.start] = True
+    seen = []
+    for c in cuts:
+        inner = np.flatnonzero(~fresh[c]) + c.start
+        was, now = y[inner - 1], y[inner]
+        seen.append(np.array([[(~was & ~now).sum(), (~was & now).sum()], [(was & ~now).sum(), (was & now).sum()]], float))
+    right = np.bincount(word_id, weights=y, minlength=len(names))
+    past = {k: 1e-6 for k in ("t", "s", "b")}
     past["w"] = np.full_like(m.weights, 1e-6)
+
+    def potentials():
+        return m.bias + np.bincount(of_word, weights=m.weights[flat], minlength=len(names))
     for _ in range(ROUNDS):
-        e = (m.bias + np.bincount(of_word, weights=m.weights[flat], minlength=len(features)))[word_id]
-        p, alpha, beta = marginals(m, e, fresh)
-        g_word = right - np.bincount(word_id, weights=p, minlength=len(features))
+        of_name, g_word = potentials(), right.copy()
+        g_t, g_s, g_b = np.zeros((2, 2)), np.zeros(2), 0.0
+        for c, pairs in zip(cuts, seen):
+            p, t, s = _gradient(m, of_name[word_id[c]], fresh[c], y[c], pairs)
+            g_word -= np.bincount(word_id[c], weights=p, minlength=len(names))
+            g_t, g_s, g_b = g_t + t, g_s + s, g_b + float((y[c] - p).sum())
         g_w = np.bincount(flat, weights=g_word[of_word], minlength=len(m.weights)) - 0.02 * m.weights
-        pair = (alpha[inner - 1][:, :, None] * np.exp(m.trans)[None]
-                * (np.stack((np.ones(len(inner)), np.exp(np.clip(e[inner], -30, 30))), 1) * beta[inner])[:, None, :])
-        pair /= pair.sum((1, 2), keepdims=True)
-        g_t = seen_pairs - pair.sum(0)
-        g_s = seen_start - np.array([(1 - p[fresh]).sum(), p[fresh].sum()])
-        g_b = float((y - p).sum())
         for k, g in (("w", g_w), ("t", g_t), ("s", g_s), ("b", g_b)):
             past[k] = past[k] + g * g
         m.weights += 0.5 * g_w / np.sqrt(past["w"])
         m.trans += 0.2 * g_t / np.sqrt(past["t"])
         m.start += 0.2 * g_s / np.sqrt(past["s"])
         m.bias += 0.2 * g_b / math.sqrt(past["b"])
-    e = (m.bias + np.bincount(of_word, weights=m.weights[flat], minlength=len(features)))[word_id]
-    x = signs(marginals(m, e, fresh)[0], np.concatenate(([0], np.cumsum(lengths))))
-    _fit_documents(m, x, toxic.astype(float))
-    return m
+    of_name, out = potentials(), np.empty(len(word_id), np.float32)
+    for c in cuts:
+        out[c] = marginals(m, of_name[word_id[c]], fresh[c])[0]
+    return out
 
 
 def signs(p: np.ndarray, begin: np.ndarray) -> np.ndarray:
@@ -265,21 +303,39 @@ def held_out(id_column: str):
     return F.coalesce(F.crc32(F.col(id_column).cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Crf | None:
-    """A model from the labelled rows that are not held out; None without toxic ones."""
+def fit(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_chars: int = SAMPLE_CHARS) -> Crf | None:
+    """A model from the labelled rows that are not held out; None without toxic ones. Both the number of
+    sampled rows and their characters are bounded, for each class."""
     known = (labels.where("doc_id is not null and toxic is not null").where(~held_out("doc_id"))
              .groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic")))
-    number = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
-    if not number.get(1):
+    # rows with a label; rows equal in id and text are one
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(known, "doc_id") \
+        .select("doc_id", "toxic", F.xxhash64("text").alias("of_text"), F.length("text").alias("chars")).distinct()
+    size = {r["toxic"]: (r["n"], r["chars"]) for r in
+            rows.groupBy("toxic").agg(F.count("*").alias("n"), F.sum("chars").alias("chars")).collect()}
+    if not size.get(1):
         return None
-    # a row of class c is in the sample if its hash is among the first sample_docs / count(c)
-    part = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
-    share = F.when(F.col("toxic") == 1, sample_docs / number[1]).otherwise(sample_docs / max(number.get(0, 1), 1))
-    chosen = known.where(part < share)
-    rows = (docs.select("doc_id", "text").where(F.length("text") <= SAMPLE_CHARS)
-            .join(F.broadcast(chosen.limit(3 * sample_docs)), "doc_id").select("text", "toxic")
-            .distinct().orderBy("text", "toxic").collect())
-    return _train([r["text"] for r in rows], np.array([r["toxic"] for r in rows], int))
+    # a row of class c is in the sample if its hash is in the class's share of all hashes
+    part = F.pmod(F.xxhash64("doc_id", "of_text"), F.lit(1 << 30)) / float(1 << 30)
+    share = {c: min(sample_docs / n, sample_chars / max(chars, 1)) for c, (n, chars) in size.items()}
+    wanted = rows.withColumn("part", part).where(F.col("part") < F.when(F.col("toxic") == 1, share[1])
+                                                 .otherwise(share.get(0, 0.0)))
+    chosen, total = [], {0: 0, 1: 0}
+    for r in wanted.orderBy("part", "doc_id", "of_text").limit(4 * sample_docs).collect():
+        if total[r["toxic"]] + r["chars"] <= 2 * sample_chars:
+            total[r["toxic"]] += r["chars"]
+            chosen.append((r["doc_id"], r["of_text"], r["toxic"]))
+    spark = docs.sparkSession
+    few = F.broadcast(spark.createDataFrame(chosen, "doc_id long, of_text long, toxic int"))  # 4 x sample_docs at most
+    got = (docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(few.select("doc_id").distinct()), "doc_id")
+           .withColumn("of_text", F.xxhash64("text")).join(few, ["doc_id", "of_text"])
+           .select("text", "toxic").distinct().toArrow())
+    texts = sorted(zip(got.column("text").to_pylist(), got.column("toxic").to_pylist()))
+    del got
+    m = _train([t for t, _ in texts], np.array([x for _, x in texts], int))
+    del texts
+    give_back()
+    return m
 
 
 _CACHE: dict[str, dict[str, float]] = {}
@@ -323,7 +379,7 @@ def _score(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SCORE_BYTES):
                 texts = text_column(part, "text")
                 flat, begin = words(texts, lower=False)
                 spans: list[list[dict]] = [[] for _ in range(part.num_rows)]

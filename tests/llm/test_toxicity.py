@@ -92,3 +92,49 @@ def test_held_out_labels_and_side_columns_are_not_used(spark):
     flipped = labels.withColumn("toxic", toxicity.F.when(held_out("doc_id"), 1 - labels["toxic"]).otherwise(labels["toxic"]))
     a, b = fit(docs, labels), fit(docs.drop("score"), flipped)
     assert np.array_equal(a.weights, b.weights) and np.array_equal(a.doc, b.doc)
+
+
+def test_stretches_of_tokens_give_the_same_fit(spark, monkeypatch):
+    docs, labels = labelled(spark)
+    whole = fit(docs, labels)
+    monkeypatch.setattr(toxicity, "FIT_TOKENS", 100)
+    cut = fit(docs, labels)
+    a, b = ({r["doc_id"]: r["score"] for r in score(docs, m).collect()} for m in (whole, cut))
+    assert all((a[i] >= 0.5) == (b[i] >= 0.5) for i in a)
+
+
+def test_long_labelled_texts_are_fitted_and_scored(spark):
+    r = random.Random(3)
+    vocab = [f"word{i}" for i in range(200)]
+    rows = []
+    for i in range(60):
+        w = [r.choice(vocab) for _ in range(4000)]
+        if i % 3 == 0:
+            for _ in range(3):
+                w.insert(r.randrange(len(w)), "vileterm")
+        rows.append((i, " ".join(w)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(60)], "doc_id long, toxic int")
+    got = {x["doc_id"]: x["score"] >= 0.5 for x in score(docs, fit(docs, labels)).collect()}
+    assert got == {i: i % 3 == 0 for i in range(60)}
+
+
+def test_one_labelled_id_with_many_texts_is_bounded(spark, monkeypatch):
+    docs = spark.range(5000).selectExpr("7L doc_id", "concat('w', id, ' vileterm') text")
+    docs = docs.unionByName(spark.range(50).selectExpr("id + 8 doc_id", "concat('w', id, ' fine') text"))
+    labels = spark.createDataFrame([(7, 1)] + [(i, 0) for i in range(8, 58)], "doc_id long, toxic int")
+    seen = []
+    monkeypatch.setattr(toxicity, "_train", lambda texts, toxic: seen.append(len(texts)))
+    if not spark.range(1).select(held_out("id")).first()[0]:
+        fit(docs, labels, sample_docs=20)
+    assert all(n <= 80 for n in seen)
+
+
+def test_without_telling_terms_there_is_still_a_model(spark):
+    docs = spark.createDataFrame([(i, "" if i % 2 else f"one{i} two{i}") for i in range(40)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 2 == 0)) for i in range(40)], "doc_id long, toxic int")
+    m = fit(docs, labels)
+    got = {r["doc_id"]: r["score"] for r in score(docs, m).collect()}
+    assert m is not None and min(got[i] for i in range(0, 40, 2)) > max(got[i] for i in range(1, 40, 2))
+    empty = fit(docs.withColumn("text", toxicity.F.lit(None).cast("string")), labels)
+    assert {0 < r["score"] < 1 for r in score(docs, empty).collect()} == {True}

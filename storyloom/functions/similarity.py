@@ -6,7 +6,8 @@ distinct title keys. Three exact bounds come first, each rejecting most of
 what is left: lengths, character multisets (one array operation for a key
 against a whole block), and the longest common subsequence (the matched
 characters form a common subsequence). All of them work the same way for
-any length. The matcher is not symmetric, so both argument orders are
+any length. Between them comes a bound that follows from how the matcher treats a second
+argument of 200 characters or more (see :func:`seeded`). The matcher is not symmetric, so both argument orders are
 returned.
 """
 
@@ -55,6 +56,29 @@ def character_counts(keys: list[str], column: dict[str, int]) -> np.ndarray:
     return out
 
 
+#: The matcher's rule for long second arguments: from this length on, characters that make up more than a
+#: hundredth of it (and one more) start no match.
+LONG, SEED_GRAM = 200, 5
+
+
+def starters(counts: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """(keys x characters): which characters of a key can start a match if it is the second argument."""
+    return (counts > 0) & ((length < LONG)[:, None] | (counts <= (length // 100 + 1)[:, None]))
+
+
+def seeded(starts: int, need: float, shared) -> bool:
+    """Whether more than ``need`` characters can match if the second argument is long. A matching
+    block is a run of common characters that holds one that can start a match, or else the common beginning of both
+    keys. With ``starts`` common characters that can start one, there are at most ``starts + 1`` blocks, and the
+    longest, a common substring, has more than ``need / (starts + 1)`` characters. ``shared()`` tells whether the keys have
+    a substring of ``SEED_GRAM`` characters in common."""
+    return need / (starts + 1) < SEED_GRAM or shared()
+
+
+def _substrings(s: str) -> set[str]:
+    return {s[i:i + SEED_GRAM] for i in range(len(s) - SEED_GRAM + 1)}
+
+
 def block_verdicts(left: list[str], right: list[str], threshold: float, same: bool):
     """``(a, b, a_later, b_later)`` for each pair a < b of a left and a right key that
     is similar in an order; ``same``: both lists are one block."""
@@ -68,6 +92,14 @@ def block_verdicts(left: list[str], right: list[str], threshold: float, same: bo
     length = np.array([len(k) for k in right], np.int64)
     counts = character_counts(right, column)
     own = character_counts(left, column)
+    first, second = starters(own, np.array([len(k) for k in left], np.int64)), starters(counts, length)
+    grams: dict[str, set[str]] = {}
+
+    def shared(x, y):
+        for k in (x, y):
+            if k not in grams:
+                grams[k] = _substrings(k)
+        return not grams[x].isdisjoint(grams[y])
     for i, x in enumerate(left):
         seen = np.flatnonzero(own[i])
         total = length + len(x)
@@ -77,10 +109,17 @@ def block_verdicts(left: list[str], right: list[str], threshold: float, same: bo
         near = np.flatnonzero(may)
         if not len(near):
             continue
-        overlap = np.minimum(counts[near][:, seen], own[i, seen]).sum(axis=1)
+        common = np.minimum(counts[near][:, seen], own[i, seen])
+        enough = 2.0 * common.sum(axis=1) > threshold * total[near]
+        near, common = near[enough], common[enough]
+        # common characters that can start a match, with y and with x as the second argument
+        of_y, of_x = (common * second[near][:, seen]).sum(axis=1), common[:, first[i, seen]].sum(axis=1)
         masks = None
-        for j in near[2.0 * overlap > threshold * total[near]].tolist():
-            y = right[j]
+        for j, n_y, n_x in zip(near.tolist(), of_y.tolist(), of_x.tolist()):
+            y, need = right[j], threshold * int(total[j]) / 2
+            if not (len(y) < LONG or seeded(n_y, need, lambda: shared(x, y))) \
+                    and not (len(x) < LONG or seeded(n_x, need, lambda: shared(x, y))):
+                continue
             masks = masks or position_masks(x)
             if 2.0 * lcs_length(x, y, masks) <= threshold * total[j]:
                 continue

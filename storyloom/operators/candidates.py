@@ -4,28 +4,31 @@ Items are never paired directly: exact copies share a key and are
 linked by a chain (see :mod:`storyloom.operators.grouping`), so a title
 carried by a third of all rows costs one key here.
 
-* containment (C4): a key of length >= 5 lying inside another contains
-  all of its own 5-grams, in particular its globally rarest one; the
-  probe side uses that single gram, the index side all grams.
+* containment (C4): the keys of length >= 5 fill automata of bounded size,
+  and every key runs once over those that can hold a part of it, told by
+  5-grams when there is more than one.
 * ratio (C5): 0.65 is too low a threshold for a lossless filter by shared
-  tokens (a constant share of all pairs passes any character bound, and a
-  join on tokens emits each such pair several times). Keys are dealt into
-  bands of similar length and blocks of at most about ``BLOCK_KEYS`` inside
-  a band; blocks whose lengths can reach the ratio meet, and a task compares
-  two blocks by array operations and emits similar pairs only. The work is
-  quadratic in the distinct titles of a digest key, the rows that move are
-  not: a key is sent once to each block that it can match.
+  tokens. Keys are dealt into leaves of similar content by a tree of character
+  counts and lengths; leaves whose envelopes cannot reach the ratio never
+  meet, and a key goes only to the leaves that it can reach itself
+  (:mod:`storyloom.operators.envelopes`). A task compares two blocks by array
+  operations and emits similar pairs only. Long titles of one language still
+  have much the same characters, so the work on those stays
+  quadratic; ``approximate`` is the way out (:mod:`storyloom.operators.approximate`).
 """
 
 from __future__ import annotations
 
-import math
+import zlib
+from collections import Counter
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from storyloom.functions.similarity import block_verdicts
+from storyloom.operators.envelopes import build_tree, can_reach, envelopes, placed
 from storyloom.operators.materialize import materialize
 from storyloom.params import CONTAINMENT_MIN_LEN
 
@@ -38,46 +41,111 @@ def distinct_keys(items: DataFrame) -> DataFrame:
             .withColumn("klen", F.length("key")))
 
 
-def _grams(keys: DataFrame) -> DataFrame:
-    seq = F.sequence(F.lit(1), F.col("klen") - (GRAM - 1))
-    return (keys.filter(F.col("klen") >= GRAM)
-            .select("digest_key", "key", "klen",
-                    F.explode(F.array_distinct(F.transform(seq, lambda i: F.substring("key", i, GRAM))))
-                    .alias("gram")))
+#: Characters of the keys of one automaton, and of the keys that run over it in one task.
+INNER_CHARS, OUTER_CHARS = 1_000_000, 500_000
+#: Keys whose grams are counted to tell common grams from rare ones, and how many grams are told apart.
+GRAM_SAMPLE, GRAM_TABLE = 4096, 16_384
+
+CONTAINED = "digest_key string, inner string, outer string"
+
+
+def common_grams(keys: DataFrame) -> dict[str, int]:
+    """The commonest grams of a bounded sample of keys, with their number of keys."""
+    sample = keys.where(F.col("klen") >= GRAM).orderBy(F.xxhash64("key"), "key").select("key").limit(GRAM_SAMPLE).collect()
+    n: Counter = Counter()
+    for r in sample:
+        n.update({r["key"][i:i + GRAM] for i in range(len(r["key"]) - GRAM + 1)})
+    return dict(n.most_common(GRAM_TABLE))
+
+
+def _part_of(gram: str, parts: int) -> int:
+    return zlib.crc32(gram.encode("utf-8", "surrogatepass")) % parts
+
+
+def _deal(common):
+    """Keys to parts: as an inner key to the part of its rarest gram, as an outer one to those of all its grams."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = common.value
+        for batch in batches:
+            dk, keys, parts = (batch.column(i).to_pylist() for i in range(3))
+            at, part, inner = [], [], []
+            for i, (k, n) in enumerate(zip(keys, parts)):
+                own, every = 0, [0]
+                if n > 1:
+                    grams = {k[j:j + GRAM] for j in range(len(k) - GRAM + 1)}
+                    own = _part_of(min(grams, key=lambda g: (seen.get(g, 0), g)), n)
+                    every = sorted({_part_of(g, n) for g in grams})
+                at += [i] * (1 + len(every))
+                part += [own, *every]
+                inner += [True, *[False] * len(every)]
+            yield pa.RecordBatch.from_arrays([pa.array([dk[i] for i in at], pa.string()), pa.array([keys[i] for i in at], pa.string()),
+                                              pa.array(part, pa.int64()), pa.array(inner)], ["digest_key", "key", "part", "inner"])
+    return run
+
+
+def _scan(key, left: pa.Table, right: pa.Table) -> pa.Table:
+    """Run the outer keys over an automaton of the inner ones."""
+    import ahocorasick
+    inner, outer = [], []
+    if left.num_rows and right.num_rows:
+        machine = ahocorasick.Automaton()
+        for k in left.column("key").to_pylist():
+            machine.add_word(k, k)
+        machine.make_automaton()
+        for text in right.column("key").to_pylist():
+            found = {k for _, k in machine.iter(text)}
+            found.discard(text)
+            inner += found
+            outer += [text] * len(found)
+    dk = key[0].as_py()
+    return pa.table({"digest_key": pa.array([dk] * len(inner), pa.string()), "inner": pa.array(inner, pa.string()),
+                     "outer": pa.array(outer, pa.string())})
 
 
 def containment_pairs(keys: DataFrame) -> DataFrame:
-    """Ordered pairs (inner, outer) of distinct keys with ``inner`` in ``outer``."""
-    grams = materialize(_grams(keys), "grams")
-    freq = grams.groupBy("digest_key", "gram").agg(F.count("*").alias("gfreq"))
-    g = grams.join(freq, ["digest_key", "gram"])
-    probe = g.groupBy("digest_key", "key", "klen").agg(
-        F.min_by("gram", F.struct("gfreq", "gram")).alias("gram"))
-    index = grams.select(F.col("digest_key").alias("odk"), F.col("gram").alias("ogram"),
-                         F.col("key").alias("outer"), F.col("klen").alias("olen"))
-    # the test is part of the join, so only pairs that hold are emitted
-    j = probe.join(index, (F.col("digest_key") == F.col("odk")) & (F.col("gram") == F.col("ogram"))
-                   & (F.col("olen") > F.col("klen")) & F.contains("outer", "key"))
-    return j.select("digest_key", F.col("key").alias("inner"), "outer")
-
-
-#: Keys of a block (bounds a task's arrays) and the step between length bands.
-BLOCK_KEYS = 1024
-BAND_STEP = 1.15
+    """Ordered pairs (inner, outer) of distinct keys with ``inner`` in ``outer``.
+
+    The keys of a digest key fill parts of about ``INNER_CHARS`` characters. A key inside another brings
+    all its 5-grams there, so an inner key goes to the part of one of them, the rarest by a bounded sample, and
+    an outer key to the parts of its grams. Parts that are larger (a gram that very many keys share) are cut into
+    blocks, and so are their outer keys; a pair of blocks is a task: one automaton, one pass over each outer key."""
+    sc = keys.sparkSession.sparkContext
+    long = keys.where(F.col("klen") >= GRAM)
+    size = long.groupBy("digest_key").agg(F.ceil(F.sum("klen") / INNER_CHARS).alias("parts"))
+    sized = long.join(size, "digest_key").select("digest_key", "key", "parts")
+    dealt = materialize(sized.mapInArrow(_deal(sc.broadcast(common_grams(keys))),
+                                         "digest_key string, key string, part long, inner boolean"), "dealt-keys")
+    by, chars = ["digest_key", "part"], F.length("key")
+    number = dealt.groupBy(*by).agg(F.ceil(F.sum(F.when(F.col("inner"), chars)) / INNER_CHARS).alias("nb"),
+                                    F.ceil(F.sum(F.when(~F.col("inner"), chars)) / OUTER_CHARS).alias("no")).where("nb > 0")
+    own = F.xxhash64("key")
+
+    def every(n):
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    joined = dealt.join(number, by)
+    left = joined.where("inner").select(*by, F.pmod(own, F.col("nb")).alias("b"), every("no").alias("o"), "key")
+    right = joined.where("not inner").select(*by, every("nb").alias("b"), F.pmod(own, F.col("no")).alias("o"), "key")
+    # columns of their own on each side, as both come from one table
+    sides = [d.select(*[F.col(c).alias(c) for c in (*by, "b", "o", "key")]).groupBy(*by, "b", "o") for d in (left, right)]
+    return sides[0].cogroup(sides[1]).applyInArrow(_scan, CONTAINED)
+
+
+#: Keys of a block (bounds a task's arrays).
+BLOCK_KEYS = 512
 
 PAIRS = "digest_key string, a string, b string, a_later boolean, b_later boolean"
 
 
-def _compare(threshold: float):
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+def _verdicts(threshold: float):
+    def run(key, left: pa.Table, right: pa.Table) -> pa.Table:
         out: list[tuple] = []
+        dk, lleaf, lsalt, rleaf, rsalt = (k.as_py() for k in key)
         if left.num_rows and right.num_rows:
-            first = {c: left.column(c)[0].as_py() for c in ("digest_key", "lband", "lsalt", "rband", "rsalt")}
-            same = (first["lband"], first["lsalt"]) == (first["rband"], first["rsalt"])
             a, b = left.column("key").to_pylist(), right.column("key").to_pylist()
+            same = (lleaf, lsalt) == (rleaf, rsalt)
             if same:
-                a, b = sorted(a), sorted(b)
-            out = [(first["digest_key"], *x) for x in block_verdicts(a, b, threshold, same)]
+                a = b = sorted(a)
+            out = [(dk, *x) for x in block_verdicts(a, b, threshold, same)]
         cols = list(zip(*out)) if out else [()] * 5
         return pa.table({"digest_key": pa.array(cols[0], pa.string()), "a": pa.array(cols[1], pa.string()),
                          "b": pa.array(cols[2], pa.string()), "a_later": pa.array(cols[3], pa.bool_()),
@@ -85,29 +153,38 @@ def _compare(threshold: float):
     return run
 
 
-def ratio_pairs(keys: DataFrame, threshold: float) -> DataFrame:
+def ratio_work(keys: DataFrame, threshold: float, number: int | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The pairs of blocks that can hold a similar pair, and the copies of keys that are sent to each as the left and
+    the right side."""
+    number = keys.count() if number is None else number
+    tree = keys.sparkSession.sparkContext.broadcast(build_tree(keys, number))
+    own = materialize(placed(keys, tree), "placed-keys")
+    env = materialize(envelopes(own).withColumn("salts", F.ceil(F.col("n") / BLOCK_KEYS)), "envelopes")
+    names = ("leaf", "low", "high", "shortest", "longest", "salts")
+    x, y = (env.select("digest_key", *[F.col(c).alias(side + c) for c in names]) for side in "lr")
+    meets = materialize(x.join(y, "digest_key").where(f"lleaf <= rleaf and {can_reach(threshold, 'l', 'r')}"), "leaf-pairs")
+    by = ["digest_key", "lleaf", "lsalt", "rleaf", "rsalt"]
+    every = {side: F.explode(F.sequence(F.lit(0).cast("long"), F.col(side + "salts") - 1)).alias(side + "salt") for side in "lr"}
+    blocks = meets.select("*", every["l"]).select("*", every["r"]).where("lleaf < rleaf or lsalt <= rsalt")
+    salted = own.join(env.select("digest_key", "leaf", "salts"), ["digest_key", "leaf"]) \
+        .withColumn("salt", F.pmod(F.xxhash64("key"), F.col("salts")))
+    sides = []
+    for side, other in ("lr", "rl"):
+        # a key alone is an envelope too
+        alone = salted.select("digest_key", "key", F.col("leaf").alias(side + "leaf"), F.col("salt").alias(side + "salt"),
+                              F.col("counts").alias("klow"), F.col("counts").alias("khigh"),
+                              F.col("klen").alias("kshortest"), F.col("klen").alias("klongest"))
+        rest = blocks.select(*by, *[F.col(other + c) for c in names[1:5]])
+        sent = alone.join(rest, ["digest_key", side + "leaf", side + "salt"]).where(can_reach(threshold, "k", other))
+        sides.append(sent.select(*[F.col(c).alias(c) for c in (*by, "key")]))
+    return blocks.select(*by), sides[0], sides[1]
+
+
+def ratio_pairs(keys: DataFrame, threshold: float, number: int | None = None) -> DataFrame:
     """``PAIRS``: unordered pairs a < b of distinct keys with ratio > t in an order."""
-    banded = keys.withColumn("band", F.floor(F.log(F.col("klen").cast("double")) / math.log(BAND_STEP)))
-    sized = banded.groupBy("digest_key", "band").agg(
-        F.ceil(F.count("*") / BLOCK_KEYS).alias("salts"), F.min("klen").alias("low"), F.max("klen").alias("high"))
-    sized = materialize(sized, "bands")
-    blocks = sized.select("digest_key", "band", "low", "high",
-                          F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt"))
-    x = blocks.select("digest_key", *[F.col(c).alias("l" + c) for c in ("band", "salt", "low", "high")])
-    y = blocks.select("digest_key", *[F.col(c).alias("r" + c) for c in ("band", "salt", "low", "high")])
-    # blocks of equal or longer keys whose nearest lengths can still reach the ratio
-    meets = x.join(y, "digest_key").where(
-        "(lband < rband or (lband = rband and lsalt <= rsalt))"
-        f" and 2.0D * least(lhigh, rlow) > {threshold}D * (least(lhigh, rlow) + rlow)") \
-        .select("digest_key", "lband", "lsalt", "rband", "rsalt")
-    meets = materialize(meets, "block-pairs")
-    dealt = banded.join(sized.select("digest_key", "band", "salts"), ["digest_key", "band"]) \
-        .withColumn("salt", F.pmod(F.xxhash64("key"), F.col("salts"))).select("digest_key", "band", "salt", "key")
-    by = ["digest_key", "lband", "lsalt", "rband", "rsalt"]
-    left = dealt.withColumnsRenamed({"band": "lband", "salt": "lsalt"}).join(meets, by[:3])
-    right = dealt.withColumnsRenamed({"band": "rband", "salt": "rsalt"}).join(meets, ["digest_key", "rband", "rsalt"])
-    sides = [d.select(*[F.col(c).alias(c) for c in (*by, "key")]).groupBy(*by) for d in (left, right)]
-    return sides[0].cogroup(sides[1]).applyInArrow(_compare(threshold), PAIRS)
+    _, left, right = ratio_work(keys, threshold, number)
+    by = ["digest_key", "lleaf", "lsalt", "rleaf", "rsalt"]
+    return left.groupBy(*by).cogroup(right.groupBy(*by)).applyInArrow(_verdicts(threshold), PAIRS)
 
 
 def similar_key_pairs(keys: DataFrame, threshold: float, use_ratio: bool = True) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from storyloom.functions.text import short_summary
 from storyloom.operators import filters
+from storyloom.operators.materialize import materialize
 from storyloom.plans.fixture import fixture_params
 from storyloom.sources.tables import articles
 
@@ -99,7 +100,6 @@ def _ranked(spark, sf_dir, exact=False, use_ratio=False, digest_key=None):
 
 def top_components(spark, sf_dir, digest_key=None):
     """C7 on link + containment edges -> T2 -> T3."""
-    from storyloom.operators.materialize import materialize
     from storyloom.plans.batch import select_top_stories
     p = fixture_params(spark, sf_dir)
     c = materialize(filters.prepare_candidates(articles(spark, sf_dir), p), "candidates")
@@ -231,7 +231,7 @@ def q_containment_pairs(spark, sf_dir):
     from storyloom.operators.candidates import containment_pairs, distinct_keys
     items = articles(spark, sf_dir).select(F.lit("").alias("digest_key"),
                                            title_key("title").alias("key"))
-    return containment_pairs(distinct_keys(items)).select(F.col("inner").alias("inner_key"),
+    return containment_pairs(materialize(distinct_keys(items), "keys")).select(F.col("inner").alias("inner_key"),
                                                           F.col("outer").alias("outer_key"))
 
 

@@ -1,6 +1,7 @@
 """Story grouping against brute force (property tests of SURVEY 5.3, E12-E18)."""
 
 import datetime as dt
+import difflib
 import random
 
 from pyspark.sql import functions as F
@@ -85,7 +86,9 @@ def _pairs_by_definition(keys):
 
 def test_similar_pairs_are_those_of_the_definition(spark, monkeypatch):
     from storyloom.operators import candidates as C
-    monkeypatch.setattr(C, "BLOCK_KEYS", 16)  # several blocks a band
+    from storyloom.operators import envelopes
+    monkeypatch.setattr(C, "BLOCK_KEYS", 8)  # several blocks a leaf
+    monkeypatch.setattr(envelopes, "LEAF_KEYS", 20)
     _, items = _items_in_arrival(spark)
     keys = sorted({RM.norm(it["title"]) for it in items} - {""})
     keys += ["x" * 3000 + "y", "x" * 2900 + "z" * 50, "字" * 300, "字" * 290]  # long ones take the same path
@@ -231,3 +234,109 @@ def test_ranking_invariant_under_repartitioning(spark):
         again = [tuple(r) for r in select_top_stories(c.repartition(n), p, exact=False)
                  .select(*cols).orderBy("rank").collect()]
         assert again == base
+
+
+def _least_reachable(n, edges, directed):
+    label = list(range(n))
+    both = edges if directed else edges + [(b, a) for a, b in edges]
+    while True:
+        new = list(label)
+        for a, b in both:
+            new[a] = min(new[a], new[b])
+        if new == label:
+            return dict(enumerate(label))
+        label = new
+
+
+def test_labels_inside_a_block_take_no_round(spark):
+    from storyloom.operators.grouping import propagate_min
+    n = 200
+    edges = [(n + i, n - 1 - i) for i in range(n)] + [(n + i, n + i - 1) for i in range(1, n)]
+    rounds = []
+    nodes = spark.range(2 * n).withColumnRenamed("id", "ord")
+    got = {r.ord: r.label for r in propagate_min(nodes, spark.createDataFrame(edges, "src long, dst long"), rounds=rounds).collect()}
+    assert got == _least_reachable(2 * n, edges, True) and len(rounds) == 1
+
+
+def test_rounds_over_many_blocks(spark):
+    """A chain, a ladder and a zig-zag over 25 blocks of 16: rounds, not steps."""
+    from storyloom.operators.grouping import propagate_min
+    n = 200
+    chain = [(i, i - 1) for i in range(1, 2 * n)]
+    ladder = [(n + i, n - 1 - i) for i in range(n)] + [(n + i, n + i - 1) for i in range(1, n)]
+    zigzag = [(max(a, b), min(a, b)) for a, b in zip(range(n), [(i * 77 + 31) % n + n for i in range(n)])] \
+        + [(max(a, b), min(a, b)) for a, b in zip([(i * 77 + 31) % n + n for i in range(n - 1)], range(1, n))]
+    rnd = random.Random(5)
+    mixed = [(max(a, b), min(a, b)) for a, b in ((rnd.randrange(2 * n), rnd.randrange(2 * n)) for _ in range(2 * n)) if a != b]
+    nodes = spark.range(2 * n).withColumnRenamed("id", "ord")
+    most = {("chain", True): 7, ("ladder", True): 8, ("zigzag", False): 12, ("mixed", True): 12, ("mixed", False): 12}
+    for name, edges in (("chain", chain), ("ladder", ladder), ("zigzag", zigzag), ("mixed", mixed)):
+        for directed in (True, False):
+            if (name, directed) in most:
+                rounds = []
+                df = spark.createDataFrame(edges, "src long, dst long")
+                got = {r.ord: r.label for r in propagate_min(nodes, df, directed, block_bits=4, rounds=rounds).collect()}
+                assert got == _least_reachable(2 * n, edges, directed), (name, directed)
+                assert len(rounds) <= most[name, directed], (name, directed, rounds)
+
+
+def test_arrival_numbers_are_dense(spark):
+    df = with_arrival_order(_raw_rows(spark, [(f"t{i}", f"l{i}", "s") for i in range(57)]).repartition(5))
+    assert sorted(r.ord for r in df.collect()) == list(range(57))
+    assert with_arrival_order(_raw_rows(spark, [("t", "l", "s")]).where("false")).count() == 0
+
+
+def test_containment_over_many_automata(spark, monkeypatch):
+    """Parts by grams, blocks inside parts, and one gram that every key holds."""
+    from storyloom.operators import candidates as C
+    monkeypatch.setattr(C, "INNER_CHARS", 150)
+    monkeypatch.setattr(C, "OUTER_CHARS", 200)
+    rnd = random.Random(3)
+    keys = {"".join(rnd.choice("abc") for _ in range(rnd.randrange(3, 40))) for _ in range(150)}
+    keys |= {"hotgram" + k for k in list(keys)[:60]} | {"hotgram"}
+    rows = [("d" + str(i % 2), k) for i, k in enumerate(sorted(keys))]
+    got = {tuple(r) for r in C.containment_pairs(distinct_keys(spark.createDataFrame(rows, "digest_key string, key string"))).collect()}
+    want = {(d, a, b) for d, a in rows for e, b in rows if d == e and a != b and len(a) >= 5 and a in b}
+    assert got == want and len(want) > 80
+
+
+def test_verdicts_of_long_keys_follow_the_matcher():
+    """Around 200 characters, where common characters stop starting matches: shared beginnings, runs and near copies."""
+    from storyloom.functions.similarity import block_verdicts
+    rnd = random.Random(8)
+    keys = set()
+    for _ in range(24):
+        base = "".join(rnd.choice("ab" * 20 + "cdefghij") for _ in range(rnd.randrange(150, 420)))
+        keys |= {base, base[:rnd.randrange(60, 140)] + "".join(rnd.choice("abz") for _ in range(rnd.randrange(80, 200)))}
+        cut = rnd.randrange(20, 100)
+        keys.add(base[cut:] + base[:cut])
+    keys |= {"ab" * 120, "ab" * 115 + "zzz", "ab" * 90, "ba" * 130, "x" + "ab" * 120}
+    keys = sorted(keys)
+    ratio = lambda a, b: difflib.SequenceMatcher(None, a, b).ratio() > 0.65
+    want = {(a, b): (ratio(a, b), ratio(b, a)) for i, a in enumerate(keys) for b in keys[i + 1:]}
+    want = {k: v for k, v in want.items() if any(v)}
+    got = {(a, b): (x, y) for a, b, x, y in block_verdicts(keys, keys, 0.65, True)}
+    assert got == want and len(want) > 8
+    half = len(keys) // 2
+    got = {(a, b): (x, y) for a, b, x, y in block_verdicts(keys[half:], keys[:half], 0.65, False)}
+    assert got == {k: v for k, v in want.items() if (k[0] in keys[half:]) != (k[1] in keys[half:])}
+
+
+def test_envelopes_prune_blocks_and_copies(spark, monkeypatch):
+    """Work grows clearly slower than the square of the keys, on titles of several alphabets and lengths."""
+    from storyloom.operators import candidates as C
+    from storyloom.operators import envelopes
+    monkeypatch.setattr(envelopes, "LEAF_KEYS", 16)
+    monkeypatch.setattr(C, "BLOCK_KEYS", 32)
+    rnd = random.Random(4)
+    alphabets = ["abcdefgh", "ijklmnop", "qrstuvwx", "абвгдежз", "你好新闻世界天地"]
+    keys = sorted({"".join(rnd.choice(rnd.choice(alphabets[:1 + i % 5])) if i % 7 == 0 else rnd.choice(alphabets[i % 5])
+                           for _ in range(rnd.randrange(10, 80))) for i in range(1200)})
+    copies = {}
+    for n in (300, 1200):
+        kdf = distinct_keys(spark.createDataFrame([("", k) for k in rnd.sample(keys, min(n, len(keys)))], "digest_key string, key string"))
+        blocks, left, right = C.ratio_work(kdf, 0.65)
+        copies[n] = left.count() + right.count()
+        assert blocks.where("rleaf < lleaf").count() == 0
+    assert copies[1200] < 10 * copies[300]  # the square would be 16
+    assert copies[1200] < 0.3 * 2 * 1200 * (1200 / 16)  # of every key to every leaf, both sides

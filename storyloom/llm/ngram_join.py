@@ -122,18 +122,27 @@ def _profile(width: int):
     return run
 
 
-def _summed(rows: pa.Table) -> pa.Table:
-    total = np.zeros((1 << COUNTERS_LOG2) // COUNTER_SLICES, np.int64)
-    for raw in rows.column("counts"):
-        total += np.frombuffer(raw.as_py(), "<u4")
-    return pa.table({"slice": rows.column("slice").slice(0, 1),
-                     "counts": pa.array([np.minimum(total, 0xFFFFFFFF).astype("<u4").tobytes()], pa.binary())})
+def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums of a task's slices, read as a stream: memory is that of the table, however many tasks sent counters."""
+    total: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for number, raw in zip(column(batch, "slice").to_pylist(), column(batch, "counts")):
+            own = np.frombuffer(raw.as_py(), "<u4")
+            if number in total:
+                total[number] += own
+            else:
+                total[number] = own.astype(np.int64)
+    if total:
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(list(total), pa.int32()),
+             pa.array([np.minimum(t, 0xFFFFFFFF).astype("<u4").tobytes() for t in total.values()], pa.binary())], ["slice", "counts"])
+    give_back()
 
 
 def frequencies(profile: DataFrame) -> np.ndarray:
     """The summed counters: always 2**COUNTERS_LOG2 numbers."""
-    rows = (profile.where("slice is not null").select("slice", "counts").groupBy("slice")
-            .applyInArrow(_summed, "slice int, counts binary").collect())
+    rows = (profile.where("slice is not null").select("slice", "counts").repartition(COUNTER_SLICES, "slice")
+            .mapInArrow(_summed, "slice int, counts binary").collect())
     out = np.zeros(1 << COUNTERS_LOG2, "<u4")
     size = len(out) // COUNTER_SLICES
     for r in rows:
@@ -169,7 +178,7 @@ def _entries(width: int, num: int, den: int, table):
 
 
 def _texts(width: int):
-    """Keep the rows whose text is that of the class (ids may repeat)."""
+    """Keep the rows whose text is that of the class (an id may have several texts)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
@@ -341,14 +350,31 @@ def _product(placed: DataFrame, num: int, den: int) -> DataFrame:
     return side("left").cogroup(side("right")).applyInArrow(_multiply(num, den), "a long, b long")
 
 
+def _keyed(width: int):
+    """The class of each row's text, with the text."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text"):
+                own = [class_key(s) if len(s) else None for s in shingle_sets(text_column(part, "text"), width)]
+                yield pa.RecordBatch.from_arrays([pa.array(own, pa.int64()), column(part, "text")], ["cls", "text"])
+        give_back()
+    return run
+
+
 def _fetch(rows: DataFrame, classes: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """``(cls, text)`` of the wanted classes, by their first document."""
-    ids = materialize(wanted.join(classes, "cls").where("first_id is not null")
-                      .select("cls", F.col("first_id").alias("doc_id")), "wanted")
-    if ids.count() <= BROADCAST_IDS:
+    """``(cls, text)`` of the wanted classes, one text each, by their first document; classes that have only
+    rows with a null id by the class of those rows."""
+    own = materialize(wanted.join(classes, "cls").select("cls", F.col("first_id").alias("doc_id")), "wanted")
+    ids, nameless = own.where("doc_id is not null"), own.where("doc_id is null").select("cls")
+    if own.count() <= BROADCAST_IDS:
         ids = F.broadcast(ids)
-    return materialize(rows.where("doc_id is not null and text is not null").join(ids, "doc_id")
-                       .select("cls", "text").mapInArrow(_texts(width), "cls long, text string"), "texts")
+    texts = rows.where("doc_id is not null and text is not null").join(ids, "doc_id") \
+        .select("cls", "text").mapInArrow(_texts(width), "cls long, text string")
+    if not nameless.isEmpty():
+        texts = texts.unionByName(rows.where("doc_id is null and text is not null").select("text")
+                                  .mapInArrow(_keyed(width), "cls long, text string").join(nameless, "cls", "left_semi"))
+    # rows that repeat an id and a text are one; a task sends one text a class
+    return materialize(texts.groupBy("cls").agg(F.first("text").alias("text")), "texts")
 
 
 def ngram_components(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100,

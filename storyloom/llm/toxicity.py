@@ -168,12 +168,15 @@ def _marked_words(names: list[str], word_id: np.ndarray, fresh: np.ndarray, of_d
     flat, first = np.array([t for ts in of_term for t in ts], np.int64), np.cumsum(many) - many
     seen = []
     for which in (of_doc, ~of_doc):
-        w = word_id[which]
-        each = many[w]
-        term = flat[np.repeat(first[w] - (np.cumsum(each) - each), each) + np.arange(int(each.sum()))]
         sides = []
         for beside in (before, after, doc):
-            pairs = np.unique(term * wide + np.repeat(beside[which] + 1, each))
+            # each word's different neighbours first, then those of its terms, a part at a time
+            own = np.unique(word_id[which] * wide + beside[which] + 1)
+            pairs = np.empty(0, np.int64)
+            for part in np.array_split(own, len(own) // 100_000 + 1):
+                w, each = part // wide, many[part // wide]
+                term = flat[np.repeat(first[w] - (np.cumsum(each) - each), each) + np.arange(int(each.sum()))]
+                pairs = np.union1d(pairs, term * wide + np.repeat(part % wide, each))
             sides.append(np.bincount(pairs // wide, minlength=len(number)))
         seen.append(sides)
     bad, good = np.min(seen[0], axis=0), np.max(seen[1], axis=0)
@@ -309,8 +312,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, samp
     known = (labels.where("doc_id is not null and toxic is not null").where(~held_out("doc_id"))
              .groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic")))
     # rows with a label; rows equal in id and text are one
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(known, "doc_id") \
-        .select("doc_id", "toxic", F.xxhash64("text").alias("of_text"), F.length("text").alias("chars")).distinct()
+    own = F.coalesce("text", F.lit(""))
+    rows = docs.select("doc_id", F.xxhash64(own).alias("of_text"), F.length(own).alias("chars")).join(known, "doc_id").distinct()
     size = {r["toxic"]: (r["n"], r["chars"]) for r in
             rows.groupBy("toxic").agg(F.count("*").alias("n"), F.sum("chars").alias("chars")).collect()}
     if not size.get(1):

@@ -5,6 +5,7 @@ import re
 
 import pytest
 
+from storyloom.llm import ngram_join
 from storyloom.llm.components import components
 from storyloom.llm.ngram_join import keep_one_per_group, ngram_components
 
@@ -116,3 +117,43 @@ def test_components_of_paths_and_stars(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 160)] + [(7, 7), (300, 299), (300, 299)]
     got = {r["node"]: r["label"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(41)}, **{i: 100 for i in range(100, 160)}, 299: 299, 300: 299}
+
+
+def chain_texts():
+    """Three texts of which neighbours have a similarity of 16 / 17 in single words, the ends less."""
+    w = [f"w{i}" for i in range(40)]
+    return " ".join(w[:33]), " ".join(w[1:34]), " ".join(w[2:35])
+
+
+def test_a_text_with_null_ids_only_links_its_neighbours(spark):
+    a, b, c = chain_texts()
+    rows = [(1, a), (None, b), (2, c), (None, b), (3, "nothing like it at all " * 3), (None, "own words only " * 5)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(((r["doc_id"], r["component_id"]) for r in ngram_join.ngram_components(df, 1, 93, 100).collect()), key=str)
+    assert got == sorted([(1, 1), (2, 1), (None, 1), (None, 1), (3, 3), (None, None)], key=str)
+
+
+def test_repeated_rows_are_fetched_and_verified_once(spark, monkeypatch):
+    a, b, _ = chain_texts()
+    rows = [(1, a)] * 300 + [(2, b)] * 300 + [(3, "unlike " * 9)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    seen = []
+    links = ngram_join._links
+
+    def counted(pairs, texts, *rest):
+        seen.append((pairs.count(), texts.count()))
+        return links(pairs, texts, *rest)
+    monkeypatch.setattr(ngram_join, "_links", counted)
+    got = {(r["doc_id"], r["component_id"]) for r in ngram_join.ngram_components(df, 1, 93, 100).collect()}
+    assert got == {(1, 1), (2, 1), (3, 3)}
+    assert seen == [(1, 2)]
+
+
+def test_counters_of_many_tasks_add_up(spark):
+    import numpy as np
+    texts = [f"a{i % 7} b{i % 11} c" for i in range(500)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(37)
+    schema = "doc_id long, n_shingles long, cls long, inside array<int>, slice int, counts binary"
+    one = ngram_join.frequencies(df.coalesce(1).mapInArrow(ngram_join._profile(1), schema))
+    many = ngram_join.frequencies(df.mapInArrow(ngram_join._profile(1), schema))
+    assert np.array_equal(one, many) and int(many.sum()) == 1500

@@ -126,7 +126,7 @@ def _spans_of(name: str, k: int, pattern: str, holds: str, source: str = "d") ->
     """Matches of a pattern with code point offsets: a match starts after the gaps and matches before it."""
     return f"""
 SELECT doc_id, {k} AS k, '{name}' AS name, s, s + length(t) AS e, t,
-       regexp_replace(right(g[i], 80), '^\\S*', '') || ' ' || regexp_replace(left(g[i + 1], 80), '\\S*$', '') AS around
+       right(g[i], 80) || ' ' || left(g[i + 1], 80) AS around
 FROM (SELECT doc_id, m, g, i, m[i] AS t,
              CAST(list_sum(list_transform(g[1:i], lambda x: length(x)))
                   + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0) AS BIGINT) AS s
@@ -151,14 +151,16 @@ _BASE = " UNION ALL ".join((
 OP10 = r"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 base AS MATERIALIZED (""" + _BASE + r"""),
-mention AS (SELECT doc_id, lower(around) AS around, k || ':' || CASE k WHEN 0 THEN lower(t) WHEN 1 THEN t
-            ELSE regexp_replace(t, '[^0-9]', '', 'g') END AS entity FROM base),
-near AS (SELECT DISTINCT entity, doc_id, md5(around) AS context,
-                unnest(list_distinct(regexp_extract_all(around, '\p{L}{4,}'))) AS term FROM mention),
-pair AS (SELECT entity, term, count(DISTINCT doc_id) AS together FROM near GROUP BY ALL HAVING count(DISTINCT context) >= 3),
-holder AS (SELECT entity, count(DISTINCT doc_id) AS c_e FROM mention GROUP BY entity),
+mention AS (SELECT doc_id, entity, md5(lower(min({'s': s, 'k': k, 'a': around}).a)) AS context
+            FROM (SELECT *, k || ':' || CASE k WHEN 0 THEN lower(t) WHEN 1 THEN t
+                  ELSE regexp_replace(t, '[^0-9]', '', 'g') END AS entity FROM base) GROUP BY doc_id, entity),
+word AS (SELECT DISTINCT doc_id, unnest(list_distinct(regexp_extract_all(lower(text), '\p{L}+'))) AS term
+         FROM d WHERE doc_id IN (SELECT doc_id FROM mention)),
+pair AS (SELECT entity, term, count(*) AS together FROM mention JOIN word USING (doc_id)
+         GROUP BY ALL HAVING count(DISTINCT context) >= 3),
+holder AS (SELECT entity, count(*) AS c_e FROM mention GROUP BY entity),
 spread AS (SELECT term, count(*) AS c_t
-           FROM (SELECT unnest(list_distinct(regexp_extract_all(lower(text), '\p{L}{4,}'))) AS term FROM d) GROUP BY term),
+           FROM (SELECT unnest(list_distinct(regexp_extract_all(lower(text), '\p{L}+'))) AS term FROM d) GROUP BY term),
 total AS (SELECT count(*) AS n FROM d),
 revealing AS (SELECT entity, term FROM pair JOIN holder USING (entity) JOIN spread USING (term), total
               WHERE ln(together * n / (c_t * c_e)) / nullif(ln(n / c_e), 0) >= 0.7),

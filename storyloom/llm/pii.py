@@ -9,12 +9,13 @@ repeats, and a look-behind that lets a match begin only at a run's start or wher
 lengths of the gaps and matches before it add up to. Lengths are in code points.
 
 *Revealing terms*: over all documents, for a protected entity e (a base value) and a term t (a word of
-letters near it),
+letters of any length, anywhere in the document),
 
     disclosure(t, e) = PMI(t; e) / IC(e) = log(c(t,e) N / (c(t) c(e))) / log(N / c(e))
 
 with documents as the unit, the share of the information in e that t gives away: 1 if t never occurs
-without e. A pair counts if t was seen near e in at least ``MIN_CONTEXTS`` different surroundings, so
+without e. A pair counts if t was seen in documents that hold e in at least ``MIN_CONTEXTS`` different surroundings
+(``CONTEXT_CHARS`` characters on both sides of its first mention), so
 copies of one passage are one observation. In documents that hold e, terms with a disclosure of
 ``REMOVE`` or more are removed; from ``GENERALISE`` on, they are cut to their first letter. Documents
 without personal data are never changed.
@@ -48,7 +49,7 @@ PATTERNS = {
 }
 #: Texts without these have no match of the kind.
 NEEDS = {"email": r"@", "ip": r"[0-9]\.[0-9]", "card": r"(?:[0-9][\x20-]?){13}[0-9]", "phone": r"\+[0-9]"}
-TERM = r"\p{L}{4,}+"
+TERM = r"\p{L}++"
 
 CONTEXT_CHARS = 80
 MIN_CONTEXTS = 3
@@ -85,29 +86,42 @@ def _add_matches(df: DataFrame, kind: str, pattern: str | None = None, text: str
     return found.withColumn("g", F.expr(f"CASE WHEN size(m) > 0 THEN split({text}, {p}, -1) END"))
 
 
-def _located(kind: str, order: int) -> Column:
-    """From ``m`` and ``g``: array of (s, k, e, t, around), valid matches only."""
+SPAN = "struct<s:bigint,k:int,e:bigint,t:string,around:string>"
+
+
+def _in_blocks(name: str) -> Column:
+    """An array cut into about sqrt(n) blocks of about sqrt(n) elements: folds that collect results over
+    blocks, and over each block, copy n * sqrt(n) elements in all, not n * n."""
+    wide = f"cast(ceil(sqrt(size({name}))) as int)"
+    return F.expr(f"CASE WHEN size({name}) > 0 THEN transform(sequence(0, (size({name}) - 1) div {wide}), "
+                  f"j -> slice({name}, j * {wide} + 1, {wide})) END")
+
+
+def _locate(df: DataFrame, kind: str, order: int, to: str) -> DataFrame:
+    """From ``m`` and ``g``: adds ``to``, an array of (s, k, e, t, around) of the valid matches. A match's start is the
+    sum of the lengths before it, of all blocks before its own and of what stands before it there."""
     half = CONTEXT_CHARS
-    return F.expr(f"""
-        CASE WHEN g IS NULL THEN cast(array() AS array<struct<s:bigint,k:int,e:bigint,t:string,around:string>>)
-        ELSE filter(aggregate(
-          zip_with(m, slice(g, 1, size(m)), (t, b) -> named_struct('t', t, 'b', b)),
-          named_struct('at', 0L, 'n', 0, 'out', cast(array() AS
-              array<struct<s:bigint,k:int,e:bigint,t:string,around:string>>)),
-          (a, x) -> named_struct(
-             'at', a.at + length(x.b) + length(x.t), 'n', a.n + 1,
-             'out', concat(a.out, array(named_struct(
-                's', a.at + length(x.b), 'k', {order}, 'e', a.at + length(x.b) + length(x.t), 't', x.t,
-                'around', concat(regexp_replace(right(x.b, {half}), '^\\\\S*', ''), ' ',
-                                 regexp_replace(left(g[a.n + 1], {half}), '\\\\S*$', '')))))),
-          a -> a.out), x -> {_valid(kind, 'x.t')}) END""")
+    df = df.withColumn("parts", F.expr(
+        "zip_with(zip_with(m, slice(g, 1, size(m)), (t, b) -> named_struct('t', t, 'b', b, 'n', length(t) + length(b))), "
+        "slice(g, 2, size(m)), (x, a) -> named_struct('t', x.t, 'n', x.n, 'm', length(x.t), "
+        f"'around', concat(right(x.b, {half}), ' ', left(a, {half}))))"))
+    df = df.withColumn("blocks", _in_blocks("parts")).drop("parts")
+    df = df.withColumn("begin", F.expr(
+        "aggregate(transform(blocks, b -> aggregate(b, 0L, (s, x) -> s + x.n)), named_struct('at', 0L, 'out', "
+        "cast(array() AS array<bigint>)), (a, n) -> named_struct('at', a.at + n, 'out', concat(a.out, array(a.at))), a -> a.out)"))
+    return df.withColumn(to, F.expr(f"""
+        CASE WHEN blocks IS NULL THEN cast(array() AS array<{SPAN}>) ELSE filter(flatten(zip_with(blocks, begin, (b, at) ->
+          aggregate(b, named_struct('at', at, 'out', cast(array() AS array<{SPAN}>)),
+            (a, x) -> named_struct('at', a.at + x.n, 'out', concat(a.out, array(named_struct(
+              's', a.at + x.n - x.m, 'k', {order}, 'e', a.at + x.n, 't', x.t, 'around', x.around)))),
+            a -> a.out))), x -> {_valid(kind, 'x.t')}) END""")).drop("blocks", "begin", "m", "g")
 
 
 def _base(docs: DataFrame) -> DataFrame:
     """``spans``: all base spans by start, then kind."""
     df = docs
     for i, kind in enumerate(KINDS):
-        df = _add_matches(df, kind).withColumn(f"at_{kind}", _located(kind, i)).drop("m", "g")
+        df = _locate(_add_matches(df, kind), kind, i, f"at_{kind}")
     spans = F.array_sort(F.concat(*[f"at_{k}" for k in KINDS]))
     return df.withColumn("spans", spans).drop(*[f"at_{k}" for k in KINDS])
 
@@ -120,23 +134,40 @@ def _entity() -> Column:
                     .otherwise(F.regexp_replace("x.t", "[^0-9]+", "")))
 
 
+def _words(text: str) -> Column:
+    """The different words of letters of a text, in lower case."""
+    return F.explode(F.expr(f"array_distinct(regexp_extract_all(lower({text}), {_lit(TERM)}, 0))"))
+
+
 def revealing_terms(docs: DataFrame, mentions: DataFrame) -> DataFrame:
     """``(entity, term, disclosure)`` of the terms that reveal an entity beyond GENERALISE.
-    ``mentions``: (doc_id, entity, around)."""
-    near = (mentions.select("entity", "doc_id", F.lower("around").alias("around"))
-            .select("entity", "doc_id", F.xxhash64("around").alias("context"),
-                    F.explode(F.expr(f"array_distinct(regexp_extract_all(around, {_lit(TERM)}, 0))")).alias("term")))
-    pair = (near.distinct().groupBy("entity", "term")
-            .agg(F.countDistinct("doc_id").alias("both"), F.countDistinct("context").alias("contexts"))
+    ``mentions``: (doc_id, entity, around), one of each entity in a document.
+
+    As c(t,e) <= c(e), a disclosure of d or more means c(t) <= N^(1-d) c(e)^d; and a pair needs ``MIN_CONTEXTS``
+    documents. So only terms within these bounds, and only entities of so many documents, are joined: common
+    words of the corpus meet common entities at most. The bounds lose no pair."""
+    n = docs.count()
+    held = mentions.groupBy("entity").agg(F.count("*").alias("c_e")).where(F.col("c_e") >= MIN_CONTEXTS)
+    of_doc = materialize(mentions.join(held, "entity")
+                         .select("doc_id", "entity", "c_e", F.xxhash64(F.lower("around")).alias("context")), "holders")
+    most = of_doc.agg(F.max("c_e")).first()[0]
+    none = docs.sparkSession.createDataFrame([], "entity string, term string, disclosure double")
+    if not most:
+        return none
+
+    def bound(c_e):  # a little more, as powers are rounded
+        return 1.000001 * F.pow(F.lit(float(n)), F.lit(1 - GENERALISE)) * F.pow(c_e, F.lit(GENERALISE))
+    spread = materialize(docs.select(_words("text").alias("term")).groupBy("term").agg(F.count("*").alias("c_t"))
+                         .where((F.col("c_t") >= MIN_CONTEXTS) & (F.col("c_t") <= bound(F.lit(float(most))))), "terms")
+    # an id may be on several rows
+    said = (docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+            .join(of_doc.select("doc_id").distinct(), "doc_id", "left_semi")
+            .select("doc_id", _words("text").alias("term")).distinct().join(spread, "term"))
+    pair = (said.join(of_doc, "doc_id").where(F.col("c_t") <= bound(F.col("c_e")))
+            .groupBy("entity", "term", "c_e", "c_t").agg(F.count("*").alias("both"), F.countDistinct("context").alias("contexts"))
             .where(F.col("contexts") >= MIN_CONTEXTS))
-    holders = mentions.select("entity", "doc_id").distinct().groupBy("entity").agg(F.count("*").alias("c_e"))
-    spread = (docs.select(F.explode(F.expr(
-        f"array_distinct(regexp_extract_all(lower(text), {_lit(TERM)}, 0))")).alias("term"))
-        .groupBy("term").agg(F.count("*").alias("c_t")))
-    n = F.lit(docs.count())
     score = F.log(F.col("both") * n / (F.col("c_t") * F.col("c_e"))) / F.nullif(F.log(n / F.col("c_e")), F.lit(0.0))
-    return (pair.join(holders, "entity").join(spread, "term")
-            .select("entity", "term", score.alias("disclosure")).where(F.col("disclosure") >= GENERALISE))
+    return pair.select("entity", "term", score.alias("disclosure")).where(F.col("disclosure") >= GENERALISE)
 
 
 def find(docs: DataFrame) -> DataFrame:
@@ -147,9 +178,10 @@ def find(docs: DataFrame) -> DataFrame:
         _base(rows.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
         .where("doc_id IS NOT NULL AND size(spans) > 0")
         .select("doc_id", F.explode("spans").alias("x"))
-        .select("doc_id", _entity().alias("entity"), F.col("x.around").alias("around")), "mentions")
+        .groupBy("doc_id", _entity().alias("entity")).agg(F.min(F.struct("x.s", "x.k", "x.around")).alias("first"))
+        .select("doc_id", "entity", F.col("first.around").alias("around")), "mentions")
     of_doc = materialize(
-        mentions.select("doc_id", "entity").distinct().join(revealing_terms(rows, mentions), "entity")
+        mentions.select("doc_id", "entity").join(revealing_terms(rows, mentions), "entity")
         .groupBy("doc_id", "term").agg((F.max("disclosure") >= REMOVE).alias("removed"))
         .groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("term", "removed"))).alias("terms")), "terms")
     own = of_doc.withColumnRenamed("doc_id", "terms_of")
@@ -165,10 +197,9 @@ def _term_pattern(which: str = "true") -> str:
 def spans(docs: DataFrame) -> DataFrame:
     """``(doc_id, spans)``: base and term spans, by start, then kind (term last): s, k, e, t."""
     found = find(docs.select("doc_id", "text")).withColumn("pattern", F.expr(_term_pattern()))
-    found = _add_matches(found, "term", "pattern")
-    located = _located("email", len(KINDS))  # a term needs no test
+    found = _locate(_add_matches(found, "term", "pattern"), "email", len(KINDS), "at_term")  # a term needs no test
     return found.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("spans").alias("base"),
-                        F.array_sort(F.concat("spans", located)).alias("spans"))
+                        F.array_sort(F.concat("spans", "at_term")).alias("spans"))
 
 
 def _joined(column: str) -> Column:
@@ -194,7 +225,7 @@ def sanitise(docs: DataFrame) -> DataFrame:
                                    else F.lit(None).cast("int").alias("rest"))))
     done = None
     while True:  # a cut may set a span free that failed its test with its neighbour; each pass takes characters away
-        found = materialize(_cuts(_base(found.withColumn("text", _without_cuts()).drop("cuts")), NO_MARK), "sanitised")
+        found = materialize(_cuts(_base(_without_cuts(found)), NO_MARK), "sanitised")
         clean = found.where("size(cuts) = 0")
         done = clean if done is None else done.unionByName(clean)
         found = found.where("size(cuts) > 0")
@@ -211,28 +242,39 @@ def _cuts(found: DataFrame, guard: str = "") -> DataFrame:
     df = found
     for i, which in enumerate(("x.removed", "NOT x.removed")):
         df = df.withColumn("p", F.expr(f"concat('{guard}', {_term_pattern(which)})"))
-        df = _add_matches(df, "term", "p").withColumn(f"at_{i}", _located("email", len(KINDS) + i)).drop("m", "g", "p")
+        df = _locate(_add_matches(df, "term", "p"), "email", len(KINDS) + i, f"at_{i}").drop("p")
     one = "struct<s:bigint,e:bigint,k:int,t:string,n:bigint>"
+    none = f"cast(array() AS array<{one}>)"
+    # the open span goes from block to block; closed ones are collected by block
     merged = F.expr(f"""
-        CASE WHEN size(every) = 0 THEN cast(array() AS array<{one}>) ELSE
-        aggregate(transform(every, x -> named_struct('s', x.s, 'e', x.e, 'k', x.k, 't', x.t,
-                                                     'n', if(x.k < {len(KINDS)}, x.e - x.s, 0L))),
-          named_struct('out', cast(array() AS array<{one}>), 'last', cast(null AS {one})),
-          (a, x) -> CASE WHEN a.last IS NULL THEN named_struct('out', a.out, 'last', x)
-             WHEN x.s >= a.last.e THEN named_struct('out', concat(a.out, array(a.last)), 'last', x)
-             ELSE named_struct('out', a.out, 'last', named_struct(
-                's', a.last.s, 'e', greatest(a.last.e, x.e), 'k', if(x.n > a.last.n, x.k, a.last.k),
-                't', if(x.n > a.last.n, x.t, a.last.t), 'n', greatest(a.last.n, x.n))) END,
-          a -> concat(a.out, array(a.last))) END""")
+        CASE WHEN blocks IS NULL THEN {none} ELSE
+        aggregate(blocks, named_struct('done', cast(array() AS array<array<{one}>>), 'last', cast(null AS {one})),
+          (b, block) -> aggregate(block, named_struct('out', {none}, 'last', b.last),
+            (a, y) -> aggregate(array(named_struct('s', y.s, 'e', y.e, 'k', y.k, 't', y.t,
+                                                   'n', if(y.k < {len(KINDS)}, y.e - y.s, 0L))), a,
+              (a2, x) -> CASE WHEN a2.last IS NULL THEN named_struct('out', a2.out, 'last', x)
+               WHEN x.s >= a2.last.e THEN named_struct('out', concat(a2.out, array(a2.last)), 'last', x)
+               ELSE named_struct('out', a2.out, 'last', named_struct(
+                  's', a2.last.s, 'e', greatest(a2.last.e, x.e), 'k', if(x.n > a2.last.n, x.k, a2.last.k),
+                  't', if(x.n > a2.last.n, x.t, a2.last.t), 'n', greatest(a2.last.n, x.n))) END),
+            a -> named_struct('done', concat(b.done, array(a.out)), 'last', a.last)),
+          b -> concat(flatten(b.done), array(b.last))) END""")
     return df.withColumn("every", F.array_sort(F.concat("spans", "at_0", "at_1"))) \
-        .withColumn("cuts", merged).drop("spans", "every", "at_0", "at_1")
+        .withColumn("blocks", _in_blocks("every")).withColumn("cuts", merged).drop("spans", "every", "blocks", "at_0", "at_1")
 
 
-def _without_cuts() -> Column:
-    """The text with its ``cuts`` replaced, in one pass over the text they were located in."""
+def _without_cuts(df: DataFrame) -> DataFrame:
+    """``text`` with its ``cuts`` replaced, in one pass over the text they were located in. The text is first cut into
+    the stretches of blocks of cuts, as finding a place in a long text means reading it up to there."""
     marks = ", ".join(f"'{m}'" for m in (*MARKS.values(), REMOVED))
-    return F.expr(f"""CASE WHEN size(cuts) = 0 THEN text ELSE concat(array_join(transform(cuts, (x, i) -> concat(
-        substring(text, cast(if(i = 0, 0L, cuts[greatest(i - 1, 0)].e) + 1 AS int),
-                  cast(x.s - if(i = 0, 0L, cuts[greatest(i - 1, 0)].e) AS int)),
-        if(x.k > {len(KINDS)}, concat(left(x.t, 1), '***'), get(array({marks}), x.k)))), ''),
-        substring(text, cast(element_at(cuts, -1).e + 1 AS int))) END""")
+    wide = "cast(ceil(sqrt(size(cuts))) as int)"
+    begin = f"if(j = 0, 0L, cuts[greatest(j * {wide} - 1, 0)].e)"
+    df = df.withColumn("blocks", _in_blocks("cuts")).withColumn("pieces", F.expr(f"""
+        transform(blocks, (b, j) -> named_struct('b', b, 'at', {begin},
+            'text', substring(text, cast({begin} + 1 AS int), cast(element_at(b, -1).e - {begin} AS int))))"""))
+    return df.withColumn("text", F.expr(f"""CASE WHEN blocks IS NULL THEN text ELSE concat(
+        array_join(transform(pieces, p -> array_join(transform(p.b, (x, i) -> concat(
+            substring(p.text, cast(if(i = 0, p.at, p.b[greatest(i - 1, 0)].e) - p.at + 1 AS int),
+                      cast(x.s - if(i = 0, p.at, p.b[greatest(i - 1, 0)].e) AS int)),
+            if(x.k > {len(KINDS)}, concat(left(x.t, 1), '***'), get(array({marks}), x.k)))), '')), ''),
+        substring(text, cast(element_at(cuts, -1).e + 1 AS int))) END""")).drop("blocks", "pieces", "cuts")

@@ -35,29 +35,30 @@ def entity(k, t):
 def around(text, s, e, matches):
     before = max([m.end() for m in matches if m.end() <= s], default=0)
     after = min([m.start() for m in matches if m.start() >= e], default=len(text))
-    return re.sub(r"^\S*", "", text[max(before, s - 80):s]) + " " + re.sub(r"\S*$", "", text[e:min(after, e + 80)])
+    return text[max(before, s - 80):s] + " " + text[e:min(after, e + 80)]
 
 
 def revealing(rows):
     """{doc: {term: removed}} by the definition, over all documents."""
-    near, holders, docs_of = {}, {}, {}
+    first, said, docs_of = {}, {}, {}
     for d, t in rows:
-        for term in set(re.findall(r"[^\W\d_]{4,}", (t or "").lower())):
+        terms = set(re.findall(r"[^\W\d_]+", (t or "").lower()))
+        for term in terms:
             docs_of[term] = docs_of.get(term, 0) + 1
+        said.setdefault(d, set()).update(terms)
         for s, k, e, m in base(t):
-            ent = entity(k, m)
-            holders.setdefault(ent, set()).add(d)
             ctx = around(t, s, e, list(re.finditer(PLAIN[KINDS[k]], t))).lower()
-            for term in set(re.findall(r"[^\W\d_]{4,}", ctx)):
-                near.setdefault((ent, term), []).append((d, ctx))
+            first.setdefault(entity(k, m), {}).setdefault(d, ctx)
     out = {}
-    for (ent, term), seen in near.items():
-        both, n, ce = len({d for d, _ in seen}), len(rows), len(holders[ent])
-        if len({c for _, c in seen}) >= 3 and n > ce:
-            score = math.log(both * n / (docs_of[term] * ce)) / math.log(n / ce)
-            if score >= 0.7:
-                for d in holders[ent]:
-                    out.setdefault(d, {})[term] = out.get(d, {}).get(term, False) or score >= 0.9
+    for ent, contexts in first.items():
+        for term in set().union(*(said[d] for d in contexts)):
+            both = [d for d in contexts if term in said[d]]
+            n, ce = len(rows), len(contexts)
+            if len({contexts[d] for d in both}) >= 3 and n > ce:
+                score = math.log(len(both) * n / (docs_of[term] * ce)) / math.log(n / ce)
+                if score >= 0.7:
+                    for d in contexts:
+                        out.setdefault(d, {})[term] = out.get(d, {}).get(term, False) or score >= 0.9
     return out
 
 
@@ -150,3 +151,22 @@ def test_repeats_null_ids_and_no_rows(spark):
 def test_no_python_in_the_plan(spark):
     plan = pii.digest(frame(spark, corpus()))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_a_name_far_from_its_address_and_short_names(spark):
+    rows = [(d, f"Signed by Ng Okonkwoski.\n{'filler words ' * 20}{'abcdefg'[d]}{d} reach me at jo@x.example {d}") for d in range(7)]
+    rows += [(d, f"filler words reach me at signed by {d}") for d in range(10, 200)]
+    got = {r["doc_id"]: {x["term"] for x in r["terms"] or []} for r in pii.find(frame(spark, rows).select("doc_id", "text")).collect()}
+    assert all(got[d] == {"ng", "okonkwoski", "jo", "x", "example"} for d in range(7))
+    assert not any(got[d] for d in range(10, 200)) and got == {d: set(revealing(rows).get(d, {})) for d, _ in rows}
+
+
+def test_one_text_with_many_addresses(spark):
+    text = " ".join(f"user{i}@mail.example 10.0.{i % 256}.{i // 256}" for i in range(1000))
+    df = frame(spark, [(1, text)])
+    (r,) = pii.digest(df).collect()
+    want = base(text)
+    assert (r["n_email"], r["n_ip"]) == (1000, 1000)
+    assert r["base_sha256"] == hashlib.sha256(",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e, _ in want).encode()).hexdigest()
+    (r,) = pii.sanitise(df).collect()
+    assert r["text"] == " ".join(["[EMAIL] [IP]"] * 1000)

@@ -439,7 +439,7 @@ arrived AS (SELECT * FROM fed WHERE item_id % 2 = 0
     groups = groups[:at] + "ranked_top AS (" + groups[at + len("top AS ("):] + f""",
 top AS (SELECT * REPLACE (CASE WHEN {said} <> '' THEN {said} || {lit(MODEL_SUMMARY_SUFFIX)} ELSE summary END AS summary)
         FROM ranked_top)"""
-    return {"full_run": "WITH RECURSIVE " + ",".join([
+    return {"full_run_components": "WITH RECURSIVE " + ",".join([
         ARTICLES, HISTORY, FEED_PART, SEARCH_PART, union, items_from("arrived", unseen), groups,
         digest_lines_sql(False)]) + """
 SELECT 'digest' AS kind, '' AS key, string_agg(value, chr(10) ORDER BY line_no) AS value FROM lines

@@ -518,31 +518,57 @@ def q_search_items(spark, sf_dir):
                     "pub_date", "kw_score")
 
 
-@register("full_run")
-def q_full_run(spark, sf_dir):
-    """The whole job over feeds (even items) and search (odd items): expiry, history, selection,
-    model summaries of the top N, digest, append. Rows: the digest and the history after the run."""
-    from storyloom.operators.history import read_history
-    from storyloom.plans.batch import run_job
+def run_inputs(spark, sf_dir, base, p):
+    """Lands the articles as feeds (even items) and search responses (odd items) and a history under ``base``;
+    returns the raw records read back from them."""
     from storyloom.sources import feeds as FD
     from storyloom.sources.search import read_responses, search_items
-    p = fixture_params(spark, sf_dir, history_days=1, use_ratio_edges=False)
-    base = _scratch(spark, "run")
     a = articles(spark, sf_dir)
     FD.write_rss(a.where("item_id % 2 = 0"), base + "/rss")
     _land_search(a.where("item_id % 2 = 1"), base + "/search")
     fixture_history(spark, sf_dir).withColumn("fetch_date", F.to_date("fetch_time")) \
         .write.partitionBy("fetch_date").parquet(base + "/history")
-    raw = FD.feed_items(FD.read_feeds(spark, base + "/rss"), _feed_table(a), p.as_of).unionByName(
+    return FD.feed_items(FD.read_feeds(spark, base + "/rss"), _feed_table(a), p.as_of).unionByName(
         search_items(read_responses(spark, base + "/search"), p.as_of))
-    docs = run_job(raw, p, base + "/history", base + "/digests", "fixture", exact=False, call=echo_model,
-                   pages=spark.createDataFrame([], "url string, html string"))
+
+
+def _run_rows(spark, docs, base):
+    from storyloom.operators.history import read_history
     after = read_history(spark, base + "/history")
     return docs.select(F.lit("digest").alias("kind"), F.col("digest_key").alias("key"), F.col("document").alias("value")) \
         .unionByName(after.select(F.lit("history").alias("kind"), F.col("url").alias("key"), F.concat(
             "title", F.lit(" @ "), F.date_format("fetch_time", "yyyy-MM-dd HH:mm:ss.SSSSSS")).alias("value")))
 
 
+@register("full_run")
+def q_full_run(spark, sf_dir):
+    """The whole job over feeds (even items) and search (odd items): expiry, history, exact first-fit groups by
+    links, containment and ratio, bodies of the given pages by their tree, model summaries of the top N, digest,
+    append. Rows: the digest and the history after the run."""
+    from storyloom.functions.html import page_body_dom
+    from storyloom.plans.batch import run_job
+    from storyloom.sources.tables import table
+    p = fixture_params(spark, sf_dir, history_days=1)
+    base = _scratch(spark, "whole-run")
+    raw = run_inputs(spark, sf_dir, base, p)
+    docs = run_job(raw, p, base + "/history", base + "/digests", "fixture", exact=True, call=echo_model,
+                   pages=table(spark, sf_dir, "pages").select("url", "html"), body_fn=page_body_dom)
+    return _run_rows(spark, docs, base)
+
+
+@register("full_run_components")
+def q_full_run_components(spark, sf_dir):
+    """The job in the form that SQL can follow: groups are components over links and containment, and no page
+    has been fetched, so short summaries take the fallback."""
+    from storyloom.plans.batch import run_job
+    p = fixture_params(spark, sf_dir, history_days=1, use_ratio_edges=False)
+    base = _scratch(spark, "run")
+    raw = run_inputs(spark, sf_dir, base, p)
+    docs = run_job(raw, p, base + "/history", base + "/digests", "fixture", exact=False, call=echo_model,
+                   pages=spark.createDataFrame([], "url string, html string"))
+    return _run_rows(spark, docs, base)
+
+
 # ---------------------------------------------------------------- streaming
 @register("stream_dedupe")
 def q_stream_dedupe(spark, sf_dir):

@@ -1,6 +1,7 @@
 """Published history (S7-S10, E20) and the digest sink."""
 
 import datetime as dt
+import json
 import os
 import tempfile
 
@@ -8,7 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from storyloom.operators.digest import push_message, push_title, write_digests
-from storyloom.operators.history import (append_history, expire, expire_stored, expired,
+from storyloom.operators import history as H
+from storyloom.operators.history import (POINTER, append_history, expire, expire_stored, expired,
                                          merged_history, read_history, unseen)
 from storyloom.params import DIGEST_EMPTY, PUSH_EMPTY_NOTICE
 
@@ -50,15 +52,55 @@ def test_stored_history_expires_by_date_folders(spark):
     times = {"a": "2026-03-20 10:00:00", "b": "2026-03-25 08:00:00", "c": "2026-03-25 12:00:00", "d": "2026-03-31 00:00:00"}
     for i, (link, t) in enumerate(times.items()):
         append_history(spark.createDataFrame([(i, link, link, 1)], "item_id long, link string, title string, rank int"), path, t)
-    untouched = sorted(os.listdir(os.path.join(path, "fetch_date=2026-03-31")))
+    def folders():
+        with open(os.path.join(path, POINTER)) as f:
+            return json.load(f)["folders"]
+    before = folders()
     assert expire_stored(spark, path, "2026-04-01 09:00:00", 7) == 2
     assert sorted(r.url for r in read_history(spark, path).collect()) == ["c", "d"]
-    assert not os.path.exists(os.path.join(path, "fetch_date=2026-03-20"))
-    assert sorted(os.listdir(os.path.join(path, "fetch_date=2026-03-31"))) == untouched
+    after = folders()
+    assert not [f for f in after if f.endswith("2026-03-20")]
+    # later dates are the same folders; the edge date has a new one; the version before can still be read
+    assert [f for f in after if f.endswith("03-31")] == [f for f in before if f.endswith("03-31")]
+    assert not set(f for f in after if f.endswith("03-25")) & set(before)
+    assert all(os.listdir(os.path.join(path, f)) for f in before)
     assert expire_stored(spark, path, "2026-04-01 09:00:00", 7) == 0
     assert expire_stored(spark, path + "-none", "2026-04-01 09:00:00", 7) == 0
 
 
+def test_a_change_that_dies_leaves_the_version_before(spark, monkeypatch):
+    path = os.path.join(tempfile.mkdtemp(prefix="hist-", dir="/tmp"), "history")
+    schema = "item_id long, link string, title string, rank int"
+    for i, t in enumerate(["2026-03-20 10:00:00", "2026-03-25 08:00:00", "2026-03-25 12:00:00"]):
+        append_history(spark.createDataFrame([(i, f"u{i}", "t", 1)], schema), path, t)
+
+    def urls():
+        return sorted(r.url for r in read_history(spark, path).collect())
+
+    def dies(*a):
+        raise RuntimeError("killed")
+    point = H._point
+    monkeypatch.setattr(H, "_point", dies)  # all data is written, the pointer is not
+    with pytest.raises(RuntimeError):
+        expire_stored(spark, path, "2026-04-01 09:00:00", 7)
+    assert urls() == ["u0", "u1", "u2"]
+    with pytest.raises(RuntimeError):
+        append_history(spark.createDataFrame([(9, "u9", "t", 1)], schema), path, "2026-04-01 00:00:00")
+    assert urls() == ["u0", "u1", "u2"]
+    monkeypatch.setattr(H, "_point", point)
+    assert expire_stored(spark, path, "2026-04-01 09:00:00", 7) == 2 and urls() == ["u2"]
+    append_history(spark.createDataFrame([(9, "u9", "t", 1)], schema), path, "2026-04-01 00:00:00")
+    assert urls() == ["u2", "u9"]
+
+
+def test_plain_date_folders_are_adopted(spark):
+    path = os.path.join(tempfile.mkdtemp(prefix="hist-", dir="/tmp"), "history")
+    _hist(spark, [("a", "t", dt.datetime(2026, 3, 20)), ("b", "t", dt.datetime(2026, 3, 31)), ("n", "t", None)]) \
+        .withColumn("fetch_date", F.to_date("fetch_time")).write.partitionBy("fetch_date").parquet(path)
+    assert expire_stored(spark, path, "2026-04-01 09:00:00", 7) == 1
+    assert sorted(r.url for r in read_history(spark, path).collect()) == ["b", "n"]
+
+
 def test_unreadable_history_is_an_error(spark):
     path = tempfile.mkdtemp(prefix="hist-", dir="/tmp")
     with open(os.path.join(path, "part-0.parquet"), "w") as f:

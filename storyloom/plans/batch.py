@@ -58,10 +58,10 @@ def run_digest(candidates: DataFrame, params: DigestParams, display_time: str,
 
 def run_job(raw: DataFrame, params: DigestParams, history_path: str, out_path: str, run: str,
             pages: DataFrame | None = None, call=None, client_factory=None, body_fn=None,
-            exact: bool = True, digest_key: str | None = None) -> DataFrame:
+            exact: bool = True, digest_key: str | None = None, ledger: str | None = None) -> DataFrame:
     """One whole run: expire the stored history (S10), drop published links
     (J1), select (C8), have the top N summarised by the model (F9-F10, if a
-    client and pages are given), write the digests under ``run`` (S11) and
+    client and pages are given; replies are kept in the ``ledger`` folder, if one is named), write the digests under ``run`` (S11) and
     append what was published to the history (S9).
 
     ``raw``: raw article records, usually the union of feeds and search.
@@ -85,7 +85,7 @@ def run_job(raw: DataFrame, params: DigestParams, history_path: str, out_path: s
         return docs
     top = materialize(select_top_stories(candidates, params, exact, digest_key), "top")
     if call is not None or client_factory is not None:
-        top = materialize(enhance(top, pages, params, call, body_fn, client_factory), "enhanced")
+        top = materialize(enhance(top, pages, params, call, body_fn, client_factory, ledger), "enhanced")
     docs = materialize(digest_documents(candidates, top, display_time_text(params.as_of), digest_key), "documents")
     write_digests(docs, out_path, run)
     append_history(top, history_path, params.as_of)

@@ -411,13 +411,15 @@ candidates AS (SELECT *, CAST({SCORE} AS INTEGER) AS kw_score FROM items WHERE N
 
 
 def source_sql() -> dict[str, str]:
+    replies = with_(ARTICLES, CANDIDATES, NATIVE_BODY) + f"""
+SELECT item_id, nullif({strip("split_part(model_input, '.', 1)")}, '') AS new_summary FROM inputs"""
     return {
         "feed_items": with_(ARTICLES, FEED_PART, items_from("fed")) + """
 SELECT site, title, link, summary, pub_time, comments, kw_score FROM candidates""",
         "search_items": with_(ARTICLES, SEARCH_PART, items_from("sought", "position <= 10")) + """
 SELECT site, title, link, summary, pub_time, pub_date, kw_score FROM candidates""",
-        "model_replies": with_(ARTICLES, CANDIDATES, NATIVE_BODY) + f"""
-SELECT item_id, nullif({strip("split_part(model_input, '.', 1)")}, '') AS new_summary FROM inputs""",
+        "model_replies": replies,
+        "model_ledger": replies,
     }
 
 

@@ -412,6 +412,20 @@ def q_model_replies(spark, sf_dir):
     return rep.select("item_id", parse_reply("reply").alias("new_summary"))
 
 
+@register("model_ledger")
+def q_model_ledger(spark, sf_dir):
+    """M2 with a reply ledger: the requests of even items are answered first; the run over all of them then sends
+    only what the ledger does not hold. The replies to all items, read from the ledger."""
+    from storyloom.operators.enrich import parse_reply, requests
+    from storyloom.operators.ledger import answer_once
+    p, b = _with_native_body(spark, sf_dir)
+    req = requests(b, p)
+    ledger = _scratch(spark, "ledger")
+    answer_once(req.where("item_id % 2 = 0"), ledger, echo_model)
+    rep = answer_once(req, ledger, echo_model)
+    return rep.select("item_id", parse_reply("reply").alias("new_summary"))
+
+
 @register("summary_overlay")
 def q_summary_overlay(spark, sf_dir):
     """F10/J4 with replies taken from the first assistant turn of the

@@ -19,7 +19,7 @@ FAST = ["recent_articles", "short_summary", "exclude_keywords", "keyword_score",
         "candidate_stats", "source_counts", "unseen_articles", "history_expire",
         "history_expired", "model_input", "model_requests", "summary_overlay", "digest_empty",
         "top_stories", "digest_lines", "story_components", "stream_dedupe", "site_trend",
-        "feed_items", "search_items", "model_replies", "full_run_components"]
+        "feed_items", "search_items", "model_replies", "model_ledger", "full_run_components"]
 
 
 @pytest.fixture(scope="module")

@@ -33,6 +33,21 @@ def test_keyword_score_and_exclusion(spark):
                        for t, s in rows]
 
 
+def test_many_keywords_nested_repeated_and_null_texts(spark):
+    kws = [f"{a}{b}" for a in ("ab", "b", "Ü", "中") for b in ("", "b", "bc", "c😀", "x" * 30)] * 2 + ["", "abbc"]
+    rows = [("xabbcx", "BBC ü中c😀"), ("", "ÜBC" * 50), ("none", "x" * 500 + "b" + "x" * 30)]
+    df = spark.createDataFrame(rows, "title string, summary string")
+    assert [r[0] for r in df.select(keyword_score("title", "summary", kws)).collect()] == [py_score(*r, kws) for r in rows]
+    many = [f"word{i}" for i in range(3000)]
+    rows = [(f"word{i}", f"word{i}1 word{i + 7}") for i in (1, 29, 2999)]
+    df = spark.createDataFrame(rows, "title string, summary string")
+    assert [r[0] for r in df.select(keyword_score("title", "summary", many)).collect()] == [py_score(*r, many) for r in rows]
+    df = spark.createDataFrame([(None, "a"), ("a", None), (None, "b"), (None, None)], "title string, summary string")
+    assert [r[0] for r in df.select(keyword_score("title", "summary", ["a"])).collect()] == [50, 100, 0, 0]
+    assert [r[0] for r in df.select(keyword_score("title", "summary", ["a", ""])).collect()] == [100, 200, 50, 0]
+    assert [r[0] for r in df.select(is_excluded("title", "summary", ["a"])).collect()] == [True, True, None, None]
+
+
 def test_short_summary_code_points(spark):
     n = 5
     rows = [("abcde",), ("abcdef",), ("ab😀cd",), ("ab😀cde",), ("",)]

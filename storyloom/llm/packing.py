@@ -11,8 +11,9 @@ carries two bitmaps, of its sources and of its clusters.
 
 Packing is greedy and sequential, so it runs in shards: items are dealt by a hash of their id and text into
 shards of about ``SHARD_DOCS`` documents, whose number follows the input; each is packed whole by one task. A
-source with a third of all rows is a third of every shard, and no group is larger than a shard. Only ids and
-lengths are shuffled, not texts.
+source with a third of all rows is a third of every shard. Rows that repeat (same id, source and text) are counted
+first and dealt in lots of up to ``LOT`` copies, so they spread over all shards too. Only ids, lengths and counts are
+shuffled, not texts.
 
 Defined results: a text without words (or null) gives a row with no bin. A null source conflicts with
 nothing. Rows that repeat are items of their own, of one cluster. Other columns are ignored.
@@ -28,6 +29,9 @@ from pyspark.sql import functions as F
 
 CAPACITY = 2048
 SHARD_DOCS = 4000
+LOT = 64
+#: Lots are listed in two steps, as one list of all lots of a row would grow with its copies.
+LOTS_A_STEP = 1024
 
 PACKED = "doc_id long, chunk int, bin_id long, position int, offset int, start_word long, n_words int"
 
@@ -61,15 +65,15 @@ def _pack_shard(capacity: int):
     def run(rows: pa.Table) -> pa.Table:
         number: dict[str, dict] = {"source": {}, "cluster": {}}
         items = []
-        cols = [rows.column(c).to_pylist() for c in ("shard", "doc_id", "n_words", "source", "cluster")]
-        for shard, doc, n, source, cluster in zip(*cols):
+        cols = [rows.column(c).to_pylist() for c in ("shard", "doc_id", "n_words", "source", "cluster", "copies")]
+        for shard, doc, n, source, cluster, copies in zip(*cols):
             s = -1 if source is None else number["source"].setdefault(source, len(number["source"]))
             c = number["cluster"].setdefault(cluster, len(number["cluster"]))
             for chunk in range(-(-n // capacity)):
                 size = min(capacity, n - chunk * capacity)
-                items.append((-size, doc if doc is not None else -(1 << 63), cluster, chunk, s, c, doc))
+                items += [(-size, doc if doc is not None else -(1 << 63), cluster, chunk, s, c, doc)] * copies
             if not n:
-                items.append((1, 0, cluster, 0, s, c, doc))  # last: no words, no bin
+                items += [(1, 0, cluster, 0, s, c, doc)] * copies  # last: no words, no bin
         items.sort(key=lambda x: x[:4])
         real = [x for x in items if x[0] < 0]
         base = (cols[0][0] << 32) if cols[0] else 0
@@ -96,6 +100,12 @@ def best_fit(docs: DataFrame, capacity: int = CAPACITY, shard_docs: int = SHARD_
     plain = F.lower(F.regexp_replace(F.trim(F.regexp_replace(text, r"[\x20\x09-\x0D]++", " ")), "^ | $", ""))
     items = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
                         F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]++")).cast("long").alias("n_words"),
-                        F.xxhash64(plain).alias("cluster")) \
-        .withColumn("shard", F.pmod(F.xxhash64("doc_id", "cluster"), F.lit(shards)))
-    return items.groupBy("shard").applyInArrow(_pack_shard(capacity), PACKED)
+                        F.xxhash64(plain).alias("cluster"))
+    step = LOT * LOTS_A_STEP
+    lots = items.groupBy("doc_id", "source", "n_words", "cluster").agg(F.count("*").alias("n")) \
+        .withColumn("step", F.explode(F.expr(f"sequence(0L, (n - 1) div {step})"))) \
+        .withColumn("n", F.expr(f"least({step}, n - step * {step})")) \
+        .withColumn("lot", F.explode(F.expr(f"sequence(0L, (n - 1) div {LOT})"))) \
+        .select("doc_id", "source", "n_words", "cluster", F.expr(f"least({LOT}, n - lot * {LOT})").alias("copies"),
+                F.pmod(F.xxhash64("doc_id", "cluster", "step", "lot"), F.lit(shards)).alias("shard"))
+    return lots.groupBy("shard").applyInArrow(_pack_shard(capacity), PACKED)

@@ -63,5 +63,38 @@ def test_whole_corpus_is_packed_within_the_rules(spark):
     assert pieces == [(0, 64), (64, 64), (128, 64), (192, 8)]
 
 
+def test_every_shard_equals_a_full_search(spark):
+    r = random.Random(5)
+    rows = [(i, " ".join("w%d" % r.randrange(9) for _ in range(r.randrange(90))), r.choice(["a", "b", "c", None])) for i in range(500)]
+    got = best_fit(spark.createDataFrame(rows, "doc_id long, text string, source string"), capacity=64, shard_docs=100).collect()
+    text, source = {d: t for d, t, _ in rows}, {d: s for d, _, s in rows}
+    number = {None: -1, "a": 0, "b": 1, "c": 2}
+    shards = {}
+    for x in got:
+        if x["bin_id"] is not None:
+            shards.setdefault(x["bin_id"] >> 32, []).append(x)
+    assert len(shards) == 5 and sum(x["bin_id"] is None for x in got) == sum(not t for _, t, _ in rows)
+    for shard, own in shards.items():
+        own.sort(key=lambda x: (-x["n_words"], x["doc_id"], x["chunk"]))
+        want = naive([(x["n_words"], number[source[x["doc_id"]]], text[x["doc_id"]]) for x in own], 64)
+        assert [x["bin_id"] - (shard << 32) for x in own] == want
+
+
+def test_repeated_rows_are_dealt_over_all_shards(spark, monkeypatch):
+    from storyloom.llm import packing
+    monkeypatch.setattr(packing, "LOT", 8)
+    monkeypatch.setattr(packing, "LOTS_A_STEP", 4)
+    rows = [(7, "same text", "a")] * 1001 + [(None, None, None)] * 77 + [(i, "w%d x y" % i, "b") for i in range(1000, 2000)]
+    got = best_fit(spark.createDataFrame(rows, "doc_id long, text string, source string"), capacity=64, shard_docs=100).collect()
+    assert len(got) == 2078 and sum(x["doc_id"] == 7 for x in got) == 1001 and sum(x["bin_id"] is None for x in got) == 77
+    assert {x["doc_id"] for x in got} == {7, None, *range(1000, 2000)}
+    copies = {}
+    for x in got:
+        if x["doc_id"] == 7:
+            copies[x["bin_id"] >> 32] = copies.get(x["bin_id"] >> 32, 0) + 1
+    assert len({x["bin_id"] for x in got if x["doc_id"] == 7}) == 1001  # copies conflict: a bin each
+    assert len(copies) >= 15 and max(copies.values()) < 160
+
+
 def test_empty_table(spark):
     assert best_fit(spark.createDataFrame([], "doc_id long, text string, source string")).collect() == []

@@ -77,7 +77,7 @@ class Picker:
         if first >= last or n < w:
             return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64)
         gram = (self.sums[a + g:b + 1] - self.sums[a:a + n]) * self.back[a:a + n]
-        gram = _mixed(gram + np.uint64(level + 1) * np.uint64(_BASE))
+        gram = _mixed(gram + np.uint64((level + 1) * _BASE % 2 ** 64))
         low = gram
         step = 1
         while step < w:

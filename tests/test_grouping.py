@@ -4,6 +4,8 @@ import datetime as dt
 import difflib
 import random
 
+import numpy as np
+
 from pyspark.sql import functions as F
 
 from storyloom.operators.arrival import arrival_key, with_arrival_order
@@ -322,6 +324,30 @@ def test_verdicts_of_long_keys_follow_the_matcher():
     assert got == {k: v for k, v in want.items() if (k[0] in keys[half:]) != (k[1] in keys[half:])}
 
 
+def test_subsequences_of_a_key_with_many_at_a_time(monkeypatch):
+    """Keys around the edges of words, and characters beyond 16 bits; only keys that the masks have no room for go one by one."""
+    from storyloom.functions import similarity as S
+    rnd = random.Random(9)
+    keys = [c * n for c in ("a", "\U0001f600") for n in (1, 63, 64, 65, 127, 128, 129)]
+    keys += ["".join(rnd.choice("abcd é\U0001f600你") for _ in range(rnd.randrange(1, 300))) for _ in range(60)]
+    alphabet = np.unique(S.codes(keys + ["xyz"]))
+    one_by_one = []
+    real = S.lcs_length
+    monkeypatch.setattr(S, "lcs_length", lambda *a: one_by_one.append(a) or real(*a))
+    for room in (S.MASK_BYTES, 2000, 0):
+        monkeypatch.setattr(S, "MASK_BYTES", room)
+        packed, some = S.Packed(keys, alphabet), np.array(sorted(rnd.sample(range(len(keys)), 40)))
+        one_by_one.clear()
+        for x in [*keys[::5], "xyz"]:
+            assert packed.lcs(x, some).tolist() == [real(x, keys[j]) for j in some.tolist()]
+        assert bool(one_by_one) == (room < 64_000_000)
+    monkeypatch.undo()
+    titles = ["".join(rnd.choice("etaoin shrdlu") for _ in range(150)) for _ in range(80)] + ["etaoin shrdlu" * 11]
+    monkeypatch.setattr(S, "lcs_length", lambda *a: one_by_one.append(a) or real(*a))
+    one_by_one.clear()
+    assert list(S.block_verdicts(titles, titles, 0.9, True)) == [] and not one_by_one
+
+
 def test_envelopes_prune_blocks_and_copies(spark, monkeypatch):
     """Work grows clearly slower than the square of the keys, on titles of several alphabets and lengths."""
     from storyloom.operators import candidates as C

@@ -170,3 +170,12 @@ def test_one_text_with_many_addresses(spark):
     assert r["base_sha256"] == hashlib.sha256(",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e, _ in want).encode()).hexdigest()
     (r,) = pii.sanitise(df).collect()
     assert r["text"] == " ".join(["[EMAIL] [IP]"] * 1000)
+
+
+def test_plan_of_mentions_does_not_repeat_its_projections(spark):
+    """Each pattern is looked for once, so that the plan and its code stay small; texts without a match have no rows."""
+    rows = spark.createDataFrame([(1, "a@b.de and 1.2.3.4"), (2, "none"), (3, ""), (None, "c@d.de")], "doc_id long, text string")
+    found = pii._mentions(rows)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all(") <= 2 * len(pii.KINDS) and len(plan) < 40_000
+    assert {(r["doc_id"], r["entity"]) for r in found.collect()} == {(1, "0:a@b.de"), (1, "1:1.2.3.4")}

@@ -348,6 +348,18 @@ def test_subsequences_of_a_key_with_many_at_a_time(monkeypatch):
     assert list(S.block_verdicts(titles, titles, 0.9, True)) == [] and not one_by_one
 
 
+def test_title_keys_are_made_once(spark, monkeypatch):
+    """The grouping reads its items many times; it gets a narrow table of them, not the projection of the texts."""
+    from storyloom.plans import batch
+    seen, real = [], batch.assign_groups
+    monkeypatch.setattr(batch, "assign_groups", lambda items, *a, **k: seen.append(items) or real(items, *a, **k))
+    c = candidates(spark, "/root/testdata/sf0.001")
+    members = batch.group_stories(c, fixture_params(spark, "/root/testdata/sf0.001"), exact=False, use_ratio=False)
+    plan = seen[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert "Project" not in plan and "title" not in plan
+    assert members.count() == c.count()
+
+
 def test_envelopes_prune_blocks_and_copies(spark, monkeypatch):
     """Work grows clearly slower than the square of the keys, on titles of several alphabets and lengths."""
     from storyloom.operators import candidates as C

@@ -189,3 +189,20 @@ def test_driver_analyses_few_projections(spark):
     found = pii._cuts(pii._base(rows))
     assert found._jdf.queryExecution().analyzed().toString().count("Project [") <= 25
     assert [x["t"] for x in found.first()["cuts"]] == ["a@b.de", "+49 30 1234567", "1.2.3.4", "4111 1111 1111 1111"]
+
+
+def test_terms_of_one_letter_do_not_come_back_pass_after_pass(spark, monkeypatch):
+    """Cut to its first letter, such a term stays whole: it was found and cut again in each pass, without an end."""
+    passes = []
+
+    def materialize(df, label):
+        passes.append(label)
+        assert passes.count("sanitised") < 6
+        return write(df, label)
+    write = pii.materialize
+    monkeypatch.setattr(pii, "materialize", materialize)
+    rows = [(d, f"{'abcdefg'[d] * 3}{d} Q and qrs said jo@x.example {d}") for d in range(7)]
+    rows += [(d, "q or qrs, with others") for d in range(10, 15)] + [(d, f"and said others {d}") for d in range(20, 208)]
+    assert {revealing(rows)[d][t] for d in range(7) for t in ("q", "qrs")} == {False}  # both are to be cut, not removed
+    got = {r["doc_id"]: r["text"] for r in pii.sanitise(frame(spark, rows)).collect()}
+    assert got == {d: f"{'abcdefg'[d] * 3}{d} [TERM] and [TERM]*** said [EMAIL] {d}" if d < 10 else t for d, t in rows}

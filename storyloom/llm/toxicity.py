@@ -48,7 +48,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from storyloom.llm.arrow import column, give_back, slices, text_column, words
-from storyloom.llm.storage import free_shuffles
 
 FEATURES_LOG2 = 18
 #: Labelled rows of a class that a model is fitted to, and their characters: what is expected. Twice the
@@ -336,7 +335,6 @@ def fit(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, samp
            .select("text", "toxic").distinct().toArrow())
     texts = sorted(zip(got.column("text").to_pylist(), got.column("toxic").to_pylist()))
     del got
-    free_shuffles(spark)  # the JVM's heap of the steps above is not held beside the arrays of the fit
     m = _train([t for t, _ in texts], np.array([x for _, x in texts], int))
     del texts
     give_back()

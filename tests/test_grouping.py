@@ -378,3 +378,21 @@ def test_envelopes_prune_blocks_and_copies(spark, monkeypatch):
         assert blocks.where("rleaf < lleaf").count() == 0
     assert copies[1200] < 10 * copies[300]  # the square would be 16
     assert copies[1200] < 0.3 * 2 * 1200 * (1200 / 16)  # of every key to every leaf, both sides
+
+
+def test_long_keys_with_common_words_are_told_apart_without_their_subsequences(monkeypatch):
+    """Long titles out of one small vocabulary share grams of five characters, but too few of longer ones."""
+    from storyloom.functions import similarity as S
+    rnd = random.Random(12)
+    words = ["".join(rnd.choice("eeetaaoinshrdlu") for _ in range(rnd.randrange(3, 8))) for _ in range(300)]
+    keys = sorted({"".join(rnd.choice(words) for _ in range(60))[:rnd.randrange(210, 280)] + "qxzj" for _ in range(60)})
+    keys = sorted({*keys, keys[0][:150] + "wordsofitsown" + keys[0][150:]})
+    assert sum(not {a[i:i + 5] for i in range(len(a) - 4)}.isdisjoint(b[i:i + 5] for i in range(len(b) - 4))
+               for a in keys for b in keys if a < b) > 500
+    asked, real = [], S.Packed.lcs
+    monkeypatch.setattr(S.Packed, "lcs", lambda self, x, others: asked.extend(others) or real(self, x, others))
+    found = {tuple(r) for r in S.block_verdicts(keys, keys, 0.65, True)}
+    ratio = lambda a, b: difflib.SequenceMatcher(None, a, b).ratio() > 0.65
+    want = {(a, b, ratio(a, b), ratio(b, a)) for a in keys for b in keys if a < b}
+    assert found == {r for r in want if r[2] or r[3]} and len(found) >= 1
+    assert len(asked) < 40

@@ -396,3 +396,12 @@ def test_long_keys_with_common_words_are_told_apart_without_their_subsequences(m
     want = {(a, b, ratio(a, b), ratio(b, a)) for a in keys for b in keys if a < b}
     assert found == {r for r in want if r[2] or r[3]} and len(found) >= 1
     assert len(asked) < 40
+
+
+def test_an_inner_title_is_cut_out_of_the_outer_one(spark):
+    """Of a pair the outer text alone is read: one join, and an inner title that stands in the outer one twice is one pair."""
+    keys = ["berlin", "berlin und berlin", "und berlin", "vonberlinundberlinnachberlin", "\U0001f600\U0001f600berlin\U0001f600"]
+    pairs = containment_pairs(distinct_keys(spark.createDataFrame([(d, k) for d in "pq" for k in keys], "digest_key string, key string")))
+    want = {(d, a, b) for d in "pq" for a in keys for b in keys if a != b and a in b}
+    assert sorted(tuple(r) for r in pairs.collect()) == sorted(want)
+    assert pairs._jdf.queryExecution().optimizedPlan().toString().count("Join") == 1

@@ -39,7 +39,8 @@ def _count(text, words: tuple[tuple[str, int], ...]) -> Column:
         machine = _automaton(words)
         return pd.Series([None if t is None else sum(times for _, times in {hit for _, hit in machine.iter(t)})
                           for t in texts], dtype="Int32")
-    return found(F.lower(col_(text)))
+    # else the optimizer moves it ahead of joins, where it reads the texts of all rows, not of those that are left
+    return found.asNondeterministic()(F.lower(col_(text)))
 
 
 def _listed(keywords) -> tuple[tuple[tuple[str, int], ...], int]:

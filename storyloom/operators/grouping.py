@@ -43,8 +43,8 @@ from pyspark.sql import functions as F
 
 from storyloom.functions.text import title_key
 from storyloom.operators.asof import DEFAULT_BUCKET_BITS, latest_before
-from storyloom.operators.candidates import distinct_keys, similar_key_pairs
-from storyloom.operators.materialize import materialize
+from storyloom.operators.candidates import distinct_keys, numbered_keys, similar_key_ids
+from storyloom.operators.materialize import collect_garbage, mark, materialize, release
 from storyloom.params import CONTAINMENT_MIN_LEN
 
 
@@ -64,12 +64,17 @@ def story_edges(items: DataFrame, threshold: float = 0.65, use_ratio: bool = Tru
     (``L``+link, ``K``+title key); similar titles are looked up from the
     rarer title's side.
     """
-    base = items.select("digest_key", "key", "link", "ord")
+    # texts of keys are compared once; from here on a key is its number
+    keys = numbered_keys(distinct_keys(items))
+    digest = F.unhex(F.sha2("key", 256)).alias("digest")
+    number_of = keys.select("digest_key", digest, "kid", "klen")
+    base = materialize(items.select("digest_key", "link", "ord", digest).join(number_of, ["digest_key", "digest"], "left")
+                       .drop("digest"), "keyed-items")
     link_g = base.select("digest_key", F.concat(F.lit("L"), "link").alias("g"), "ord")
-    keyed = base.filter(F.col("key") != "")
+    keyed = base.filter(F.col("kid").isNotNull())
     if not use_ratio:  # equal keys below 5 characters match only by ratio
-        keyed = keyed.filter(F.length("key") >= CONTAINMENT_MIN_LEN)
-    key_g = keyed.select("digest_key", F.concat(F.lit("K"), "key").alias("g"), "ord")
+        keyed = keyed.filter(F.col("klen") >= CONTAINMENT_MIN_LEN)
+    key_g = keyed.select("digest_key", F.concat(F.lit("K"), F.col("kid").cast("string")).alias("g"), "ord")
     e = latest_before(link_g.unionByName(key_g), link_g.unionByName(key_g), ["digest_key", "g"],
                       bucket_bits, with_first=True)
     # chain edge to the latest earlier item, plus a shortcut to the group's
@@ -80,30 +85,27 @@ def story_edges(items: DataFrame, threshold: float = 0.65, use_ratio: bool = Tru
     star = e.filter(F.col("first") < F.col("ord")).select(F.col("ord").alias("src"),
                                                           F.col("first").alias("dst"))
 
-    keys = materialize(distinct_keys(items), "keys")
-    pairs = materialize(similar_key_pairs(keys, threshold, use_ratio), "key-pairs")
-    directed = pairs.filter("a_later").select("digest_key", F.col("a").alias("x"), F.col("b").alias("y")) \
-        .unionByName(pairs.filter("b_later").select("digest_key", F.col("b").alias("x"),
-                                                      F.col("a").alias("y")))
-    # of a pair (x later than y), the rarer key's items look the other key up
+    # each pair of keys as (x later than y) in the orders in which it is similar
+    ways = F.array(F.when(F.col("a_later"), F.struct(F.col("a").alias("x"), F.col("b").alias("y"))),
+                   F.when(F.col("b_later"), F.struct(F.col("b").alias("x"), F.col("a").alias("y"))))
+    directed = similar_key_ids(keys, threshold, use_ratio).select(F.explode(F.array_compact(ways)).alias("p")).select("p.x", "p.y")
+    # of a pair, the rarer key's items look the other key up
     # in that key's own list, which all pairs share: at most twice the smaller
     # group's rows per pair, however common the other title is
-    number = base.groupBy("digest_key", "key").agg(F.count("*").alias("c"))
-    sized = directed.join(number.withColumnsRenamed({"key": "x", "c": "nx"}), ["digest_key", "x"]) \
-        .join(number.withColumnsRenamed({"key": "y", "c": "ny"}), ["digest_key", "y"])
-    sized = materialize(sized, "directed-pairs")
-    listed = base.filter(F.col("key") != "").select("digest_key", F.col("key").alias("g"), "ord")
+    listed = base.filter(F.col("kid").isNotNull()).select(F.col("kid").alias("g"), "ord")
+    number = listed.groupBy("g").agg(F.count("*").alias("c"))
+    sized = directed.join(number.withColumnsRenamed({"g": "x", "c": "nx"}), "x") \
+        .join(number.withColumnsRenamed({"g": "y", "c": "ny"}), "y")
+    sized = materialize(sized.select("x", "y", (F.col("nx") <= F.col("ny")).alias("few_x")), "directed-pairs")
     # few x: each looks up the latest y before it
-    of_x = sized.where("nx <= ny").join(base.select("digest_key", F.col("key").alias("x"), "ord"),
-                                        ["digest_key", "x"]).select("digest_key", F.col("y").alias("g"), "ord")
-    back = latest_before(of_x.distinct(), listed, ["digest_key", "g"], bucket_bits) \
+    of_x = sized.where("few_x").join(listed.withColumnRenamed("g", "x"), "x").select(F.col("y").alias("g"), "ord")
+    back = latest_before(of_x.distinct(), listed, ["g"], bucket_bits) \
         .where("prev is not null").select(F.col("ord").alias("src"), F.col("prev").alias("dst"))
     # few y: each looks up the next x after it (the latest one on the reversed
     # axis); later x reach it by their chain
-    of_y = sized.where("nx > ny").join(base.select("digest_key", F.col("key").alias("y"), "ord"),
-                                       ["digest_key", "y"]).select("digest_key", F.col("x").alias("g"),
-                                                                   (-F.col("ord")).alias("ord"))
-    ahead = latest_before(of_y.distinct(), listed.withColumn("ord", -F.col("ord")), ["digest_key", "g"],
+    of_y = sized.where("not few_x").join(listed.withColumnRenamed("g", "y"), "y").select(F.col("x").alias("g"),
+                                                                                         (-F.col("ord")).alias("ord"))
+    ahead = latest_before(of_y.distinct(), listed.withColumn("ord", -F.col("ord")), ["g"],
                           bucket_bits).where("prev is not null") \
         .select((-F.col("prev")).alias("src"), (-F.col("ord")).alias("dst"))
     return materialize(chain.unionByName(star).unionByName(back).unionByName(ahead).distinct(), "edges")
@@ -266,7 +268,10 @@ def assign_groups(items: DataFrame, threshold: float = 0.65, use_ratio: bool = T
                   bucket_bits: int = DEFAULT_BUCKET_BITS) -> DataFrame:
     """(item_id, ord, digest_key, leader_ord): first-fit groups when
     ``exact``, connected components otherwise."""
+    since = mark()
     edges = story_edges(items, threshold, use_ratio, bucket_bits)
+    release(items.sparkSession, since, mark() - 1)  # all that led to the edges
+    collect_garbage(items.sparkSession)
     labels = propagate_min(items.select("ord"), edges, directed=exact)
     return items.select("item_id", "ord", "digest_key").join(labels, "ord") \
         .withColumnRenamed("label", "leader_ord")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from storyloom.operators.arrival import with_arrival_order
 from storyloom.operators.grouping import assign_groups, grouping_items
-from storyloom.operators.materialize import materialize
+from storyloom.operators.materialize import collect_garbage, materialize
 from storyloom.operators.ranking import rank_keys, top_groups, with_texts
 from storyloom.params import DigestParams
 
@@ -18,6 +18,7 @@ def group_stories(candidates: DataFrame, params: DigestParams, exact: bool = Tru
     ordered = with_arrival_order(candidates)
     # read many times below: the title keys are made once, and the texts are not read again for them
     items = materialize(grouping_items(ordered, digest_key), "grouping-items")
+    collect_garbage(candidates.sparkSession)  # the shuffles that read and sorted the texts
     groups = assign_groups(items, params.similarity_threshold,
                            params.use_ratio_edges if use_ratio is None else use_ratio,
                            exact=exact)

@@ -398,6 +398,32 @@ def test_long_keys_with_common_words_are_told_apart_without_their_subsequences(m
     assert len(asked) < 40
 
 
+def test_pairs_of_keys_carry_no_texts(spark, monkeypatch):
+    """Pairs are many and titles long: from the keys on, grouping holds numbers, and what led to the edges is deleted."""
+    import os
+    from storyloom.operators import candidates as C
+    from storyloom.operators import grouping as G
+    from storyloom.operators import materialize as M
+    paths, texts = {}, []
+
+    def noted(df, label):
+        out = M.materialize(df, label)
+        paths.setdefault(label, M._WRITTEN[-1])
+        texts.extend((label, f.name) for f in df.schema if f.dataType.typeName() == "string")
+        return out
+    monkeypatch.setattr(G, "materialize", noted)
+    monkeypatch.setattr(C, "materialize", noted)
+    rows = [(f"{'long story about one city ' * (1 + i % 4)}{i}", f"https://h/{i % 9}", "a") for i in range(60)]
+    items = M.materialize(grouping_items(with_arrival_order(_raw_rows(spark, rows))), "items")
+    for exact in (True, False):
+        paths.clear()
+        texts.clear()
+        got = assign_groups(items, use_ratio=exact, exact=exact)
+        assert {c for label, c in texts if label not in ("keys", "placed-keys")} <= {"digest_key", "link"}
+        assert not any(os.path.exists(paths[k].removeprefix("file:")) for k in ("keys", "contained", "directed-pairs"))
+        assert got.count() == 60
+
+
 def test_an_inner_title_is_cut_out_of_the_outer_one(spark):
     """Of a pair the outer text alone is read: one join, and an inner title that stands in the outer one twice is one pair."""
     keys = ["berlin", "berlin und berlin", "und berlin", "vonberlinundberlinnachberlin", "\U0001f600\U0001f600berlin\U0001f600"]

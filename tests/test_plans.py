@@ -54,3 +54,14 @@ def test_ranking_shuffles_carry_no_texts(spark):
     members = members.join(spark.range(3).withColumnRenamed("id", "leader_ord"), "leader_ord")
     p = plan(top_groups(rank_keys(members), 5))
     assert "Exchange" in p and "summary" not in p.split("Scan")[0] and "title" not in p.split("Scan")[0]
+
+
+def test_texts_are_searched_behind_the_joins_and_titles_are_cut_ahead_of_them(spark):
+    """Keywords are looked for in articles that are recent, not in all documents; titles alone shuffle no whole texts."""
+    p = REGISTRY["candidates"](spark, SF)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    depth = {name: [i for i, line in enumerate(p) if name in line] for name in ("ArrowEvalPython", "Join Inner")}
+    assert depth["ArrowEvalPython"] and max(depth["ArrowEvalPython"]) < min(depth["Join Inner"])
+    from storyloom.sources.tables import articles
+    p = articles(spark, SF).select("item_id", "title")._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    first = min(i for i, line in enumerate(p) if "Join" in line)
+    assert not any("text#" in line for line in p[:first + 1]) and any("substring_index" in line for line in p[first + 1:])
